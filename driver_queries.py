@@ -19,10 +19,10 @@ from driver_tables import (
     with_eligible,
     with_features,
 )
-from pactlens.config import RAW_COLUMNS, SIGN_YEAR, SUPPLIER
+from pactlens.config import CATEGORICAL, NUMERIC, RAW_COLUMNS, SIGN_YEAR, SUPPLIER
 from pactlens.functions.calendar import year_of
 from pactlens.functions.hashing import exact_mean, exact_sum
-from pactlens.operators import dedup, features, reference
+from pactlens.operators import dedup, drift, encode, features, profile, reference
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -186,3 +186,286 @@ def featurize_new(spark, sf):
     return fresh_features(spark, sf).withColumn(
         "valor_vs_promedio_categoria", F.round("valor_vs_promedio_categoria", 6)
     )
+
+
+# --- profile ----------------------------------------------------------------------------------------------------
+
+_NULLS = ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) AS nulos_{c}" for c in profile.KEY_COLUMNS)
+_VALUES = "v AS (SELECT TRY_CAST(valor_contrato AS DOUBLE) AS v FROM contracts WHERE TRY_CAST(valor_contrato AS DOUBLE) IS NOT NULL)"
+_IN_RANGE = "v BETWEEN 1000000 AND 200000000"
+
+
+@query(with_contracts(f"SELECT {_NULLS}, COUNT(*) AS total FROM contracts"))
+def null_counts(spark, sf):
+    return profile.null_counts(tables.contracts(spark, sf))
+
+
+@query(f"WITH {CONTRACTS_SQL},{_VALUES} SELECT COUNT(*) AS n, MIN(v) AS minimo, ROUND(AVG(v), 4) AS promedio, MAX(v) AS maximo FROM v")
+def value_distribution_exact(spark, sf):
+    table = profile.value_distribution(tables.contracts(spark, sf))
+    return table.select("n", "minimo", F.round("promedio", 4).alias("promedio"), "maximo")
+
+
+@query()
+def value_distribution(spark, sf):
+    return profile.value_distribution(tables.contracts(spark, sf))
+
+
+@query(
+    f"""WITH {CONTRACTS_SQL},{_VALUES} SELECT COUNT(*) AS total_con_valor, COUNT(*) FILTER (WHERE {_IN_RANGE}) AS dentro_del_rango,
+    ROUND(100.0 * COUNT(*) FILTER (WHERE {_IN_RANGE}) / COUNT(*), 2) AS pct_dentro_del_rango FROM v"""
+)
+def in_range_share(spark, sf):
+    return profile.in_range_share(tables.contracts(spark, sf), SETTINGS)
+
+
+@query(
+    f"""WITH {CONTRACTS_SQL},{_VALUES} SELECT CAST(LEAST(80, FLOOR(80 * (v - 1000000) / 199000000) + 1) AS BIGINT) AS bin,
+    COUNT(*) AS n FROM v WHERE {_IN_RANGE} GROUP BY 1"""
+)
+def value_histogram(spark, sf):
+    return profile.value_histogram(tables.contracts(spark, sf), SETTINGS)
+
+
+@query(with_contracts("SELECT LOWER(estado_del_proceso) AS estado, COUNT(*) AS n FROM contracts GROUP BY 1 ORDER BY n DESC"))
+def state_counts(spark, sf):
+    return profile.state_counts(tables.contracts(spark, sf))
+
+
+@query(
+    f"""WITH {CONTRACTS_SQL}, d AS (SELECT TRY_CAST(fecha_inicio_ejecuci_n AS DATE) AS s, TRY_CAST(fecha_fin_ejecuci_n AS DATE) AS e
+    FROM contracts) SELECT COUNT(*) FILTER (WHERE s IS NULL) AS inicio_nulo, COUNT(*) FILTER (WHERE e IS NULL) AS fin_nulo,
+    COUNT(*) FILTER (WHERE e < s) AS fin_antes_de_inicio, COUNT(*) AS total FROM d"""
+)
+def date_quality(spark, sf):
+    return profile.date_quality(tables.contracts(spark, sf))
+
+
+@query(
+    f"""WITH {CONTRACTS_SQL}, v AS (SELECT YEAR(TRY_CAST(fecha_de_firma_del_contrato AS DATE)) AS anio,
+    TRY_CAST(valor_contrato AS DOUBLE) AS v FROM contracts) SELECT anio, COUNT(*) AS n_contratos,
+    ROUND(AVG(v), 0) AS valor_promedio_nominal FROM v WHERE {_IN_RANGE} AND anio IS NOT NULL GROUP BY anio"""
+)
+def year_profile(spark, sf):
+    return profile.year_profile(tables.contracts(spark, sf), SETTINGS)
+
+
+@query(
+    f"""WITH {CONTRACTS_SQL}, per AS (SELECT documento_proveedor, COUNT(*) AS n FROM contracts WHERE documento_proveedor IS NOT NULL
+    GROUP BY 1) SELECT MIN(n) AS minimo, MAX(n) AS maximo, COUNT(*) AS n_proveedores_distintos FROM per"""
+)
+def supplier_concentration_exact(spark, sf):
+    return profile.supplier_concentration(tables.contracts(spark, sf)).select("minimo", "maximo", "n_proveedores_distintos")
+
+
+@query()
+def supplier_concentration(spark, sf):
+    return profile.supplier_concentration(tables.contracts(spark, sf))
+
+
+@query(
+    with_contracts(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, COUNT(DISTINCT {c}) AS n_valores FROM contracts" for c in profile.CATEGORY_COLUMNS
+        )
+    )
+)
+def cardinality(spark, sf):
+    return profile.cardinality(tables.contracts(spark, sf))
+
+
+# --- encoding ---------------------------------------------------------------------------------------------------
+
+_CATEGORIES = " UNION ".join(f"SELECT {i} AS position, '{c}' AS \"column\", {c} AS category FROM features" for i, c in enumerate(CATEGORICAL, 1))
+_INDEX = f"""idx AS (SELECT "column", category, ROW_NUMBER() OVER (ORDER BY position, category NULLS LAST) - 1 AS slot
+  FROM ({_CATEGORIES}))"""
+
+
+@query(with_features("SELECT \"column\", category, CAST(slot AS INTEGER) AS slot FROM idx", _INDEX))
+def category_index(spark, sf):
+    return encode.category_index(tables.features(spark, sf))
+
+
+_HISTORY_INDEX = _INDEX.replace("FROM features", "FROM history")
+_SLOT_JOINS = " ".join(
+    f"LEFT JOIN idx AS i{k} ON i{k}.\"column\" = '{c}' AND i{k}.category IS NOT DISTINCT FROM n.{c}" for k, c in enumerate(CATEGORICAL)
+)
+_SLOT_COLUMNS = ", ".join(f"CAST(COALESCE(i{k}.slot, -1) AS INTEGER) AS slot_{c}" for k, c in enumerate(CATEGORICAL))
+
+
+def history_index(spark, sf):
+    past = tables.features(spark, sf).filter(year_of(F.col("fecha_de_firma_del_contrato")) < tables.NEW_FROM)
+    return tables.written_once(spark, sf, "history-index", lambda: encode.fit_index(past, SETTINGS))
+
+
+@query(with_features(f"SELECT url_contrato, {_SLOT_COLUMNS} FROM incoming AS n {_SLOT_JOINS}", _HISTORY, NEW_SQL, _HISTORY_INDEX))
+def encoded_slots(spark, sf):
+    """New contracts, accepted or not, under the categories of the history: unseen ones get no slot."""
+    wide = tables.new_contracts(spark, sf).withColumns({c: F.lit(None).cast("double") for c in NUMERIC})
+    return encode.encode(wide, history_index(spark, sf)).select("url_contrato", *encode.SLOTS)
+
+
+_NONZERO = " + ".join(f"CAST({c} <> 0 AS INTEGER)" for c in NUMERIC)
+
+
+@query(
+    with_features(
+        f"""SELECT COUNT(*) AS n_rows, CAST(SUM(COALESCE({_NONZERO}, 0) + 6) AS BIGINT) AS nnz, CAST(6 AS BIGINT) AS n_numeric,
+        (SELECT COUNT(*) FROM idx) AS n_one_hot,
+        ROUND(100.0 * SUM(COALESCE({_NONZERO}, 0) + 6) / (COUNT(*) * (6 + (SELECT COUNT(*) FROM idx))), 1) AS density_pct FROM features""",
+        _INDEX,
+    )
+)
+def matrix_stats(spark, sf):
+    table = tables.features(spark, sf)
+    index = encode.category_index(table)
+    return encode.matrix_stats(encode.encode(table, index), index)
+
+
+@query(
+    with_features(
+        " UNION ALL ".join(f"SELECT CAST({i} AS INTEGER) AS feature, '{c}' AS name" for i, c in enumerate(NUMERIC))
+        + " UNION ALL SELECT CAST(slot + 6 AS INTEGER), CONCAT(\"column\", '_', COALESCE(category, 'None')) FROM idx",
+        _INDEX,
+    )
+)
+def feature_names(spark, sf):
+    return encode.feature_names(encode.category_index(tables.features(spark, sf)))
+
+
+# --- drift ------------------------------------------------------------------------------------------------------
+
+_MODEL_COLUMNS = ", ".join((*NUMERIC, *CATEGORICAL))
+_SPLIT = f"""split AS (SELECT CASE WHEN YEAR(fecha_de_firma_del_contrato) = 1996 THEN 'reference' ELSE 'current' END AS period,
+  {_MODEL_COLUMNS} FROM features WHERE YEAR(fecha_de_firma_del_contrato) IN (1996, 2000, 2001))"""
+
+
+def _frequencies_sql(name, columns, kind):
+    parts = " UNION ALL ".join(f"SELECT period, '{c}' AS \"column\", CAST({c} AS {kind}) AS x FROM split" for c in columns)
+    return f"""{name} AS (SELECT "column", x, COUNT(*) FILTER (WHERE period = 'reference') AS n_ref,
+  COUNT(*) FILTER (WHERE period = 'current') AS n_cur FROM ({parts}) WHERE x IS NOT NULL GROUP BY ALL)"""
+
+
+_NUM = _frequencies_sql("num", NUMERIC, "DOUBLE")
+_CAT = _frequencies_sql("cat", CATEGORICAL, "VARCHAR")
+_GAPS = """tot AS (SELECT *, SUM(n_ref) OVER w AS cum_ref, SUM(n_cur) OVER w AS cum_cur, LEAD(x) OVER w AS next_x,
+    SUM(n_ref) OVER (PARTITION BY "column") AS size_ref, SUM(n_cur) OVER (PARTITION BY "column") AS size_cur
+  FROM num WINDOW w AS (PARTITION BY "column" ORDER BY x)),
+gaps AS (SELECT *, ABS(CAST(cum_ref AS DOUBLE) / size_ref - CAST(cum_cur AS DOUBLE) / size_cur) AS gap FROM tot)"""
+_NUM_STATS = """num_stats AS (SELECT "column", MAX(gap) AS ks_d, SUM(gap * (next_x - x)) AS w1 FROM gaps GROUP BY 1),
+sigma AS (SELECT "column", SQRT(SUM(n_ref * POW(x - mean_ref, 2)) / SUM(n_ref)) AS sigma_ref
+  FROM num JOIN (SELECT "column", SUM(x * n_ref) / SUM(n_ref) AS mean_ref FROM num GROUP BY 1) USING ("column") GROUP BY 1)"""
+_SHARES = """sh AS (SELECT *, SUM(n_ref) OVER p AS size_ref, SUM(n_cur) OVER p AS size_cur, ROW_NUMBER() OVER (PARTITION BY "column" ORDER BY x) AS k
+  FROM cat WINDOW p AS (PARTITION BY "column")),
+sh2 AS (SELECT *, CAST(n_ref AS DOUBLE) / size_ref AS p, CAST(n_cur AS DOUBLE) / size_cur AS q,
+  CAST(n_ref AS DOUBLE) * size_cur / size_ref AS expected FROM sh),
+cat_stats AS (SELECT "column", SUM(POW(n_cur - expected, 2) / expected) AS chi2, COUNT(*) - 1 AS dof,
+  SQRT(SUM(CASE WHEN p > 0 THEN p * LN(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * LN(2 * q / (p + q)) ELSE 0 END) / 2) AS js_distance
+  FROM sh2 GROUP BY 1)"""
+
+
+def split(spark, sf):
+    return drift.split_by_year(tables.features(spark, sf), SETTINGS)
+
+
+def numeric_frequencies(spark, sf):
+    return tables.written_once(
+        spark, sf, "numeric-frequencies", lambda: drift.frequencies(split(spark, sf), NUMERIC, "double")
+    )
+
+
+def category_frequencies(spark, sf):
+    return tables.written_once(
+        spark, sf, "category-frequencies", lambda: drift.frequencies(split(spark, sf), CATEGORICAL, "string")
+    )
+
+
+@query(
+    with_features(
+        "SELECT * REPLACE (ROUND(valor_vs_promedio_categoria, 6) AS valor_vs_promedio_categoria) FROM split", _SPLIT
+    )
+)
+def split_by_year(spark, sf):
+    return split(spark, sf).withColumn("valor_vs_promedio_categoria", F.round("valor_vs_promedio_categoria", 6))
+
+
+@query(with_features('SELECT "column", ROUND(ks_d, 9) AS ks_d FROM num_stats', _SPLIT, _NUM, _GAPS, _NUM_STATS))
+def drift_ks(spark, sf):
+    return drift.numeric_statistics(numeric_frequencies(spark, sf)).select("column", F.round("ks_d", 9).alias("ks_d"))
+
+
+@query(
+    with_features(
+        """SELECT "column", ROUND(sigma_ref, 4) AS sigma_ref, ROUND(w1 / GREATEST(sigma_ref, 0.001), 9) AS w1_norm
+        FROM num_stats JOIN sigma USING ("column")""",
+        _SPLIT, _NUM, _GAPS, _NUM_STATS,
+    )
+)
+def drift_wasserstein(spark, sf):
+    return drift.numeric_statistics(numeric_frequencies(spark, sf)).select(
+        "column", F.round("sigma_ref", 4).alias("sigma_ref"), F.round("w1_norm", 9).alias("w1_norm")
+    )
+
+
+@query(with_features('SELECT "column", ROUND(chi2, 6) AS chi2, dof FROM cat_stats', _SPLIT, _CAT, _SHARES))
+def drift_chi2(spark, sf):
+    return drift.categorical_statistics(category_frequencies(spark, sf)).select("column", r6("chi2"), "dof")
+
+
+@query(with_features('SELECT "column", ROUND(js_distance, 9) AS js_distance FROM cat_stats', _SPLIT, _CAT, _SHARES))
+def drift_js(spark, sf):
+    return drift.categorical_statistics(category_frequencies(spark, sf)).select(
+        "column", F.round("js_distance", 9).alias("js_distance")
+    )
+
+
+@query(
+    with_features(
+        """SELECT "column", ROUND((p - q) / SQRT((n_ref + n_cur) / (size_ref + size_cur) * (1 - (n_ref + n_cur) / (size_ref + size_cur))
+          * (1 / size_ref + 1 / size_cur)), 6) AS z FROM sh2 WHERE k = 1""",
+        _SPLIT, _CAT, _SHARES,
+    )
+)
+def drift_ztest(spark, sf):
+    return drift.categorical_statistics(category_frequencies(spark, sf)).select("column", r6("z"))
+
+
+_LARGE = """large AS (
+  SELECT "column", 'Wasserstein distance (normed)' AS method, w1 / GREATEST(sigma_ref, 0.001) AS value
+  FROM num_stats JOIN sigma USING ("column")
+  UNION ALL SELECT "column", 'Jensen-Shannon distance', js_distance FROM cat_stats),
+flags AS (SELECT *, value > 0.1 AS drifted FROM large)"""
+
+
+def distances(spark, sf):
+    """The report of a large reference period, whatever the size of the test data."""
+    return drift.column_drift(split(spark, sf), SETTINGS.with_(small_group_rows=0))
+
+
+@query(
+    with_features(
+        'SELECT "column", method, ROUND(value, 9) AS value, drifted FROM flags', _SPLIT, _NUM, _CAT, _GAPS, _NUM_STATS, _SHARES, _LARGE
+    )
+)
+def drift_flags(spark, sf):
+    return distances(spark, sf).select("column", "method", F.round("value", 9).alias("value"), "drifted")
+
+
+@query()
+def drift_tests(spark, sf):
+    """The report of a small reference period: p-values."""
+    return drift.column_drift(split(spark, sf), SETTINGS.with_(small_group_rows=2**62))
+
+
+@query(
+    with_features(
+        """SELECT COUNT(*) AS n_columns_evaluated, COUNT(*) FILTER (WHERE drifted) AS n_drifted_columns,
+        COUNT(*) FILTER (WHERE drifted) / COUNT(*) AS drifted_share, COUNT(*) FILTER (WHERE drifted) / COUNT(*) >= 0.5 AS dataset_drift_detected,
+        COALESCE(STRING_AGG("column", ',' ORDER BY "column") FILTER (WHERE drifted), '') AS drifted_columns FROM flags""",
+        _SPLIT, _NUM, _CAT, _GAPS, _NUM_STATS, _SHARES, _LARGE,
+    )
+)
+def dataset_drift(spark, sf):
+    return drift.dataset_drift(distances(spark, sf), SETTINGS).withColumn(
+        "drifted_columns", F.array_join("drifted_columns", ",")
+    )
