@@ -20,9 +20,13 @@ from driver_tables import (
     with_features,
 )
 from pactlens.config import CATEGORICAL, NUMERIC, RAW_COLUMNS, SIGN_YEAR, SUPPLIER
-from pactlens.functions.calendar import year_of
+from pactlens.functions.calendar import soda_timestamp, year_of
 from pactlens.functions.hashing import exact_mean, exact_sum
-from pactlens.operators import dedup, drift, encode, features, profile, reference
+from pactlens.operators import dedup, drift, encode, features, monitor, profile, reference, sampling
+from pactlens.operators.forest import evaluate, explain, fit, score
+from pactlens.session import new_path
+from pactlens.sources import bronze, landing, windows
+from pactlens.streaming import contracts as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -469,3 +473,302 @@ def dataset_drift(spark, sf):
     return drift.dataset_drift(distances(spark, sf), SETTINGS).withColumn(
         "drifted_columns", F.array_join("drifted_columns", ",")
     )
+
+
+@query(
+    with_features(
+        """SELECT AVG(CASE WHEN period = 'reference' THEN CAST(drift AS INTEGER) END) AS reference_rate,
+        AVG(CASE WHEN period = 'current' THEN CAST(drift AS INTEGER) END) AS current_rate,
+        ROUND((AVG(CASE WHEN period = 'current' THEN CAST(drift AS INTEGER) END) / AVG(CASE WHEN period = 'reference' THEN CAST(drift AS INTEGER) END) - 1)
+          * 100, 6) AS change_pct FROM (SELECT period, valor_vs_promedio_categoria > 1.5 AS drift FROM split)""",
+        _SPLIT,
+    )
+)
+def rate_change(spark, sf):
+    """Rate of a flag by period; here the flag is a value of more than 1.5 times the mean of its category."""
+    flagged = split(spark, sf).select("period", (F.col("valor_vs_promedio_categoria") > 1.5).alias("is_anomaly"))
+    return drift.rate_change(flagged).withColumn("change_pct", F.round("change_pct", 6))
+
+
+@query(
+    with_features(
+        """SELECT 'history_growth' AS signal, ROUND(CAST(c AS DOUBLE) / r, 6) AS value, CAST(0.05 AS DOUBLE) AS threshold, CAST(c AS DOUBLE) / r > 0.05 AS fired
+          FROM (SELECT COUNT(*) FILTER (WHERE period = 'reference') AS r, COUNT(*) FILTER (WHERE period = 'current') AS c FROM split)
+        UNION ALL SELECT 'drifted_share', ROUND(COUNT(*) FILTER (WHERE drifted) / COUNT(*), 6), 0.5, COUNT(*) FILTER (WHERE drifted) / COUNT(*) >= 0.5 FROM flags
+        UNION ALL SELECT 'anomaly_rate_change_pct', ROUND(ABS(q / p - 1) * 100, 6), 30.0, ABS(q / p - 1) * 100 > 30
+          FROM (SELECT AVG(CAST(valor_vs_promedio_categoria > 1.5 AS INTEGER)) FILTER (WHERE period = 'reference') AS p,
+                       AVG(CAST(valor_vs_promedio_categoria > 1.5 AS INTEGER)) FILTER (WHERE period = 'current') AS q FROM split)""",
+        _SPLIT, _NUM, _CAT, _GAPS, _NUM_STATS, _SHARES, _LARGE,
+    )
+)
+def retrain_signals(spark, sf):
+    history, fresh = drift.period_sizes(split(spark, sf))
+    share = drift.dataset_drift(distances(spark, sf), SETTINGS).first()["drifted_share"]
+    flagged = split(spark, sf).select("period", (F.col("valor_vs_promedio_categoria") > 1.5).alias("is_anomaly"))
+    change = drift.rate_change(flagged).first()["change_pct"]
+    return drift.retrain_signals(history, fresh, share, change, spark, SETTINGS).withColumn("value", F.round("value", 6))
+
+
+# --- samples and top sets ---------------------------------------------------------------------------------------
+
+
+@query(
+    with_features(
+        """SELECT url_contrato, valor_contrato FROM (SELECT url_contrato, valor_contrato,
+          ROW_NUMBER() OVER (ORDER BY valor_contrato DESC) AS k, COUNT(*) OVER () AS n FROM features) WHERE k <= GREATEST(1, CAST(FLOOR(n * 0.01) AS BIGINT))"""
+    )
+)
+def top_fraction(spark, sf):
+    """The highest percent of the contracts by value."""
+    rows = tables.features(spark, sf).select("url_contrato", "valor_contrato")
+    return sampling.top_fraction(rows, "valor_contrato", 0.01)
+
+
+@query(
+    with_features(
+        """SELECT COUNT(*) AS detected, (SELECT COUNT(*) FROM ids) AS planted,
+          ROUND(CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM ids), 9) AS recall FROM ids WHERE numero_del_contrato IN (
+            SELECT numero_del_contrato FROM (SELECT numero_del_contrato, ROW_NUMBER() OVER (ORDER BY valor_contrato DESC) AS k, COUNT(*) OVER () AS n
+            FROM features) WHERE k <= GREATEST(1, CAST(FLOOR(n * 0.01) AS BIGINT)))""",
+        "ids AS (SELECT DISTINCT numero_del_contrato FROM features WHERE valor_vs_promedio_categoria > 2)",
+    )
+)
+def recall_at_top(spark, sf):
+    """How many contracts of more than twice their category mean are in the highest percent by value."""
+    table = tables.features(spark, sf)
+    scored = table.select("numero_del_contrato", F.col("valor_contrato").alias("anomaly_score"))
+    planted = table.filter(F.col("valor_vs_promedio_categoria") > 2)
+    return evaluate.recall_at_top(scored, planted, 0.01).withColumn("recall", F.round("recall", 9))
+
+
+@query()
+def sample_rows(spark, sf):
+    """A seeded sample of 1,000 contracts, the same for any layout."""
+    return sampling.sample_rows(tables.features(spark, sf), 1_000, SETTINGS.seed)
+
+
+@query()
+def synthetic_anomalies(spark, sf):
+    return evaluate.synthetic_anomalies(tables.features(spark, sf), SETTINGS.synthetic_rows, SETTINGS.seed)
+
+
+@query(
+    with_features(
+        """SELECT '' AS pattern, COUNT(*) AS n, CAST(SUM(duracion_dias) AS BIGINT) AS dias FROM features
+        UNION ALL SELECT 'duracion_extrema', COUNT(*), CAST(SUM(duracion_dias * 20) AS BIGINT) FROM features WHERE valor_vs_promedio_categoria > 2"""
+    )
+)
+def union_synthetic(spark, sf):
+    """Rows and disturbed rows in one table; the pattern is missing in the first."""
+    table = tables.features(spark, sf)
+    disturbed = table.filter(F.col("valor_vs_promedio_categoria") > 2).withColumns(
+        {"duracion_dias": F.col("duracion_dias") * evaluate.DURATION_FACTOR, "_synthetic_pattern": F.lit("duracion_extrema")}
+    )
+    return (
+        table.unionByName(disturbed, allowMissingColumns=True)
+        .groupBy(F.coalesce("_synthetic_pattern", F.lit("")).alias("pattern"))
+        .agg(F.count("*").alias("n"), F.sum("duracion_dias").alias("dias"))
+    )
+
+
+# --- forest -----------------------------------------------------------------------------------------------------
+
+
+_forests = {}
+
+
+def forest(spark, sf):
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _forests:
+        _forests[key] = fit.fit_forest(tables.features(spark, sf), SETTINGS)
+    return _forests[key]
+
+
+@query()
+def forest_nodes(spark, sf):
+    """Fit: the node table of 500 trees."""
+    return fit.fit_forest(tables.features(spark, sf), SETTINGS).nodes
+
+
+@query()
+def forest_scores(spark, sf):
+    return score.score_contracts(tables.features(spark, sf), forest(spark, sf))
+
+
+def scored_features(spark, sf):
+    return tables.written_once(
+        spark, sf, "scored", lambda: score.with_scores(tables.features(spark, sf), forest(spark, sf))
+    )
+
+
+@query()
+def scoring_summary(spark, sf):
+    return score.scoring_summary(scored_features(spark, sf))
+
+
+@query()
+def most_atypical(spark, sf):
+    return sampling.most_atypical(scored_features(spark, sf).select("numero_del_contrato", "url_contrato", "objeto_a_contratar", "anomaly_score", "is_anomaly"))
+
+
+@query()
+def score_new(spark, sf):
+    """New contracts through validation, lookups and the stored model."""
+    scored = score.with_scores(fresh_features(spark, sf), forest(spark, sf))
+    return scored.select("numero_del_contrato", "anomaly_score", "is_anomaly")
+
+
+@query()
+def model_drift(spark, sf):
+    return monitor.model_drift(tables.features(spark, sf), forest(spark, sf), SETTINGS)
+
+
+@query()
+def compare_models(spark, sf):
+    """The fitted model against one of fewer trees."""
+    other = fit.fit_forest(tables.features(spark, sf), SETTINGS.with_(n_trees=100, seed=7))
+    return monitor.compare_models(tables.features(spark, sf), other, forest(spark, sf), SETTINGS)
+
+
+@query()
+def attribution(spark, sf):
+    """Mean absolute attribution per feature over atypical and normal examples."""
+    return explain.explain_forest(scored_features(spark, sf), forest(spark, sf), SETTINGS)[1]
+
+
+@query()
+def tuning_trials(spark, sf):
+    """Three trials of the search over the whole features table."""
+    trials = [
+        {"n_trees": 100, "max_samples": 256, "max_features": 1.0},
+        {"n_trees": 150, "max_samples": 512, "max_features": 0.7},
+        {"n_trees": 100, "max_samples": 1024, "max_features": 0.5},
+    ]
+    return evaluate.tune(tables.features(spark, sf), SETTINGS, trials)
+
+
+# --- extract ----------------------------------------------------------------------------------------------------
+
+_PRESENT = ("nivel_entidad", "departamento_entidad", "estado_del_proceso", "modalidad_de_contrataci_n", "objeto_a_contratar",
+            "tipo_de_contrato", "fecha_de_firma_del_contrato", "fecha_inicio_ejecuci_n", "fecha_fin_ejecuci_n",
+            "numero_del_contrato", "valor_contrato", "url_contrato", "origen", "tipo_documento_proveedor", "documento_proveedor")
+_LANDED = ", ".join(c if c in _PRESENT else f"CAST(NULL AS VARCHAR) AS {c}" for c in RAW_COLUMNS)
+
+
+@query(with_contracts(f"SELECT {_LANDED} FROM contracts"))
+def raw_landing_22(spark, sf):
+    return landing.land(tables.contracts(spark, sf))
+
+
+_RANGE = """span AS (SELECT GREATEST(MAX(CAST(o_orderdate AS TIMESTAMP)) - INTERVAL 5 DAY, TIMESTAMP '1995-01-01') AS lo,
+  DATE_TRUNC('day', TIMESTAMP '2001-12-03 15:30:00' + INTERVAL 1 DAY) AS hi FROM orders)"""
+
+
+def _span(spark, sf):
+    """The checkpoint is the latest signing date of the data."""
+    seen = spark.read.parquet(f"{sf}/orders.parquet").agg(F.max("o_orderdate").cast("timestamp").alias("last_extraction_end"))
+    settings = SETTINGS.with_(history_start="1995-01-01")
+    return windows.extract_range(seen, F.lit("2001-12-03 15:30:00").cast("timestamp"), settings)
+
+
+def _iso(column):
+    return soda_timestamp(F.col(column)).alias(column)
+
+
+@query(f"WITH {_RANGE} SELECT STRFTIME(lo, '%Y-%m-%dT%H:%M:%S') AS lo, STRFTIME(hi, '%Y-%m-%dT%H:%M:%S') AS hi FROM span")
+def range_plan(spark, sf):
+    return _span(spark, sf).select(_iso("lo"), _iso("hi"))
+
+
+@query(
+    f"""WITH {_RANGE} SELECT STRFTIME(s, '%Y-%m-%dT%H:%M:%S') AS window_start, STRFTIME(LEAST(s + INTERVAL 15 DAY, hi), '%Y-%m-%dT%H:%M:%S') AS window_end
+    FROM span, UNNEST(GENERATE_SERIES(lo, hi - INTERVAL 1 MICROSECOND, INTERVAL 15 DAY)) AS g(s)"""
+)
+def window_plan(spark, sf):
+    return windows.date_windows(_span(spark, sf)).select(_iso("window_start"), _iso("window_end"))
+
+
+@query(
+    with_contracts(
+        """SELECT url_contrato, fecha_de_firma_del_contrato FROM contracts WHERE fecha_de_firma_del_contrato >= '1998-01-01T00:00:00'
+        AND fecha_de_firma_del_contrato < '1998-01-16T00:00:00'"""
+    )
+)
+def extract_window(spark, sf):
+    """One half-open window of the extract."""
+    day = F.col("fecha_de_firma_del_contrato")
+    rows = tables.contracts(spark, sf).filter(windows.within(day, F.lit("1998-01-01T00:00:00"), F.lit("1998-01-16T00:00:00")))
+    return rows.select("url_contrato", "fecha_de_firma_del_contrato")
+
+
+@query(
+    f"WITH {CONTRACTS_SQL},{RAW_SQL} SELECT ingestion_date, COUNT(*) AS n FROM raw GROUP BY ingestion_date"
+)
+def partition_inventory(spark, sf):
+    """Raw sightings written by ingestion date and read back with the date as text."""
+    root = new_path(spark, "raw")
+    sightings = tables.raw_sightings(spark, sf)
+    for day in ("1998-01-01", "1998-02-01"):
+        landing.write_raw(landing.land(sightings.filter(F.col("ingestion_date") == day)), root, day)
+    return bronze.partition_inventory(bronze.read_raw(spark, root))
+
+
+# --- streams ----------------------------------------------------------------------------------------------------
+
+
+def contract_files(spark, sf):
+    """The contracts as JSON files in two drops by signing date, the second with the overlap again."""
+    key = (spark.sparkContext.applicationId, sf, "json")
+    if key not in _forests:
+        root = new_path(spark, "json")
+        landed = landing.land(tables.contracts(spark, sf))
+        day = F.col("fecha_de_firma_del_contrato")
+        landed.filter(day < "1998-01-06").write.mode("append").json(root)
+        landed.filter(day >= "1998-01-01").write.mode("append").json(root)
+        _forests[key] = root
+    return _forests[key]
+
+
+@query(f"WITH {CONTRACTS_SQL},{RAW_SQL} SELECT COUNT(*) AS n, COUNT(DISTINCT url_contrato) AS n_urls FROM raw")
+def stream_landing(spark, sf):
+    root = new_path(spark, "landed")
+    pages = streams.read_json_stream(spark, contract_files(spark, sf))
+    streams.land_stream(pages, root, new_path(spark, "checkpoint")).awaitTermination()
+    return bronze.read_raw(spark, root).agg(F.count("*").alias("n"), F.count_distinct("url_contrato").alias("n_urls"))
+
+
+@query(f"WITH {CONTRACTS_SQL},{RAW_SQL}, kept AS ({_DEDUP}) SELECT url_contrato, ingestion_date FROM kept")
+def stream_upsert(spark, sf):
+    """The two ingestion runs as two micro-batches into the table of latest sightings."""
+    root = new_path(spark, "runs")
+    sightings = tables.raw_sightings(spark, sf)
+    for day in ("1998-01-01", "1998-02-01"):
+        part = sightings.filter(F.col("ingestion_date") == day)
+        landing.land(part).withColumn("ingestion_date", F.lit(day)).coalesce(1).write.mode("append").parquet(root)
+    table = streams.LatestTable(spark, new_path(spark, "latest"))
+    source = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(root)
+    streams.upsert_stream(source, table, new_path(spark, "checkpoint")).awaitTermination()
+    return table.read().select("url_contrato", "ingestion_date")
+
+
+@query(f"WITH {CONTRACTS_SQL} SELECT COUNT(*) AS n, COUNT(DISTINCT url_contrato) AS n_urls FROM contracts")
+def stream_dedup(spark, sf):
+    """Both drops through the stateful deduplication, in one batch: the overlap collapses."""
+    pages = streams.read_json_stream(spark, contract_files(spark, sf))
+    path = new_path(spark, "stream-dedup")
+    kept = streams.dedup_stream(pages, "2002-01-01", SETTINGS)
+    streams.append_stream(kept, path, new_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(path).agg(F.count("*").alias("n"), F.count_distinct("url_contrato").alias("n_urls"))
+
+
+@query()
+def score_stream(spark, sf):
+    """New contracts as a stream through validation, lookups and the fitted model."""
+    source = new_path(spark, "incoming")
+    incoming = tables.new_contracts(spark, sf)
+    incoming.write.parquet(source)
+    stream = spark.readStream.schema(incoming.schema).parquet(source)
+    scored, _ = streams.score_stream(stream, history_references(spark, sf), forest(spark, sf), SETTINGS)
+    path = new_path(spark, "stream-scores")
+    streams.append_stream(scored, path, new_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(path)

@@ -56,3 +56,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for costly per-row work on a table of few files; a large table has enough splits already."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores)
