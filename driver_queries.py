@@ -20,7 +20,7 @@ from driver_tables import (
     with_features,
 )
 from pactlens.config import CATEGORICAL, NUMERIC, RAW_COLUMNS, SIGN_YEAR, SUPPLIER
-from pactlens.functions.calendar import soda_timestamp, year_of
+from pactlens.functions.calendar import soda_timestamp, text_bound, year_of
 from pactlens.functions.hashing import exact_mean, exact_sum
 from pactlens.operators import dedup, drift, encode, features, monitor, profile, reference, sampling
 from pactlens.operators.forest import evaluate, explain, fit, score
@@ -690,14 +690,14 @@ def window_plan(spark, sf):
 
 @query(
     with_contracts(
-        """SELECT url_contrato, fecha_de_firma_del_contrato FROM contracts WHERE fecha_de_firma_del_contrato >= '1998-01-01T00:00:00'
-        AND fecha_de_firma_del_contrato < '1998-01-16T00:00:00'"""
+        """SELECT url_contrato, fecha_de_firma_del_contrato FROM contracts WHERE CAST(fecha_de_firma_del_contrato AS TIMESTAMP) >= TIMESTAMP '1998-01-01'
+        AND CAST(fecha_de_firma_del_contrato AS TIMESTAMP) < TIMESTAMP '1998-01-16'"""
     )
 )
 def extract_window(spark, sf):
     """One half-open window of the extract."""
     day = F.col("fecha_de_firma_del_contrato")
-    rows = tables.contracts(spark, sf).filter(windows.within(day, F.lit("1998-01-01T00:00:00"), F.lit("1998-01-16T00:00:00")))
+    rows = tables.contracts(spark, sf).filter(windows.within(day, *[text_bound(F.lit(t).cast("timestamp")) for t in ("1998-01-01", "1998-01-16")]))
     return rows.select("url_contrato", "fecha_de_firma_del_contrato")
 
 

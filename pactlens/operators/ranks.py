@@ -25,7 +25,8 @@ def running_totals(
     """
     group = list(group)
     cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    bounds = freq.groupBy(*group).agg(F.percentile_approx(value, cuts, 10_000).alias("_bounds"))
+    # Written, since two evaluations of an approximate quantile may differ and all parts must use the same cuts.
+    bounds = materialize(freq.groupBy(*group).agg(F.percentile_approx(value, cuts, 10_000).alias("_bounds")), "bounds")
     if group:
         bounded = freq.join(F.broadcast(bounds), group)
     else:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from pactlens.config import DEFAULTS, RAW_COLUMNS, SIGN_DATE, Settings
-from pactlens.functions.calendar import soda_timestamp
+from pactlens.functions.calendar import text_bound
 from pactlens.sources.windows import date_windows, extract_range, read_checkpoint, within, write_checkpoint
 
 RAW_SCHEMA = StructType([StructField(c, StringType()) for c in RAW_COLUMNS])
@@ -64,7 +64,7 @@ def extract(
     for first in range(0, len(windows), step):
         job = windows[first : first + step]
         start, end = job[0]["window_start"], job[-1]["window_end"]
-        from_text, to_text = (soda_timestamp(F.lit(t).cast("timestamp")) for t in (start, end))
+        from_text, to_text = (text_bound(F.lit(t).cast("timestamp")) for t in (start, end))
         total += write_raw(land(source.filter(within(F.col(SIGN_DATE), from_text, to_text))), raw_root, ingestion_date)
         write_checkpoint(spark, checkpoint, end)
     return spark.createDataFrame(
