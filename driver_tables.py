@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pactlens.config import DEFAULTS, RENAMES, Settings
 from pactlens.functions.casts import to_date_or_null, to_double_or_null
 from pactlens.operators.features import build_features
-from pactlens.session import materialize
+from pactlens.session import materialize, spread
 
 #: The order dates of the driver run from 1995 to 2001.
 SETTINGS: Settings = DEFAULTS.with_(reference_years=(1996,), current_years=(2000, 2001))
@@ -56,7 +56,8 @@ def contracts_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     status = F.col("o_orderstatus")
     return (
-        orders.join(customer, orders.o_custkey == customer.c_custkey)
+        spread(orders)
+        .join(customer, F.col("o_custkey") == customer.c_custkey)
         .join(nation, F.col("c_nationkey") == nation.n_nationkey)
         .join(region, F.col("n_regionkey") == region.r_regionkey)
         .join(items, key == items.l_orderkey, "left")

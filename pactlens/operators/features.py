@@ -57,12 +57,13 @@ def typed_contracts(contracts: DataFrame, settings: Settings = DEFAULTS) -> Data
 
 
 def business_filter(typed: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Valid state, value in range (bounds included), both execution dates known and in order."""
+    """Valid state, value in range (bounds included), both execution dates known and in order.
+
+    The comparison of the dates is NULL, so the row is dropped, when one of them is.
+    """
     return typed.filter(
         F.lower("estado_del_proceso").isin(*settings.valid_states)
         & F.col("valor_contrato").between(F.lit(float(settings.value_min)), F.lit(float(settings.value_max)))
-        & F.col(START_DATE).isNotNull()
-        & F.col(END_DATE).isNotNull()
         & (F.col(END_DATE) >= F.col(START_DATE))
     )
 

@@ -103,8 +103,9 @@ def tune(features: DataFrame, settings: Settings = DEFAULTS, trials: list[dict]
         DataFrame.unionAll,
         [tree_samples(points, rows, t["n_trees"], sizes[k]).select(F.lit(k).alias("trial_id"), "*") for k, t in enumerate(trials)],
     )
+    n_trees = sum(t["n_trees"] for t in trials)
     nodes = materialize(
-        grow_trees(samples, sizes, shares, n_slots, settings.seed, ("trial_id", "tree_id")), "tuning-nodes"
+        grow_trees(samples, n_trees, sizes, shares, n_slots, settings.seed, ("trial_id", "tree_id")), "tuning-nodes"
     )
     results = []
     for k, trial in enumerate(trials):

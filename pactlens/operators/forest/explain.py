@@ -15,7 +15,7 @@ from pactlens.operators.encode import SLOTS, encode, feature_names
 from pactlens.operators.forest.fit import Forest
 from pactlens.operators.forest.tree import N_NUMERIC
 from pactlens.operators.sampling import most_atypical, sample_rows
-from pactlens.session import materialize
+from pactlens.session import materialize, one_task_per_group
 
 
 @dataclass
@@ -103,7 +103,8 @@ def attributions(forest: Forest, examples: DataFrame) -> DataFrame:
         row, feature = np.nonzero(phi)
         return pd.DataFrame({"row_id": ids[row], "feature": feature.astype(np.int32), "phi": phi[row, feature]})
 
-    per_tree = forest.nodes.groupBy("tree_id").applyInPandas(explain, "row_id int, feature int, phi double")
+    trees = one_task_per_group(forest.nodes, n_trees, "tree_id").groupBy("tree_id")
+    per_tree = trees.applyInPandas(explain, "row_id int, feature int, phi double")
     return per_tree.groupBy("row_id", "feature").agg((F.sum("phi") / n_trees).alias("attribution"))
 
 

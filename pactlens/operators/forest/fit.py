@@ -15,7 +15,7 @@ from pactlens.functions.hashing import content_hash, uniform
 from pactlens.operators.encode import SLOTS, complete, encode, fit_index
 from pactlens.operators.forest import tree
 from pactlens.operators.sampling import repeat_rows, with_margin
-from pactlens.session import materialize
+from pactlens.session import materialize, one_task_per_group
 
 POINT = (*NUMERIC, *SLOTS)
 #: Rows one task can hold to grow a tree; a larger sub-sample per tree is refused.
@@ -101,7 +101,9 @@ def _first_by_order(group: pd.DataFrame, size: int) -> pd.DataFrame:
     return group[again < group["copies"]].head(size)
 
 
-def grow_trees(samples: DataFrame, size, max_features, n_slots: int, seed: int, keys: Sequence[str] = ("tree_id",)) -> DataFrame:
+def grow_trees(
+    samples: DataFrame, n_trees: int, size, max_features, n_slots: int, seed: int, keys: Sequence[str] = ("tree_id",)
+) -> DataFrame:
     """Node table of all trees.  ``size`` and ``max_features`` are numbers, or dicts by the first key."""
     keys = list(keys)
     prefix = "".join(f"{k} int, " for k in keys if k != "tree_id")
@@ -122,7 +124,7 @@ def grow_trees(samples: DataFrame, size, max_features, n_slots: int, seed: int,
         )
         return pd.DataFrame({**dict(zip(keys, key)), **nodes})
 
-    return samples.groupBy(*keys).applyInPandas(grow_one, prefix + NODE_SCHEMA)
+    return one_task_per_group(samples, n_trees, *keys).groupBy(*keys).applyInPandas(grow_one, prefix + NODE_SCHEMA)
 
 
 def fit_forest(features: DataFrame, settings: Settings = DEFAULTS, index: DataFrame | None = None) -> Forest:
@@ -133,7 +135,7 @@ def fit_forest(features: DataFrame, settings: Settings = DEFAULTS, index: DataFr
     size = resolve_samples(settings.max_samples, rows)
     points = model_points(encode(features, index), settings.seed)
     samples = tree_samples(points, rows, settings.n_trees, size)
-    nodes = materialize(grow_trees(samples, size, settings.max_features, n_slots, settings.seed), "forest-nodes")
+    nodes = materialize(grow_trees(samples, settings.n_trees, size, settings.max_features, n_slots, settings.seed), "forest-nodes")
     forest = Forest(nodes, index, settings.n_trees, size, n_slots)
     if settings.contamination == "auto":
         return forest

@@ -11,6 +11,8 @@ from pactlens.functions.hashing import content_hash
 from pactlens.session import materialize
 
 BUCKETS = 64
+#: Up to this many rows a top-n goes through one task.
+IN_ONE_TASK = 10_000
 
 
 def running_totals(
@@ -67,17 +69,21 @@ def value_at_rank(ranked: DataFrame, rank: int):
     return hit["value"], hit["cum_n"] - hit["n"], hit["n"]
 
 
-def first_rows(rows: DataFrame, order: Column, n: int, seed: int = 0) -> DataFrame:
-    """Exactly the ``n`` rows with the smallest ``order``; ties fall by a hash of the whole row.
+def first_rows(rows: DataFrame, order: Column, n: int, seed: int = 0, in_one_task: int = IN_ONE_TASK) -> DataFrame:
+    """Exactly the ``n`` rows with the smallest ``order``, rows without one left out; ties fall by a hash of the row.
 
-    The cut is found by counting, so a large ``n`` or a large group of ties never gathers in one task.  ``rows``
-    should be a written table.
+    Few rows are a plain top-n.  A larger cut is found by counting, so neither a large ``n`` nor a large group of
+    ties ever gathers in one task; ``rows`` should then be a written table.
     """
     if n <= 0:
         return rows.limit(0)
-    keyed = rows.withColumns({"_order": order, "_tie": content_hash(rows.columns, seed)})
-    if rows.count() <= n:
-        return rows
+    keyed = rows.withColumns({"_order": order, "_tie": content_hash(rows.columns, seed)}).filter(
+        F.col("_order").isNotNull()
+    )
+    if n <= in_one_task:
+        return keyed.orderBy("_order", "_tie").limit(n).select(*rows.columns)
+    if keyed.count() <= n:
+        return keyed.select(*rows.columns)
     cut, before, _ = value_at_rank(ranked_values(keyed, F.col("_order")), n)
     inside = keyed.filter(F.col("_order") < F.lit(cut))
     ties = keyed.filter(F.col("_order") == F.lit(cut))

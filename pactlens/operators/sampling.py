@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactlens.functions.hashing import content_hash, uniform
-from pactlens.operators.ranks import first_rows
+from pactlens.operators.ranks import IN_ONE_TASK, first_rows
 from pactlens.session import materialize
 
 CHUNK = 10_000
@@ -48,10 +48,9 @@ def sample_rows(rows: DataFrame, n: int, seed: int) -> DataFrame:
     rate = min(1.0, with_margin(n) / total)
     counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
     drawn = counted.withColumn("_times", draws(F.col("_copies"), rate, uniform(content_hash(rows.columns, seed)))).drop("_copies")
-    candidates = materialize(
-        repeat_rows(drawn, "_times", "_copy").withColumn("_order", content_hash([*rows.columns, "_copy"], seed, 1)),
-        "sample-candidates",
-    )
+    candidates = repeat_rows(drawn, "_times", "_copy").withColumn("_order", content_hash([*rows.columns, "_copy"], seed, 1))
+    if n > IN_ONE_TASK:
+        candidates = materialize(candidates, "sample-candidates")
     return first_rows(candidates, F.col("_order"), n, seed).select(*rows.columns)
 
 

@@ -64,3 +64,12 @@ def spread(df: DataFrame) -> DataFrame:
     if df.isStreaming or len(df.inputFiles()) >= cores:
         return df
     return df.repartition(cores)
+
+
+def one_task_per_group(df: DataFrame, groups: int, *keys: str) -> DataFrame:
+    """Partition by key for costly work on few, small groups.
+
+    A fixed number of partitions is kept as it is; adaptive execution would merge them by their few bytes.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, min(groups, 2 * cores)), *keys)

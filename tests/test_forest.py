@@ -134,7 +134,7 @@ def test_copies_enter_the_trees_as_often_as_they_occur(spark):
     samples = fit.tree_samples(fit.model_points(encoded, 1), rows, 30, 256)
     share = samples.groupBy("tree_id").agg(F.avg((F.col(NUMERIC[0]) == -1).cast("int")).alias("s")).collect()
     assert len(share) == 30 and all(abs(r["s"] - 1 / 3) < 0.13 for r in share)
-    nodes = fit.grow_trees(samples, 256, 1.0, 0, 1)
+    nodes = fit.grow_trees(samples, 30, 256, 1.0, 0, 1)
     assert {r["n_samples"] for r in nodes.filter("node_id = 0").collect()} == {256}
 
 

@@ -33,8 +33,16 @@ def test_running_totals_never_gather_in_one_task(spark):
 @given(st.lists(st.integers(0, 5), min_size=1, max_size=40), st.integers(0, 45))
 def test_first_rows_is_exact_with_ties_and_copies(spark, values, n):
     rows = spark.createDataFrame([(v,) for v in values], "v int")
-    got = sorted(r["v"] for r in ranks.first_rows(rows, F.col("v"), n).collect())
-    assert got == sorted(values)[:n]
+    for in_one_task in (0, 10_000):
+        got = sorted(r["v"] for r in ranks.first_rows(rows, F.col("v"), n, in_one_task=in_one_task).collect())
+        assert got == sorted(values)[:n]
+
+
+def test_both_ways_to_the_first_rows_agree(spark):
+    rows = spark.range(500).select("id", F.when(F.col("id") % 9 != 0, F.col("id") % 5).alias("v"))
+    ways = [ranks.first_rows(rows, F.col("v"), 180, in_one_task=k) for k in (0, 10_000)]
+    assert sorted(map(tuple, ways[0].collect())) == sorted(map(tuple, ways[1].collect()))
+    assert ranks.first_rows(rows, F.col("v"), 499, in_one_task=0).filter("v IS NULL").count() == 0
 
 
 def test_sample_is_exact_seeded_and_free_of_layout(spark):
