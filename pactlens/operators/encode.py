@@ -29,7 +29,10 @@ def categories(features: DataFrame, columns: Sequence[str] = CATEGORICAL) -> Dat
 
 def category_index(features: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
     """(column, category, slot): slots count from 0 over the columns in order and their sorted categories."""
-    found = categories(features, columns)
+    return _number(categories(features, columns))
+
+
+def _number(found: DataFrame) -> DataFrame:
     per_column = found.groupBy("position").agg(F.count("*").alias("width"))
     before = Window.orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_column.select("position", F.coalesce(F.sum("width").over(before), F.lit(0)).alias("start"))
@@ -44,7 +47,7 @@ def fit_index(features: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     found = materialize(categories(features), "categories")
     if not at_most(found, settings.max_categories):
         raise ValueError(f"more than {settings.max_categories} categories: these columns are not categorical")
-    return materialize(category_index(features), "category-index")
+    return materialize(_number(found), "category-index")
 
 
 def feature_names(index: DataFrame) -> DataFrame:

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pactlens.config import CATEGORICAL, DEFAULTS, IDENTIFIERS, NUMERIC, Settings
 from pactlens.functions.hashing import content_hash
 from pactlens.operators.encode import complete, encode, fit_index
-from pactlens.operators.forest.fit import Forest, grow_trees, model_points, resolve_samples, tree_samples
+from pactlens.operators.forest.fit import POINT, Forest, draw_rows, grow_trees, resolve_samples
 from pactlens.operators.forest.score import score_encoded
-from pactlens.operators.sampling import sample_rows, top_fraction
+from pactlens.operators.sampling import copy_counts, fetch_points, sample_rows, top_fraction
 from pactlens.session import materialize, spread
 
 # Pattern names, factors and the search space.
@@ -96,13 +96,15 @@ def tune(features: DataFrame, settings: Settings = DEFAULTS, trials: list[dict]
     index = fit_index(search, settings)
     n_slots, rows = index.count(), search.count()
     encoded = materialize(spread(encode(search, index)), "tuning-encoded")
-    points = materialize(model_points(encoded, settings.seed), "tuning-points")
     sizes = {k: resolve_samples(t["max_samples"], rows) for k, t in enumerate(trials)}
     shares = {k: t["max_features"] for k, t in enumerate(trials)}
-    samples = reduce(
-        DataFrame.unionAll,
-        [tree_samples(points, rows, t["n_trees"], sizes[k]).select(F.lit(k).alias("trial_id"), "*") for k, t in enumerate(trials)],
-    )
+    points = encoded.select(*POINT)
+    counts = materialize(copy_counts(points, POINT, settings.seed), "tuning-points")
+    per_trial = [
+        draw_rows(counts, rows, t["n_trees"], sizes[k]).select(F.lit(k).alias("trial_id"), "*") for k, t in enumerate(trials)
+    ]
+    drawn = materialize(reduce(DataFrame.unionAll, per_trial), "tuning-drawn")
+    samples = drawn.join(fetch_points(points, POINT, settings.seed, drawn), "_point")
     n_trees = sum(t["n_trees"] for t in trials)
     nodes = materialize(
         grow_trees(samples, n_trees, sizes, shares, n_slots, settings.seed, ("trial_id", "tree_id")), "tuning-nodes"

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pactlens.config import DEFAULTS, NUMERIC, Settings
-from pactlens.functions.hashing import content_hash, uniform
+from pactlens.functions.hashing import uniform
 from pactlens.operators.encode import SLOTS, complete, encode, fit_index
 from pactlens.operators.forest import tree
-from pactlens.operators.sampling import repeat_rows, with_margin
+from pactlens.operators.sampling import copy_counts, fetch_points, repeat_rows, with_margin
 from pactlens.session import materialize, one_task_per_group
 
 POINT = (*NUMERIC, *SLOTS)
@@ -59,26 +59,16 @@ def resolve_samples(max_samples: int | float | str, rows: int) -> int:
     return size
 
 
-def model_points(encoded: DataFrame, seed: int) -> DataFrame:
-    """Distinct model rows with their number of copies, counted in the map tasks before they move."""
-    return (
-        encoded.filter(complete())
-        .groupBy(*POINT)
-        .agg(F.count("*").alias("copies"))
-        .withColumn("_point", content_hash(POINT, seed))
-    )
+def draw_rows(counts: DataFrame, rows: int, n_trees: int, size: int) -> DataFrame:
+    """(tree_id, _order, _point, copies): candidates of every tree, slightly more than ``size`` each.
 
-
-def tree_samples(points: DataFrame, rows: int, n_trees: int, size: int) -> DataFrame:
-    """Candidate rows of every tree: slightly more than ``size`` each, of which the first by ``_order`` count.
-
-    Each copy of a point is drawn for itself, so a much-repeated row enters the trees as often as it occurs
-    without its copies ever meeting in a task.  Draws hash the content, not the position: the layout of the data
-    does not change the sample.
+    ``counts`` are the model rows by hash.  Each copy is drawn for itself, so a much-repeated row enters the trees
+    as often as it occurs without its copies ever meeting in a task.  Draws hash the content, not the position:
+    the layout of the data does not change the sample.
     """
     rate = min(1.0, with_margin(size) / rows)
     if rate > DENSE_RATE:
-        numbered = repeat_rows(points.withColumn("_times", F.col("copies")), "_times", "_copy")
+        numbered = repeat_rows(counts.withColumn("_times", F.col("copies")), "_times", "_copy")
         trees = F.filter(
             F.sequence(F.lit(0), F.lit(n_trees - 1)),
             lambda t: uniform(F.xxhash64("_point", "_copy", t)) < rate,
@@ -87,11 +77,17 @@ def tree_samples(points: DataFrame, rows: int, n_trees: int, size: int) -> DataF
     else:
         # Few draws per row: their number first, then a tree for each.
         expected = F.col("copies") * F.lit(rate * n_trees)
-        times = F.floor(expected) + (uniform(F.col("_point")) < expected - F.floor(expected)).cast("int")
-        numbered = repeat_rows(points.withColumn("_times", times.cast("bigint")), "_times", "_copy")
+        times = F.floor(expected) + (uniform(F.xxhash64("_point")) < expected - F.floor(expected)).cast("int")
+        numbered = repeat_rows(counts.withColumn("_times", times.cast("bigint")), "_times", "_copy")
         drawn = numbered.withColumn("tree_id", F.pmod(F.xxhash64("_point", "_copy", F.lit(1)), F.lit(n_trees)).cast("int"))
-    order = F.xxhash64("_point", "_copy", "tree_id", F.lit(2))
-    return drawn.select("tree_id", order.alias("_order"), "_point", "copies", *POINT)
+    return drawn.select("tree_id", F.xxhash64("_point", "_copy", "tree_id", F.lit(2)).alias("_order"), "_point", "copies")
+
+
+def tree_samples(encoded: DataFrame, rows: int, n_trees: int, size: int, seed: int) -> DataFrame:
+    """Candidate rows of every tree, of which the first by ``_order`` count."""
+    points = encoded.filter(complete()).select(*POINT)
+    drawn = materialize(draw_rows(copy_counts(points, POINT, seed), rows, n_trees, size), "drawn")
+    return drawn.join(fetch_points(points, POINT, seed, drawn), "_point")
 
 
 def _first_by_order(group: pd.DataFrame, size: int) -> pd.DataFrame:
@@ -133,8 +129,7 @@ def fit_forest(features: DataFrame, settings: Settings = DEFAULTS, index: DataFr
     n_slots = index.count()
     rows = features.filter(complete()).count()
     size = resolve_samples(settings.max_samples, rows)
-    points = model_points(encode(features, index), settings.seed)
-    samples = tree_samples(points, rows, settings.n_trees, size)
+    samples = tree_samples(encode(features, index), rows, settings.n_trees, size, settings.seed)
     nodes = materialize(grow_trees(samples, settings.n_trees, size, settings.max_features, n_slots, settings.seed), "forest-nodes")
     forest = Forest(nodes, index, settings.n_trees, size, n_slots)
     if settings.contamination == "auto":

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pactlens.functions.hashing import content_hash
 from pactlens.session import materialize
 
-BUCKETS = 64
+#: A square: a bucket is found in two steps of its root.
+BUCKETS = 256
 #: Up to this many rows a top-n goes through one task.
 IN_ONE_TASK = 10_000
 
@@ -26,15 +31,27 @@ def running_totals(
     ``buckets + 1`` rows per group.  No task ever holds all values of a group.
     """
     group = list(group)
-    cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    # Written, since two evaluations of an approximate quantile may differ and all parts must use the same cuts.
-    bounds = materialize(freq.groupBy(*group).agg(F.percentile_approx(value, cuts, 10_000).alias("_bounds")), "bounds")
-    if group:
-        bounded = freq.join(F.broadcast(bounds), group)
-    else:
-        bounded = freq.withColumn("_bounds", bounds.scalar())
-    bucket = F.size(F.filter("_bounds", lambda b: b < F.col(value))).alias("_bucket")
-    bucketed = bounded.select(*freq.columns, bucket)
+    cuts = F.lit(np.arange(1, buckets) / buckets)
+    # Collected, one row per group: two evaluations of an approximate quantile may differ, and all parts of the
+    # result must use the same cuts.
+    bounds = freq.groupBy(*group).agg(F.percentile_approx(value, cuts, 10_000).alias("_bounds")).collect()
+    step = math.isqrt(buckets)
+
+    def below(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda b: b < F.col(value)))
+
+    def bucket_in(found: list) -> Column:
+        """The number of bounds below the value: among every ``step``-th of them, then among those in between."""
+        found = np.array(found)
+        whole = below(F.lit(found[step - 1 :: step])) * step
+        return whole + below(F.slice(F.lit(found), whole + 1, step))
+
+    bucket = F.lit(None).cast("int")
+    for row in bounds:
+        if row["_bounds"] is not None:
+            here = reduce(and_, [F.col(g).eqNullSafe(F.lit(row[g])) for g in group], F.lit(True))
+            bucket = F.when(here, bucket_in(row["_bounds"])).otherwise(bucket)
+    bucketed = freq.withColumn("_bucket", bucket)
 
     totals = bucketed.groupBy(*group, "_bucket").agg(
         *[F.sum(c).alias(f"_sum_{c}") for c in counts], F.min(value).alias("_first")

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactlens.functions.hashing import content_hash, uniform
-from pactlens.operators.ranks import IN_ONE_TASK, first_rows
+from pactlens.operators.lookup import at_most
+from pactlens.operators.ranks import first_rows
 from pactlens.session import materialize
 
 CHUNK = 10_000
+#: Drawn hashes (8 bytes each) up to which they are broadcast to the second scan.
+MAX_DRAWN = 10_000_000
 
 
 def with_margin(n: int) -> float:
@@ -37,6 +41,25 @@ def repeat_rows(rows: DataFrame, times: str, number: str) -> DataFrame:
     )
 
 
+def copy_counts(rows: DataFrame, columns: Sequence[str], seed: int) -> DataFrame:
+    """(_point, copies): the number of equal rows under a 64-bit hash of their content.
+
+    Only hashes and counts move, already added up in the map tasks: a sixth of what the rows themselves would be.
+    """
+    return rows.groupBy(content_hash(columns, seed).alias("_point")).agg(F.count("*").alias("copies"))
+
+
+def fetch_points(rows: DataFrame, columns: Sequence[str], seed: int, drawn: DataFrame) -> DataFrame:
+    """One row per drawn ``_point`` with its columns: a second, filtering scan against the drawn hashes."""
+    wanted = drawn.select("_point").distinct()
+    if at_most(wanted, MAX_DRAWN):
+        wanted = F.broadcast(wanted)
+    found = rows.select(content_hash(columns, seed).alias("_point"), F.struct(*columns).alias("_row")).join(
+        wanted, "_point", "left_semi"
+    )
+    return found.groupBy("_point").agg(F.min("_row").alias("_row")).select("_point", "_row.*")
+
+
 def sample_rows(rows: DataFrame, n: int, seed: int) -> DataFrame:
     """Exactly ``min(n, all)`` rows without replacement.
 
@@ -46,12 +69,12 @@ def sample_rows(rows: DataFrame, n: int, seed: int) -> DataFrame:
     if n >= total:
         return rows
     rate = min(1.0, with_margin(n) / total)
-    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
-    drawn = counted.withColumn("_times", draws(F.col("_copies"), rate, uniform(content_hash(rows.columns, seed)))).drop("_copies")
-    candidates = repeat_rows(drawn, "_times", "_copy").withColumn("_order", content_hash([*rows.columns, "_copy"], seed, 1))
-    if n > IN_ONE_TASK:
-        candidates = materialize(candidates, "sample-candidates")
-    return first_rows(candidates, F.col("_order"), n, seed).select(*rows.columns)
+    counted = copy_counts(rows, rows.columns, seed)
+    times = draws(F.col("copies"), rate, uniform(F.xxhash64("_point")))
+    numbered = repeat_rows(counted.select("_point", times.alias("_times")), "_times", "_copy")
+    candidates = materialize(numbered.withColumn("_order", F.xxhash64("_point", "_copy")), "sample-candidates")
+    chosen = materialize(first_rows(candidates, F.col("_order"), n, seed).select("_point"), "sample-chosen")
+    return chosen.join(fetch_points(rows, rows.columns, seed, chosen), "_point").select(*rows.columns)
 
 
 def top_count(total: int, fraction: float) -> int:

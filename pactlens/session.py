@@ -61,7 +61,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Use every core for costly per-row work on a table of few files; a large table has enough splits already."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or len(df.inputFiles()) >= cores:
+    if df.isStreaming or len(df._jdf.inputFiles()) >= cores:  # the count only, not a million names
         return df
     return df.repartition(cores)
 

@@ -94,7 +94,9 @@ class LatestTable:
         current = self._folders()
         rows = batch.unionAll(self._read([current[m] for m in touched if m in current]))
         target = f"{self.root}/v{version}-{uuid.uuid4().hex}"
-        dedup_rows(rows).withColumn("month", month).write.partitionBy("month").parquet(target)
+        # Even-sized files per month: adaptive execution merges small pieces and splits a heavy month.
+        latest = dedup_rows(rows).withColumn("month", month).hint("rebalance", F.col("month"))
+        latest.write.partitionBy("month").parquet(target)
         entries = [(version, m, f"{target}/month={m}") for m in touched]
         self.spark.createDataFrame(entries, _LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{self.root}/_log")
 

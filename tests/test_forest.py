@@ -119,7 +119,7 @@ def test_rows_with_a_missing_number_are_not_scored(table, forest, make_features)
 def test_sample_sizes_and_uniformity(spark, rows, trees, size):
     numbers = [F.col("id").cast("double").alias(c) for c in NUMERIC]
     encoded = spark.range(rows).select(*numbers, *[F.lit(0).alias(c) for c in encode.SLOTS])
-    samples = fit.tree_samples(fit.model_points(encoded, 1), rows, trees, size)
+    samples = fit.tree_samples(encoded, rows, trees, size, 1)
     per_tree = samples.groupBy("tree_id").agg(F.count("*").alias("n"), F.avg(NUMERIC[0]).alias("m")).collect()
     assert len(per_tree) == trees
     for r in per_tree:
@@ -131,7 +131,7 @@ def test_copies_enter_the_trees_as_often_as_they_occur(spark):
     rows = 60_000
     hot = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).cast("double")
     encoded = spark.range(rows).select(*[hot.alias(c) for c in NUMERIC], *[F.lit(0).alias(c) for c in encode.SLOTS])
-    samples = fit.tree_samples(fit.model_points(encoded, 1), rows, 30, 256)
+    samples = fit.tree_samples(encoded, rows, 30, 256, 1)
     share = samples.groupBy("tree_id").agg(F.avg((F.col(NUMERIC[0]) == -1).cast("int")).alias("s")).collect()
     assert len(share) == 30 and all(abs(r["s"] - 1 / 3) < 0.13 for r in share)
     nodes = fit.grow_trees(samples, 30, 256, 1.0, 0, 1)

@@ -9,7 +9,7 @@ from pactlens.operators.forest import evaluate
 from tests.conftest import plan_of
 
 
-@pytest.mark.parametrize("buckets", [2, 7, 64])
+@pytest.mark.parametrize("buckets", [2, 7, 64, 1_024])
 def test_running_totals_against_cumsum(spark, buckets):
     rng = np.random.default_rng(buckets)
     rows = [(g, float(v), int(c)) for g in "ab" for v, c in zip(np.unique(rng.lognormal(0, 2, 300).round(2)), rng.integers(0, 9, 300))]
