@@ -16,14 +16,18 @@ from pactlens.operators.forest.fit import Forest
 from pactlens.operators.forest.tree import N_NUMERIC, average_path
 from pactlens.session import spread
 
-#: Bound on the node slots of a broadcast forest (20 bytes each).
+#: Bound on the node slots of a broadcast forest (24 bytes per pair).
 MAX_NODE_SLOTS = 50_000_000
-BLOCK_CELLS = 1 << 20
+#: Rows and trees which are walked together, and a bound on the cells of one block of rows.
+BLOCK_ROWS, BLOCK_TREES, BLOCK_CELLS = 1_024, 8, 1 << 20
 
 
 @dataclass(frozen=True)
 class Arrays:
-    """Complete binary trees: a leaf above the last level passes every row on to the left."""
+    """Complete binary trees, one row each and numbered from 1, so that ``i`` has the children ``2 i`` and ``2 i + 1``.
+
+    A leaf above the last level passes every row on to the left.
+    """
 
     feature: np.ndarray
     threshold: np.ndarray
@@ -34,36 +38,37 @@ class Arrays:
     @classmethod
     def of(cls, forest: Forest) -> Arrays:
         depth, trees = forest.depth, forest.n_trees
-        inner = (1 << depth) - 1
-        if trees * (inner + 1) * 2 > MAX_NODE_SLOTS:
+        size = 1 << depth
+        if trees * size * 2 > MAX_NODE_SLOTS:
             raise ValueError("the forest is too large to broadcast; use fewer trees or rows per tree")
         # At most two nodes per sampled row and tree, checked above.
         nodes = forest.nodes.select("tree_id", "node_id", "feature", "threshold", "value").toPandas()
-        feature = np.zeros((trees, inner), dtype=np.int32)
-        threshold = np.full((trees, inner), np.inf)
-        path = np.zeros((trees, inner + 1))
+        feature = np.zeros((trees, size), dtype=np.int64)
+        threshold = np.full((trees, size), np.inf)
+        path = np.zeros((trees, size))
         leaf = nodes["feature"].to_numpy() < 0
         split = nodes[~leaf]
-        at = (split["tree_id"].to_numpy(), split["node_id"].to_numpy())
+        at = (split["tree_id"].to_numpy(), split["node_id"].to_numpy() + 1)
         feature[at] = split["feature"].to_numpy()
         threshold[at] = split["threshold"].to_numpy()
         ends = nodes[leaf]
-        bottom = ends["node_id"].to_numpy(dtype=np.int64, copy=True)
-        while (shallow := bottom < inner).any():
-            bottom[shallow] = 2 * bottom[shallow] + 1
-        path[ends["tree_id"].to_numpy(), bottom - inner] = ends["value"].to_numpy()
+        bottom = ends["node_id"].to_numpy(dtype=np.int64, copy=True) + 1
+        while (shallow := bottom < size).any():
+            bottom[shallow] *= 2
+        path[ends["tree_id"].to_numpy(), bottom - size] = ends["value"].to_numpy()
         return cls(feature, threshold, path, depth, forest.n_slots)
 
     def mean_path(self, numbers: np.ndarray, slots: np.ndarray) -> np.ndarray:
-        """Mean path length per row, all rows of a block one level at a time."""
+        """Mean path length per row."""
         width = N_NUMERIC + self.n_slots
-        block = max(64, min(4096, BLOCK_CELLS // width))
+        block = max(64, min(BLOCK_ROWS, BLOCK_CELLS // width))
         out = np.empty(len(numbers))
         for start in range(0, len(numbers), block):
             out[start : start + block] = self._block(numbers[start : start + block], slots[start : start + block], width)
         return out
 
     def _block(self, numbers, slots, width):
+        """A block of rows through a few trees at a time, all of them one level down at each step."""
         n = len(numbers)
         matrix = np.zeros((n, width))
         matrix[:, :N_NUMERIC] = numbers
@@ -72,17 +77,23 @@ class Arrays:
         cells = matrix.ravel()
         first = np.arange(n, dtype=np.int64) * width
         total = np.zeros(n)
-        inner = self.feature.shape[1]
-        for feature, threshold, path in zip(self.feature, self.threshold, self.path):
-            node = np.zeros(n, dtype=np.int64)
+        trees, size = self.feature.shape
+        for start in range(0, trees, BLOCK_TREES):
+            some = slice(start, start + BLOCK_TREES)
+            feature, threshold, path = (a[some].ravel() for a in (self.feature, self.threshold, self.path))
+            base = np.arange(0, len(feature), size)[:, None]
+            node = np.repeat(base + 1, n, axis=1)
             for _ in range(self.depth):
-                value = cells.take(feature.take(node) + first)
-                right = value > threshold.take(node)
+                cell = feature.take(node)
+                cell += first
+                right = cells.take(cell) > threshold.take(node)
                 node += node
-                node += 1
+                node -= base
                 node += right
-            total += path.take(node - inner)
-        return total / len(self.feature)
+            node -= size
+            for lengths in path.take(node):
+                total += lengths
+        return total / trees
 
 
 def _mean_path_udf(forest: Forest, session):
