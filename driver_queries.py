@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,7 +86,7 @@ def features_year_normalised(spark, sf):
     )
 )
 def features_summary(spark, sf):
-    return features.features_summary(tables.contracts(spark, sf), tables.features(spark, sf), SETTINGS)
+    return features.features_summary(features.features_with_totals(tables.contracts(spark, sf), SETTINGS)[1], SETTINGS)
 
 
 # --- deduplication ----------------------------------------------------------------------------------------------
@@ -701,6 +702,21 @@ def extract_window(spark, sf):
     return rows.select("url_contrato", "fecha_de_firma_del_contrato")
 
 
+@query(
+    f"""WITH {CONTRACTS_SQL},{RAW_SQL} SELECT CASE ingestion_date WHEN '1998-01-01' THEN '1998-01-05' ELSE '2001-12-03' END AS ingestion_date,
+    COUNT(*) AS n, COUNT(DISTINCT url_contrato) AS n_urls FROM raw GROUP BY ALL"""
+)
+def incremental_extract(spark, sf):
+    """Two runs over all contracts; the second starts five days before the checkpoint of the first."""
+    root, checkpoint = new_path(spark, "extract"), new_path(spark, "extract-checkpoint")
+    settings = SETTINGS.with_(history_start="1995-01-01")
+    for now in (datetime(1998, 1, 5, 12, tzinfo=timezone.utc), datetime(2001, 12, 3, 12, tzinfo=timezone.utc)):
+        landing.extract(tables.contracts(spark, sf), root, checkpoint, now, settings=settings)
+    return bronze.read_raw(spark, root).groupBy("ingestion_date").agg(
+        F.count("*").alias("n"), F.count_distinct("url_contrato").alias("n_urls")
+    )
+
+
 @query(
     f"WITH {CONTRACTS_SQL},{RAW_SQL} SELECT ingestion_date, COUNT(*) AS n FROM raw GROUP BY ingestion_date"
 )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,7 +91,12 @@ def supplier_counts(totals: DataFrame) -> DataFrame:
 
 
 def build_features(contracts: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """The 19-column features table.
+    """The 19-column features table."""
+    return features_with_totals(contracts, settings)[0]
+
+
+def features_with_totals(contracts: DataFrame, settings: Settings = DEFAULTS) -> tuple[DataFrame, DataFrame]:
+    """Features, and the written group totals behind them.
 
     The inner lookups drop rows whose category keys or supplier are NULL.  The totals are written once: their
     measured row counts decide between a broadcast and a shuffle join.
@@ -99,28 +107,20 @@ def build_features(contracts: DataFrame, settings: Settings = DEFAULTS) -> DataF
     counts = materialize(supplier_counts(totals), "supplier-counts")
     with_mean = attach_small(eligible, means, settings.category_keys, "inner", settings.broadcast_rows)
     joined = attach_counts(with_mean, counts, SUPPLIER, "concentracion_proveedor", "inner", settings.broadcast_rows)
-    return joined.withColumns(
+    features = joined.withColumns(
         {
             "valor_vs_promedio_categoria": F.try_divide("valor_contrato", "promedio_categoria"),
             "duracion_dias": days_between(F.col(START_DATE), F.col(END_DATE)),
             "mes_firma": month_of(F.col(SIGN_DATE)),
             "dia_semana_firma": weekday_of(F.col(SIGN_DATE)),
         }
-    ).withColumnsRenamed(RENAMES).select(*FEATURE_COLUMNS)
-
-
-def features_summary(contracts: DataFrame, features: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """One row: rows which pass the filter, rows of the features table and rows lost to a NULL key."""
-    passed = eligible_contracts(contracts, settings)
-    keys = [F.col(k) for k in (*settings.category_keys, SUPPLIER)]
-    null_key = F.lit(False)
-    for key in keys:
-        null_key = null_key | key.isNull()
-    sides = passed.select(F.lit(1).alias("i"), null_key.cast("int").alias("k"), F.lit(0).alias("o")).unionAll(
-        features.select(F.lit(0).alias("i"), F.lit(0).alias("k"), F.lit(1).alias("o"))
-    )
-    return sides.agg(
-        F.coalesce(F.sum("i"), F.lit(0)).alias("input_rows"),
-        F.coalesce(F.sum("o"), F.lit(0)).alias("output_rows"),
-        F.coalesce(F.sum("k"), F.lit(0)).alias("null_key_rows"),
     )
+    return features.withColumnsRenamed(RENAMES).select(*FEATURE_COLUMNS), totals
+
+
+def features_summary(totals: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """One row from the group totals: rows which pass the filter, rows lost to a NULL key, rows of the features."""
+    no_null_key = reduce(and_, [F.col(k).isNotNull() for k in (*settings.category_keys, SUPPLIER)])
+    kept = F.coalesce(F.sum(F.when(no_null_key, F.col("n"))), F.lit(0))
+    passed = F.coalesce(F.sum("n"), F.lit(0))
+    return totals.agg(passed.alias("input_rows"), kept.alias("output_rows"), (passed - kept).alias("null_key_rows"))

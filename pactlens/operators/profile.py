@@ -115,3 +115,19 @@ def cardinality(contracts: DataFrame, columns: Sequence[str] = CATEGORY_COLUMNS)
     """Distinct non-NULL values per column; values are made distinct in the map tasks before they move."""
     long = contracts.select(*columns).unpivot([], list(columns), "column_name", "value")
     return long.groupBy("column_name").agg(F.count_distinct("value").alias("n_valores"))
+
+
+def profile_contracts(contracts: DataFrame, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
+    """All profile tables by name."""
+    return {
+        "schema": schema_profile(contracts),
+        "nulls": null_counts(contracts),
+        "value_distribution": value_distribution(contracts),
+        "in_range_share": in_range_share(contracts, settings),
+        "value_histogram": value_histogram(contracts, settings),
+        "states": state_counts(contracts),
+        "date_quality": date_quality(contracts),
+        "years": year_profile(contracts, settings),
+        "supplier_concentration": supplier_concentration(contracts),
+        "cardinality": cardinality(contracts),
+    }

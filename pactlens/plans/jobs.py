@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from pactlens.config import CATEGORICAL, DEFAULTS, IDENTIFIERS, NUMERIC, Settings
 from pactlens.operators import drift, monitor
 from pactlens.operators.dedup import dedup_rows
-from pactlens.operators.features import build_features
+from pactlens.operators.features import features_summary, features_with_totals
 from pactlens.operators.forest.evaluate import best_trial, tune
 from pactlens.operators.forest.explain import explain_forest
 from pactlens.operators.forest.fit import fit_forest
 from pactlens.operators.forest.score import scoring_summary, with_scores
 from pactlens.operators.forest.store import load_forest, save_forest
+from pactlens.operators.profile import profile_contracts
 from pactlens.operators.reference import reference_category_means, reference_supplier_counts
 from pactlens.operators.sampling import most_atypical
 from pactlens.session import materialize
@@ -37,8 +38,16 @@ def process(spark: SparkSession, raw_root: str, contracts_path: str) -> DataFram
 
 def features(spark: SparkSession, contracts_path: str, features_path: str, settings: Settings = DEFAULTS) -> DataFrame:
     """Contracts to the features table."""
-    rows = write_table(build_features(spark.read.parquet(contracts_path), settings), features_path)
-    return _summary(spark, output_rows=rows, output_path=features_path)
+    table, totals = features_with_totals(spark.read.parquet(contracts_path), settings)
+    rows = write_table(table, features_path)
+    return features_summary(totals, settings).withColumns({"output_rows": F.lit(rows), "output_path": F.lit(features_path)})
+
+
+def profile(spark: SparkSession, contracts_path: str, folder: str, settings: Settings = DEFAULTS) -> DataFrame:
+    """Every profile table as a table of its own."""
+    tables = profile_contracts(spark.read.parquet(contracts_path), settings)
+    written = [(name, write_table(table, f"{folder}/{name}")) for name, table in tables.items()]
+    return spark.createDataFrame(written, "table string, n_rows bigint")
 
 
 def reference_tables(spark: SparkSession, features_path: str, folder: str, settings: Settings = DEFAULTS) -> DataFrame:

@@ -3,10 +3,11 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from pactlens.config import DEFAULTS, RAW_COLUMNS
+from pactlens.config import CATEGORICAL, DEFAULTS, IDENTIFIERS, NUMERIC, RAW_COLUMNS
 from pactlens.operators.dedup import dedup_rows, dedup_summary
 from pactlens.plans import jobs
 from pactlens.sources import bronze, landing, windows
+from pactlens.sources.tables import load_features
 from tests.conftest import plan_of
 
 RAW3 = "numero_del_contrato string, nit_de_la_entidad string, valor_contrato string, ingestion_date string"
@@ -137,3 +138,13 @@ def test_checkpoint_moves_without_rows_and_a_day_may_run_twice(spark, tmp_path):
     for _ in range(2):
         landing.extract(source, root, checkpoint, utc("2022-01-02 10:00"), settings=settings)
     assert bronze.read_raw(spark, root).count() == 2
+
+
+def test_features_and_profile_jobs(spark, make_contracts, tmp_path):
+    contracts, table = str(tmp_path / "contracts"), str(tmp_path / "features")
+    make_contracts({}, {"departamento_entidad": None}, {"valor_contrato": "1"}).write.parquet(contracts)
+    row = jobs.features(spark, contracts, table).first()
+    assert (row["input_rows"], row["output_rows"], row["null_key_rows"]) == (2, 1, 1)
+    assert load_features(spark, table).columns == [*IDENTIFIERS, *NUMERIC, *CATEGORICAL]
+    written = {r["table"]: r["n_rows"] for r in jobs.profile(spark, contracts, str(tmp_path / "profile")).collect()}
+    assert written["nulls"] == 1 and written["schema"] == 15
