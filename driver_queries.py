@@ -21,7 +21,7 @@ from driver_tables import (
     with_features,
 )
 from pactlens.config import CATEGORICAL, NUMERIC, RAW_COLUMNS, SIGN_YEAR, SUPPLIER
-from pactlens.functions.calendar import soda_timestamp, text_bound, year_of
+from pactlens.functions.calendar import iso_timestamp, text_bound, year_of
 from pactlens.functions.hashing import exact_mean, exact_sum
 from pactlens.operators import dedup, drift, encode, features, monitor, profile, reference, sampling
 from pactlens.operators.forest import evaluate, explain, fit, score
@@ -211,9 +211,16 @@ def value_distribution_exact(spark, sf):
     return table.select("n", "minimo", F.round("promedio", 4).alias("promedio"), "maximo")
 
 
-@query()
+_QUANTILES = ", ".join(f"QUANTILE_DISC({{0}}, {q}) AS {name}" for name, q in profile.QUANTILES.items())
+
+
+@query(
+    f"""WITH {CONTRACTS_SQL},{_VALUES} SELECT COUNT(*) AS n, MIN(v) AS minimo, ROUND(AVG(v), 4) AS promedio, MAX(v) AS maximo,
+    {_QUANTILES.format("v")} FROM v"""
+)
 def value_distribution(spark, sf):
-    return profile.value_distribution(tables.contracts(spark, sf))
+    table = profile.value_distribution(tables.contracts(spark, sf))
+    return table.withColumn("promedio", F.round("promedio", 4))
 
 
 @query(
@@ -263,7 +270,11 @@ def supplier_concentration_exact(spark, sf):
     return profile.supplier_concentration(tables.contracts(spark, sf)).select("minimo", "maximo", "n_proveedores_distintos")
 
 
-@query()
+@query(
+    f"""WITH {CONTRACTS_SQL}, per AS (SELECT COUNT(*) AS n FROM contracts WHERE documento_proveedor IS NOT NULL
+    GROUP BY documento_proveedor) SELECT MIN(n) AS minimo, MAX(n) AS maximo, COUNT(*) AS n_proveedores_distintos,
+    {_QUANTILES.format("n")} FROM per"""
+)
 def supplier_concentration(spark, sf):
     return profile.supplier_concentration(tables.contracts(spark, sf))
 
@@ -673,7 +684,7 @@ def _span(spark, sf):
 
 
 def _iso(column):
-    return soda_timestamp(F.col(column)).alias(column)
+    return iso_timestamp(F.col(column)).alias(column)
 
 
 @query(f"WITH {_RANGE} SELECT STRFTIME(lo, '%Y-%m-%dT%H:%M:%S') AS lo, STRFTIME(hi, '%Y-%m-%dT%H:%M:%S') AS hi FROM span")

@@ -22,11 +22,11 @@ def weekday_of(day: Column) -> Column:
     return (F.dayofweek(day) - 1).cast("bigint")
 
 
-def soda_timestamp(ts: Column) -> Column:
+def iso_timestamp(ts: Column) -> Column:
     """ISO text without a zone, the form of timestamps in the source."""
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
 
 
 def text_bound(ts: Column) -> Column:
     """Bound for ISO text in text order: without the time at midnight, so that plain dates compare as well."""
-    return F.regexp_replace(soda_timestamp(ts), "T00:00:00$", "")
+    return F.regexp_replace(iso_timestamp(ts), "T00:00:00$", "")

@@ -14,6 +14,7 @@ from pactlens.config import DEFAULTS, NUMERIC, Settings
 from pactlens.functions.hashing import uniform
 from pactlens.operators.encode import SLOTS, complete, encode, fit_index
 from pactlens.operators.forest import tree
+from pactlens.operators.ranks import values_at_ranks
 from pactlens.operators.sampling import copy_counts, fetch_points, repeat_rows, with_margin
 from pactlens.session import materialize, one_task_per_group
 
@@ -140,15 +141,13 @@ def fit_forest(features: DataFrame, settings: Settings = DEFAULTS, index: DataFr
 def with_contamination(forest: Forest, features: DataFrame, share: float) -> Forest:
     """Move the cut so that this share of the fitted rows lies above it (linear interpolation between ranks)."""
     from pactlens.operators.forest.score import with_scores
-    from pactlens.operators.ranks import ranked_values, value_at_rank
 
     if not 0.0 < share <= 0.5:
         raise ValueError("contamination must be in (0, 0.5]")
-    scores = with_scores(features, replace(forest, offset=0.0)).filter(F.col("anomaly_score").isNotNull())
-    ranked = ranked_values(scores, F.col("anomaly_score"))
-    n = ranked.agg(F.sum("n")).first()[0]
+    scored = with_scores(features, replace(forest, offset=0.0)).select("anomaly_score")
+    scores = materialize(scored.filter(F.col("anomaly_score").isNotNull()), "training-scores")
+    n = scores.count()
     position = (n - 1) * (1.0 - share)
     below = int(position)
-    low = value_at_rank(ranked, below + 1)[0]
-    high = value_at_rank(ranked, min(below + 2, n))[0]
+    (low, _, _), (high, _, _) = values_at_ranks(scores, F.col("anomaly_score"), [below + 1, min(below + 2, n)])
     return replace(forest, offset=-(low + (position - below) * (high - low)))

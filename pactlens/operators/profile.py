@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactlens.config import DEFAULTS, END_DATE, SIGN_DATE, START_DATE, SUPPLIER, Settings
 from pactlens.functions.calendar import year_of
 from pactlens.functions.casts import to_date_or_null, to_double_or_null
+from pactlens.operators.ranks import quantile_rank, values_at_ranks
+from pactlens.session import materialize
 
 KEY_COLUMNS = (
     "valor_contrato",
@@ -22,8 +24,7 @@ KEY_COLUMNS = (
     "departamento_entidad",
 )
 CATEGORY_COLUMNS = ("modalidad_de_contrataci_n", "departamento_entidad", "tipo_de_contrato")
-QUANTILES = (0.5, 0.95, 0.99)
-ACCURACY = 10_000
+QUANTILES = {"mediana": 0.5, "p95": 0.95, "p99": 0.99}
 
 
 def schema_profile(contracts: DataFrame) -> DataFrame:
@@ -40,17 +41,20 @@ def _values(contracts: DataFrame) -> DataFrame:
     return contracts.select(to_double_or_null(F.col("valor_contrato")).alias("v")).filter(F.col("v").isNotNull())
 
 
+def _quantiles(rows: DataFrame, column: str) -> dict[str, Column]:
+    """Discrete quantiles by name, exact; NULL on an empty table."""
+    n = rows.count()
+    ranks = [quantile_rank(q, n) for q in QUANTILES.values()]
+    values = [v for v, _, _ in values_at_ranks(rows, F.col(column), ranks)] if n else [None] * len(ranks)
+    return {name: F.lit(v).cast(rows.schema[column].dataType) for name, v in zip(QUANTILES, values)}
+
+
 def value_distribution(contracts: DataFrame) -> DataFrame:
-    median, p95, p99 = (F.percentile_approx("v", q, ACCURACY) for q in QUANTILES)
-    return _values(contracts).agg(
-        F.count("*").alias("n"),
-        F.min("v").alias("minimo"),
-        median.alias("mediana"),
-        F.avg("v").alias("promedio"),
-        p95.alias("p95"),
-        p99.alias("p99"),
-        F.max("v").alias("maximo"),
+    values = _values(contracts)
+    stats = values.agg(
+        F.count("*").alias("n"), F.min("v").alias("minimo"), F.avg("v").alias("promedio"), F.max("v").alias("maximo")
     )
+    return stats.withColumns(_quantiles(values, "v")).select("n", "minimo", "mediana", "promedio", "p95", "p99", "maximo")
 
 
 def in_range_share(contracts: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -99,15 +103,14 @@ def year_profile(contracts: DataFrame, settings: Settings = DEFAULTS) -> DataFra
 
 
 def supplier_concentration(contracts: DataFrame) -> DataFrame:
-    per_supplier = contracts.filter(F.col(SUPPLIER).isNotNull()).groupBy(SUPPLIER).agg(F.count("*").alias("n"))
-    median, p95, p99 = (F.percentile_approx("n", q, ACCURACY) for q in QUANTILES)
-    return per_supplier.agg(
-        F.min("n").alias("minimo"),
-        median.alias("mediana"),
-        p95.alias("p95"),
-        p99.alias("p99"),
-        F.max("n").alias("maximo"),
-        F.count("*").alias("n_proveedores_distintos"),
+    """Distribution of the number of contracts per supplier."""
+    counted = contracts.filter(F.col(SUPPLIER).isNotNull()).groupBy(SUPPLIER).agg(F.count("*").alias("n"))
+    per_supplier = materialize(counted.select("n"), "contracts-per-supplier")
+    stats = per_supplier.agg(
+        F.min("n").alias("minimo"), F.max("n").alias("maximo"), F.count("*").alias("n_proveedores_distintos")
+    )
+    return stats.withColumns(_quantiles(per_supplier, "n")).select(
+        "minimo", "mediana", "p95", "p99", "maximo", "n_proveedores_distintos"
     )
 
 

@@ -18,6 +18,9 @@ from pactlens.session import materialize
 BUCKETS = 256
 #: Up to this many rows a top-n goes through one task.
 IN_ONE_TASK = 10_000
+BANDS_PER_E = 256
+#: Makes the magnitude of the smallest positive double positive.
+LOWEST_MAGNITUDE = 746 * BANDS_PER_E
 
 
 def running_totals(
@@ -34,7 +37,7 @@ def running_totals(
     cuts = F.lit(np.arange(1, buckets) / buckets)
     # Collected, one row per group: two evaluations of an approximate quantile may differ, and all parts of the
     # result must use the same cuts.
-    bounds = freq.groupBy(*group).agg(F.percentile_approx(value, cuts, 10_000).alias("_bounds")).collect()
+    bounds = freq.groupBy(*group).agg(F.percentile_approx(value, cuts, 8 * buckets).alias("_bounds")).collect()
     step = math.isqrt(buckets)
 
     def below(cuts: Column) -> Column:
@@ -74,16 +77,45 @@ def running_totals(
     )
 
 
-def ranked_values(rows: DataFrame, value: Column, buckets: int = BUCKETS) -> DataFrame:
-    """Distinct values ascending as (value, n, cum_n): ranks ``cum_n - n + 1`` to ``cum_n`` hold the value."""
-    freq = rows.select(value.alias("value")).groupBy("value").agg(F.count("*").alias("n"))
-    return running_totals(materialize(freq, "value-counts"), "value", ["n"], buckets=buckets)
+def _band(value: Column) -> Column:
+    """A number which never falls as the value rises: one per 0.4 % of magnitude, so there are few of them."""
+    v = value.cast("double")
+    size = F.abs(v)
+    magnitude = F.floor(F.ln(size) * BANDS_PER_E) + LOWEST_MAGNITUDE
+    band = F.when(v > 0, magnitude).when(v < 0, -magnitude).otherwise(F.lit(0).cast("bigint"))
+    beyond = F.lit(1 << 40).cast("bigint")
+    infinite = F.when(v > 0, beyond).otherwise(-beyond)
+    return F.when(F.isnan(v), beyond * 2).when(size == F.lit(float("inf")), infinite).otherwise(band)
 
 
-def value_at_rank(ranked: DataFrame, rank: int):
-    """(value, rows before it, rows with it) at an ascending rank which counts from 1."""
-    hit = ranked.filter((F.col("cum_n") >= rank) & (F.col("cum_n") - F.col("n") < rank)).first()
-    return hit["value"], hit["cum_n"] - hit["n"], hit["n"]
+def values_at_ranks(rows: DataFrame, value: Column, ranks: Sequence[int]) -> list[tuple]:
+    """(value, rows before it, rows with it) at ascending ranks which count from 1; NULLs have no rank.
+
+    A first pass counts bands of similar values, a second one counts the distinct values of the bands which hold
+    the ranks.  Only these counts move.
+    """
+    banded = rows.select(value.alias("value")).filter(F.col("value").isNotNull()).withColumn("band", _band(F.col("value")))
+    bands = sorted(map(tuple, banded.groupBy("band").agg(F.count("*").alias("n")).collect()))
+    ends = np.cumsum([n for _, n in bands])
+    at = [int(np.searchsorted(ends, rank)) for rank in ranks]
+    wanted = {bands[i][0] for i in at}
+    counts = materialize(
+        banded.filter(F.col("band").isin(*wanted)).groupBy("band", "value").agg(F.count("*").alias("n")), "value-counts"
+    )
+    totals = running_totals(counts, "value", ["n"], ["band"])
+    found = []
+    for rank, i in zip(ranks, at):
+        before = int(ends[i] - bands[i][1])
+        hit = totals.filter(
+            (F.col("band") == bands[i][0]) & (F.col("cum_n") >= rank - before) & (F.col("cum_n") - F.col("n") < rank - before)
+        ).first()
+        found.append((hit["value"], before + hit["cum_n"] - hit["n"], hit["n"]))
+    return found
+
+
+def quantile_rank(q: float, n: int) -> int:
+    """Rank of the discrete quantile: the smallest value which at least a share ``q`` of the rows does not exceed."""
+    return max(1, math.ceil(q * n))
 
 
 def first_rows(rows: DataFrame, order: Column, n: int, seed: int = 0, in_one_task: int = IN_ONE_TASK) -> DataFrame:
@@ -101,10 +133,10 @@ def first_rows(rows: DataFrame, order: Column, n: int, seed: int = 0, in_one_tas
         return keyed.orderBy("_order", "_tie").limit(n).select(*rows.columns)
     if keyed.count() <= n:
         return keyed.select(*rows.columns)
-    cut, before, _ = value_at_rank(ranked_values(keyed, F.col("_order")), n)
+    cut, before, _ = values_at_ranks(keyed, F.col("_order"), [n])[0]
     inside = keyed.filter(F.col("_order") < F.lit(cut))
     ties = keyed.filter(F.col("_order") == F.lit(cut))
-    tie_cut, tie_before, equal = value_at_rank(ranked_values(ties, F.col("_tie")), n - before)
+    tie_cut, tie_before, equal = values_at_ranks(ties, F.col("_tie"), [n - before])[0]
     chosen = inside.unionAll(ties.filter(F.col("_tie") < F.lit(tie_cut))).select(*rows.columns)
     last = ties.filter(F.col("_tie") == F.lit(tie_cut)).select(*rows.columns)
     wanted = n - before - tie_before

@@ -70,9 +70,14 @@ def test_profile(make_contracts):
     assert profile.schema_profile(contracts).count() == len(contracts.columns)
 
 
-def test_approximate_quantiles_stay_within_rank_error(spark):
-    values = np.random.default_rng(0).lognormal(17, 1, 20_000)
-    contracts = spark.createDataFrame([(f"{v:.2f}",) for v in values], "valor_contrato string")
+def test_quantiles_are_exact(spark):
+    values = np.random.default_rng(0).lognormal(17, 1, 5_001).round(2)
+    contracts = spark.createDataFrame([(f"{v:.2f}",) for v in values] + [("n/d",)], "valor_contrato string")
     row = profile.value_distribution(contracts).first()
-    for name, q in (("mediana", 0.5), ("p95", 0.95), ("p99", 0.99)):
-        assert abs((values <= row[name]).mean() - q) < 0.001
+    want = np.quantile(values, [0.5, 0.95, 0.99], method="inverted_cdf").tolist()
+    assert [row["mediana"], row["p95"], row["p99"]] == want and row["n"] == 5_001
+
+
+def test_quantiles_of_nothing(spark):
+    row = profile.value_distribution(spark.createDataFrame([("n/d",)], "valor_contrato string")).first()
+    assert row["n"] == 0 and row["mediana"] is None

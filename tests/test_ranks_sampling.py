@@ -78,3 +78,22 @@ def test_repeat_rows_in_chunks(spark):
     got = {r["k"]: (r["n"], r["lo"], r["hi"]) for r in sampling.repeat_rows(rows, "n", "i").groupBy("k").agg(
         F.count_distinct("i").alias("n"), F.min("i").alias("lo"), F.max("i").alias("hi")).collect()}
     assert got == {"a": (25_000, 1, 25_000), "c": (1, 1, 1)}
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.one_of(st.floats(allow_nan=False), st.floats(-1e-3, 1e-3), st.just(float("inf"))), min_size=1, max_size=60))
+def test_values_at_ranks_against_sorted(spark, values):
+    rows = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    order = sorted(values)
+    wanted = sorted({1, len(order), len(order) // 2 + 1})
+    got = ranks.values_at_ranks(rows, F.col("v"), wanted)
+    assert [v for v, _, _ in got] == [order[r - 1] for r in wanted]
+    for (v, before, equal), rank in zip(got, wanted):
+        assert before == sum(x < v for x in order) and equal == order.count(v) and before < rank <= before + equal
+
+
+def test_values_at_ranks_of_hashes(spark):
+    rows = spark.range(5_000).select(F.xxhash64("id").alias("h"))
+    order = sorted(r["h"] for r in rows.collect())
+    got = ranks.values_at_ranks(rows, F.col("h"), [1, 777, 2_500, 5_000])
+    assert [v for v, _, _ in got] == [order[r - 1] for r in (1, 777, 2_500, 5_000)]
