@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactlens.config import (
@@ -46,13 +46,25 @@ def needed_columns(settings: Settings = DEFAULTS) -> list[str]:
     return list(dict.fromkeys(wanted))
 
 
+def _evaluated_once(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Replace columns by costly expressions, evaluated once per row.
+
+    Catalyst would copy them into every later filter and projection; it does not look through a generator, here one
+    which always gives one row.
+    """
+    one = F.array(F.struct(*[expression.alias(name) for name, expression in columns.items()]))
+    generated = rows.withColumn("_once", F.explode(one))
+    return generated.withColumns({name: F.col(f"_once.{name}") for name in columns}).drop("_once")
+
+
 def typed_contracts(contracts: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """The needed columns, with the amount as double and the three dates as dates."""
-    typed = contracts.select(*needed_columns(settings)).withColumns(
-        {
-            "valor_contrato": to_double_or_null(F.col("valor_contrato")),
-            **{c: to_date_or_null(F.col(c)) for c in (SIGN_DATE, START_DATE, END_DATE)},
-        }
+    filtered_by = {
+        "valor_contrato": to_double_or_null(F.col("valor_contrato")),
+        **{c: to_date_or_null(F.col(c)) for c in (START_DATE, END_DATE)},
+    }
+    typed = _evaluated_once(contracts.select(*needed_columns(settings)), filtered_by).withColumn(
+        SIGN_DATE, to_date_or_null(F.col(SIGN_DATE))
     )
     if SIGN_YEAR in settings.category_keys:
         typed = typed.withColumn(SIGN_YEAR, year_of(F.col(SIGN_DATE)))

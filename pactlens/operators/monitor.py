@@ -28,10 +28,13 @@ def _score_report(scored: DataFrame, settings: Settings) -> DataFrame:
         F.col("current_rate").alias("current_anomaly_rate"),
         F.col("change_pct").alias("anomaly_rate_change_pct"),
     )
-    # Three one-row tables side by side.
-    one = F.lit(1).alias("_one")
-    joined = sizes.select("*", one).join(rates.select("*", one), "_one").join(drift.select("*", one), "_one")
-    return joined.drop("_one")
+    return _beside(_beside(sizes, rates), drift)
+
+
+def _beside(row: DataFrame, other: DataFrame) -> DataFrame:
+    """Two one-row tables as one row; the second is read as a scalar."""
+    found = other.select(F.struct(*other.columns)).scalar()
+    return row.withColumn("_other", found).select(*row.columns, "_other.*")
 
 
 def model_drift(features: DataFrame, forest: Forest, settings: Settings = DEFAULTS) -> DataFrame:

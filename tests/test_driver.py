@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import rows_of
+from tests.conftest import plan_of
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,3 +43,9 @@ def test_query(spark, duck, name):
     names = [d[0] for d in relation.description]
     assert sorted(got.columns) == sorted(names)
     assert rows_of(rows, got.columns) == rows_of(relation.fetchall(), names)
+
+
+@pytest.mark.parametrize("name", ["features_full", "featurize_new", "model_drift", "drift_flags", "forest_scores", "top_fraction"])
+def test_no_cross_join(spark, name):
+    plan = plan_of(entry.queries()[name](spark, SF))
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan

@@ -85,6 +85,13 @@ def test_small_lookups_are_broadcast(make_contracts):
     assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
 
 
+def test_casts_run_once_and_after_the_state_filter(make_contracts):
+    plan = plan_of(features.eligible_contracts(make_contracts({})))
+    assert plan.count("fecha_fin_ejecuci_n") and plan.index("Generate") < plan.index("lower(estado_del_proceso")
+    above = plan[: plan.index("Generate")]
+    assert "try_cast(fecha_fin_ejecuci_n" not in above and "try_cast(valor_contrato" not in above
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_lookup_of_a_hot_key_without_broadcast(spark, how):
     rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(300)] + [(300, None)], "i int, k string")
