@@ -91,11 +91,17 @@ def tree_samples(encoded: DataFrame, rows: int, n_trees: int, size: int, seed: i
     return drawn.join(fetch_points(points, POINT, seed, drawn), "_point")
 
 
-def _first_by_order(group: pd.DataFrame, size: int) -> pd.DataFrame:
-    """The tree's rows in a fixed order; a point drawn more often than it occurs keeps its number of copies."""
-    group = group.sort_values(["_order", "_point"], kind="stable")
-    again = group.groupby("_point", sort=False).cumcount()
-    return group[again < group["copies"]].head(size)
+def _first_by_order(group: pd.DataFrame, size: int) -> np.ndarray:
+    """Positions of the tree's rows in a fixed order; a point drawn more often than it occurs keeps its copies only."""
+    point, order, copies = (group[c].to_numpy() for c in ("_point", "_order", "copies"))
+    ranked = np.lexsort((point, order))
+    by_point = ranked[np.argsort(point[ranked], kind="stable")]
+    place = np.arange(len(by_point))
+    starts = np.ones(len(by_point), dtype=bool)
+    starts[1:] = point[by_point[1:]] != point[by_point[:-1]]
+    again = np.empty(len(by_point), dtype=np.int64)
+    again[by_point] = place - np.maximum.accumulate(np.where(starts, place, 0))
+    return ranked[again[ranked] < copies[ranked]][:size]
 
 
 def grow_trees(
@@ -112,8 +118,8 @@ def grow_trees(
         rows = _first_by_order(group, limit_rows)
         rng = np.random.default_rng([seed, *key])
         nodes = tree.grow(
-            rows[list(NUMERIC)].to_numpy(np.float64),
-            rows[list(SLOTS)].to_numpy(np.int64),
+            group[list(NUMERIC)].to_numpy(np.float64)[rows],
+            group[list(SLOTS)].to_numpy(np.int64)[rows],
             tree.depth_limit(limit_rows),
             n_slots,
             share,

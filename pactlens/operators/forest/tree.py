@@ -58,10 +58,9 @@ def _split(numbers, slots, allowed, rng):
     """A feature drawn evenly from those which vary here, its threshold and the rows which go right."""
     low, high = numbers.min(axis=0), numbers.max(axis=0)
     varying = [f for f in range(N_NUMERIC) if allowed[f] and high[f] > low[f]]
-    for column in range(slots.shape[1]):
-        present = np.unique(slots[:, column])
-        if len(present) > 1:
-            varying.extend(N_NUMERIC + s for s in present if s >= 0 and allowed[N_NUMERIC + s])
+    for column in np.nonzero((slots != slots[0]).any(axis=0))[0]:
+        present = sorted(set(slots[:, column].tolist()))
+        varying.extend(N_NUMERIC + s for s in present if s >= 0 and allowed[N_NUMERIC + s])
     if not varying:
         return -1, None, None
     feature = int(varying[rng.integers(len(varying))])
