@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,13 +18,32 @@ SESSION_CONF = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, as ``--py-files`` would; once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="pactlens-package-")) / "pactlens.zip"
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for source in sorted(package.rglob("*.py")):
+            bundle.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 def build_session(app: str = "pactlens", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in {**SESSION_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:

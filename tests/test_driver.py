@@ -1,5 +1,8 @@
 """The driver contract: every query with a SQL twin agrees with DuckDB on the smallest tables."""
 
+import os
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -49,3 +52,19 @@ def test_query(spark, duck, name):
 def test_no_cross_join(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_workers_find_the_package_from_any_folder(tmp_path):
+    root = Path(entry.__file__).resolve().parent
+    script = tmp_path / "elsewhere.py"
+    script.write_text(
+        "import importlib.util\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.sql.shuffle.partitions', '2').getOrCreate()\n"
+        f"spec = importlib.util.spec_from_file_location('entry', {str(root / '__spark_entry__.py')!r})\n"
+        "module = importlib.util.module_from_spec(spec)\n"
+        "spec.loader.exec_module(module)\n"
+        f"assert module.queries()['score_new'](spark, {SF!r}).count() > 0\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, check=True, timeout=300)
