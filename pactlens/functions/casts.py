@@ -23,12 +23,12 @@ def to_date_or_null(text: Column) -> Column:
 
 
 def to_double_or_null(text: Column) -> Column:
-    """Number or NULL.  Type suffixes (``5d``, ``1F``) and hexadecimal text are not numbers; ``5_000`` is."""
+    """Number or NULL.  Type suffixes (``5d``, ``1F``) and hexadecimal text are not numbers; ``5_000`` and ``+-5`` are."""
     letters = F.lower(text) != F.upper(text)
     bare = F.lower(F.btrim(text, F.lit(_BLANKS)))
     typed = F.right(bare, F.lit(1)).isin("d", "f") & ~F.endswith(bare, F.lit("inf"))
     hexadecimal = F.contains(bare, F.lit("x"))
     grouped = F.when(
-        bare.rlike(r"^[\d_.e+-]+$"), F.regexp_replace(bare, r"(?<=\d)_(?=\d)", "").try_cast("double")
+        bare.rlike(r"^[\d_.e+-]+$"), F.regexp_replace(bare, r"(?<=\d)_(?=\d)|^\+(?=-)", "").try_cast("double")
     )
     return F.coalesce(F.when(~letters | ~(typed | hexadecimal), text.try_cast("double")), grouped)

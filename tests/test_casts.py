@@ -15,7 +15,7 @@ DATES = [
 ]
 NUMBERS = [
     "5000000", "5e6", ".5", "5.", "+5", "-5", " 5 ", "\t5", "5_000_000", "5__0", "_5", "5_", "1_0.2_5", "1e1_0", "5000000d", "5000000f",
-    "1D", "5L", "5,000,000", "$5", "0x10", "0x1p3", "", "abc", "NaN", "Infinity", "-inf", "inf", "1e400", "1e-400", "1e", "True", None,
+    "1D", "5L", "5,000,000", "$5", "0x10", "0x1p3", "", "abc", "NaN", "Infinity", "-inf", "inf", "1e400", "1e-400", "1e", "True", "+-5", "+-0", "-+5", "++5", None,
 ]
 
 
@@ -42,7 +42,7 @@ def test_numbers_agree_with_try_cast(spark):
     assert {t: repr(v) for t, v in zip(NUMBERS, got)} == {t: repr(v) for t, v in zip(NUMBERS, want)}
 
 
-@settings(max_examples=3, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(st.lists(st.text(alphabet="0123456789-+.eE_dfx ", max_size=8), min_size=200, max_size=400))
 def test_random_numbers_agree_with_try_cast(spark, texts):
     got = [None if v is None else float(v) for v in spark_values(spark, texts, to_double_or_null)]
