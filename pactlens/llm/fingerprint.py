@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from pactlens.llm.text import BLANKS, WORD_GAP, read_table, whole_text
 
-SAMPLES = 48
+SAMPLES = 64
 BLOCK = 8  # samples drawn in one aggregate; keeps generated code within what the JVM compiles
 RANGES_PER_PARTITION = 8
 _LOW = 0xFFFFFFFF
