@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from pactlens.llm.fingerprint import op1_fingerprints
+from pactlens.llm.lines import OP3_SQL, op3_line_dedup
+from pactlens.llm.neardup import op4_near_duplicates
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_near_duplicates": op4_near_duplicates,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL}
