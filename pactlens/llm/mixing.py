@@ -6,15 +6,16 @@ number of documents and the number of words of the sample stay at their expectat
 
 Flight: of any three undecided documents a step along the null space of the two balancing equations decides at least one
 and leaves both totals as they are.  A source is cut into blocks by hash, each block flies alone and leaves two documents
-undecided; these meet in the next round, and so on, until a source is one block.  Landing: the last two give up first the
-number of documents, then the number of words.  The last block lands its large documents first and lets the small ones
-make up for the words that were gained or lost, so a source ends within a small document of its target.
+undecided; these meet in the next round, and so on, until a source is one block.  Landing: the two documents left are taken or not so that the number of words comes nearest to its target.
+The last block lands its large documents first and lets the small ones make up for the words gained or lost.
 
 Draws depend on content and the seed alone; a rerun on any cluster gives the same mix.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -57,8 +58,8 @@ def _null(first: list[float], second: list[float]) -> list[float]:
     return [u / top for u in along]
 
 
-def fly(p: np.ndarray, count: np.ndarray, size: np.ndarray, draws: np.random.Generator, land: bool) -> np.ndarray:
-    """Decide all but two of the probabilities ``p``, or all if ``land``, balancing the sums of ``count`` and ``size``."""
+def fly(p: np.ndarray, count: np.ndarray, size: np.ndarray, draws: np.random.Generator) -> np.ndarray:
+    """Decide all but at most two of the probabilities ``p``, keeping the sums of ``count`` and ``size``."""
     p = p.astype(float).copy()
     open_: list[int] = []
     for i in np.flatnonzero((p > _EDGE) & (p < 1 - _EDGE)):
@@ -68,31 +69,32 @@ def fly(p: np.ndarray, count: np.ndarray, size: np.ndarray, draws: np.random.Gen
             _step(own, _null([float(count[k]) for k in open_], [float(size[k]) for k in open_]), draws.random())
             p[open_] = own
             open_ = [k for k, x in zip(open_, own, strict=True) if 0.0 < x < 1.0]
-    while land and open_:
-        own = [float(p[k]) for k in open_]
-        if len(open_) == 2:
-            weights = [float(size[k]) for k in open_]
-            weights = weights if all(weights) else [float(count[k]) for k in open_]
-            top = max(weights)
-            along = [weights[1] / top, -weights[0] / top]
-        else:
-            along = [1.0]
-        _step(own, along, draws.random())
-        p[open_] = own
-        open_ = [k for k, x in zip(open_, own, strict=True) if 0.0 < x < 1.0]
     return p
 
 
+def land(p: np.ndarray, size: np.ndarray, owed: float) -> np.ndarray:
+    """Decide the few that are open so that the words they gain or lose best make up for ``owed``."""
+    p = p.copy()
+    open_ = np.flatnonzero((p > _EDGE) & (p < 1 - _EDGE))
+    corners = list(itertools.product((0.0, 1.0), repeat=len(open_)))
+    left = [abs(owed + float(((p[open_] - x) * size[open_]).sum())) for x in map(np.array, corners)]
+    best = corners[int(np.argmin(left))]
+    p[open_] = best
+    return np.round(p)
+
+
 def fly_and_land(p: np.ndarray, count: np.ndarray, size: np.ndarray, draws: np.random.Generator) -> np.ndarray:
     """Decide everything.  Rows come largest first and land in parts, each half of what is left; the words that landing
     gains or loses in one part are made up for by the chances of the next, whose documents are smaller."""
-    out, missing, at = np.empty(len(p)), 0.0, 0
+    out, owed, at = np.empty(len(p)), 0.0, 0
     while at < len(p):
         part = slice(at, at + max(1, (len(p) - at) // 2))
         words = float(size[part].sum())
-        wanted = np.clip(p[part] + (missing / words if words else 0.0), 0.0, 1.0)
-        out[part] = np.round(fly(wanted, count[part], size[part], draws, True))
-        missing += float(((p[part] - out[part]) * size[part]).sum())
+        wanted = np.clip(p[part] + (owed / words if words else 0.0), 0.0, 1.0)
+        flown = fly(wanted, count[part], size[part], draws)
+        owed += float(((p[part] - flown) * size[part]).sum())
+        out[part] = land(flown, size[part], owed)
+        owed += float(((flown - out[part]) * size[part]).sum())
         at = part.stop
     return out
 
@@ -100,10 +102,10 @@ def fly_and_land(p: np.ndarray, count: np.ndarray, size: np.ndarray, draws: np.r
 def _fly_block(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values(["size", "k1", "k2"], ascending=False, kind="stable")
     seed = xxhash.xxh3_64_intdigest(repr([SEED, *map(str, key)]).encode())
-    land = bool((rows["blocks"] == 1).all())
+    last = bool((rows["blocks"] == 1).all())
     n = rows["n"].to_numpy(float)
     p, sizes, draws = rows["extra"].to_numpy(), n * rows["size"].to_numpy(float), np.random.default_rng(seed)
-    rows["extra"] = fly_and_land(p, n, sizes, draws) if land else fly(p, n, sizes, draws, False)
+    rows["extra"] = fly_and_land(p, n, sizes, draws) if last else fly(p, n, sizes, draws)
     return rows.drop(columns=["blocks", "block"])
 
 
