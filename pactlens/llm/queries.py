@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from pactlens.llm.bpe import op9_encode_decode
 from pactlens.llm.fingerprint import op1_fingerprints
 from pactlens.llm.lines import OP3_SQL, op3_line_dedup
+from pactlens.llm.mixing import op2_mix_sources
 from pactlens.llm.neardup import op4_near_duplicates
+from pactlens.llm.quality import op6_quality
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_mix_sources": op2_mix_sources,
     "op3_line_dedup": op3_line_dedup,
     "op4_near_duplicates": op4_near_duplicates,
+    "op6_quality": op6_quality,
+    "op9_encode_decode": op9_encode_decode,
 }
 ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL}
