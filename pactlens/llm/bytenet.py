@@ -144,6 +144,7 @@ class ByteNet:
         seen = p["embed"][symbols].reshape(len(chunks), FILTERS, WIDTH * EMBED)
         g["filters"] = np.einsum("cfw,cf->wf", seen, d_top)
         d_seen = d_top[:, :, None] * p["filters"].T[None]
-        g["embed"] = np.zeros_like(p["embed"])
-        np.add.at(g["embed"], symbols.reshape(-1), d_seen.reshape(-1, EMBED))
+        flat, d_flat = symbols.reshape(-1), d_seen.reshape(-1, EMBED)
+        sums = [np.bincount(flat, weights=d_flat[:, e], minlength=_PAD + 1) for e in range(EMBED)]
+        g["embed"] = np.stack(sums, axis=1).astype(np.float32)
         return g
