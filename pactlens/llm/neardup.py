@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from pactlens.llm.graph import components
 from pactlens.llm.text import read_table, whole_text, words
-from pactlens.llm.wordhash import WordHashes
+from pactlens.llm.wordhash import WordHashes, mix64
 from pactlens.session import materialize
 
 K = 5
@@ -41,13 +41,7 @@ _U64 = np.uint64
 _MIX = _U64(0x9E3779B97F4A7C15)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U64(30))) * _U64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U64(27))) * _U64(0x94D049BB133111EB)
-    return x ^ (x >> _U64(31))
-
-
-_SEEDS = _mix(np.arange(1, 2 * 4096 + 1, dtype=_U64) * _MIX)
+_SEEDS = mix64(np.arange(1, 2 * 4096 + 1, dtype=_U64) * _MIX)
 
 
 def kmers(hashes: np.ndarray, k: int = K) -> np.ndarray:
@@ -56,7 +50,7 @@ def kmers(hashes: np.ndarray, k: int = K) -> np.ndarray:
     out = np.zeros(n, _U64)
     for j in range(min(k, len(hashes))):
         out = out * _MIX + hashes[j : j + n]
-    return _mix(out)
+    return mix64(out)
 
 
 def occurrences(values: np.ndarray) -> np.ndarray:
@@ -75,7 +69,7 @@ def order_sketches(hashes: np.ndarray, sketches: int = SKETCHES, ell: int = ELL,
     if not len(hashes):
         return np.empty(0, np.int64)
     grams = kmers(hashes, k)
-    labelled = _mix(grams + occurrences(grams) * _MIX)
+    labelled = mix64(grams + occurrences(grams) * _MIX)
     keys = np.arange(sketches, dtype=_U64)
     ell = min(ell, len(grams))
     step = max(1, (1 << 21) // len(grams))
@@ -90,7 +84,7 @@ def order_sketches(hashes: np.ndarray, sketches: int = SKETCHES, ell: int = ELL,
             bids[rows, picked[:, e]] = ~_U64(0)
         picked.sort(axis=1)
         for e in range(ell):
-            keys[some] = _mix(keys[some] * _MIX + grams[picked[:, e]])
+            keys[some] = mix64(keys[some] * _MIX + grams[picked[:, e]])
     return keys.view(np.int64)
 
 

@@ -19,3 +19,10 @@ class WordHashes(dict):
 
     def of(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """A bijection that spreads every bit of a 64-bit number over all of them."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
