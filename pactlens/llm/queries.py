@@ -7,6 +7,7 @@ from pactlens.llm.fingerprint import op1_fingerprints
 from pactlens.llm.lines import OP3_SQL, op3_line_dedup
 from pactlens.llm.mixing import op2_mix_sources
 from pactlens.llm.neardup import op4_near_duplicates
+from pactlens.llm.permindex import op5_permutation_index
 from pactlens.llm.quality import op6_quality
 from pactlens.llm.substring import op8_substring_dedup
 
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_line_dedup": op3_line_dedup,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_permutation_index": op5_permutation_index,
     "op6_quality": op6_quality,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_encode_decode": op9_encode_decode,
