@@ -5,6 +5,7 @@ from __future__ import annotations
 from pactlens.llm.bpe import op9_encode_decode
 from pactlens.llm.fingerprint import op1_fingerprints
 from pactlens.llm.lines import OP3_SQL, op3_line_dedup
+from pactlens.llm.lm import op10_lm_scores
 from pactlens.llm.mixing import op2_mix_sources
 from pactlens.llm.neardup import op4_near_duplicates
 from pactlens.llm.permindex import op5_permutation_index
@@ -20,5 +21,6 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_encode_decode": op9_encode_decode,
+    "op10_lm_scores": op10_lm_scores,
 }
 ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL}
