@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pactlens.llm.bpe import op9_encode_decode
+from pactlens.llm.extract import op7_extract_text
 from pactlens.llm.fingerprint import op1_fingerprints
 from pactlens.llm.lines import OP3_SQL, op3_line_dedup
 from pactlens.llm.lm import op10_lm_scores
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_near_duplicates": op4_near_duplicates,
     "op5_permutation_index": op5_permutation_index,
     "op6_quality": op6_quality,
+    "op7_extract_text": op7_extract_text,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_encode_decode": op9_encode_decode,
     "op10_lm_scores": op10_lm_scores,
