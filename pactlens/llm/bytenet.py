@@ -133,7 +133,8 @@ class ByteNet:
         g = {"out": joined.T @ d_logit, "out_offset": d_logit.sum(keepdims=True)}
         d_joined = d_logit[:, None] * p["out"]
         d_rows = (d_joined[:, :HIDDEN] / sizes[:, None])[own]
-        d_rows = d_rows + np.where(rows == most[own], d_joined[own, HIDDEN:], 0)
+        top_rows = (rows == most[own]).astype(np.float32)  # equal chunks share the gradient
+        d_rows = d_rows + top_rows * (d_joined[:, HIDDEN:] / np.add.reduceat(top_rows, firsts, axis=0))[own]
         d_pre = d_rows * (pre > 0)
         g["hidden"], g["hidden_offset"] = pooled.T @ d_pre, d_pre.sum(axis=0)
         d_top = (d_pre @ p["hidden"].T) * (top > 0)

@@ -27,13 +27,14 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-_KEYS = [F.xxhash64("id", "text").alias("k1"), F.xxhash64("text", "id").alias("k2")]
+def _keys() -> list[Column]:
+    return [F.xxhash64("id", "text").alias("k1"), F.xxhash64("text", "id").alias("k2")]
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
     """From (id, text, site): (k1, k2, pos, line, size, site) of every line that is not blank; ``line`` is a hash of the
     trimmed line, and rows of equal id and text share the keys."""
-    rows = docs.select(*_KEYS, "site", F.posexplode(_lines(F.col("text"))).alias("pos", "raw"))
+    rows = docs.select(*_keys(), "site", F.posexplode(_lines(F.col("text"))).alias("pos", "raw"))
     rows = rows.withColumn("raw", F.trim("raw", F.lit(BLANKS))).where(F.col("raw") != "")
     return rows.select("k1", "k2", "pos", F.xxhash64("raw").alias("line"), F.length("raw").alias("size"), "site")
 
@@ -60,7 +61,7 @@ def drop_boilerplate(docs: DataFrame, id_column: str = "doc_id", text_column: st
     lines = line_rows(packed.select("id", "text", "site"))
     gone = lines.join(boilerplate(lines, sites), "line").groupBy("k1", "k2", "pos").agg(F.max("size").alias("size"))
     gone = gone.groupBy("k1", "k2").agg(F.collect_list("pos").alias("gone"), F.sum("size").alias("lost"))
-    marked = packed.select("row", "text", *_KEYS).join(materialize(gone, "lines-gone"), ["k1", "k2"], "left")
+    marked = packed.select("row", "text", *_keys()).join(materialize(gone, "lines-gone"), ["k1", "k2"], "left")
     sizes = F.aggregate(_lines(F.col("text")), F.lit(0), lambda total, x: total + F.length(F.trim(x, F.lit(BLANKS))))
     gone_or_none = F.when(F.col("lost").isNotNull() & (2 * F.col("lost") <= sizes), F.col("gone"))
     marked = marked.select("row", "text", gone_or_none.alias("gone"))
