@@ -334,7 +334,7 @@ _NONZERO = " + ".join(f"CAST({c} <> 0 AS INTEGER)" for c in NUMERIC)
 )
 def matrix_stats(spark, sf):
     table = tables.features(spark, sf)
-    index = encode.category_index(table)
+    index = encode.fit_index(table)
     return encode.matrix_stats(encode.encode(table, index), index)
 
 
@@ -455,7 +455,7 @@ flags AS (SELECT *, value > 0.1 AS drifted FROM large)"""
 
 def distances(spark, sf):
     """The report of a large reference period, whatever the size of the test data."""
-    return drift.column_drift(split(spark, sf), SETTINGS.with_(small_group_rows=0))
+    return drift.column_drift(split(spark, sf), SETTINGS.with_(drift_method="distances"))
 
 
 @query(
@@ -470,7 +470,7 @@ def drift_flags(spark, sf):
 @query()
 def drift_tests(spark, sf):
     """The report of a small reference period: p-values."""
-    return drift.column_drift(split(spark, sf), SETTINGS.with_(small_group_rows=2**62))
+    return drift.column_drift(split(spark, sf), SETTINGS.with_(drift_method="tests"))
 
 
 @query(
@@ -650,7 +650,7 @@ def attribution(spark, sf):
 
 @query()
 def tuning_trials(spark, sf):
-    """Three trials of the search over the whole features table."""
+    """Three trials over the whole features table; the 40 of ``trial_design`` are left to the ``tune`` job for time."""
     trials = [
         {"n_trees": 100, "max_samples": 256, "max_features": 1.0},
         {"n_trees": 150, "max_samples": 512, "max_features": 0.7},
@@ -767,25 +767,36 @@ def stream_landing(spark, sf):
 @query(f"WITH {CONTRACTS_SQL},{RAW_SQL}, kept AS ({_DEDUP}) SELECT url_contrato, ingestion_date FROM kept")
 def stream_upsert(spark, sf):
     """The two ingestion runs as two micro-batches into the table of latest sightings."""
-    root = new_path(spark, "runs")
+    root, latest = new_path(spark, "runs"), new_path(spark, "latest")
     sightings = tables.raw_sightings(spark, sf)
-    for day in ("1998-01-01", "1998-02-01"):
+    for day in ("1998-02-01", "1998-01-01"):
         part = sightings.filter(F.col("ingestion_date") == day)
-        landing.land(part).withColumn("ingestion_date", F.lit(day)).coalesce(1).write.mode("append").parquet(root)
-    table = streams.LatestTable(spark, new_path(spark, "latest"))
-    source = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(root)
-    streams.upsert_stream(source, table, new_path(spark, "checkpoint")).awaitTermination()
-    return table.read().select("url_contrato", "ingestion_date")
+        landing.land(part).withColumn("ingestion_date", F.lit(day)).write.mode("append").parquet(root)
+        # A checkpoint of its own each time, so the second stream sees the first run again.
+        source = spark.readStream.schema(streams.SIGHTING_SCHEMA).option("maxFilesPerTrigger", 4).parquet(root)
+        streams.upsert_stream(source, latest, new_path(spark, "checkpoint")).awaitTermination()
+    return streams.read_latest(spark, latest).select("url_contrato", "ingestion_date")
+
+
+_SIGNED = "TRY_CAST(fecha_de_firma_del_contrato AS TIMESTAMP)"
 
 
-@query(f"WITH {CONTRACTS_SQL} SELECT COUNT(*) AS n, COUNT(DISTINCT url_contrato) AS n_urls FROM contracts")
+@query(
+    f"""WITH {CONTRACTS_SQL},{RAW_SQL} SELECT url_contrato, 'kept' AS side FROM contracts WHERE {_SIGNED} < TIMESTAMP '1998-01-01'
+    UNION ALL SELECT url_contrato, CASE WHEN {_SIGNED} IS NULL THEN 'undated' ELSE 'after_bound' END FROM raw
+    WHERE {_SIGNED} IS NULL OR {_SIGNED} >= TIMESTAMP '1998-01-01'"""
+)
 def stream_dedup(spark, sf):
-    """Both drops through the stateful deduplication, in one batch: the overlap collapses."""
-    pages = streams.read_json_stream(spark, contract_files(spark, sf))
-    path = new_path(spark, "stream-dedup")
-    kept = streams.dedup_stream(pages, "2002-01-01", SETTINGS)
-    streams.append_stream(kept, path, new_path(spark, "checkpoint")).awaitTermination()
-    return spark.read.parquet(path).agg(F.count("*").alias("n"), F.count_distinct("url_contrato").alias("n_urls"))
+    """Both drops through the stateful deduplication, over several batches: the overlap collapses, and what is signed
+    after the bound goes to the side output."""
+    path, left = new_path(spark, "stream-dedup"), new_path(spark, "stream-left")
+    # The files come in no order of dates, so the window spans the history.
+    settings = SETTINGS.with_(overlap_days=4_000)
+    pages = lambda: streams.read_json_stream(spark, contract_files(spark, sf), 3)
+    streams.append_stream(streams.dedup_stream(pages(), "1998-01-01", settings), path, new_path(spark, "checkpoint")).awaitTermination()
+    streams.append_stream(streams.left_to_batch(pages(), "1998-01-01"), left, new_path(spark, "checkpoint")).awaitTermination()
+    kept = spark.read.parquet(path).select("url_contrato", F.lit("kept").alias("side"))
+    return kept.unionByName(spark.read.parquet(left).select("url_contrato", F.col("reason").alias("side")))
 
 
 @query()

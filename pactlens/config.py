@@ -110,7 +110,8 @@ class Settings:
     contamination: float | str = "auto"
     seed: int = 42
     # tuning
-    tuning_rows: int = 400_000
+    #: All rows unless a sample is asked for.
+    tuning_rows: int | None = None
     synthetic_rows: int = 150
     n_trials: int = 40
     top_fraction: float = 0.01
@@ -118,7 +119,8 @@ class Settings:
     # drift
     reference_years: tuple[int, ...] = (2023,)
     current_years: tuple[int, ...] = (2025, 2026)
-    small_group_rows: int = 1_000
+    #: ``distances`` or ``tests``; never chosen by the size of the data.
+    drift_method: str = "distances"
     low_cardinality: int = 5
     p_value_threshold: float = 0.05
     distance_threshold: float = 0.1

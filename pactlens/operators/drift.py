@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,11 @@ def split_by_year(features: DataFrame, settings: Settings = DEFAULTS) -> DataFra
         features = features.withColumn(SIGN_DATE, to_date_or_null(F.col(SIGN_DATE)))
     year = year_of(F.col(SIGN_DATE))
     period = F.when(year.isin(*settings.reference_years), REFERENCE).when(year.isin(*settings.current_years), CURRENT)
-    return features.select(period.alias("period"), *NUMERIC, *CATEGORICAL).filter(F.col("period").isNotNull())
+    # Ranges of dates, unlike years, reach the scan.
+    asked = F.lit(False)
+    for y in (*settings.reference_years, *settings.current_years):
+        asked = asked | ((F.col(SIGN_DATE) >= F.lit(date(y, 1, 1))) & (F.col(SIGN_DATE) < F.lit(date(y + 1, 1, 1))))
+    return features.filter(asked).select(period.alias("period"), *NUMERIC, *CATEGORICAL)
 
 
 def period_sizes(split: DataFrame) -> tuple[int, int]:
@@ -132,13 +137,15 @@ def is_drifted(method: Column, value: Column, threshold: Column) -> Column:
 
 
 def column_drift(split: DataFrame, settings: Settings = DEFAULTS, numeric=NUMERIC, categorical=CATEGORICAL) -> DataFrame:
-    """One row per column: the method chosen by size and kind, its value, threshold and verdict.
+    """One row per column: the method for its kind, its value, threshold and verdict.
 
-    A small reference gets hypothesis tests, a large one distances; numeric columns with few distinct values
-    are treated as categorical.
+    ``drift_method`` says whether hypothesis tests or distances are taken; numeric columns with few distinct values
+    (``low_cardinality``) are treated as categorical, as the column ``kind`` shows.
     """
-    reference_rows, _ = period_sizes(split)
-    small = F.lit(reference_rows <= settings.small_group_rows)
+    if settings.drift_method not in ("distances", "tests"):
+        raise ValueError(f"unknown drift method: {settings.drift_method}")
+    period_sizes(split)
+    small = F.lit(settings.drift_method == "tests")
     few = F.col("distinct_ref") <= settings.low_cardinality
     numbers = materialize(frequencies(split, numeric, "double"), "numeric-frequencies")
     narrow = numbers.join(F.broadcast(_sizes(numbers).filter(few).select("column")), "column").select(

@@ -77,9 +77,11 @@ def trial_design(n_trials: int, seed: int) -> list[dict]:
 
 
 def search_table(features: DataFrame, settings: Settings = DEFAULTS) -> tuple[DataFrame, DataFrame]:
-    """Sampled rows plus planted ones, and the planted ones alone; both written."""
+    """All rows, or a sample if ``tuning_rows`` asks for one, plus planted ones, and the planted ones alone; both written."""
     columns = [*IDENTIFIERS, *NUMERIC, *CATEGORICAL]
-    sample = materialize(sample_rows(features.select(*columns).filter(complete()), settings.tuning_rows, settings.seed), "tuning-sample")
+    rows = features.select(*columns).filter(complete())
+    sample = rows if settings.tuning_rows is None else sample_rows(rows, settings.tuning_rows, settings.seed)
+    sample = materialize(sample, "tuning-sample")
     planted = materialize(synthetic_anomalies(sample, settings.synthetic_rows, settings.seed), "tuning-planted")
     return materialize(sample.unionByName(planted, allowMissingColumns=True), "tuning-search"), planted
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pactlens.config import CATEGORICAL, DEFAULTS, IDENTIFIERS, NUMERIC, Settings
+from pactlens.functions.hashing import content_hash
 from pactlens.operators.encode import SLOTS, encode, feature_names
 from pactlens.operators.forest.fit import Forest
 from pactlens.operators.forest.tree import N_NUMERIC
@@ -83,11 +84,12 @@ def explain_tree(tree: pd.DataFrame, numbers: np.ndarray, slots: np.ndarray, wid
 def pick_examples(scored: DataFrame, n: int, seed: int) -> DataFrame:
     """The ``n`` most atypical rows and up to ``n`` other rows which are not flagged."""
     columns = scored.columns
-    top = materialize(most_atypical(scored, n), "examples-top")
-    rest = scored.filter(~F.col("is_anomaly")).join(
-        F.broadcast(top.select(*IDENTIFIERS).distinct()), list(IDENTIFIERS), "left_anti"
-    ).select(*columns)
-    normal = sample_rows(rest, n, seed)
+    # Whole rows are told apart, by a hash for which NULLs are equal: others of the same ids stay.
+    hashed = scored.withColumn("_row", content_hash(columns))
+    top = materialize(most_atypical(hashed, n), "examples-top")
+    rest = hashed.filter(~F.col("is_anomaly")).join(F.broadcast(top.select("_row").distinct()), "_row", "left_anti")
+    normal = sample_rows(rest.select(*columns), n, seed)
+    top = top.select(*columns)
     return top.withColumn("example", F.lit("atypical")).unionAll(normal.withColumn("example", F.lit("normal")))
 
 

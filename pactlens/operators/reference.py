@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from pactlens.config import CATEGORICAL, DEFAULTS, SIGN_DATE, SIGN_YEAR, SUPPLIER, Settings
 from pactlens.functions.calendar import days_between, month_of, weekday_of, year_of
-from pactlens.functions.hashing import exact_mean, exact_sum
-from pactlens.operators.lookup import at_most
+from pactlens.functions.hashing import content_hash, exact_mean, exact_sum
+from pactlens.operators.lookup import at_most, attach_counts
+
+MEAN_SALT = 32
 
 
 def reference_category_means(features: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -61,13 +63,9 @@ def featurize_new(new: DataFrame, tables: ReferenceTables, settings: Settings =
     A known supplier gets its count plus this contract, an unknown one 1; an unseen category is compared with
     the mean of means; a zero mean gives ratio 0.  The mean of a category does not include the new contract.
     """
-    means = F.broadcast(tables.means) if tables.broadcast_means else tables.means
-    counts = F.broadcast(tables.counts) if tables.broadcast_counts else tables.counts
-    known = (
-        _with_year(new, settings)
-        .join(means, list(settings.feature_category_keys), "left")
-        .join(counts.withColumnRenamed("concentracion_proveedor", "_seen"), SUPPLIER, "left")
-    )
+    keyed = _attach_means(_with_year(new, settings), tables, list(settings.feature_category_keys))
+    counts = tables.counts.withColumnRenamed("concentracion_proveedor", "_seen")
+    known = attach_counts(keyed, counts, SUPPLIER, "_seen", "left", settings.broadcast_rows)
     mean = F.coalesce(F.col("promedio_categoria"), F.lit(tables.global_mean))
     return known.select(
         "numero_del_contrato",
@@ -81,6 +79,15 @@ def featurize_new(new: DataFrame, tables: ReferenceTables, settings: Settings =
     )
 
 
+def _attach_means(new: DataFrame, tables: ReferenceTables, keys: list[str]) -> DataFrame:
+    """Join the mean of each category.  Beyond the broadcast bound the rows of a category go to ``MEAN_SALT`` tasks."""
+    if tables.broadcast_means:
+        return new.join(F.broadcast(tables.means), keys, "left")
+    salt = F.pmod(content_hash(new.columns), F.lit(MEAN_SALT)).cast("int")
+    copies = tables.means.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(MEAN_SALT - 1))))
+    return new.withColumn("_salt", salt).join(copies, [*keys, "_salt"], "left").drop("_salt")
+
+
 REQUIRED_NEW = (
     "numero_del_contrato",
     "valor_contrato",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pactlens.functions.hashing import content_hash, uniform
 from pactlens.operators.lookup import at_most
-from pactlens.operators.ranks import first_rows
+from pactlens.operators.ranks import IN_ONE_TASK, first_rows
 from pactlens.session import materialize
 
 CHUNK = 10_000
@@ -91,4 +91,6 @@ def top_fraction(scored: DataFrame, score: str, fraction: float) -> DataFrame:
 
 def most_atypical(scored: DataFrame, n: int = 10, score: str = "anomaly_score") -> DataFrame:
     ties = [c for c in scored.columns if c != score]
+    if n > IN_ONE_TASK:
+        return first_rows(scored.filter(F.col(score).isNotNull()), -F.col(score), n)
     return scored.orderBy(F.desc_nulls_last(score), *ties).limit(n)

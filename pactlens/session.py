@@ -79,12 +79,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows up to which a table is dealt anew for costly work; more have enough splits, and are not moved.
+SPREAD_ROWS = 2_000_000
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core for costly per-row work on a table of few files; a large table has enough splits already."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or len(df._jdf.inputFiles()) >= cores:  # the count only, not a million names
+    """Use every core for costly per-row work on a small table; a large one has enough splits already."""
+    if df.isStreaming or df.limit(SPREAD_ROWS + 1).count() > SPREAD_ROWS:
         return df
-    return df.repartition(cores)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def one_task_per_group(df: DataFrame, groups: int, *keys: str) -> DataFrame:

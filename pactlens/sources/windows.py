@@ -14,7 +14,7 @@ CHECKPOINT_SCHEMA = "last_extraction_end timestamp, updated_at timestamp"
 
 
 def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
-    """The stored end of the last extraction as a table of one row, or of none before the first run."""
+    """The stored ends of extractions, one row each; none before the first run."""
     try:
         return spark.read.schema(CHECKPOINT_SCHEMA).json(path)
     except AnalysisException as error:
@@ -24,9 +24,12 @@ def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_checkpoint(spark: SparkSession, path: str, end: datetime) -> None:
-    """Store the end of a finished extraction; call it after its data are committed."""
+    """Add the end of a finished extraction; call it after its data are committed.  The latest end counts.
+
+    Rows are only ever added: a crash in between leaves the checkpoint as it was.
+    """
     row = spark.createDataFrame([(end, datetime.now(timezone.utc))], CHECKPOINT_SCHEMA)
-    row.coalesce(1).write.mode("overwrite").json(path)
+    row.coalesce(1).write.mode("append").json(path)
 
 
 def extract_range(checkpoints: DataFrame, now: Column, settings: Settings = DEFAULTS) -> DataFrame:

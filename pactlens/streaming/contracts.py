@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
@@ -38,16 +36,32 @@ def land_stream(pages: DataFrame, raw_root: str, checkpoint: str) -> StreamingQu
     )
 
 
+def _signed() -> Column:
+    return to_date_or_null(F.col(SIGN_DATE)).cast("timestamp")
+
+
+def left_to_batch(pages: DataFrame, before: str) -> DataFrame:
+    """The rows ``dedup_stream`` does not take, with the ``reason``: ``undated`` or ``after_bound``."""
+    signed = _signed()
+    reason = F.when(signed.isNull(), "undated").when(signed >= F.lit(before).cast("timestamp"), "after_bound")
+    return pages.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the state of a query has dropped behind its watermark, over the progress it remembers."""
+    return sum(int(o["numRowsDroppedByWatermark"]) for p in query.recentProgress for o in p["stateOperators"])
+
+
 def dedup_stream(pages: DataFrame, before: str, settings: Settings = DEFAULTS) -> DataFrame:
     """First sighting of each whole row within the overlap, by signing date.
 
-    Rows signed at or after ``before`` are left to the batch run, as a wrong future date would close the window;
-    so are rows without a date and rows later than the watermark.  State holds the days of the overlap only.
+    Rows signed at or after ``before`` are left to the batch run, as a wrong future date would close the window, and
+    so are rows without a date: ``left_to_batch`` has them.  Rows later than the watermark are dropped by the state;
+    ``late_rows`` counts them.  State holds the days of the overlap only.
     """
-    signed = to_date_or_null(F.col(SIGN_DATE)).cast("timestamp")
     columns = list(RAW_COLUMNS)
     return (
-        pages.withColumn("_signed", signed)
+        pages.withColumn("_signed", _signed())
         .filter(F.col("_signed") < F.lit(before).cast("timestamp"))
         .withWatermark("_signed", f"{settings.overlap_days} days")
         .dropDuplicatesWithinWatermark(columns)
@@ -55,56 +69,40 @@ def dedup_stream(pages: DataFrame, before: str, settings: Settings = DEFAULTS) -
     )
 
 
-_LOG_SCHEMA = "version bigint, month string, path string"
+SIGHTING_SCHEMA = StructType([*RAW_SCHEMA.fields, StructField("ingestion_date", StringType())])
 
 
-class LatestTable:
-    """Contracts with their latest sighting, upserted per micro-batch.
+def _signing_month() -> Column:
+    return F.coalesce(F.date_format(to_date_or_null(F.col(SIGN_DATE)), "yyyy-MM"), F.lit("none"))
 
-    Rows lie in folders by signing month, which equal rows share.  A batch rewrites only the months it touches,
-    as a new version, and then appends their new folders to the log; readers follow the newest entry of a month.
-    A batch repeated after a failure writes the same rows again, so either of its versions is right.
+
+def append_sightings(batch: DataFrame, root: str) -> None:
+    """Add the latest sighting of each row of a batch to the folders by signing month, which equal rows share.
+
+    Nothing is ever replaced, so streams, restarts and new checkpoints cannot lose a row; a batch that is written
+    again after a failure adds rows which ``read_latest`` takes for one.
     """
+    latest = dedup_rows(batch.select(*SIGHTING_SCHEMA.names)).withColumn("month", _signing_month())
+    latest.hint("rebalance", F.col("month")).write.mode("append").partitionBy("month").parquet(root)
+
+
+def read_latest(spark: SparkSession, root: str) -> DataFrame:
+    """Contracts with their latest sighting.  A filter on ``month`` reads its folder only."""
+    table = spark.read.schema(StructType([*SIGHTING_SCHEMA.fields, StructField("month", StringType())])).parquet(root)
+    return dedup_rows(table)
+
+
+def compact_latest(spark: SparkSession, root: str, target: str) -> int:
+    """Write the latest sightings as a table of one row per contract, for the streams to go on with; returns its rows."""
+    rows = read_latest(spark, root)
+    rows.hint("rebalance", F.col("month")).write.mode("append").partitionBy("month").parquet(target)
+    return read_latest(spark, target).count()
+
 
-    def __init__(self, spark: SparkSession, root: str, schema: StructType = RAW_SCHEMA):
-        self.spark, self.root = spark, root.rstrip("/")
-        self.schema = StructType([*schema.fields, StructField("ingestion_date", StringType())])
-        spark.createDataFrame([], _LOG_SCHEMA).write.mode("ignore").json(f"{self.root}/_log")
-
-    def _folders(self) -> dict[str, str]:
-        """Current folder per month; one entry for each month of the history."""
-        log = self.spark.read.schema(_LOG_SCHEMA).json(f"{self.root}/_log")
-        newest = log.groupBy("month").agg(F.max_by("path", "version").alias("path"))
-        return {row["month"]: row["path"] for row in newest.collect()}
-
-    def _read(self, folders: list[str]) -> DataFrame:
-        if not folders:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*folders)
-
-    def read(self) -> DataFrame:
-        return self._read(sorted(self._folders().values()))
-
-    def upsert(self, batch: DataFrame, version: int) -> None:
-        month = F.coalesce(F.date_format(to_date_or_null(F.col(SIGN_DATE)), "yyyy-MM"), F.lit("none"))
-        batch = batch.select(*self.schema.names)
-        touched = [row["m"] for row in batch.select(month.alias("m")).distinct().collect()]
-        if not touched:
-            return
-        current = self._folders()
-        rows = batch.unionAll(self._read([current[m] for m in touched if m in current]))
-        target = f"{self.root}/v{version}-{uuid.uuid4().hex}"
-        # Even-sized files per month: adaptive execution merges small pieces and splits a heavy month.
-        latest = dedup_rows(rows).withColumn("month", month).hint("rebalance", F.col("month"))
-        latest.write.partitionBy("month").parquet(target)
-        entries = [(version, m, f"{target}/month={m}") for m in touched]
-        self.spark.createDataFrame(entries, _LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{self.root}/_log")
-
-
-def upsert_stream(sightings: DataFrame, table: LatestTable, checkpoint: str) -> StreamingQuery:
+def upsert_stream(sightings: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
     """Keep the latest ``ingestion_date`` of every row across micro-batches."""
     return (
-        sightings.writeStream.foreachBatch(lambda batch, version: table.upsert(batch, version))
+        sightings.writeStream.foreachBatch(lambda batch, _: append_sightings(batch, root))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

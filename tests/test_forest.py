@@ -21,7 +21,7 @@ def planted_rows(n=1_980, planted=20, years=(2024,)):
         rows.append(
             feature_row(
                 i, rng, years[i % len(years)], numero_del_contrato=f"OUT-{i}", concentracion_proveedor=1,
-                valor_vs_promedio_categoria=float(rng.uniform(15, 30)), duracion_dias=int(rng.integers(2000, 5000)),
+                valor_vs_promedio_categoria=float(rng.uniform(11, 19)), duracion_dias=int(rng.integers(1300, 2600)),
             )
         )
     return rows

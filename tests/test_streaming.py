@@ -54,38 +54,41 @@ def sightings(spark, *rows):
     return spark.createDataFrame(data, schema)
 
 
+def latest(spark, root):
+    return sorted((r["numero_del_contrato"], r["ingestion_date"]) for r in streams.read_latest(spark, root).collect())
+
+
 def test_upsert_keeps_the_latest_sighting(spark, tmp_path):
-    table = streams.LatestTable(spark, str(tmp_path / "t"))
-    assert table.read().count() == 0
+    root = str(tmp_path / "t")
     batches = [
         sightings(spark, ("1", "2024-01-01", "2024-01-05"), ("1", "2024-01-01", "2024-01-04"), ("2", "2024-02-01", "2024-02-05")),
         sightings(spark, ("1", "2024-01-01", "2024-01-20"), ("3", "bad date", "2024-01-20")),
         sightings(spark, ("1", "2024-01-01", "2024-01-02")),
     ]
-    for version, batch in enumerate(batches):
-        table.upsert(batch, version)
-        table.upsert(batch, version)  # a repeated batch changes nothing
-    got = sorted((r["numero_del_contrato"], r["ingestion_date"]) for r in table.read().collect())
-    assert got == [("1", "2024-01-20"), ("2", "2024-02-05"), ("3", "2024-01-20")]
-    whole = batches[0].unionAll(batches[1]).unionAll(batches[2])
-    assert sorted(map(str, dedup_rows(whole).collect())) == sorted(map(str, table.read().collect()))
-
-
-def test_upsert_rewrites_only_the_months_it_touches(spark, tmp_path):
-    table = streams.LatestTable(spark, str(tmp_path / "t"))
-    table.upsert(sightings(spark, ("1", "2024-01-01", "2024-01-05"), ("2", "2024-02-01", "2024-02-05")), 0)
-    before = table._folders()
-    table.upsert(sightings(spark, ("3", "2024-02-03", "2024-02-06")), 1)
-    after = table._folders()
-    assert after["2024-01"] == before["2024-01"] and after["2024-02"] != before["2024-02"]
-
-
-def test_upsert_stream_restarts(spark, tmp_path):
-    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "c")
-    table = streams.LatestTable(spark, str(tmp_path / "t"))
-    for seen in ("2024-01-05", "2024-01-06"):
+    for batch in batches:
+        streams.append_sightings(batch, root)
+        streams.append_sightings(batch, root)  # a repeated batch changes nothing
+    want = [("1", "2024-01-20"), ("2", "2024-02-05"), ("3", "2024-01-20")]
+    assert latest(spark, root) == want
+    assert streams.compact_latest(spark, root, str(tmp_path / "compact")) == 3
+    assert latest(spark, str(tmp_path / "compact")) == want
+
+
+def test_upsert_streams_lose_nothing_with_new_checkpoints(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "t")
+    for n, seen in enumerate(("2024-01-05", "2024-01-06", "2024-01-04")):
         sightings(spark, ("1", "2024-01-01", seen), (seen, "2024-01-02", seen)).coalesce(1).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(table.schema).parquet(source)
-        streams.upsert_stream(stream, table, checkpoint).awaitTermination()
-    got = sorted((r["numero_del_contrato"], r["ingestion_date"]) for r in table.read().collect())
-    assert got == [("1", "2024-01-06"), ("2024-01-05", "2024-01-05"), ("2024-01-06", "2024-01-06")]
+        stream = spark.readStream.schema(streams.SIGHTING_SCHEMA).parquet(source)
+        streams.upsert_stream(stream, root, str(tmp_path / f"c{n}")).awaitTermination()
+    other = str(tmp_path / "other")
+    sightings(spark, ("9", "2024-01-02", "2024-01-07")).write.parquet(other)
+    streams.upsert_stream(spark.readStream.schema(streams.SIGHTING_SCHEMA).parquet(other), root, str(tmp_path / "c9")).awaitTermination()
+    assert latest(spark, root) == [("1", "2024-01-06"), ("2024-01-04", "2024-01-04"), ("2024-01-05", "2024-01-05"), ("2024-01-06", "2024-01-06"), ("9", "2024-01-07")]
+
+
+def test_rows_left_to_the_batch(spark, tmp_path):
+    drop_file(tmp_path / "in", "a.json", contract("1", "2024-01-10"), contract("far", "2999-01-01"), contract("bad", "x"))
+    pages = streams.read_json_stream(spark, str(tmp_path / "in"))
+    streams.append_stream(streams.left_to_batch(pages, "2024-06-01"), str(tmp_path / "left"), str(tmp_path / "c")).awaitTermination()
+    got = sorted((r["numero_del_contrato"], r["reason"]) for r in spark.read.parquet(str(tmp_path / "left")).collect())
+    assert got == [("bad", "undated"), ("far", "after_bound")]
