@@ -7,7 +7,8 @@ sketch when these agree, so the rate of agreement follows edit similarity and no
 Texts that share a sketch are candidates, without listing the pairs of a group:
 
 1. Equal texts fall together first; only distinct texts go on.
-2. In every group the texts are compared with the least one.  Groups of true copies become one component here.
+2. In every group the texts are compared with the least one, then with a random one of another component.  Groups of true
+   copies become one component here.
 3. Groups that still hold several components are compared exactly, in blocks of rows ordered by component; block pairs
    inside one component are left out.  A lower bound of the edit distance, from lengths and counts of word classes,
    discards pairs that cannot be similar; it loses none that are.
@@ -36,7 +37,9 @@ ELL = 2
 SKETCHES = 48
 SIMILARITY = 0.8
 BLOCK_ROWS = 256
-CLASSES = 64
+CLASSES = 256
+#: Rounds in which a random text of each group is compared with those of other components.
+TURNS = 1
 _U64 = np.uint64
 _MIX = _U64(0x9E3779B97F4A7C15)
 
@@ -89,7 +92,7 @@ def order_sketches(hashes: np.ndarray, sketches: int = SKETCHES, ell: int = ELL,
 
 
 def word_classes(hashes: np.ndarray, classes: int = CLASSES) -> np.ndarray:
-    return np.bincount((hashes >> _U64(40)).astype(np.int64) % classes, minlength=classes).astype(np.int32)
+    return np.bincount((hashes >> _U64(40)).astype(np.int64) % classes, minlength=classes)
 
 
 def _sketch_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -101,7 +104,7 @@ def _sketch_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             nodes.append(node)
             keys.append(order_sketches(hashes))
             sizes.append(len(hashes))
-            counts.append(word_classes(hashes).astype("<i4").tobytes())
+            counts.append(word_classes(hashes).astype("<u4").tobytes())
         yield pd.DataFrame({"node": nodes, "keys": keys, "size": sizes, "classes": counts})
 
 
@@ -200,57 +203,77 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 
 
 def _block_pairs(similarity: float):
-    """Pairs of different components between two blocks that the bound does not exclude."""
-
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        counts = [np.frombuffer(b"".join(x["classes"]), "<i4").reshape(len(x), -1) for x in (left, right)]
+    """Pairs of different components between two blocks of a group that the bound does not exclude.  A pair that shares
+    several sketches comes from the group of the first."""
+
+    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        counts = [np.frombuffer(b"".join(x["classes"]), "<u4").reshape(len(x), CLASSES).astype(np.int64) for x in (left, right)]
+        keys = [np.stack(x["keys"].to_numpy()) if len(x) else None for x in (left, right)]
+        sketch = int(left["sketch"].iat[0]) if len(left) else 0
+        sizes, labels, nodes = (right[c].to_numpy() for c in ("size", "label", "node"))
         out = []
-        sizes = right["size"].to_numpy()
-        for i in range(len(left)):
+        for i in range(len(left) if len(right) else 0):
             own = left["size"].iat[i]
             longer = np.maximum(sizes, own)
-            apart = np.maximum(longer - np.minimum(counts[1], counts[0][i]).sum(axis=1), np.abs(sizes - own))
-            ok = (apart <= (1 - similarity) * longer + 1e-9) & (right["label"].to_numpy() != left["label"].iat[i])
-            out.append(pd.DataFrame({"a": left["node"].iat[i], "b": right["node"].to_numpy()[ok]}))
-        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []})
+            rows = np.flatnonzero((np.abs(sizes - own) <= (1 - similarity) * longer + 1e-9) & (labels != left["label"].iat[i]))
+            apart = longer[rows] - np.minimum(counts[1][rows], counts[0][i]).sum(axis=1)
+            rows = rows[apart <= (1 - similarity) * longer[rows] + 1e-9]
+            if len(rows):
+                rows = rows[(keys[1][rows] == keys[0][i]).argmax(axis=1) == sketch]
+                out.append((np.full(len(rows), left["node"].iat[i]), nodes[rows]))
+        return pd.DataFrame({"a": np.concatenate([a for a, _ in out]) if out else [], "b": np.concatenate([b for _, b in out]) if out else []})
 
     return run
 
 
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows, with their labels, of the groups that hold several components."""
+    labelled = members.select("key", "sketch", "node").join(labels, "node", "left")
+    labelled = materialize(labelled.select("key", "sketch", "node", F.coalesce("label", "node").alias("label")), "labelled-members")
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+    return materialize(labelled.join(materialize(mixed, "mixed-groups"), "key"), "mixed-members")
+
+
 def similar_pairs(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """From distinct texts (node, text): the similar pairs found, as links that span every class; and (node, label)."""
+    """From distinct texts (node, text): similar pairs that span every class, as links (a, b); and (node, label)."""
     sketched = texts.mapInPandas(_sketch_rows, "node long, keys array<long>, size long, classes binary")
     sketched = materialize(sketched.dropDuplicates(["node"]), "order-sketches")
     posted = sketched.select("node", F.posexplode("keys").alias("sketch", "key"))
-    posted = posted.select("node", F.xxhash64("sketch", "key").alias("key"))
+    posted = posted.select("node", "sketch", F.xxhash64("sketch", "key").alias("key"))
     groups = materialize(posted.groupBy("key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"), "sketch-groups")
-    members = materialize(posted.join(groups, "key").select("key", "node", "least"), "sketch-members")
-    first = members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    first = materialize(first, "least-pairs")
+    members = materialize(posted.join(groups.select("key", "least"), "key"), "sketch-members")
     wanted = members.select("node").distinct()
     held = materialize(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "candidate-texts")
-    links = _verified(first, held, similarity)
-    labels = components(links)
 
-    # Groups of several components: all their pairs across components, in blocks.
-    labelled = members.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    labelled = materialize(labelled, "labelled-members")
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    rest = labelled.join(materialize(mixed, "mixed-groups"), "key")
+    ordered = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+    tried = materialize(members.where("node <> least").select(*ordered("least", "node")).distinct(), "least-pairs")
+    links = _verified(tried, held, similarity)
+    labels = components(links)
+    for turn in range(1, 1 + TURNS):
+        rest = _mixed(members, labels)
+        middle = rest.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "label")).alias("m"))
+        middle = materialize(middle.select("key", F.col("m.node").alias("centre"), F.col("m.label").alias("own")), "centres")
+        pairs = rest.join(middle, "key").where("label <> own").select(*ordered("centre", "node")).distinct()
+        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "centre-pairs")
+        tried = tried.unionByName(pairs)
+        links = links.unionByName(_verified(pairs, held, similarity))
+        labels = components(links)
+
+    rest = _mixed(members, labels)
     row = F.row_number().over(Window.partitionBy("key").orderBy("label", "node"))
-    rest = materialize(rest.withColumn("block", F.floor((row - 1) / BLOCK_ROWS).cast("int")), "mixed-members")
+    rest = materialize(rest.withColumn("block", F.floor((row - 1) / BLOCK_ROWS).cast("int")), "mixed-blocks")
     blocks = rest.groupBy("key", "block").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     right = blocks.select("key", F.col("block").alias("other"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
     tasks = blocks.join(right, "key").where("block <= other and not (lo = hi and lo2 = hi2 and lo = lo2)")
     tasks = materialize(tasks.select("key", "block", "other").withColumn("task", F.xxhash64("key", "block", "other")), "block-pairs")
-    described = materialize(rest.join(sketched.select("node", "size", "classes"), "node"), "mixed-described")
-    lefts = tasks.select("key", "block", "task").join(described, ["key", "block"]).select("task", "node", "label", "size", "classes")
-    rights = tasks.select("key", F.col("other").alias("block"), "task").join(described, ["key", "block"]).select("task", "node", "label", "size", "classes")
-    rights = rights.toDF(*rights.columns)  # columns of their own, where both sides come from one table
+    described = materialize(rest.join(sketched.select("node", "size", "classes", "keys"), "node"), "mixed-described")
+    columns = ["task", "sketch", "node", "label", "size", "classes", "keys"]
+    lefts = tasks.select("key", "block", "task").join(described, ["key", "block"]).select(*columns)
+    rights = tasks.select("key", F.col("other").alias("block"), "task").join(described, ["key", "block"]).select(*columns)
+    rights = rights.toDF(*columns)  # columns of their own, where both sides come from one table
     found = lefts.groupBy("task").cogroup(rights.groupBy("task")).applyInPandas(_block_pairs(similarity), "a long, b long")
-    found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    second = _verified(materialize(found, "block-candidates"), held, similarity)
-    links = links.unionByName(second)
+    found = found.select(*ordered("a", "b")).distinct().join(tried, ["a", "b"], "left_anti")
+    links = links.unionByName(_verified(materialize(found, "block-candidates"), held, similarity))
     return links, components(links)
 
 
