@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pactlens.config import DEFAULTS, NUMERIC
 from pactlens.functions import pvalues
 from pactlens.operators import drift
-from tests.conftest import feature_row
+from tests.conftest import feature_row, plan_of
 
 
 def periods(make_features, shift=1.4, sizes=((2022, 100), (2023, 500), (2025, 250), (2026, 250))):
@@ -30,7 +30,7 @@ def test_split_sizes_and_text_dates(make_features):
 
 def test_planted_shift_is_found_and_the_baseline_is_not(make_features):
     def value_row(shift):
-        report = drift.column_drift(drift.split_by_year(periods(make_features, shift)))
+        report = drift.column_drift(drift.split_by_year(periods(make_features, shift)), DEFAULTS.with_(drift_method="tests"))
         return report.filter("column = 'valor_contrato'").first()
 
     shifted, same = value_row(1.4), value_row(1.0)
@@ -50,6 +50,17 @@ def test_report_covers_all_columns(make_features, small):
     assert summary["dataset_drift_detected"] == (summary["drifted_share"] >= 0.5)
 
 
+def test_unknown_method(make_features):
+    with pytest.raises(ValueError, match="unknown drift method"):
+        drift.column_drift(drift.split_by_year(periods(make_features)), DEFAULTS.with_(drift_method="auto"))
+
+
+def test_dates_reach_the_scan(make_features, spark, tmp_path):
+    periods(make_features).write.parquet(str(tmp_path / "f"))
+    plan = plan_of(drift.split_by_year(spark.read.parquet(str(tmp_path / "f"))))
+    assert "PushedFilters: [Or(" in plan and "2023-01-01" in plan
+
+
 def test_empty_period(make_features):
     with pytest.raises(ValueError, match="reference=0, current=0"):
         drift.period_sizes(drift.split_by_year(periods(make_features, sizes=((2024, 5),))))

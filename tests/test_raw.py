@@ -148,3 +148,17 @@ def test_features_and_profile_jobs(spark, make_contracts, tmp_path):
     assert load_features(spark, table).columns == [*IDENTIFIERS, *NUMERIC, *CATEGORICAL]
     written = {r["table"]: r["n_rows"] for r in jobs.profile(spark, contracts, str(tmp_path / "profile")).collect()}
     assert written["nulls"] == 1 and written["schema"] == 15
+
+
+def test_checkpoint_is_only_added_to(spark, tmp_path):
+    from datetime import datetime, timezone
+
+    from pactlens.sources.windows import read_checkpoint, write_checkpoint
+
+    path = str(tmp_path / "checkpoint")
+    for day in (3, 9, 5):
+        write_checkpoint(spark, path, datetime(2024, 1, day, tzinfo=timezone.utc))
+    (tmp_path / "checkpoint" / "_temporary").mkdir()
+    (tmp_path / "checkpoint" / "_temporary" / "part-0.json").write_text('{"last_extr')  # a write that did not end
+    ends = read_checkpoint(spark, path)
+    assert ends.count() == 3 and ends.agg({"last_extraction_end": "max"}).first()[0].day == 9
