@@ -223,8 +223,9 @@ class Mixer:
         np.exp(z, out=z)
         z += 1
         chance = np.reciprocal(z)
-        taken = (gate == np.arange(GATES * DEPTHS, dtype=np.int8)[:, None]).astype(np.float32)
-        weights += self.rate * ((1 - chance) * x @ taken.T)
+        miss = 1 - chance
+        for k in range(ORDERS + 1):
+            weights[k] += self.rate * np.bincount(own, weights=miss * x[k], minlength=weights.shape[1]).astype(np.float32)
         return chance
 
     def _bytes(self, weights: np.ndarray, a: int, b: int, begins: np.ndarray, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
