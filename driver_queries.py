@@ -806,7 +806,10 @@ def score_stream(spark, sf):
     incoming = tables.new_contracts(spark, sf)
     incoming.write.parquet(source)
     stream = spark.readStream.schema(incoming.schema).parquet(source)
-    scored, _ = streams.score_stream(stream, history_references(spark, sf), forest(spark, sf), SETTINGS)
-    path = new_path(spark, "stream-scores")
+    scored, rejected = streams.score_stream(stream, history_references(spark, sf), forest(spark, sf), SETTINGS)
+    path, quarantine = new_path(spark, "stream-scores"), new_path(spark, "stream-quarantine")
     streams.append_stream(scored, path, new_path(spark, "checkpoint")).awaitTermination()
-    return spark.read.parquet(path)
+    streams.append_stream(rejected, quarantine, new_path(spark, "checkpoint")).awaitTermination()
+    none = [F.lit(None).cast(t).alias(c) for c, t in scored.dtypes if c != "numero_del_contrato"]
+    sides = spark.read.parquet(path).withColumn("violations", F.array().cast("array<string>"))
+    return sides.unionByName(spark.read.parquet(quarantine).select("numero_del_contrato", *none, "violations"))

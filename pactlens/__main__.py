@@ -7,7 +7,7 @@ import sys
 from pactlens.plans import jobs
 from pactlens.session import build_session
 
-JOBS = ("process", "features", "profile", "reference_tables", "train", "top_report", "search", "data_drift", "model_drift")
+JOBS = ("process", "features", "profile", "reference_tables", "train", "score", "top_report", "search", "data_drift", "model_drift")
 
 
 def main(argv: list[str]) -> None:

@@ -15,10 +15,16 @@ from pactlens.operators.forest.fit import fit_forest
 from pactlens.operators.forest.score import scoring_summary, with_scores
 from pactlens.operators.forest.store import load_forest, save_forest
 from pactlens.operators.profile import profile_contracts
-from pactlens.operators.reference import reference_category_means, reference_supplier_counts
+from pactlens.operators.reference import (
+    featurize_new,
+    load_reference_tables,
+    reference_category_means,
+    reference_supplier_counts,
+    split_valid,
+)
 from pactlens.operators.sampling import most_atypical
 from pactlens.session import materialize
-from pactlens.sources.bronze import read_raw
+from pactlens.sources.bronze import empty_partitions, read_raw
 from pactlens.sources.tables import write_csv, write_table
 
 
@@ -26,9 +32,11 @@ def _summary(spark: SparkSession, **values) -> DataFrame:
     return spark.createDataFrame([tuple(values.values())], list(values))
 
 
-def process(spark: SparkSession, raw_root: str, contracts_path: str) -> DataFrame:
-    """Raw partitions to distinct contracts."""
+def process(spark: SparkSession, raw_root: str, contracts_path: str, expected_dates: str = "") -> DataFrame:
+    """Raw partitions to distinct contracts, with a warning for every day of ``expected_dates`` that has no rows."""
     raw = read_raw(spark, raw_root)
+    if expected_dates:
+        empty_partitions(raw, spark.createDataFrame([(d,) for d in expected_dates.split(",")], "ingestion_date string"))
     rows_in = raw.count()
     rows_out = write_table(dedup_rows(raw), contracts_path)
     return _summary(
@@ -90,6 +98,19 @@ def train(
     return run
 
 
+def score(
+    spark: SparkSession, new_path: str, reference_folder: str, model_folder: str, scores_path: str, quarantine_path: str,
+    settings: Settings = DEFAULTS,
+) -> DataFrame:
+    """New contracts through validation, the stored reference tables and the stored model: scores, and a quarantine of
+    those that break a rule."""
+    accepted, rejected = split_valid(spark.read.parquet(new_path))
+    made = featurize_new(accepted, load_reference_tables(spark, reference_folder, settings), settings)
+    scored = with_scores(made, load_forest(spark, model_folder)).select("numero_del_contrato", "anomaly_score", "is_anomaly")
+    n_scored, n_rejected = write_table(scored, scores_path), write_table(rejected, quarantine_path)
+    return _summary(spark, scored=n_scored, rejected=n_rejected, scores_path=scores_path, quarantine_path=quarantine_path)
+
+
 def top_report(spark: SparkSession, scores_path: str, n: int = 10) -> DataFrame:
     return most_atypical(spark.read.parquet(scores_path).select(*IDENTIFIERS, "anomaly_score", "is_anomaly"), n)
 

@@ -267,6 +267,10 @@ def test_jobs_end_to_end(spark, table, tmp_path):
     assert jobs.reference_tables(spark, features, str(tmp_path / "refs")).first()["n_proveedores_distintos"] == 200
     run = jobs.train(spark, features, model, scored, settings, explain=True).first()
     assert run["total_contratos"] == 2_000 and run["n_trees"] == 20
+    new = spark.read.parquet(features).limit(30).withColumn("valor_contrato", F.when(F.col("mes_firma") > 6, F.col("valor_contrato")).otherwise(-1.0))
+    new.write.parquet(str(tmp_path / "new"))
+    row = jobs.score(spark, str(tmp_path / "new"), str(tmp_path / "refs"), model, str(tmp_path / "out"), str(tmp_path / "quarantine")).first()
+    assert row["scored"] + row["rejected"] == 30 and row["rejected"] == spark.read.parquet(str(tmp_path / "quarantine")).filter("valor_contrato = -1").count() > 0
     assert jobs.top_report(spark, scored).count() == 10
     assert spark.read.option("header", True).csv(f"{model}/feature_importance").columns == ["feature", "mean_abs_attribution"]
     assert spark.read.parquet(f"{model}/runs").count() == 1
