@@ -10,6 +10,8 @@ BLOCKS = frozenset(
     "header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 HIDDEN = frozenset("script style noscript template head title svg math iframe object canvas audio video select option button textarea datalist".split())
+#: What may stand in a head; anything else ends it.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An element that begins ends these, if they are open above it and below the nearest of the second group.
 ENDS = {
@@ -38,7 +40,8 @@ class Page(HTMLParser):
         self.nodes = [Node("html", -1)]
         self.open = [0]
         self.run: list[str] = []
-        self.linked = self.hidden = self.links = 0
+        self.hidden: list[str] = []
+        self.linked = self.links = 0
         self.feed(html)
         self.close()
         self._leaf()
@@ -65,11 +68,17 @@ class Page(HTMLParser):
                 found = depth
         return found
 
+    def _reveal(self, ends: bool, tag: str) -> None:
+        """End the innermost hidden element if it is a ``tag`` whose end tag was left out."""
+        if ends and self.hidden and self.hidden[-1] == tag:
+            self.hidden.pop()
+
     def handle_starttag(self, tag, attrs):
-        if self.hidden:
-            self.hidden += tag in HIDDEN
-        elif tag in HIDDEN:
-            self.hidden = 1
+        self._reveal(tag not in IN_HEAD, "head")
+        self._reveal(tag in ("option", "optgroup"), "option")
+        if self.hidden or tag in HIDDEN:
+            if tag in HIDDEN:
+                self.hidden.append(tag)
         elif tag == "br":
             self.run.append(" ")
         elif tag == "hr":
@@ -93,8 +102,13 @@ class Page(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        self._reveal(tag in ("body", "html"), "head")
+        if set(self.hidden) == {"option"} and tag in {self.nodes[i].tag for i in self.open}:
+            self.hidden.clear()  # the element around options without a select ends
         if self.hidden:
-            self.hidden -= tag in HIDDEN
+            if tag in self.hidden:
+                while self.hidden.pop() != tag:
+                    pass
         elif tag == "a":
             self.links = max(0, self.links - 1)
         elif tag in BLOCKS and tag not in ("html", "body"):
@@ -106,6 +120,7 @@ class Page(HTMLParser):
                 self._leaf()
 
     def handle_data(self, data):
+        self._reveal(bool(data.strip()), "head")
         if not self.hidden:
             self.run.append(data)
             if self.links:

@@ -140,6 +140,24 @@ def test_implied_ends():
     assert [t for _, t, _ in tags] == list("abcdefghij")
 
 
+@pytest.mark.parametrize(
+    ("html", "seen"),
+    [
+        ("<html><head><title>x</title><meta name=a><body><p>a<p>b</html>", "ab"),
+        ("<head><title>x</title><script>y</script><link rel=z><div>a</div>b", "ab"),
+        ("<head><title>x</title>\n a<p>b", "ab"),
+        ("<head><title>x</title></head><body>a<p>b", "ab"),
+        ("a<form><select><option>A<option>B</select></form><p>b", "ab"),
+        ("a<select><optgroup><option>A<optgroup><option>B<option>C</option></select><p>b", "ab"),
+        ("a<button><svg><title>x</button><p>b", "ab"),
+        ("a</option></head><div><option>x</div><p>b", "ab"),
+        ("a<svg><title>x</title>y<svg></svg>z</svg><p>b", "ab"),
+    ],
+)
+def test_hidden_elements_end(html, seen):
+    assert "".join(n.text for n in Page(html).nodes if n.tag == "#text") == seen
+
+
 def test_bits_are_a_distribution():
     counts = np.random.default_rng(0).integers(0, 9, (mixnet.ORDERS, 2 << mixnet.SLOT_BITS)).astype(np.uint32)
     mixer = mixnet.Mixer(mixnet.tables(counts), mixnet.first_weights())
