@@ -4,7 +4,11 @@ A text is the sequence of its k-mers (shingles of five words), each labelled wit
 A sketch takes the ``ELL`` labelled k-mers least under a hash of its own and keeps them in text order.  Two texts share a
 sketch when these agree, so the rate of agreement follows edit similarity and not only the set of shingles.
 
-Texts that share a sketch are candidates, without listing the pairs of a group:
+Few shingles of a short text outlive an edit, so texts of at most ``SHORT`` words have more keys: the least labelled run of
+three words under ``SHORT_SKETCHES`` hashes, and, up to ``TINY`` words, what is left of the text after every choice of as
+many deletions as similarity allows edits.  Two texts that are similar share one of the latter, so there no pair is lost.
+
+Texts that share a key are candidates, without listing the pairs of a group:
 
 1. Equal texts fall together first; only distinct texts go on.
 2. In every group the texts are compared with the least one, then with a random one of another component.  Groups of true
@@ -20,7 +24,9 @@ of words to insert, delete or replace.  Classes are the components of the simila
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -34,7 +40,13 @@ from pactlens.session import materialize
 
 K = 5
 ELL = 2
-SKETCHES = 48
+SKETCHES = 96
+SHORT = 80
+SHORT_K = 3
+SHORT_SKETCHES = 32
+TINY = 14
+#: The number of sketches of a short text, and the one that all remainders of a tiny text count as.
+REMAINDER = SKETCHES + SHORT_SKETCHES
 SIMILARITY = 0.8
 BLOCK_ROWS = 256
 CLASSES = 256
@@ -91,21 +103,52 @@ def order_sketches(hashes: np.ndarray, sketches: int = SKETCHES, ell: int = ELL,
     return keys.view(np.int64)
 
 
+@lru_cache(maxsize=None)
+def _stays(n: int, k: int) -> np.ndarray:
+    """The places that stay after each choice of k deletions from n, one row each."""
+    return np.array(list(combinations(range(n), n - k)), np.int64).reshape(-1, n - k)
+
+
+def remainders(hashes: np.ndarray, edits: int) -> np.ndarray:
+    """Distinct keys of what is left after any choice of up to ``edits`` deletions."""
+    out = []
+    for k in range(edits + 1):
+        kept = hashes[_stays(len(hashes), k)]
+        key = np.zeros(len(kept), _U64)
+        for column in kept.T:
+            key = key * _MIX + column
+        out.append(mix64(key))
+    return np.unique(np.concatenate(out)).view(np.int64)
+
+
+def all_keys(hashes: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """The sketches of a text, those of a short one, and from place ``REMAINDER`` the remainders of a tiny one."""
+    keys = [order_sketches(hashes)]
+    if 0 < len(hashes) <= SHORT:
+        keys.append(order_sketches(hashes, SHORT_SKETCHES, 1, SHORT_K))
+    if 0 < len(hashes) <= TINY:
+        keys.append(remainders(hashes, most_edits(len(hashes), similarity)))
+    return np.concatenate(keys)
+
+
 def word_classes(hashes: np.ndarray, classes: int = CLASSES) -> np.ndarray:
     return np.bincount((hashes >> _U64(40)).astype(np.int64) % classes, minlength=classes)
 
 
-def _sketch_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    known = WordHashes()
-    for batch in batches:
-        nodes, keys, sizes, counts = [], [], [], []
-        for node, text in zip(batch["node"], batch["text"], strict=True):
-            hashes = known.of(words(text))
-            nodes.append(node)
-            keys.append(order_sketches(hashes))
-            sizes.append(len(hashes))
-            counts.append(word_classes(hashes).astype("<u4").tobytes())
-        yield pd.DataFrame({"node": nodes, "keys": keys, "size": sizes, "classes": counts})
+def _sketch_rows(similarity: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = WordHashes()
+        for batch in batches:
+            nodes, keys, sizes, counts = [], [], [], []
+            for node, text in zip(batch["node"], batch["text"], strict=True):
+                hashes = known.of(words(text))
+                nodes.append(node)
+                keys.append(all_keys(hashes, similarity))
+                sizes.append(len(hashes))
+                counts.append(word_classes(hashes).astype("<u4").tobytes())
+            yield pd.DataFrame({"node": nodes, "keys": keys, "size": sizes, "classes": counts})
+
+    return run
 
 
 def _places(a: list) -> dict:
@@ -202,13 +245,18 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return materialize(sides.mapInPandas(_verify(similarity), "a long, b long"), "similar")
 
 
+def _aligned(keys: Iterable[np.ndarray], fill: int) -> np.ndarray:
+    """The sketches of some texts, one row each; a longer text has ``fill`` for those of a short one."""
+    return np.stack([np.r_[x[:REMAINDER], np.full(max(0, REMAINDER - len(x)), fill)] for x in keys])
+
+
 def _block_pairs(similarity: float):
     """Pairs of different components between two blocks of a group that the bound does not exclude.  A pair that shares
-    several sketches comes from the group of the first."""
+    several sketches comes from the group of the first; one that shares remainders only, from each of those."""
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         counts = [np.frombuffer(b"".join(x["classes"]), "<u4").reshape(len(x), CLASSES).astype(np.int64) for x in (left, right)]
-        keys = [np.stack(x["keys"].to_numpy()) if len(x) else None for x in (left, right)]
+        keys = [_aligned(x["keys"], fill) if len(x) else None for fill, x in enumerate((left, right))]
         sketch = int(left["sketch"].iat[0]) if len(left) else 0
         sizes, labels, nodes = (right[c].to_numpy() for c in ("size", "label", "node"))
         out = []
@@ -219,7 +267,8 @@ def _block_pairs(similarity: float):
             apart = longer[rows] - np.minimum(counts[1][rows], counts[0][i]).sum(axis=1)
             rows = rows[apart <= (1 - similarity) * longer[rows] + 1e-9]
             if len(rows):
-                rows = rows[(keys[1][rows] == keys[0][i]).argmax(axis=1) == sketch]
+                same = keys[1][rows] == keys[0][i]
+                rows = rows[np.where(same.any(axis=1), same.argmax(axis=1), REMAINDER) == sketch]
                 out.append((np.full(len(rows), left["node"].iat[i]), nodes[rows]))
         return pd.DataFrame({"a": np.concatenate([a for a, _ in out]) if out else [], "b": np.concatenate([b for _, b in out]) if out else []})
 
@@ -236,9 +285,10 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 def similar_pairs(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """From distinct texts (node, text): similar pairs that span every class, as links (a, b); and (node, label)."""
-    sketched = texts.mapInPandas(_sketch_rows, "node long, keys array<long>, size long, classes binary")
+    sketched = texts.mapInPandas(_sketch_rows(similarity), "node long, keys array<long>, size long, classes binary")
     sketched = materialize(sketched.dropDuplicates(["node"]), "order-sketches")
-    posted = sketched.select("node", F.posexplode("keys").alias("sketch", "key"))
+    posted = sketched.select("node", F.posexplode("keys").alias("place", "key"))
+    posted = posted.select("node", F.least("place", F.lit(REMAINDER)).alias("sketch"), "key")
     posted = posted.select("node", "sketch", F.xxhash64("sketch", "key").alias("key"))
     groups = materialize(posted.groupBy("key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"), "sketch-groups")
     members = materialize(posted.join(groups.select("key", "least"), "key"), "sketch-members")

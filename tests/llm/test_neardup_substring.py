@@ -104,6 +104,48 @@ def test_near_duplicates_against_all_pairs(documents, corpus):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({root(i) for i, _ in split})
 
 
+def pairs_at(rng, alphabet, sizes, turn):
+    """Rows and pairs of ids: texts of own words, each with a copy that has as many edits as similarity 0.8 allows."""
+    rows, pairs = [], []
+    for n in sizes:
+        base = [rng.choice(alphabet) for _ in range(n)]
+        pairs.append((len(rows), len(rows) + 1))
+        rows += [(len(rows), " ".join(base), "s"), (len(rows) + 1, " ".join(turn(base, n // 5)), "s")]
+    return rows, pairs
+
+
+def found_share(rows, pairs, documents):
+    by_id = {r["row"]["doc_id"]: r["class_id"] for r in near_duplicates(documents(rows)).collect()}
+    split = {i: t.encode().split() for i, t, _ in rows}
+    true = [(a, b) for a, b in pairs if similar(split[a], split[b])]
+    assert len(true) > len(pairs) / 2
+    return sum(by_id[a] == by_id[b] for a, b in true) / len(true)
+
+
+def test_no_pair_of_tiny_texts_is_lost(documents):
+    rng, alphabet = random.Random(7), [f"w{i}" for i in range(5000)]
+    rows, pairs = pairs_at(rng, alphabet, [5, 6, 7, 8, 9, 10, 11, 12, 13] * 12, lambda base, n: edit(rng, base, n, alphabet))
+    plain = [f"p{i}" for i in range(14)]
+    for a, b in ((plain[:5], plain[:4]), (plain[5:11], [*plain[5:10], "other"])):
+        pairs.append((len(rows), len(rows) + 1))
+        rows += [(len(rows), " ".join(a), "s"), (len(rows) + 1, " ".join(b), "s")]
+    assert found_share(rows, pairs, documents) == 1
+
+
+def test_pairs_at_the_threshold_are_found(documents):
+    rng, alphabet = random.Random(8), [f"w{i}" for i in range(5000)]
+    spaced = lambda base, n: [f"new{i}" if i % 5 == 2 else w for i, w in enumerate(base)]
+    assert found_share(*pairs_at(rng, alphabet, [15, 20, 25, 40, 60, 80] * 20, spaced), documents) >= 0.97
+
+    def scattered(base, n):
+        out = list(base)
+        for place in rng.sample(range(len(out)), n):
+            out[place] = rng.choice(alphabet)
+        return out
+
+    assert found_share(*pairs_at(rng, alphabet, [90, 150, 300] * 50, scattered), documents) >= 0.9
+
+
 def test_near_duplicates_of_odd_rows(documents):
     rows = near_duplicates(documents(ODD)).collect()
     assert len(rows) == len(ODD)
