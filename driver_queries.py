@@ -650,13 +650,8 @@ def attribution(spark, sf):
 
 @query()
 def tuning_trials(spark, sf):
-    """Three trials over the whole features table; the 40 of ``trial_design`` are left to the ``tune`` job for time."""
-    trials = [
-        {"n_trees": 100, "max_samples": 256, "max_features": 1.0},
-        {"n_trees": 150, "max_samples": 512, "max_features": 0.7},
-        {"n_trees": 100, "max_samples": 1024, "max_features": 0.5},
-    ]
-    return evaluate.tune(tables.features(spark, sf), SETTINGS, trials)
+    """All trials of the design over the whole features table."""
+    return evaluate.tune(tables.features(spark, sf), SETTINGS)
 
 
 # --- extract ----------------------------------------------------------------------------------------------------

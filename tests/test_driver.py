@@ -10,6 +10,8 @@ import pytest
 
 import __spark_entry__ as entry
 from check import rows_of
+from pactlens.config import DEFAULTS
+from pactlens.operators.forest import evaluate
 from tests.conftest import plan_of
 
 SF = "/root/testdata/sf0.001"
@@ -48,6 +50,13 @@ def test_query(spark, duck, name):
     assert rows_of(rows, got.columns) == rows_of(relation.fetchall(), names)
 
 
+def test_tuning_runs_the_whole_design(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(evaluate, "tune", lambda features, settings, trials=None: seen.append(trials or evaluate.trial_design(settings.n_trials, settings.seed)) or features)
+    entry.queries()["tuning_trials"](spark, SF)
+    assert seen == [evaluate.trial_design(DEFAULTS.n_trials, DEFAULTS.seed)] and len(seen[0]) == 40
+
+
 @pytest.mark.parametrize("name", ["features_full", "featurize_new", "model_drift", "drift_flags", "forest_scores", "top_fraction"])
 def test_no_cross_join(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF))
