@@ -11,6 +11,7 @@ from pactlens.llm.mixing import op2_mix_sources
 from pactlens.llm.neardup import op4_near_duplicates
 from pactlens.llm.permindex import op5_permutation_index
 from pactlens.llm.quality import op6_quality
+from pactlens.llm.runs import op11_periodic_runs
 from pactlens.llm.substring import op8_substring_dedup
 
 QUERIES = {
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_encode_decode": op9_encode_decode,
     "op10_lm_scores": op10_lm_scores,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL}
