@@ -13,6 +13,7 @@ from pactlens.llm.permindex import op5_permutation_index
 from pactlens.llm.quality import op6_quality
 from pactlens.llm.runs import op11_periodic_runs
 from pactlens.llm.substring import op8_substring_dedup
+from pactlens.llm.variants import op12_spelling_variants
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
@@ -26,5 +27,6 @@ QUERIES = {
     "op9_encode_decode": op9_encode_decode,
     "op10_lm_scores": op10_lm_scores,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL}
