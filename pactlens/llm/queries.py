@@ -13,6 +13,7 @@ from pactlens.llm.permindex import op5_permutation_index
 from pactlens.llm.quality import op6_quality
 from pactlens.llm.runs import op11_periodic_runs
 from pactlens.llm.substring import op8_substring_dedup
+from pactlens.llm.suffixes import op13_suffix_dedup
 from pactlens.llm.variants import op12_spelling_variants
 
 QUERIES = {
@@ -28,5 +29,6 @@ QUERIES = {
     "op10_lm_scores": op10_lm_scores,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL}
