@@ -16,9 +16,8 @@ first block and the names of the sampled suffix behind it, and the suffixes betw
 block, its name, and the bytes that are left.
 
 **Neighbours.**  Suffixes stand next to each other in this order when their prefixes agree; those of one name differ in less
-than a block on either side.  Comparing these two ends tells for every window whether ``WINDOW`` bytes agree.  Where a name
-has up to ``LARGE`` different ends, they are compared in one task; the windows of a larger one are spread and counted by
-Spark.
+than a block on either side.  Comparing these two ends tells for every window whether ``WINDOW`` bytes agree.  Up to ``LARGE``
+suffixes of one name are compared where they stand; the windows of a larger name are spread and counted by Spark.
 
 Distinct stretches and triples are told apart by two 64-bit hashes and by their bytes; nothing is collected, and no key's rows
 must meet in one task.
@@ -36,7 +35,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactlens.llm.text import read_table, whole_text
-from pactlens.llm.wordhash import mix64
 from pactlens.operators.lookup import at_most
 from pactlens.session import materialize
 
@@ -53,6 +51,7 @@ MOST_KEYS = 1_000_000
 PIECE = 1 << 20
 _U64 = np.uint64
 _BASE = 0xD1342543DE82EF95
+_MIX = _U64(0xBF58476D1CE4E5B9)
 _LOW = _U64((1 << 21) - 1)
 _POWERS = [np.ones(1, _U64), np.ones(1, _U64)]
 _TOP = np.iinfo(np.uint64).max
@@ -93,7 +92,10 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
         up, down = _powers(len(own) + 1)
         sums = np.zeros(len(own) + 1, _U64)
         np.cumsum((own.astype(_U64) + _U64(1)) * down[:-1], out=sums[1:])
-        grams = mix64((sums[GRAM:] - sums[:-GRAM]) * up[: len(own) - GRAM + 1])
+        grams = sums[GRAM:] - sums[:-GRAM]
+        grams *= up[: len(own) - GRAM + 1]
+        grams ^= grams >> _U64(32)
+        grams *= _MIX
         keys = (grams & ~_LOW) | np.arange(len(grams), dtype=_U64)
         least = _sliding_least(keys, WINDOW - GRAM + 1)
         first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
@@ -142,20 +144,20 @@ def _triple_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Triples of blocks at the sampled block suffixes."""
     for batch in batches:
         out = []
-        for anchor, stretch, n, at, body in zip(*(batch[c].tolist() for c in ("anchor", "stretch", "n", "at", "body")), strict=True):
+        for sid, n, at, body in zip(*(batch[c].tolist() for c in ("sid", "n", "at", "body")), strict=True):
             for start in range(at % BLOCK, min(len(body), at + WHOLE * BLOCK) - 3 * BLOCK + 1, BLOCK):
                 number = (start - at) // BLOCK
                 if number % 3:
-                    out.append((anchor, stretch, number, n, body[start : start + 3 * BLOCK]))
-        yield pd.DataFrame(out, columns=["anchor", "stretch", "number", "n", "triple"])
+                    out.append((sid, number, n, body[start : start + 3 * BLOCK]))
+        yield pd.DataFrame(out, columns=["sid", "number", "n", "triple"])
 
 
 def _suffix_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The block suffixes that windows reach: the names and the block of ``WHOLE`` blocks, and the bytes around them."""
     for batch in batches:
         out = []
-        for anchor, stretch, n, at, windows, body, names in zip(*(batch[c] for c in ("anchor", "stretch", "n", "at", "windows", "body", "names")), strict=True):
-            known = {int(x["number"]): int(x["name"]) for x in names}
+        for sid, n, at, windows, body, numbers, names in zip(*(batch[c].tolist() for c in ("sid", "n", "at", "windows", "body", "numbers", "names")), strict=True):
+            known = dict(zip(numbers.tolist(), names.tolist(), strict=True))
             for start in range(at % BLOCK, windows - 1 + BLOCK, BLOCK):
                 number = (start - at) // BLOCK
                 sampled = number % 3 != 0
@@ -164,14 +166,12 @@ def _suffix_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     continue
                 end = start + WHOLE * BLOCK
                 block = body[end - BLOCK : end] if sampled else body[start : start + BLOCK]
-                head = body[max(0, start - BLOCK + 1) : start]
-                tail = body[end : min(len(body), end + BLOCK)]
-                out.append((anchor, stretch, number, n, sampled, one, two, block, head, tail))
-        yield pd.DataFrame(out, columns=["anchor", "stretch", "number", "n", "sampled", "one", "two", "block", "head", "tail"])
+                out.append((sid, number, n, sampled, one, two, block, body[max(0, start - BLOCK + 1) : start], body[end : end + BLOCK]))
+        yield pd.DataFrame(out, columns=["sid", "number", "n", "sampled", "one", "two", "block", "head", "tail"])
 
 
 def _ways(head: bytes, tail: bytes) -> range:
-    """Bytes of the head that the windows over these ends hold; they fill up from the tail."""
+    """How many bytes of the head the windows over these ends hold; they fill up from the tail."""
     return range(BLOCK - len(tail), len(head) + 1)
 
 
@@ -179,94 +179,115 @@ def _ends(head: bytes, tail: bytes, j: int) -> bytes:
     return head[len(head) - j :] + tail[: BLOCK - j]
 
 
-def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For the ends of each name the windows that agree with another's, as bits."""
+def _compare(group: list[tuple]) -> Iterator[tuple[int, int, int]]:
+    """(sid, number, bits): the windows of neighbouring suffixes (sid, number, n, head, tail) that agree with another's."""
+    if len(group) == 1:
+        sid, number, n, head, tail = group[0]
+        if n > 1:
+            yield sid, number, (1 << len(head) + 1) - (1 << BLOCK - len(tail))
+        return
+    counts: dict[tuple[int, bytes], int] = defaultdict(int)
+    for _, _, n, head, tail in group:
+        for j in _ways(head, tail):
+            counts[j, _ends(head, tail, j)] += n
+    for sid, number, _, head, tail in group:
+        bits = sum(1 << j for j in _ways(head, tail) if counts[j, _ends(head, tail, j)] > 1)
+        if bits:
+            yield sid, number, bits
+
+
+def _neighbour_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """From suffixes in order, those of one key next to each other."""
+    group: list[tuple] = []
+    last = None
     for batch in batches:
-        found = []
-        for ends in batch["ends"]:
-            counts: dict[tuple[int, bytes], int] = defaultdict(int)
-            own = [(x["c1"], x["c2"], int(x["n"]), bytes(x["head"]), bytes(x["tail"])) for x in ends]
-            for _, _, n, head, tail in own:
-                for j in _ways(head, tail):
-                    counts[j, _ends(head, tail, j)] += n
-            for c1, c2, _, head, tail in own:
-                bits = sum(1 << j for j in _ways(head, tail) if counts[j, _ends(head, tail, j)] > 1)
-                if bits:
-                    found.append((c1, c2, bits))
-        yield pd.DataFrame(found, columns=["c1", "c2", "bits"])
+        out: list[tuple[int, int, int]] = []
+        columns = (batch[c].tolist() for c in ("sampled", "one", "two", "block", "sid", "number", "n", "head", "tail"))
+        for row in zip(*columns, strict=True):
+            if row[:4] != last:
+                out += _compare(group) if group else ()
+                group, last = [], row[:4]
+            group.append(row[4:])
+        yield pd.DataFrame(out, columns=["sid", "number", "bits"])
+    if group:
+        yield pd.DataFrame(list(_compare(group)), columns=["sid", "number", "bits"])
 
 
 def _spread_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
-        for name, c1, c2, n, head, tail in zip(*(batch[c].tolist() for c in ("name", "c1", "c2", "n", "head", "tail")), strict=True):
-            out += [(name, c1, c2, n, j, _ends(head, tail, j)) for j in _ways(head, tail)]
-        yield pd.DataFrame(out, columns=["name", "c1", "c2", "n", "way", "ends"])
+        for name, n, head, tail in zip(*(batch[c].tolist() for c in ("name", "n", "head", "tail")), strict=True):
+            out += [(name, n, head, tail, j, _ends(head, tail, j)) for j in _ways(head, tail)]
+        yield pd.DataFrame(out, columns=["name", "n", "head", "tail", "way", "ends"])
 
 
-def _named(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """The keys that occur more than once, with names in their order, the number of their rows and of all occurrences."""
-    counted = rows.groupBy(*keys).agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("rows")).where(F.col("all") > 1)
-    ordered = counted.orderBy(*keys).withColumn("name", F.monotonically_increasing_id())
-    return materialize(ordered.select(*keys, "name", "rows"), label)
+def _range_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The marked windows of a stretch as ranges, (lo, hi) counted from its first window."""
+    for batch in batches:
+        out = []
+        for anchor, stretch, at, windows, numbers, bits in zip(*(batch[c].tolist() for c in ("anchor", "stretch", "at", "windows", "numbers", "bits")), strict=True):
+            marked = np.zeros(windows + 2, np.int8)
+            for number, own in zip(numbers.tolist(), bits.tolist(), strict=True):
+                block = at + BLOCK * number
+                for j in range(BLOCK):
+                    if own >> j & 1:
+                        marked[block - j + 1] = 1
+            edges = np.flatnonzero(np.diff(marked))
+            out.append((anchor, stretch, edges[::2], edges[1::2] - 1))
+        yield pd.DataFrame(out, columns=["anchor", "stretch", "lo", "hi"])
 
 
 def repeated_windows(stretches: DataFrame, large: int = LARGE) -> DataFrame:
-    """From distinct stretches (anchor, stretch, n, at, windows, body): (anchor, stretch, marks), the windows that stand
-    elsewhere too.  A mark is the number of a block and, as bits, how many bytes before it such windows start."""
-    triples = stretches.mapInPandas(_triple_rows, "anchor long, stretch long, number int, n long, triple binary")
-    names = _named(triples, ["triple"], "triple-names")
-    named = triples.join(names, "triple").groupBy("anchor", "stretch").agg(F.collect_list(F.struct("number", "name")).alias("names"))
-    suffixes = stretches.join(materialize(named, "block-names"), ["anchor", "stretch"]).mapInPandas(
-        _suffix_rows, "anchor long, stretch long, number int, n long, sampled boolean, one long, two long, block binary, head binary, tail binary"
+    """From written distinct stretches (sid, anchor, stretch, n, at, windows, body): (anchor, stretch, lo, hi), the ranges of
+    windows that stand elsewhere too."""
+    triples = stretches.mapInPandas(_triple_rows, "sid long, number int, n long, triple binary")
+    hashes = [F.xxhash64("triple").alias("t1"), F.xxhash64(F.lit(1), "triple").alias("t2")]
+    counted = triples.groupBy("triple").agg(F.sum("n").alias("n")).where(F.col("n") > 1)
+    names = counted.orderBy("triple").select(*hashes, F.monotonically_increasing_id().alias("name"))
+    named = triples.select("sid", "number", *hashes).join(materialize(names, "triple-names"), ["t1", "t2"])
+    # Ten blocks a stretch at most; a pair keeps number and name together.
+    named = named.groupBy("sid").agg(F.collect_list(F.struct("number", "name")).alias("x"))
+    named = materialize(named.select("sid", F.col("x.number").alias("numbers"), F.col("x.name").alias("names")), "block-names")
+    suffixes = stretches.select("sid", "n", "at", "windows", "body").join(named, "sid").mapInPandas(
+        _suffix_rows, "sid long, number int, n long, sampled boolean, one long, two long, block binary, head binary, tail binary"
     )
-    key = ["sampled", "one", "two", "block"]
-    suffixes = suffixes.withColumn("c1", F.xxhash64(*key, "head", "tail")).withColumn("c2", F.xxhash64("tail", "head", *key[::-1]))
     suffixes = materialize(suffixes, "block-suffixes")
-    ends = suffixes.groupBy("c1", "c2", *key, "head", "tail").agg(F.sum("n").alias("n"))
-    ends = materialize(ends, "suffix-ends")
-    names = _named(ends, key, "suffix-names")
-    ends = ends.join(names, key).select("name", "rows", "c1", "c2", "n", "head", "tail")
-    ends = materialize(ends, "named-ends")
-
-    few = ends.where(F.col("rows") <= large).groupBy("name").agg(F.collect_list(F.struct("c1", "c2", "n", "head", "tail")).alias("ends"))
-    marked = few.select("ends").mapInPandas(_compared, "c1 long, c2 long, bits long")
-    many = ends.where(F.col("rows") > large)
-    if not many.isEmpty():
-        windows = many.mapInPandas(_spread_rows, "name long, c1 long, c2 long, n long, way int, ends binary")
+    key = ["sampled", "one", "two", "block"]
+    many = suffixes.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > large)
+    many = materialize(many.select(*key, F.monotonically_increasing_id().alias("name")), "large-names")
+    any_large = not many.isEmpty()
+    few = suffixes.join(many, key, "left_anti") if any_large else suffixes
+    marked = few.repartitionByRange(*key).sortWithinPartitions(*key).mapInPandas(_neighbour_rows, "sid long, number int, bits long")
+    if any_large:
+        rest = materialize(suffixes.join(many, key).drop(*key), "large-suffixes")
+        ends = rest.groupBy("name", "head", "tail").agg(F.sum("n").alias("n"))
+        windows = ends.mapInPandas(_spread_rows, "name long, n long, head binary, tail binary, way int, ends binary")
+        windows = materialize(windows, "large-windows")
         twice = windows.groupBy("name", "way", "ends").agg(F.sum("n").alias("n")).where(F.col("n") > 1).drop("n")
         twice = windows.drop("n").join(materialize(twice, "repeated-ends"), ["name", "way", "ends"])
-        marked = marked.unionByName(twice.groupBy("c1", "c2").agg(F.expr("bit_or(shiftleft(1L, way))").alias("bits")))
-    marked = materialize(marked, "marked-ends")
-    marks = suffixes.select("anchor", "stretch", "number", "c1", "c2").join(marked, ["c1", "c2"])
-    return marks.groupBy("anchor", "stretch").agg(F.collect_list(F.struct("number", "bits")).alias("marks"))
-
-
-def removed_bytes(n: int, flags: list) -> np.ndarray:
-    """Which of ``n`` bytes lie in a marked window.  ``flags``: (spot of a stretch, its marks)."""
-    edges = np.zeros(n + 1, np.int64)
-    for x in flags:
-        first, _, at = _open_spot(int(x["spot"]))
-        for mark in x["marks"]:
-            block, bits = first + at + BLOCK * int(mark["number"]), int(mark["bits"])
-            for j in range(BLOCK):
-                if bits >> j & 1:
-                    edges[block - j] += 1
-                    edges[block - j + WINDOW] -= 1
-    return np.cumsum(edges[:-1]) > 0
+        bits = twice.groupBy("name", "head", "tail").agg(F.expr("bit_or(shiftleft(1L, way))").alias("bits"))
+        bits = rest.select("sid", "number", "name", "head", "tail").join(materialize(bits, "large-bits"), ["name", "head", "tail"])
+        marked = marked.unionByName(bits.select("sid", "number", "bits"))
+    marks = marked.groupBy("sid").agg(F.collect_list(F.struct("number", "bits")).alias("x"))
+    marks = marks.select("sid", F.col("x.number").alias("numbers"), F.col("x.bits").alias("bits"))
+    ranges = stretches.select("sid", "anchor", "stretch", "at", "windows").join(marks, "sid")
+    return ranges.mapInPandas(_range_rows, "anchor long, stretch long, lo array<long>, hi array<long>")
 
 
 def _cut_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         sizes, spans, kept = [], [], []
-        for text, flags in zip(batch["text"], batch["flags"], strict=True):
+        for text, starts, stops in zip(batch["text"], batch["starts"], batch["stops"], strict=True):
             data = text.encode("utf-8")
             sizes.append(len(data))
-            if flags is None or not len(flags):
+            if starts is None:
                 spans.append([])
                 kept.append(data)
                 continue
-            gone = removed_bytes(len(data), flags)
+            depth = np.zeros(len(data) + 1, np.int64)
+            np.add.at(depth, starts, 1)
+            np.add.at(depth, stops, -1)
+            gone = np.cumsum(depth[:-1]) > 0
             edges = np.flatnonzero(np.diff(np.r_[0, gone.astype(np.int8), 0]))
             spans.append([{"start": a, "stop": b} for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)])
             kept.append(np.frombuffer(data, np.uint8)[~gone].tobytes())
@@ -283,42 +304,54 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     text = whole_text(text_column)
     rows = docs.select(F.col(id_column).cast("long").alias("id"), text.alias("text"))
     rows = rows.select("*", F.xxhash64("text", "id").alias("k1"), F.xxhash64("id", F.lit(1), "text").alias("k2"))
-    texts = rows.select("k1", "k2", "text")
-    copies = rows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+    key = ["k1", "k2"]
+    texts = rows.select(*key, "text")
+    copies = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
     copies = materialize(copies, "repeated-rows")
-    if copies.isEmpty():
-        once = texts.withColumn("copies", F.lit(1).cast("long"))
-    else:
+    repeats = not copies.isEmpty()
+    if repeats:
         # Rows of equal id and text are looked at once; only these texts are grouped.
-        again = texts.join(copies, ["k1", "k2"]).groupBy("k1", "k2").agg(F.any_value("text").alias("text"), F.max("copies").alias("copies"))
-        once = texts.join(copies, ["k1", "k2"], "left_anti").withColumn("copies", F.lit(1).cast("long")).unionByName(again)
-        once = materialize(once, "texts-once")
-    filed = once.mapInPandas(_anchor_rows, "k1 long, k2 long, anchor array<long>, stretch array<long>, spot array<long>")
+        again = texts.join(copies.select(*key), key, "left_semi").groupBy(*key).agg(F.any_value("text").alias("text"))
+        texts = materialize(texts.join(copies, key, "left_anti").unionByName(again), "texts-once")
+    filed = texts.mapInPandas(_anchor_rows, "k1 long, k2 long, anchor array<long>, stretch array<long>, spot array<long>")
     filed = materialize(filed, "byte-anchors")
-    if not copies.isEmpty():
-        filed = filed.join(copies, ["k1", "k2"], "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
-    else:
-        filed = filed.withColumn("copies", F.lit(1).cast("long"))
-    seen = filed.select("k1", "k2", "copies", F.explode(F.arrays_zip("anchor", "stretch", "spot")).alias("x")).select("k1", "k2", "copies", "x.*")
-    repeated = seen.groupBy("anchor").agg(F.sum("copies").alias("n")).where(F.col("n") > 1).select("anchor")
-    hits = materialize(seen.join(materialize(repeated, "repeated-anchors"), "anchor"), "anchor-hits")
 
-    chosen = hits.groupBy("anchor", "stretch").agg(F.sum("copies").alias("n"), F.min(F.struct("k1", "k2", "spot")).alias("at"))
+    def weighted(table: DataFrame) -> DataFrame:
+        if not repeats:
+            return table.withColumn("copies", F.lit(1))
+        return table.join(copies, key, "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+
+    seen = filed.select(*key, F.explode(F.arrays_zip("anchor", "stretch", "spot")).alias("x")).select(*key, "x.*")
+    repeated = weighted(filed.select(*key, F.explode("anchor").alias("anchor"))).groupBy("anchor").agg(F.sum("copies").alias("n"))
+    repeated = materialize(repeated.where(F.col("n") > 1).select("anchor"), "repeated-anchors")
+    hits = materialize(seen.join(repeated, "anchor"), "anchor-hits")
+
+    chosen = weighted(hits).groupBy("anchor", "stretch").agg(F.sum("copies").alias("n"), F.min(F.struct(*key, "spot")).alias("at"))
     chosen = chosen.groupBy(F.col("at.k1").alias("k1"), F.col("at.k2").alias("k2")).agg(
         F.collect_list(F.struct("anchor", "stretch", "n", "at.spot")).alias("chosen")
     )
     chosen = materialize(chosen, "chosen-stretches")
-    wanted = once.select("k1", "k2", "text")
-    keys = chosen.select("k1", "k2")
-    if at_most(keys, MOST_KEYS):
-        wanted = wanted.join(F.broadcast(keys), ["k1", "k2"], "left_semi")
-    stretches = wanted.join(chosen, ["k1", "k2"]).select("text", "chosen").mapInPandas(
+    keys = chosen.select(*key)
+    wanted = texts.join(F.broadcast(keys), key, "left_semi") if at_most(keys, MOST_KEYS) else texts
+    stretches = wanted.join(chosen, key).select("text", "chosen").mapInPandas(
         _stretch_rows, "anchor long, stretch long, n long, at int, windows int, body binary"
     )
-    marks = materialize(repeated_windows(materialize(stretches, "stretches"), large), "stretch-marks")
-    flags = hits.select("anchor", "stretch", "k1", "k2", "spot").join(marks, ["anchor", "stretch"])
-    flags = materialize(flags.groupBy("k1", "k2").agg(F.collect_list(F.struct("spot", "marks")).alias("flags")), "text-flags")
-    marked = rows.join(flags, ["k1", "k2"], "left").select("id", "text", "flags")
+    stretches = materialize(stretches.withColumn("sid", F.monotonically_increasing_id()), "stretches")
+    ranges = materialize(repeated_windows(stretches, large), "stretch-ranges")
+    flags = hits.select("anchor", "stretch", *key, F.expr("shiftright(spot, 16)").alias("first")).join(ranges, ["anchor", "stretch"])
+    flags = flags.select(*key, "first", F.explode(F.arrays_zip("lo", "hi")).alias("x"))
+    flags = flags.groupBy(*key).agg(F.collect_list(F.struct((F.col("first") + F.col("x.lo")).alias("a"), (F.col("first") + F.col("x.hi") + WINDOW).alias("b"))).alias("x"))
+    flags = materialize(flags.select(*key, F.col("x.a").alias("starts"), F.col("x.b").alias("stops")), "text-flags")
+
+    keys = flags.select(*key)
+    if at_most(keys, MOST_KEYS):
+        # Texts that lose nothing stay where they are.
+        whole = rows.join(F.broadcast(keys), key, "left_anti").select("id", "text")
+        none = F.lit(None).cast("array<long>")
+        marked = rows.join(F.broadcast(keys), key, "left_semi").join(flags, key).select("id", "text", "starts", "stops")
+        marked = marked.unionByName(whole.select("id", "text", none.alias("starts"), none.alias("stops")))
+    else:
+        marked = rows.join(flags, key, "left").select("id", "text", "starts", "stops")
     return marked.mapInPandas(_cut_rows, "id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
 
 
