@@ -648,10 +648,87 @@ def attribution(spark, sf):
     return explain.explain_forest(scored_features(spark, sf), forest(spark, sf), SETTINGS)[1]
 
 
+TRIALS = evaluate.trial_design(SETTINGS.n_trials, SETTINGS.seed)
+
+
+def trial_scores(spark, sf):
+    """The search table under every trial of the design."""
+    return tables.written_once(spark, sf, "trial-scores", lambda: evaluate.score_search(tables.features(spark, sf), SETTINGS, TRIALS))
+
+
 @query()
 def tuning_trials(spark, sf):
     """All trials of the design over the whole features table."""
-    return evaluate.tune(tables.features(spark, sf), SETTINGS)
+    recalls = evaluate.trial_recalls(trial_scores(spark, sf), TRIALS, SETTINGS.top_fraction)
+    return recalls.select("trial_id", "n_trees", "max_samples", "max_features", "recall_at_top")
+
+
+_COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in NUMERIC)
+_DESIGN = ", ".join(f"({k}, {t['n_trees']}, {t['max_samples']}, CAST('{t['max_features']!r}' AS DOUBLE))" for k, t in enumerate(TRIALS))
+
+
+@query(
+    with_features(
+        f"""SELECT trial_id, n_trees, max_samples, max_features, n + {SETTINGS.synthetic_rows} AS scored_rows,
+        CAST({SETTINGS.synthetic_rows} AS BIGINT) AS planted, TRUE AS cut_holds, TRUE AS recall_holds
+        FROM (SELECT COUNT(*) AS n FROM features WHERE {_COMPLETE}), (VALUES {_DESIGN}) AS d(trial_id, n_trees, max_samples, max_features)"""
+    )
+)
+def tuning_checks(spark, sf):
+    """What must hold for each trial, counted over the written scores: the cut leaves fewer rows above than the top holds and
+    as many at least from it on, and recall lies between the planted rows above the cut and those from it on."""
+    scored = trial_scores(spark, sf)
+    recalls = evaluate.trial_recalls(scored, TRIALS, SETTINGS.top_fraction)
+    each = scored.select("planted", F.posexplode("scores").alias("trial_id", "score")).join(F.broadcast(recalls), "trial_id")
+    above, reached = F.col("score") > F.col("cut"), F.col("score") >= F.col("cut")
+    counted = each.groupBy("trial_id", "n_trees", "max_samples", "max_features", "recall_at_top").agg(
+        F.count("*").alias("scored_rows"), F.count_if("planted").alias("planted"), F.count_if(above).alias("n_above"), F.count_if(reached).alias("n_reached"),
+        F.count_if(above & F.col("planted")).alias("least"), F.count_if(reached & F.col("planted")).alias("most"),
+    )
+    top = F.greatest(F.lit(1), F.floor(F.col("scored_rows") * SETTINGS.top_fraction))
+    hits = F.round(F.col("recall_at_top") * F.col("planted"))
+    return counted.select(
+        "trial_id", "n_trees", "max_samples", "max_features", "scored_rows", "planted",
+        ((F.col("n_above") < top) & (F.col("n_reached") >= top)).alias("cut_holds"),
+        ((F.col("least") <= hits) & (hits <= F.col("most"))).alias("recall_holds"),
+    )
+
+
+@query(
+    with_features(
+        f"""SELECT CAST({SETTINGS.n_trees} AS BIGINT) AS trees, {SETTINGS.n_trees} * LEAST(256, n) AS root_rows, {SETTINGS.n_trees} * LEAST(256, n) AS leaf_rows,
+        CAST(0 AS BIGINT) AS unbalanced FROM (SELECT COUNT(*) AS n FROM features WHERE {_COMPLETE})"""
+    )
+)
+def forest_checks(spark, sf):
+    """What must hold for fitted trees: full sub-samples at the roots, all of them in the leaves, and children that add up."""
+    nodes = forest(spark, sf).nodes
+    children = nodes.where("node_id > 0").groupBy("tree_id", F.expr("(node_id - 1) DIV 2").alias("node_id")).agg(F.sum("n_samples").alias("below"))
+    joined = nodes.join(children, ["tree_id", "node_id"], "left")
+    inner = F.col("feature") >= 0
+    return joined.agg(
+        F.count_distinct("tree_id").alias("trees"),
+        F.sum(F.when(F.col("node_id") == 0, F.col("n_samples")).otherwise(0)).alias("root_rows"),
+        F.sum(F.when(inner, 0).otherwise(F.col("n_samples"))).alias("leaf_rows"),
+        F.count_if((inner & ~F.col("below").eqNullSafe(F.col("n_samples").cast("long"))) | (~inner & F.col("below").isNotNull())).alias("unbalanced"),
+    )
+
+
+@query(
+    with_features(
+        f"""SELECT COUNT(*) AS rows, COUNT(*) FILTER ({_COMPLETE}) AS scored, COUNT(*) FILTER ({_COMPLETE}) AS in_range,
+        CAST(0 AS BIGINT) AS wrong_flags FROM features"""
+    )
+)
+def score_checks(spark, sf):
+    """What must hold for scores: one for each complete row, between -0.5 and 0.5, and flagged when above 0."""
+    value = F.col("anomaly_score")
+    return scored_features(spark, sf).agg(
+        F.count("*").alias("rows"),
+        F.count("anomaly_score").alias("scored"),
+        F.count_if((value > -0.5) & (value < 0.5)).alias("in_range"),
+        F.count_if(~F.col("is_anomaly").eqNullSafe(value > 0)).alias("wrong_flags"),
+    )
 
 
 # --- extract ----------------------------------------------------------------------------------------------------

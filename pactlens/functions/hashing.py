@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,3 +29,12 @@ def exact_sum(value: Column) -> Column:
 
 def exact_mean(total: Column, count: Column) -> Column:
     return total.cast("double") / count.cast("double")
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers with every bit spread over all of them, for draws inside a task."""
+    x = x.astype(np.uint64)
+    for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+        x ^= x >> np.uint64(shift)
+        x *= np.uint64(factor)
+    return x ^ (x >> np.uint64(33))

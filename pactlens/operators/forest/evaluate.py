@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import random
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,9 +10,9 @@ from pyspark.sql import functions as F
 from pactlens.config import CATEGORICAL, DEFAULTS, IDENTIFIERS, NUMERIC, Settings
 from pactlens.functions.hashing import content_hash
 from pactlens.operators.encode import complete, encode, fit_index
-from pactlens.operators.forest.fit import POINT, Forest, draw_rows, grow_trees, resolve_samples
-from pactlens.operators.forest.score import score_encoded
-from pactlens.operators.sampling import copy_counts, fetch_points, sample_rows, top_fraction
+from pactlens.operators.forest.fit import POINT, resolve_samples, tree_samples
+from pactlens.operators.forest.trials import detected, grow_trials, score_trials, top_cuts
+from pactlens.operators.sampling import sample_rows, top_count, top_fraction
 from pactlens.session import materialize, spread
 
 # Pattern names, factors and the search space.
@@ -86,42 +85,47 @@ def search_table(features: DataFrame, settings: Settings = DEFAULTS) -> tuple[Da
     return materialize(sample.unionByName(planted, allowMissingColumns=True), "tuning-search"), planted
 
 
-def tune(features: DataFrame, settings: Settings = DEFAULTS, trials: list[dict] | None = None) -> DataFrame:
-    """One row per trial with its parameters and recall.
-
-    All trees of all trials grow in one job; each trial then scores the search table.  The result is exploratory:
-    the final model keeps the parameters of ``Settings``.
-    """
-    trials = trial_design(settings.n_trials, settings.seed) if trials is None else trials
-    search, planted = search_table(features, settings)
-    spark = search.sparkSession
+def score_search(features: DataFrame, settings: Settings, trials: list[dict]) -> DataFrame:
+    """Rows of the search table with their identifiers, ``planted`` and, as array ``scores``, the score of every trial."""
+    search, _ = search_table(features, settings)
     index = fit_index(search, settings)
     n_slots, rows = index.count(), search.count()
     encoded = materialize(spread(encode(search, index)), "tuning-encoded")
-    sizes = {k: resolve_samples(t["max_samples"], rows) for k, t in enumerate(trials)}
-    shares = {k: t["max_features"] for k, t in enumerate(trials)}
-    points = encoded.select(*POINT)
-    counts = materialize(copy_counts(points, POINT, settings.seed), "tuning-points")
-    per_trial = [
-        draw_rows(counts, rows, t["n_trees"], sizes[k]).select(F.lit(k).alias("trial_id"), "*") for k, t in enumerate(trials)
+    sizes = [resolve_samples(t["max_samples"], rows) for t in trials]
+    samples = tree_samples(encoded, rows, max(t["n_trees"] for t in trials), max(sizes), settings.seed)
+    packed = materialize(grow_trials(samples, trials, sizes, n_slots, settings.seed), "tuning-trees")
+    planted = F.col("_synthetic_pattern").isNotNull().alias("planted")
+    table = encoded.select(*IDENTIFIERS, *POINT, planted)
+    return score_trials(table, packed, sizes, n_slots).select(*IDENTIFIERS, "planted", "scores")
+
+
+def trial_recalls(scored: DataFrame, trials: list[dict], fraction: float) -> DataFrame:
+    """One row per trial: parameters, rows above the cut and at it, planted rows found among the top, and their share."""
+    total, planted = scored.agg(F.count("*"), F.count_if("planted")).head()
+    k = top_count(total, fraction)
+    cuts = top_cuts(scored, len(trials), k)
+    found = detected(scored, cuts, k, "numero_del_contrato", "planted")
+    rows = [
+        (n, t["n_trees"], int(t["max_samples"]), float(t["max_features"]), cut.score, cut.above, cut.equal, hits, hits / planted if planted else None)
+        for n, (t, cut, hits) in enumerate(zip(trials, cuts, found, strict=True))
     ]
-    drawn = materialize(reduce(DataFrame.unionAll, per_trial), "tuning-drawn")
-    samples = drawn.join(fetch_points(points, POINT, settings.seed, drawn), "_point")
-    n_trees = sum(t["n_trees"] for t in trials)
-    nodes = materialize(
-        grow_trees(samples, n_trees, sizes, shares, n_slots, settings.seed, ("trial_id", "tree_id")), "tuning-nodes"
-    )
-    results = []
-    for k, trial in enumerate(trials):
-        forest = Forest(nodes.filter(F.col("trial_id") == k), index, trial["n_trees"], sizes[k], n_slots)
-        scored = materialize(score_encoded(encoded, forest).select("numero_del_contrato", "anomaly_score"), "tuning-scores")
-        recall = recall_at_top(scored, planted, settings.top_fraction).first()["recall"]
-        results.append((k, trial["n_trees"], int(trial["max_samples"]), float(trial["max_features"]), recall))
-    return spark.createDataFrame(
-        results, "trial_id int, n_trees int, max_samples int, max_features double, recall_at_top double"
+    return scored.sparkSession.createDataFrame(
+        rows,
+        "trial_id int, n_trees int, max_samples int, max_features double, cut double, above long, equal long, detected long, recall_at_top double",
     )
 
 
+def tune(features: DataFrame, settings: Settings = DEFAULTS, trials: list[dict] | None = None) -> DataFrame:
+    """One row per trial with its parameters and recall.
+
+    All trees of all trials grow in one job and score the search table together.  The result is exploratory: the final
+    model keeps the parameters of ``Settings``.
+    """
+    trials = trial_design(settings.n_trials, settings.seed) if trials is None else trials
+    recalls = trial_recalls(score_search(features, settings, trials), trials, settings.top_fraction)
+    return recalls.select("trial_id", "n_trees", "max_samples", "max_features", "recall_at_top")
+
+
 def best_trial(trials: DataFrame) -> DataFrame:
     """The first of the trials with the highest recall."""
     best = F.max_by(F.struct(*trials.columns), F.struct("recall_at_top", -F.col("trial_id"))).alias("best")

@@ -7,22 +7,22 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pactlens.config import DEFAULTS, NUMERIC, Settings
-from pactlens.functions.hashing import uniform
+from pactlens.functions.hashing import content_hash, mixed
 from pactlens.operators.encode import SLOTS, complete, encode, fit_index
 from pactlens.operators.forest import tree
 from pactlens.operators.ranks import values_at_ranks
-from pactlens.operators.sampling import copy_counts, fetch_points, repeat_rows, with_margin
+from pactlens.operators.sampling import with_margin
 from pactlens.session import materialize, one_task_per_group
 
 POINT = (*NUMERIC, *SLOTS)
 #: Rows one task can hold to grow a tree; a larger sub-sample per tree is refused.
 MAX_TREE_ROWS = 1 << 20
-#: From this share of all rows per tree, every (row, tree) pair gets its own draw.
-DENSE_RATE = 0.02
+_MASK = (1 << 64) - 1
 NODE_SCHEMA = "tree_id int, node_id int, feature int, threshold double, n_samples int, value double"
 
 
@@ -60,48 +60,66 @@ def resolve_samples(max_samples: int | float | str, rows: int) -> int:
     return size
 
 
-def draw_rows(counts: DataFrame, rows: int, n_trees: int, size: int) -> DataFrame:
-    """(tree_id, _order, _point, copies): candidates of every tree, slightly more than ``size`` each.
+def draws(keys: np.ndarray, n_trees: int, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, tree): each row enters each tree with probability ``rate``, all by its key.
 
-    ``counts`` are the model rows by hash.  Each copy is drawn for itself, so a much-repeated row enters the trees
-    as often as it occurs without its copies ever meeting in a task.  Draws hash the content, not the position:
-    the layout of the data does not change the sample.
+    A row jumps from one of its trees to the next, so the work is that of the draws made, at any rate.
     """
-    rate = min(1.0, with_margin(size) / rows)
-    if rate > DENSE_RATE:
-        numbered = repeat_rows(counts.withColumn("_times", F.col("copies")), "_times", "_copy")
-        trees = F.filter(
-            F.sequence(F.lit(0), F.lit(n_trees - 1)),
-            lambda t: uniform(F.xxhash64("_point", "_copy", t)) < rate,
-        )
-        drawn = numbered.withColumn("tree_id", F.explode(trees))
-    else:
-        # Few draws per row: their number first, then a tree for each.
-        expected = F.col("copies") * F.lit(rate * n_trees)
-        times = F.floor(expected) + (uniform(F.xxhash64("_point")) < expected - F.floor(expected)).cast("int")
-        numbered = repeat_rows(counts.withColumn("_times", times.cast("bigint")), "_times", "_copy")
-        drawn = numbered.withColumn("tree_id", F.pmod(F.xxhash64("_point", "_copy", F.lit(1)), F.lit(n_trees)).cast("int"))
-    return drawn.select("tree_id", F.xxhash64("_point", "_copy", "tree_id", F.lit(2)).alias("_order"), "_point", "copies")
+    rows, trees = [], []
+    at, place = np.arange(len(keys)), np.full(len(keys), -1.0)
+    step, scale = 0, np.log1p(-rate) if rate < 1.0 else -np.inf
+    while len(at):
+        step += 1
+        u = ((mixed(keys[at] + np.uint64(step * 0x9E3779B97F4A7C15 & _MASK)) >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53
+        place = place + 1.0 + np.floor(np.log(u) / scale)
+        more = place < n_trees
+        at, place = at[more], place[more]
+        rows.append(at)
+        trees.append(place.astype(np.int64))
+    return np.concatenate(rows or [at]), np.concatenate(trees or [at])
+
+
+def own_keys(keys: np.ndarray, task: int, batch: int) -> np.ndarray:
+    """Keys under which equal rows of a batch are drawn each for itself."""
+    order = np.argsort(keys, kind="stable")
+    ranked = keys[order]
+    again = np.flatnonzero(ranked[1:] == ranked[:-1]) + 1
+    if not len(again):
+        return keys
+    salt = np.arange(len(again), dtype=np.uint64) + np.uint64(((task << 40) + (batch << 20)) & _MASK)
+    keys = keys.copy()
+    keys[order[again]] ^= mixed(salt + np.uint64(1))
+    return keys
 
 
 def tree_samples(encoded: DataFrame, rows: int, n_trees: int, size: int, seed: int) -> DataFrame:
-    """Candidate rows of every tree, of which the first by ``_order`` count."""
-    points = encoded.filter(complete()).select(*POINT)
-    drawn = materialize(draw_rows(copy_counts(points, POINT, seed), rows, n_trees, size), "drawn")
-    return drawn.join(fetch_points(points, POINT, seed, drawn), "_point")
+    """(tree_id, _order, _key, the point's columns): candidates of every tree, slightly more than ``size`` each.
+
+    Rows are drawn where they are read, and only drawn rows move.  A draw hashes all columns of ``encoded``, so the layout of
+    the data does not change it.  Equal rows of a batch each have their own draws, hence a row that makes up a third of the
+    data enters the trees as often; only their first copies in several batches share theirs, and only for them does the
+    sample depend on the layout.
+    """
+    rate = min(1.0, with_margin(size) / rows)
+    points = encoded.filter(complete()).select(content_hash(encoded.columns, seed).alias("_key"), *POINT)
+
+    def draw(batches):
+        task = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
+            keys = own_keys(batch["_key"].to_numpy(np.int64).view(np.uint64), task, number)
+            row, trees = draws(keys, n_trees, rate)
+            drawn = batch.iloc[row]
+            drawn.insert(0, "tree_id", trees.astype(np.int32))
+            drawn.insert(1, "_order", mixed(mixed(keys[row] + np.uint64(1)) + trees.astype(np.uint64)).view(np.int64))
+            yield drawn
+
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema)
+    return points.mapInPandas(draw, f"tree_id int, _order long, {types}")
 
 
 def _first_by_order(group: pd.DataFrame, size: int) -> np.ndarray:
-    """Positions of the tree's rows in a fixed order; a point drawn more often than it occurs keeps its copies only."""
-    point, order, copies = (group[c].to_numpy() for c in ("_point", "_order", "copies"))
-    ranked = np.lexsort((point, order))
-    by_point = ranked[np.argsort(point[ranked], kind="stable")]
-    place = np.arange(len(by_point))
-    starts = np.ones(len(by_point), dtype=bool)
-    starts[1:] = point[by_point[1:]] != point[by_point[:-1]]
-    again = np.empty(len(by_point), dtype=np.int64)
-    again[by_point] = place - np.maximum.accumulate(np.where(starts, place, 0))
-    return ranked[again[ranked] < copies[ranked]][:size]
+    """Positions of the tree's rows in a fixed order."""
+    return np.lexsort((group["_key"].to_numpy(), group["_order"].to_numpy()))[:size]
 
 
 def grow_trees(

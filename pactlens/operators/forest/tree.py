@@ -30,43 +30,103 @@ def depth_limit(sample_size: int) -> int:
 
 
 def grow(numbers: np.ndarray, slots: np.ndarray, limit: int, n_slots: int, max_features: float, rng) -> dict:
-    """Columns of the node table of one tree."""
+    """Columns of the node table of one tree, grown level by level: all nodes of a level are split at once.
+
+    Rows are kept in the order of their nodes, so a node is a segment.  Its feature is drawn evenly from those which vary
+    inside it: numeric columns with more than one value, and slots that some of its rows have and others not.
+    """
     n_features = N_NUMERIC + n_slots
     allowed = np.ones(n_features, dtype=bool)
     if max_features < 1.0:
         allowed[:] = False
         allowed[rng.choice(n_features, size=max(1, int(max_features * n_features)), replace=False)] = True
-    nodes = {"node_id": [], "feature": [], "threshold": [], "n_samples": [], "value": []}
-    open_nodes = [(0, np.arange(len(numbers)), 0)]
-    while open_nodes:
-        node, rows, depth = open_nodes.pop()
-        feature, threshold, right = -1, None, None
-        if depth < limit and len(rows) > 1:
-            feature, threshold, right = _split(numbers[rows], slots[rows], allowed, rng)
-        nodes["node_id"].append(node)
-        nodes["feature"].append(feature)
-        nodes["threshold"].append(threshold)
-        nodes["n_samples"].append(len(rows))
-        nodes["value"].append(float(depth + average_path(len(rows))) if feature < 0 else None)
-        if feature >= 0:
-            open_nodes.append((2 * node + 1, rows[~right], depth + 1))
-            open_nodes.append((2 * node + 2, rows[right], depth + 1))
-    return nodes
-
-
-def _split(numbers, slots, allowed, rng):
-    """A feature drawn evenly from those which vary here, its threshold and the rows which go right."""
-    low, high = numbers.min(axis=0), numbers.max(axis=0)
-    varying = [f for f in range(N_NUMERIC) if allowed[f] and high[f] > low[f]]
-    for column in np.nonzero((slots != slots[0]).any(axis=0))[0]:
-        present = sorted(set(slots[:, column].tolist()))
-        varying.extend(N_NUMERIC + s for s in present if s >= 0 and allowed[N_NUMERIC + s])
-    if not varying:
-        return -1, None, None
-    feature = int(varying[rng.integers(len(varying))])
-    if feature >= N_NUMERIC:
-        return feature, 0.5, (slots == feature - N_NUMERIC).any(axis=1)
-    threshold = float(rng.uniform(low[feature], high[feature]))
-    if threshold >= high[feature]:
-        threshold = float(low[feature])
-    return feature, threshold, numbers[:, feature] > threshold
+    found = []
+
+    def leaves(ids, sizes, depth):
+        n = len(ids)
+        found.append((ids, np.full(n, -1), np.full(n, np.nan), sizes, depth + average_path(sizes)))
+
+    numbers, slots = np.ascontiguousarray(numbers.T), np.ascontiguousarray(slots.T)
+    ids, starts = np.zeros(1, np.int64), np.zeros(1, np.int64)
+    for depth in range(limit + 1):
+        sizes = np.diff(np.r_[starts, numbers.shape[1]])
+        if depth == limit or not len(ids):
+            leaves(ids, sizes, depth)
+            break
+        low, high = np.minimum.reduceat(numbers, starts, axis=1), np.maximum.reduceat(numbers, starts, axis=1)
+        varying = (high > low) & allowed[:N_NUMERIC, None]
+        segment = np.repeat(np.arange(len(ids)), sizes)
+        own, some = _varying_slots(segment, slots, sizes, n_slots, allowed)
+        n_numeric = varying.sum(axis=0)
+        n_own = np.bincount(own, minlength=len(ids))
+        choices = n_numeric + n_own
+        pick = (rng.random(len(ids)) * choices).astype(np.int64)
+        share = rng.random(len(ids))
+        split = choices > 0
+        feature = np.full(len(ids), -1)
+        threshold = np.full(len(ids), np.nan)
+        is_number = split & (pick < n_numeric)
+        column = (np.cumsum(varying, axis=0) > pick).argmax(axis=0)
+        at = np.flatnonzero(is_number)
+        feature[at] = column[at]
+        bottom, top = low[column[at], at], high[column[at], at]
+        cut = bottom + share[at] * (top - bottom)
+        threshold[at] = np.where(cut >= top, bottom, cut)
+        at = np.flatnonzero(split & ~is_number)
+        first = np.cumsum(n_own) - n_own
+        feature[at] = N_NUMERIC + some[first[at] + pick[at] - n_numeric[at]]
+        threshold[at] = 0.5
+        if not split.all():
+            leaves(ids[~split], sizes[~split], depth)
+        found.append((ids[split], feature[split], threshold[split], sizes[split], np.full(split.sum(), np.nan)))
+
+        rows = np.flatnonzero(split[segment])
+        segment = (np.cumsum(split) - 1)[segment[rows]]
+        ids, feature, threshold, sizes = ids[split], feature[split], threshold[split], sizes[split]
+        f = feature[segment]
+        right = numbers[np.minimum(f, N_NUMERIC - 1), rows] > threshold[segment]
+        hot = np.flatnonzero(f >= N_NUMERIC)
+        wanted, has = f[hot] - N_NUMERIC, np.zeros(len(hot), dtype=bool)
+        for column in slots:
+            has |= column[rows[hot]] == wanted
+        right[hot] = has
+        child = 2 * segment + right
+        # A stable sort of 16-bit numbers counts instead of comparing.
+        order = rows[np.argsort(child.astype(np.uint16) if 2 * len(ids) < 1 << 16 else child, kind="stable")]
+        numbers, slots = numbers.take(order, axis=1), slots.take(order, axis=1)
+        sizes = np.bincount(child, minlength=2 * len(ids))
+        ids = np.stack([2 * ids + 1, 2 * ids + 2], axis=1).ravel()
+        starts = np.cumsum(sizes) - sizes
+    columns = [np.concatenate(c) for c in zip(*found)]
+    return dict(zip(("node_id", "feature", "threshold", "n_samples", "value"), columns))
+
+
+def _varying_slots(segment, slots, sizes, n_slots, allowed):
+    """(segment, slot) of the slots that some rows of a segment have and others not, by segment."""
+    if not n_slots:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    keys = (segment * n_slots + slots)[slots >= 0]
+    if len(sizes) * n_slots <= 8 * len(keys):
+        table = np.bincount(keys, minlength=len(sizes) * n_slots)
+        heads = np.flatnonzero(table)
+        counts = table[heads]
+    else:
+        heads, counts = np.unique(keys, return_counts=True)
+    own, some = np.divmod(heads, n_slots)
+    varies = (counts < sizes[own]) & allowed[N_NUMERIC + some]
+    return own[varies], some[varies]
+
+
+def pack(nodes: dict) -> dict:
+    """A node table as arrays for walking it: nodes by number, so that children stand side by side, and the place of the left
+    one.  A leaf passes every row on to itself."""
+    order = np.argsort(nodes["node_id"])
+    ids, feature, threshold, value = (nodes[c][order] for c in ("node_id", "feature", "threshold", "value"))
+    leaf = feature < 0
+    left = np.where(leaf, np.arange(len(ids)), np.searchsorted(ids, 2 * ids + 1))
+    return {
+        "feature": np.where(leaf, 0, feature).astype(np.int32),
+        "threshold": np.where(leaf, np.inf, threshold),
+        "left": left.astype(np.int32),
+        "path": np.where(leaf, value, 0.0),
+    }

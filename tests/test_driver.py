@@ -50,11 +50,10 @@ def test_query(spark, duck, name):
     assert rows_of(rows, got.columns) == rows_of(relation.fetchall(), names)
 
 
-def test_tuning_runs_the_whole_design(spark, monkeypatch):
-    seen = []
-    monkeypatch.setattr(evaluate, "tune", lambda features, settings, trials=None: seen.append(trials or evaluate.trial_design(settings.n_trials, settings.seed)) or features)
-    entry.queries()["tuning_trials"](spark, SF)
-    assert seen == [evaluate.trial_design(DEFAULTS.n_trials, DEFAULTS.seed)] and len(seen[0]) == 40
+def test_tuning_runs_the_whole_design(spark):
+    rows = entry.queries()["tuning_trials"](spark, SF).orderBy("trial_id").collect()
+    got = [{c: r[c] for c in ("n_trees", "max_samples", "max_features")} for r in rows]
+    assert got == evaluate.trial_design(DEFAULTS.n_trials, DEFAULTS.seed) and len(got) == 40
 
 
 @pytest.mark.parametrize("name", ["features_full", "featurize_new", "model_drift", "drift_flags", "forest_scores", "top_fraction"])

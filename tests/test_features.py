@@ -22,7 +22,7 @@ def test_columns_and_types(make_contracts):
 def test_identifiers_and_items_of_one_contract_stay(make_contracts):
     table = build(make_contracts({"objeto_a_contratar": "PUENTE"}, {"objeto_a_contratar": "TEJADO"}))
     assert sorted(r["objeto_a_contratar"] for r in table.collect()) == ["PUENTE", "TEJADO"]
-    assert {r["numero_del_contrato"] for r in table.collect()} == {"CTO-001"}
+    assert {r["numero_del_contrato"] for r in table.collect()} == {"obra-17"}
 
 
 @pytest.mark.parametrize(

@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from pactlens.config import DEFAULTS, NUMERIC
 from pactlens.operators import encode, monitor
-from pactlens.operators.forest import evaluate, explain, fit, score, store, tree
+from pactlens.operators.forest import evaluate, explain, fit, score, store, tree, trials
 from pactlens.operators.sampling import most_atypical
 from pactlens.plans import jobs
+from pactlens.session import materialize
 from pactlens.sources.tables import write_table
 from pactlens.streaming import contracts as streams
 from tests.conftest import feature_row
@@ -192,6 +193,83 @@ def test_tuning(table):
     assert evaluate.best_trial(result).first()["recall_at_top"] == max(r["recall_at_top"] for r in rows)
 
 
+def test_draws_are_even_at_any_rate():
+    keys = np.arange(20_000, dtype=np.uint64)
+    for rate in (0.001, 0.04, 0.6, 1.0):
+        rows, trees = fit.draws(keys, 30, rate)
+        assert len(set(zip(rows.tolist(), trees.tolist()))) == len(rows)
+        per_tree = np.bincount(trees, minlength=30) / 20_000
+        assert np.abs(per_tree - rate).max() <= 5 * (rate * (1 - rate) / 20_000) ** 0.5
+        both = np.intersect1d(rows[trees == 3], rows[trees == 4])
+        assert abs(len(both) / 20_000 - rate**2) < 0.02
+
+
+def test_only_drawn_rows_move(table):
+    encoded = encode.encode(table, encode.fit_index(table))
+    samples = fit.tree_samples(encoded, 2_000, 10, 64, 1)
+    assert "Exchange hashpartitioning" not in samples._jdf.queryExecution().executedPlan().toString()
+    once = sorted(map(tuple, samples.collect()))
+    for parts in (1, 4, 17):
+        moved = fit.tree_samples(encode.encode(table.repartition(parts), encode.fit_index(table)), 2_000, 10, 64, 1)
+        assert sorted(map(tuple, moved.collect())) == once
+
+
+def test_stacked_trials_score_like_a_forest_each(spark, table):
+    design = [{"n_trees": 20, "max_samples": 64, "max_features": 1.0}, {"n_trees": 9, "max_samples": 500, "max_features": 0.6}]
+    sizes = [64, 500]
+    index = encode.fit_index(table)
+    encoded = materialize(encode.encode(table, index), "encoded")
+    n_slots = index.count()
+    samples = fit.tree_samples(encoded, 2_000, 20, 500, 3)
+    packed = materialize(trials.grow_trials(samples, design, sizes, n_slots, 3), "packed")
+    assert packed.groupBy("trial_id").count().orderBy("trial_id").collect() == [(0, 20), (1, 9)]
+    together = trials.score_trials(encoded, packed, sizes, n_slots)
+    apart = trials.score_trials(encoded, packed, sizes, n_slots, most=packed.agg(F.max("n_nodes") * 20).head()[0])
+    got = {r["url_contrato"]: r["scores"] for r in together.collect()}
+    assert got == {r["url_contrato"]: r["scores"] for r in apart.collect()} and all(len(x) == 2 for x in got.values())
+    rows = packed.collect()
+    for e in encoded.limit(30).collect():
+        numbers, slots = [e[c] for c in NUMERIC], [e[c] for c in encode.SLOTS]
+        for k, size in enumerate(sizes):
+            lengths = []
+            for r in rows:
+                if r["trial_id"] == k:
+                    feature, left = np.frombuffer(r["feature"], np.int32), np.frombuffer(r["left"], np.int32)
+                    threshold, path = np.frombuffer(r["threshold"]), np.frombuffer(r["path"])
+                    node = 0
+                    while left[node] != node:
+                        f = feature[node]
+                        value = numbers[f] if f < 6 else float((f - 6) in slots)
+                        node = left[node] + (value > threshold[node])
+                    lengths.append(path[node])
+            want = 2.0 ** (-np.mean(lengths) / float(tree.average_path(size))) - 0.5
+            assert got[e["url_contrato"]][k] == pytest.approx(want, abs=1e-12)
+    with pytest.raises(ValueError):
+        trials.passes([5, 9, 7], 8)
+    assert trials.passes([5, 3, 7, 1], 8) == [[0, 1], [2, 3]]
+
+
+@pytest.mark.parametrize("bins", [2, 1024])
+def test_cuts_and_detected_against_sorting(spark, bins):
+    rng = np.random.default_rng(bins)
+    values = np.round(rng.normal(0, 0.1, (600, 4)), 3)
+    values[:, 1] = np.round(values[:, 1], 1)
+    values[:, 2] = 0.25
+    planted = rng.random(600) < 0.1
+    rows = [(f"id{i % 590:04d}", bool(p), [float(x) for x in v]) for i, (p, v) in enumerate(zip(planted, values))]
+    scored = spark.createDataFrame(rows, "id string, planted boolean, scores array<double>").repartition(5)
+    for k in (1, 30, 599, 600):
+        cuts = trials.top_cuts(scored, 4, k, bins)
+        found = trials.detected(scored, cuts, k, "id", "planted")
+        for t in range(4):
+            ranked = sorted(values[:, t], reverse=True)
+            assert cuts[t] == trials.Cut(ranked[k - 1], sum(x > ranked[k - 1] for x in ranked), ranked.count(ranked[k - 1]))
+            order = sorted(rows, key=lambda r: (-r[2][t], r[0]))
+            hits = sum(r[1] for r in order[:k])
+            # Rows of one identifier and score are equal to the cut.
+            assert abs(found[t] - hits) <= (order[k - 1][0] == order[min(k, 599)][0])
+
+
 def test_trial_design():
     design = evaluate.trial_design(40, 42)
     assert design[0] == evaluate.FIRST_TRIAL and design == evaluate.trial_design(40, 42) and len(design) == 40
@@ -200,6 +278,7 @@ def test_trial_design():
 
 def test_attributions_add_up(table, forest):
     examples = score.with_scores(table, forest).limit(6).withColumn("row_id", F.monotonically_increasing_id().cast("int"))
+    examples = materialize(examples, "examples")
     got = explain.attributions(forest, examples).groupBy("row_id").agg(F.sum("attribution").alias("s")).collect()
     nodes = forest.nodes.toPandas()
     leaves = nodes[nodes["feature"] < 0]
