@@ -854,21 +854,30 @@ _SIGNED = "TRY_CAST(fecha_de_firma_del_contrato AS TIMESTAMP)"
 
 
 @query(
-    f"""WITH {CONTRACTS_SQL},{RAW_SQL} SELECT url_contrato, 'kept' AS side FROM contracts WHERE {_SIGNED} < TIMESTAMP '1998-01-01'
-    UNION ALL SELECT url_contrato, CASE WHEN {_SIGNED} IS NULL THEN 'undated' ELSE 'after_bound' END FROM raw
+    f"""WITH {CONTRACTS_SQL} SELECT url_contrato, 'kept' AS side FROM contracts WHERE {_SIGNED} < TIMESTAMP '1998-01-01'
+    UNION ALL SELECT url_contrato, 'late' FROM contracts WHERE {_SIGNED} >= TIMESTAMP '1993-06-01' AND {_SIGNED} < TIMESTAMP '1993-07-01'
+    UNION ALL SELECT url_contrato, CASE WHEN {_SIGNED} IS NULL THEN 'undated' ELSE 'after_bound' END FROM contracts
     WHERE {_SIGNED} IS NULL OR {_SIGNED} >= TIMESTAMP '1998-01-01'"""
 )
 def stream_dedup(spark, sf):
-    """Both drops through the stateful deduplication, over several batches: the overlap collapses, and what is signed
-    after the bound goes to the side output."""
-    path, left = new_path(spark, "stream-dedup"), new_path(spark, "stream-left")
-    # The files come in no order of dates, so the window spans the history.
-    settings = SETTINGS.with_(overlap_days=4_000)
-    pages = lambda: streams.read_json_stream(spark, contract_files(spark, sf), 3)
-    streams.append_stream(streams.dedup_stream(pages(), "1998-01-01", settings), path, new_path(spark, "checkpoint")).awaitTermination()
-    streams.append_stream(streams.left_to_batch(pages(), "1998-01-01"), left, new_path(spark, "checkpoint")).awaitTermination()
-    kept = spark.read.parquet(path).select("url_contrato", F.lit("kept").alias("side"))
-    return kept.unionByName(spark.read.parquet(left).select("url_contrato", F.col("reason").alias("side")))
+    """Three drops out of date order through the stateful deduplication, with the overlap of five days: repeats inside it
+    collapse, a month of an earlier year comes late, and what is signed after the bound or not at all is left to the batch."""
+    source, path, left, checkpoint = (new_path(spark, f"stream-{x}") for x in ("source", "dedup", "left", "checkpoint"))
+    landed = landing.land(tables.contracts(spark, sf))
+    day = F.col("fecha_de_firma_del_contrato")
+    drops = (
+        day.isNull() | (day < "1995-01-01"),
+        (day >= "1994-12-28") & (day < "1997-01-01"),
+        (day >= "1996-12-28") | ((day >= "1993-06-01") & (day < "1993-07-01")),
+    )
+    pages = None
+    for drop in drops:
+        landed.filter(drop).write.mode("append").json(source)
+        pages = streams.read_json_stream(spark, source)
+        streams.append_stream(streams.dedup_sides(pages, "1998-01-01", SETTINGS), path, checkpoint).awaitTermination()
+    streams.append_stream(streams.left_to_batch(pages, "1998-01-01"), left, new_path(spark, "checkpoint")).awaitTermination()
+    sides = spark.read.parquet(path).select("url_contrato", "side")
+    return sides.unionByName(spark.read.parquet(left).select("url_contrato", F.col("reason").alias("side")))
 
 
 @query()

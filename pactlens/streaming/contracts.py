@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from pactlens.config import DEFAULTS, RAW_COLUMNS, SIGN_DATE, Settings
@@ -16,6 +19,13 @@ from pactlens.operators.reference import ReferenceTables, featurize_new, split_v
 from pactlens.sources.landing import RAW_SCHEMA
 
 
+DAY_MS = 86_400_000
+#: Groups of state per signing day.
+BUCKETS = 4
+_KEYED = ("_day", "_bucket", "_signed_ms", "_digest")
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def read_json_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(RAW_SCHEMA)
     if files_per_trigger:
@@ -47,26 +57,81 @@ def left_to_batch(pages: DataFrame, before: str) -> DataFrame:
     return pages.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the state of a query has dropped behind its watermark, over the progress it remembers."""
-    return sum(int(o["numRowsDroppedByWatermark"]) for p in query.recentProgress for o in p["stateOperators"])
-
-
-def dedup_stream(pages: DataFrame, before: str, settings: Settings = DEFAULTS) -> DataFrame:
-    """First sighting of each whole row within the overlap, by signing date.
-
-    Rows signed at or after ``before`` are left to the batch run, as a wrong future date would close the window, and
-    so are rows without a date: ``left_to_batch`` has them.  Rows later than the watermark are dropped by the state;
-    ``late_rows`` counts them.  State holds the days of the overlap only.
+def _first_sightings(columns: list[str]) -> StatefulProcessor:
+    # A class of its own for each query: Spark also loads it where the package is not shipped, and then needs it by value.
+    class FirstSightings(StatefulProcessor):
+        """The first of equal rows per signing day and bucket; rows behind the watermark go on as ``late``.
+
+        State is one value per day and bucket, the digests seen, read and written once a batch.  A timer drops it when the
+        watermark has passed the day, since every row of the day is late from then on.
+        """
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.seen = handle.getValueState("seen", "digests binary")
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            watermark = timerValues.getCurrentWatermarkInMs()
+            kept = self.seen.get()[0] if self.seen.exists() else b""
+            seen = {kept[i : i + 16] for i in range(0, len(kept), 16)}
+            found = []
+            for frame in rows:
+                if frame.empty:
+                    continue
+                # Computed columns arrive under names of Spark's own, in their order.
+                frame = frame.set_axis([*columns, *_KEYED], axis=1)
+                late = frame["_signed_ms"].to_numpy() < watermark
+                sides = []
+                for digest, is_late in zip(frame["_digest"], late.tolist(), strict=True):
+                    digest = bytes(digest)
+                    sides.append("late" if is_late else None if digest in seen else "kept")
+                    if not is_late and digest not in seen:
+                        seen.add(digest)
+                        found.append(digest)
+                out = frame[columns].assign(side=sides)
+                yield out[out["side"].notna()]
+            if found:
+                self.seen.update((kept + b"".join(found),))
+                self.handle.registerTimer((int(key[0]) + 1) * DAY_MS)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            self.seen.clear()
+            return iter(())
+
+        def close(self) -> None:
+            pass
+
+    return FirstSightings()
+
+
+def dedup_sides(pages: DataFrame, before: str, settings: Settings = DEFAULTS, buckets: int = BUCKETS) -> DataFrame:
+    """Rows with their ``side``: ``kept`` for the first sighting of each whole row within the overlap, by signing date, and
+    ``late`` for rows signed before the watermark, which is the latest signing date of earlier batches less the overlap.
+
+    Rows signed at or after ``before`` take no part, as a wrong future date would close the window, and neither do rows
+    without a date: ``left_to_batch`` has them.  So every row of the input is kept, a repeat of a kept row, late, or left
+    to the batch run.  Arbitrary state needs the RocksDB store, which this sets for the session.  State holds 16 bytes for each row of the overlap's days, in ``buckets`` groups a day, so that no
+    group grows beyond a task.
     """
     columns = list(RAW_COLUMNS)
-    return (
-        pages.withColumn("_signed", _signed())
-        .filter(F.col("_signed") < F.lit(before).cast("timestamp"))
-        .withWatermark("_signed", f"{settings.overlap_days} days")
-        .dropDuplicatesWithinWatermark(columns)
-        .drop("_signed")
+    content = F.concat(*[F.when(F.col(c).isNull(), F.lit("-")).otherwise(F.concat(F.length(c), F.lit(":"), F.col(c))) for c in columns])
+    signed = pages.withColumn("_signed", _signed()).filter(F.col("_signed") < F.lit(before).cast("timestamp"))
+    keyed = signed.withWatermark("_signed", f"{settings.overlap_days} days").select(
+        *columns,
+        F.floor(F.unix_millis("_signed") / DAY_MS).alias("_day"),
+        F.pmod(F.xxhash64(content), F.lit(buckets)).alias("_bucket"),
+        F.unix_millis("_signed").alias("_signed_ms"),
+        F.unhex(F.md5(content)).alias("_digest"),
     )
+    schema = StructType([*RAW_SCHEMA.fields, StructField("side", StringType())])
+    pages.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    # Without the watermark's own column, Spark hands late rows over instead of dropping them.
+    return keyed.groupBy("_day", "_bucket").transformWithStateInPandas(_first_sightings(columns), schema, "Append", "EventTime")
+
+
+def dedup_stream(pages: DataFrame, before: str, settings: Settings = DEFAULTS) -> DataFrame:
+    """First sighting of each whole row within the overlap; ``dedup_sides`` without the late rows."""
+    return dedup_sides(pages, before, settings).filter(F.col("side") == "kept").drop("side")
 
 
 SIGHTING_SCHEMA = StructType([*RAW_SCHEMA.fields, StructField("ingestion_date", StringType())])

@@ -48,6 +48,30 @@ def test_dedup_within_the_overlap(spark, tmp_path):
     assert got == [("1", ""), ("2", ""), ("2", "1"), ("3", ""), ("4", ""), ("5", "")]
 
 
+def test_every_row_is_kept_repeated_late_or_left(spark, tmp_path):
+    source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "c")
+    days = [f"2024-01-{d:02d}" for d in range(1, 29)]
+    drops = [days[:20], days[14:28], days[2:9] + ["x", "2030-01-01"], days[24:28] + [None]]
+    for i, drop in enumerate(drops):
+        records = [contract(f"{d}-{n}", d) if d else {"numero_del_contrato": "none"} for d in drop for n in range(3)]
+        drop_file(source, f"{i}.json", *records, *records[:3])
+        pages = streams.read_json_stream(spark, str(source))
+        query = streams.append_stream(streams.dedup_sides(pages, "2024-06-01"), out, checkpoint)
+        query.awaitTermination()
+    # Days behind the watermark hold no state any more.
+    states = [o for p in query.recentProgress for o in p["stateOperators"]]
+    assert 0 < states[-1]["numRowsTotal"] <= 6 * streams.BUCKETS * 2
+    left = streams.left_to_batch(pages, "2024-06-01")
+    streams.append_stream(left, str(tmp_path / "left"), str(tmp_path / "c2")).awaitTermination()
+    sides = {r["side"]: r["count"] for r in spark.read.parquet(out).groupBy("side").count().collect()}
+    # The first drop repeats three of its own rows; the second and fourth repeat six and four days inside the overlap.
+    assert sides["kept"] == 28 * 3 and sides["late"] == 7 * 3 + 3
+    repeats = 3 + (6 * 3 + 3) + (4 * 3 + 3)
+    n_left = spark.read.parquet(str(tmp_path / "left")).count()
+    total = spark.read.json(str(source)).count()
+    assert sides["kept"] + sides["late"] + repeats + n_left == total and n_left == 2 * 3 + 3
+
+
 def sightings(spark, *rows):
     data = [tuple({**dict.fromkeys(RAW_SCHEMA.names), "numero_del_contrato": n, "fecha_de_firma_del_contrato": d}.values()) + (seen,) for n, d, seen in rows]
     schema = StructType([*RAW_SCHEMA.fields, StructField("ingestion_date", StringType())])
