@@ -23,7 +23,7 @@ from driver_tables import (
 from pactlens.config import CATEGORICAL, NUMERIC, RAW_COLUMNS, SIGN_YEAR, SUPPLIER
 from pactlens.functions.calendar import iso_timestamp, text_bound, year_of
 from pactlens.functions.hashing import exact_mean, exact_sum
-from pactlens.operators import dedup, drift, encode, features, monitor, profile, reference, sampling
+from pactlens.operators import dedup, drift, encode, features, monitor, profile, reference, sampling, summaries
 from pactlens.operators.forest import evaluate, explain, fit, score
 from pactlens.session import new_path
 from pactlens.sources import bronze, landing, windows
@@ -467,6 +467,45 @@ def drift_flags(spark, sf):
     return distances(spark, sf).select("column", "method", F.round("value", 9).alias("value"), "drifted")
 
 
+@query(with_features('SELECT "column", method, drifted FROM flags', _SPLIT, _NUM, _CAT, _GAPS, _NUM_STATS, _SHARES, _LARGE))
+def drift_flags_sketched(spark, sf):
+    """The verdicts again, the wide numeric columns from mergeable sketches."""
+    settings = SETTINGS.with_(drift_method="distances", drift_sketch_k=summaries.KLL_K)
+    return drift.column_drift(split(spark, sf), settings).select("column", "method", "drifted")
+
+
+_SUMMARY_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", COUNT({c}) AS n, COUNT(*) - COUNT({c}) AS nulls, TRUE AS distinct_holds, {'TRUE' if c in NUMERIC else 'CAST(NULL AS BOOLEAN)'} AS quantiles_hold FROM features"
+    for c in (*NUMERIC, *CATEGORICAL)
+)
+
+
+@query(with_features(_SUMMARY_SQL))
+def partition_summaries(spark, sf):
+    """Summaries by signing year, merged: counts, and whether estimates stay within the stated errors of the exact values."""
+    table = tables.features(spark, sf)
+    by_year = tables.written_once(
+        spark, sf, "year-summaries", lambda: summaries.summarise(table.withColumn("year", year_of(F.col("fecha_de_firma_del_contrato"))), ["year"], NUMERIC, CATEGORICAL)
+    )
+    shares = (0.01, 0.25, 0.5, 0.75, 0.99)
+    found = summaries.quantiles(by_year, shares).groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("share", "value"))).alias("q"))
+    counts = summaries.distinct_counts(by_year).join(found, "column", "left").collect()  # a row for each column
+    checks = []
+    for r in counts:
+        value = F.col(r["column"])
+        exact = F.count_distinct(value)
+        close = F.abs(F.lit(r["n_distinct"]) - exact) <= F.greatest(exact * 0.03, F.lit(0))
+        holds = F.lit(None).cast("boolean")
+        if r["q"]:
+            e = summaries.rank_error() * 1.5
+            holds = F.lit(True)
+            for share, at in r["q"].items():
+                holds = holds & (F.count_if(value <= at) / F.count(value) >= share - e) & (F.count_if(value < at) / F.count(value) <= share + e)
+        checks.append(F.struct(F.lit(r["column"]).alias("column"), F.lit(r["n"]).alias("n"), F.lit(r["nulls"]).alias("nulls"), close.alias("distinct_holds"), holds.alias("quantiles_hold")).alias(r["column"]))
+    packed = table.agg(*checks)
+    return packed.select(F.explode(F.array(*packed.columns)).alias("x")).select("x.*")
+
+
 @query()
 def drift_tests(spark, sf):
     """The report of a small reference period: p-values."""

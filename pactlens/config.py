@@ -122,6 +122,8 @@ class Settings:
     #: ``distances`` or ``tests``; never chosen by the size of the data.
     drift_method: str = "distances"
     low_cardinality: int = 5
+    # size of the sketches that estimate numeric drift; None computes it from all distinct values
+    drift_sketch_k: int | None = None
     p_value_threshold: float = 0.05
     distance_threshold: float = 0.1
     drift_share: float = 0.5

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+#: Values in a group up to which paths are counted: 10^8 steps at most.
+EXACT = 10_000
+
 
 def normal_two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2.0))
@@ -23,6 +27,48 @@ def kolmogorov_two_sample(d: float, n: float, m: float) -> float:
     return min(1.0, max(0.0, 2.0 * series))
 
 
+def kolmogorov_exact(d: float, n: int, m: int) -> float:
+    """Share of the orders of ``n`` and ``m`` values whose two-sample statistic is ``d`` at least.
+
+    An order is a lattice path from (0, 0) to (n, m), and its statistic the largest distance from the diagonal.  The paths
+    that stay below ``d`` are counted row by row; each row is scaled, and the logarithm of the scales kept.
+    """
+    if n > m:
+        n, m = m, n
+    reach = round(d * n * m)  # the statistic is a multiple of 1 / (n m)
+    if reach <= 0:
+        return 1.0
+
+    def inside(i: int) -> tuple[int, int]:
+        return max(0, (i * m - reach) // n + 1), min(m, -((-i * m - reach) // n) - 1)
+
+    lo, hi = inside(0)
+    paths, scale = np.ones(hi - lo + 1), 0.0
+    for i in range(1, n + 1):
+        a, b = inside(i)
+        if b < a:
+            return 1.0
+        row = np.zeros(b - a + 1)
+        shared = paths[a - lo : min(hi, b) - lo + 1]
+        row[: len(shared)] = shared
+        paths, lo, hi = np.cumsum(row), a, b
+        most = paths[-1]
+        if most == 0:
+            return 1.0
+        paths, scale = paths / most, scale + math.log(most)
+    if hi < m:
+        return 1.0
+    total = math.lgamma(n + m + 1) - math.lgamma(n + 1) - math.lgamma(m + 1)
+    return min(1.0, max(0.0, -math.expm1(math.log(paths[-1]) + scale - total)))
+
+
+def kolmogorov(d: float, n: float, m: float) -> float:
+    """Tail of the two-sample statistic: exact where both groups have at most ``EXACT`` values, else asymptotic."""
+    if max(n, m) <= EXACT:
+        return kolmogorov_exact(d, int(n), int(m))
+    return kolmogorov_two_sample(d, n, m)
+
+
 def chi_square_tail(x: float, dof: float) -> float:
     """Regularised upper incomplete gamma function of (dof / 2, x / 2)."""
     if x <= 0 or dof <= 0:
@@ -61,7 +107,7 @@ def p_value(method: pd.Series, statistic: pd.Series, n: pd.Series, m: pd.Series,
 
     def one(name, x, size_n, size_m, freedom):
         if name == "K-S p_value":
-            return kolmogorov_two_sample(x, size_n, size_m)
+            return kolmogorov(x, size_n, size_m)
         if name == "chi-square p_value":
             return chi_square_tail(x, freedom)
         if name == "Z-test p_value":

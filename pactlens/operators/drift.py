@@ -13,6 +13,7 @@ from pactlens.functions.calendar import year_of
 from pactlens.functions.casts import to_date_or_null
 from pactlens.functions.pvalues import p_value
 from pactlens.operators.ranks import running_totals
+from pactlens.operators.summaries import atoms, merge, summarise
 from pactlens.session import materialize
 
 REFERENCE, CURRENT = "reference", "current"
@@ -131,6 +132,39 @@ def _two_proportions() -> Column:
     return F.coalesce(F.try_divide(F.col("first.n_ref") / n - F.col("first.n_cur") / m, spread), F.lit(0.0))
 
 
+def sketched_statistics(by_period: DataFrame) -> DataFrame:
+    """What ``numeric_statistics`` says, from written summaries by ``period``.
+
+    The Kolmogorov-Smirnov D is off by at most twice the sketches' ``rank_error`` and a step of the grid, and the
+    Wasserstein-1 distance by at most that times the range of the values.  Sizes and deviations are exact.
+    """
+    values = atoms(by_period, ["period"])
+    freq = values.groupBy("column", "value").agg(
+        F.count_if(F.col("period") == REFERENCE).alias("n_ref"), F.count_if(F.col("period") == CURRENT).alias("n_cur")
+    )
+    found = numeric_statistics(materialize(freq, "sketch-atoms")).select("column", "ks_d", "w1")
+    known = merge(by_period, ["period"]).where(F.col("mean").isNotNull())
+    known = known.groupBy("column").agg(
+        F.max(F.when(F.col("period") == REFERENCE, F.col("n"))).alias("size_ref"),
+        F.max(F.when(F.col("period") == CURRENT, F.col("n"))).alias("size_cur"),
+        F.max(F.when(F.col("period") == REFERENCE, F.hll_sketch_estimate("distinct"))).alias("distinct_ref"),
+        F.max(F.when(F.col("period") == REFERENCE, F.sqrt(F.col("m2") / F.col("n")))).alias("sigma_ref"),
+    )
+    return known.join(found, "column").withColumn("w1_norm", F.col("w1") / F.greatest("sigma_ref", F.lit(SIGMA_FLOOR)))
+
+
+def _sketched(split: DataFrame, settings: Settings, numeric: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Statistics of the numeric columns with many values from sketches, and the names of the others."""
+    by_period = materialize(summarise(split, ["period"], numeric, k=settings.drift_sketch_k), "period-summaries")
+    found = materialize(sketched_statistics(by_period), "sketched-statistics")
+    few = F.col("distinct_ref") <= settings.low_cardinality
+    return found.filter(~few), [r["column"] for r in found.filter(few).select("column").collect()]
+
+
+def _no_frequencies(split: DataFrame) -> DataFrame:
+    return split.sparkSession.createDataFrame([], "column string, value double, n_ref long, n_cur long")
+
+
 def is_drifted(method: Column, value: Column, threshold: Column) -> Column:
     """A p-value drifts below its threshold, a distance above it; both strictly."""
     return F.when(method.rlike("(?i)p[_-]value"), value < threshold).otherwise(value > threshold)
@@ -140,14 +174,20 @@ def column_drift(split: DataFrame, settings: Settings = DEFAULTS, numeric=NUMERI
     """One row per column: the method for its kind, its value, threshold and verdict.
 
     ``drift_method`` says whether hypothesis tests or distances are taken; numeric columns with few distinct values
-    (``low_cardinality``) are treated as categorical, as the column ``kind`` shows.
+    (``low_cardinality``) are treated as categorical, as the column ``kind`` shows.  With ``drift_sketch_k`` the statistics
+    of the other numeric columns are estimated from mergeable sketches of this size, and no distinct value is shuffled.
     """
     if settings.drift_method not in ("distances", "tests"):
         raise ValueError(f"unknown drift method: {settings.drift_method}")
     period_sizes(split)
     small = F.lit(settings.drift_method == "tests")
     few = F.col("distinct_ref") <= settings.low_cardinality
-    numbers = materialize(frequencies(split, numeric, "double"), "numeric-frequencies")
+    if settings.drift_sketch_k:
+        wide, narrow_columns = _sketched(split, settings, numeric)
+        counted = narrow_columns
+    else:
+        wide, counted = None, numeric
+    numbers = materialize(frequencies(split, counted, "double") if counted else _no_frequencies(split), "numeric-frequencies")
     narrow = numbers.join(F.broadcast(_sizes(numbers).filter(few).select("column")), "column").select(
         "column", F.col("value").cast("string").alias("value"), "n_ref", "n_cur"
     )
@@ -155,7 +195,7 @@ def column_drift(split: DataFrame, settings: Settings = DEFAULTS, numeric=NUMERI
     if categorical:
         groups = narrow.unionByName(frequencies(split, categorical, "string"))
 
-    continuous = numeric_statistics(numbers).filter(~few).select(
+    continuous = (numeric_statistics(numbers).filter(~few) if wide is None else wide).select(
         "column",
         F.lit("numeric").alias("kind"),
         F.when(small, "K-S p_value").otherwise("Wasserstein distance (normed)").alias("method"),

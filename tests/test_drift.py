@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from pactlens.config import DEFAULTS, NUMERIC
 from pactlens.functions import pvalues
-from pactlens.operators import drift
+from pactlens.operators import drift, summaries
+from pactlens.session import materialize
 from tests.conftest import feature_row, plan_of
 
 
@@ -133,5 +134,66 @@ def test_tail_probabilities():
     assert pvalues.kolmogorov_two_sample(1.3580986393225505 / math.sqrt(big / 2), big, big) == pytest.approx(0.05, abs=1e-4)
 
 
+def test_exact_tail_against_all_orders():
+    from itertools import combinations
+
+    for n, m in [(a, b) for a in range(1, 6) for b in range(1, 7)] + [(7, 7), (8, 8)]:
+        gaps = []
+        for mine in combinations(range(n + m), n):
+            mine, i, gap = set(mine), 0, 0
+            for k in range(n + m):
+                i += k in mine
+                gap = max(gap, abs(i * m - (k + 1 - i) * n))
+            gaps.append(gap)
+        for reach in sorted(set(gaps)):
+            want = sum(g >= reach for g in gaps) / len(gaps)
+            assert pvalues.kolmogorov_exact(reach / (n * m), n, m) == pytest.approx(want, abs=1e-12)
+            assert pvalues.kolmogorov_exact(reach / (n * m), m, n) == pytest.approx(want, abs=1e-12)
+    assert pvalues.kolmogorov_exact(0.0, 5, 9) == 1.0
+    # Large groups: exact and asymptotic agree.
+    assert pvalues.kolmogorov(0.02, 9_000, 10_000) == pytest.approx(pvalues.kolmogorov_two_sample(0.02, 9_000, 10_000), abs=2e-3)
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_summaries_merge_like_their_rows(spark, parts):
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.lognormal(10, 2, 30_000), np.full(15_000, 7.0)])
+    rows = [(i % parts, float(v), f"c{int(v) % 900}") for i, v in enumerate(values)] + [(0, None, None), (0, float("nan"), "c1")]
+    table = spark.createDataFrame(rows, "p int, x double, c string")
+    whole = {r["column"]: r for r in summaries.merge(summaries.summarise(table, ["p"], ["x"], ["c"])).collect()}
+    assert (whole["x"]["n"], whole["x"]["nulls"], whole["c"]["n"], whole["c"]["nulls"]) == (45_000, 2, 45_001, 1)
+    assert whole["x"]["mean"] == pytest.approx(values.mean()) and whole["x"]["m2"] == pytest.approx(values.var() * len(values))
+    assert whole["c"]["mean"] is None and whole["c"]["quantiles"] is None
+    counts = {r["column"]: r["n_distinct"] for r in summaries.distinct_counts(summaries.summarise(table, ["p"], ["x"], ["c"])).collect()}
+    assert abs(counts["c"] / 900 - 1) < 0.03 and abs(counts["x"] / 30_001 - 1) < 0.03
+    ordered = np.sort(values)
+    for r in summaries.quantiles(summaries.summarise(table, ["p"], ["x"], ["c"]), (0.0, 0.1, 0.5, 0.9, 1.0)).collect():
+        below, upto = np.searchsorted(ordered, r["value"], "left") / len(ordered), np.searchsorted(ordered, r["value"], "right") / len(ordered)
+        assert below - 1.5 * summaries.rank_error() <= r["share"] <= upto + 1.5 * summaries.rank_error()
+
+
+def test_sketched_statistics_within_the_stated_error(spark):
+    rng = np.random.default_rng(4)
+    a, b = rng.normal(0, 1, 20_000), np.concatenate([rng.normal(0.3, 1.5, 15_000), np.zeros(5_000)])
+    rows = [("reference", float(x), 1.0) for x in a] + [("current", float(x), 1.0) for x in b]
+    split = spark.createDataFrame(rows, "period string, x double, constant double")
+    exact = {r["column"]: r for r in drift.numeric_statistics(drift.frequencies(split, ["x", "constant"], "double")).collect()}
+    both = summaries.summarise(split, ["period"], ["x", "constant"])
+    got = {r["column"]: r for r in drift.sketched_statistics(materialize(both, "both")).collect()}
+    error = 2 * summaries.rank_error() + 1 / summaries.GRID
+    assert abs(got["x"]["ks_d"] - exact["x"]["ks_d"]) <= error
+    assert abs(got["x"]["w1"] - exact["x"]["w1"]) <= error * (max(a.max(), b.max()) - min(a.min(), b.min()))
+    assert got["x"]["sigma_ref"] == pytest.approx(a.std()) and got["x"]["size_cur"] == 20_000
+    assert (got["constant"]["ks_d"], got["constant"]["w1"], got["constant"]["distinct_ref"]) == (0.0, 0.0, 1)
+
+
+def test_sketched_report_has_the_same_verdicts(make_features):
+    split = drift.split_by_year(periods(make_features))
+    reports = [drift.column_drift(split, DEFAULTS.with_(drift_sketch_k=k)).select("column", "kind", "method", "drifted") for k in (None, 1_000)]
+    assert sorted(map(tuple, reports[0].collect())) == sorted(map(tuple, reports[1].collect()))
+    plan = plan_of(summaries.summarise(split, ["period"], NUMERIC))
+    assert plan.count("Exchange hashpartitioning(period") == 1 and "Expand" not in plan
+
+
 def test_every_numeric_column_is_known():
     assert len(NUMERIC) == 6
