@@ -7,7 +7,10 @@ import sys
 from pactlens.plans import jobs
 from pactlens.session import build_session
 
-JOBS = ("process", "features", "profile", "reference_tables", "train", "score", "top_report", "search", "data_drift", "model_drift")
+JOBS = (
+    "extract", "land", "land_stream", "process", "process_new", "features", "profile", "reference_tables", "train", "score", "top_report",
+    "search", "data_drift", "model_drift", "retrain_signals", "compare_models",
+)
 
 
 def main(argv: list[str]) -> None:

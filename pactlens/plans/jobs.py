@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pactlens.config import CATEGORICAL, DEFAULTS, IDENTIFIERS, NUMERIC, Settings
 from pactlens.operators import drift, monitor
 from pactlens.operators.dedup import dedup_rows
+from pactlens.operators.kept import add_partition
 from pactlens.operators.features import features_summary, features_with_totals
 from pactlens.operators.forest.evaluate import best_trial, tune
 from pactlens.operators.forest.explain import explain_forest
@@ -24,16 +25,43 @@ from pactlens.operators.reference import (
 )
 from pactlens.operators.sampling import most_atypical
 from pactlens.session import materialize
-from pactlens.sources.bronze import empty_partitions, read_raw
+from pactlens.sources import landing
+from pactlens.sources.bronze import empty_partitions, read_raw, warn_empty_folders
 from pactlens.sources.tables import write_csv, write_table
+from pactlens.streaming import contracts as streams
 
 
 def _summary(spark: SparkSession, **values) -> DataFrame:
     return spark.createDataFrame([tuple(values.values())], list(values))
 
 
+def extract(spark: SparkSession, source_path: str, raw_root: str, checkpoint: str, settings: Settings = DEFAULTS) -> DataFrame:
+    """One incremental extract from a Parquet source with the signing date as ISO text, up to tomorrow."""
+    return landing.extract(spark.read.parquet(source_path), raw_root, checkpoint, settings=settings)
+
+
+def land(spark: SparkSession, pages_path: str, raw_root: str, ingestion_date: str) -> DataFrame:
+    """JSON pages to the raw partition of a date."""
+    rows = landing.write_raw(landing.read_json_pages(spark, pages_path), raw_root, ingestion_date)
+    return _summary(spark, total_rows=rows, output_dir=f"{raw_root}/ingestion_date={ingestion_date}")
+
+
+def land_stream(spark: SparkSession, pages_folder: str, raw_root: str, checkpoint: str) -> DataFrame:
+    """All JSON pages that have come in since the last run, exactly once, to the raw partition of today."""
+    query = streams.land_stream(streams.read_json_stream(spark, pages_folder), raw_root, checkpoint)
+    query.awaitTermination()
+    return _summary(spark, total_rows=sum(p["numInputRows"] for p in query.recentProgress), output_dir=raw_root)
+
+
+def process_new(spark: SparkSession, raw_root: str, kept_root: str, ingestion_date: str) -> DataFrame:
+    """One raw partition into the kept table, without the others."""
+    return add_partition(read_raw(spark, raw_root).where(F.col("ingestion_date") == ingestion_date), kept_root)
+
+
 def process(spark: SparkSession, raw_root: str, contracts_path: str, expected_dates: str = "") -> DataFrame:
-    """Raw partitions to distinct contracts, with a warning for every day of ``expected_dates`` that has no rows."""
+    """Raw partitions to distinct contracts, with a warning for every partition folder without a data file, and for every
+    day of ``expected_dates`` that has no rows."""
+    warn_empty_folders(spark, raw_root)
     raw = read_raw(spark, raw_root)
     if expected_dates:
         empty_partitions(raw, spark.createDataFrame([(d,) for d in expected_dates.split(",")], "ingestion_date string"))
@@ -133,3 +161,25 @@ def model_drift(
     forest = load_forest(spark, model_folder)
     write_table(monitor.model_drift(spark.read.parquet(features_path), forest, settings), report_path)
     return spark.read.parquet(report_path)
+
+
+def retrain_signals(
+    spark: SparkSession, features_path: str, model_folder: str, report_path: str, settings: Settings = DEFAULTS
+) -> DataFrame:
+    """Reasons to review the model: growth of the history, share of drifted columns, change of the anomaly rate."""
+    table = spark.read.parquet(features_path)
+    split = drift.split_by_year(table, settings)
+    history, new = drift.period_sizes(split)
+    share = drift.dataset_drift(drift.column_drift(split, settings), settings).first()["drifted_share"]
+    change = monitor.model_drift(table, load_forest(spark, model_folder), settings).first()["anomaly_rate_change_pct"]
+    write_table(drift.retrain_signals(history, new, share, change, spark, settings), report_path)
+    return spark.read.parquet(report_path)
+
+
+def compare_models(
+    spark: SparkSession, features_path: str, old_folder: str, new_folder: str, report_path: str, settings: Settings = DEFAULTS
+) -> DataFrame:
+    """Scores of an old and a new model on the same contracts."""
+    old, new = load_forest(spark, old_folder), load_forest(spark, new_folder)
+    write_table(monitor.compare_models(spark.read.parquet(features_path), old, new, settings), report_path)
+    return spark.read.parquet(report_path)

@@ -32,6 +32,29 @@ def read_raw(spark: SparkSession, raw_root: str, schema: StructType = RAW_SCHEMA
         raise NoPartitions(f"no ingestion_date=* partition in {raw_root}") from error
 
 
+def partition_folders(spark: SparkSession, raw_root: str) -> DataFrame:
+    """(ingestion_date, n_files) of every partition folder, by listing names; data files are those a reader takes."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(raw_root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for folder in files.listStatus(path) if files.exists(path) else ():
+        key, _, day = folder.getPath().getName().partition("=")
+        if folder.isDirectory() and key == "ingestion_date":
+            names = [f.getPath().getName() for f in files.listStatus(folder.getPath()) if f.isFile()]
+            found.append((day, sum(n.endswith(".parquet") and n[0] not in "._" for n in names)))
+    if not found:
+        raise NoPartitions(f"no ingestion_date=* partition in {raw_root}")
+    return spark.createDataFrame(sorted(found), "ingestion_date string, n_files int")
+
+
+def warn_empty_folders(spark: SparkSession, raw_root: str) -> list[str]:
+    """Dates of partition folders without a data file, with a warning for each."""
+    empty = [r["ingestion_date"] for r in partition_folders(spark, raw_root).where("n_files = 0").collect()]
+    for day in empty:
+        logger.warning("partition without data files: ingestion_date=%s", day)
+    return empty
+
+
 def partition_inventory(raw: DataFrame) -> DataFrame:
     return raw.groupBy("ingestion_date").agg(F.count("*").alias("n"))
 
