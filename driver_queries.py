@@ -227,8 +227,7 @@ def null_counts(spark, sf):
 
 @query(f"WITH {CONTRACTS_SQL},{_VALUES} SELECT COUNT(*) AS n, MIN(v) AS minimo, ROUND(AVG(v), 4) AS promedio, MAX(v) AS maximo FROM v")
 def value_distribution_exact(spark, sf):
-    table = profile.value_distribution(tables.contracts(spark, sf))
-    return table.select("n", "minimo", F.round("promedio", 4).alias("promedio"), "maximo")
+    return profile.value_range(tables.contracts(spark, sf)).withColumn("promedio", F.round("promedio", 4))
 
 
 _QUANTILES = ", ".join(f"QUANTILE_DISC({{0}}, {q}) AS {name}" for name, q in profile.QUANTILES.items())
@@ -287,7 +286,7 @@ def year_profile(spark, sf):
     GROUP BY 1) SELECT MIN(n) AS minimo, MAX(n) AS maximo, COUNT(*) AS n_proveedores_distintos FROM per"""
 )
 def supplier_concentration_exact(spark, sf):
-    return profile.supplier_concentration(tables.contracts(spark, sf)).select("minimo", "maximo", "n_proveedores_distintos")
+    return profile.supplier_range(tables.contracts(spark, sf))
 
 
 @query(

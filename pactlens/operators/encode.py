@@ -67,8 +67,10 @@ SLOTS = tuple(slot_column(c) for c in CATEGORICAL)
 def encode(features: DataFrame, index: DataFrame) -> DataFrame:
     """Add one slot number per categorical column, -1 for a category the index does not know.
 
-    Six broadcast joins with the index, which ``fit_index`` keeps within its bound.
+    Six broadcast joins with the index, whose size is checked.
     """
+    if not at_most(index, DEFAULTS.max_categories):
+        raise ValueError(f"more than {DEFAULTS.max_categories} categories: the index is too large to broadcast")
     encoded = features
     for column in CATEGORICAL:
         lookup = F.broadcast(

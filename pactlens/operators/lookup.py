@@ -12,6 +12,8 @@ from pactlens.functions.hashing import content_hash
 #: A key is hot when it holds at least this share of all rows, so there are at most its inverse of them.
 HOT_SHARE = 1 / 2_000
 SPREAD = 4_096
+#: Copies of each key of a lookup that is too large to broadcast.
+KEY_PARTS = 16
 
 
 def at_most(table: DataFrame, rows: int) -> bool:
@@ -22,10 +24,16 @@ def at_most(table: DataFrame, rows: int) -> bool:
 def attach_small(
     rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str, broadcast_rows: int
 ) -> DataFrame:
-    """Join a lookup with one row per key: broadcast within the bound, else left to adaptive execution."""
+    """Join a lookup with one row per key: broadcast within the bound.
+
+    Beyond it, each key of the lookup stands ``KEY_PARTS`` times, and the rows of a key are spread over its copies by
+    their content, so no task gets a whole hot key.
+    """
     if at_most(table, broadcast_rows):
-        table = F.broadcast(table)
-    return rows.join(table, list(keys), how)
+        return rows.join(F.broadcast(table), list(keys), how)
+    part = F.pmod(content_hash(rows.columns), F.lit(KEY_PARTS)).cast("int")
+    copies = table.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(KEY_PARTS - 1))))
+    return rows.withColumn("_part", part).join(copies, [*keys, "_part"], how).drop("_part")
 
 
 def attach_counts(

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pactlens.config import DEFAULTS, Settings
+from pactlens.config import CATEGORICAL, DEFAULTS, NUMERIC, Settings
 from pactlens.operators.drift import CURRENT, REFERENCE, column_drift, period_sizes, rate_change, split_by_year
+from pactlens.operators.encode import encode
 from pactlens.operators.forest.fit import Forest
-from pactlens.operators.forest.score import with_scores
-from pactlens.session import materialize
+from pactlens.operators.forest.score import score_encoded, with_scores
+from pactlens.session import materialize, spread
 
 RESULT = ("period", "anomaly_score", "is_anomaly")
 
@@ -45,10 +46,19 @@ def model_drift(features: DataFrame, forest: Forest, settings: Settings = DEFAUL
     return _score_report(scored, settings)
 
 
+def score_both(features: DataFrame, old: Forest, new: Forest) -> DataFrame:
+    """(``old``, ``new``): structs of score and flag of each row under two models, from one scan.
+
+    Each model has its own category index, so the rows are encoded twice, but read and moved once.
+    """
+    first = score_encoded(encode(spread(features), old.index), old)
+    packed = first.select(*features.columns, F.struct("anomaly_score", "is_anomaly").alias("old"))
+    second = score_encoded(encode(packed, new.index), new)
+    return second.select("old", F.struct("anomaly_score", "is_anomaly").alias("new"))
+
+
 def compare_models(features: DataFrame, old: Forest, new: Forest, settings: Settings = DEFAULTS) -> DataFrame:
     """The same rows under the old model (reference) and the new one (current), before a promotion."""
-    sides = [
-        with_scores(features, forest).select(F.lit(period).alias("period"), "anomaly_score", "is_anomaly")
-        for period, forest in ((REFERENCE, old), (CURRENT, new))
-    ]
-    return _score_report(materialize(sides[0].unionAll(sides[1]), "model-scores"), settings)
+    sides = F.array(*[F.struct(F.lit(period).alias("period"), f"{side}.*") for side, period in (("old", REFERENCE), ("new", CURRENT))])
+    both = score_both(features.select(*NUMERIC, *CATEGORICAL), old, new).select(F.explode(sides).alias("x")).select("x.*")
+    return _score_report(materialize(both, "model-scores"), settings)

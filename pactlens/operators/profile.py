@@ -49,12 +49,16 @@ def _quantiles(rows: DataFrame, column: str) -> dict[str, Column]:
     return {name: F.lit(v).cast(rows.schema[column].dataType) for name, v in zip(QUANTILES, values)}
 
 
-def value_distribution(contracts: DataFrame) -> DataFrame:
-    values = _values(contracts)
-    stats = values.agg(
+def value_range(contracts: DataFrame) -> DataFrame:
+    """Number, least, mean and largest of the amounts, in one pass."""
+    return _values(contracts).agg(
         F.count("*").alias("n"), F.min("v").alias("minimo"), F.avg("v").alias("promedio"), F.max("v").alias("maximo")
     )
-    return stats.withColumns(_quantiles(values, "v")).select("n", "minimo", "mediana", "promedio", "p95", "p99", "maximo")
+
+
+def value_distribution(contracts: DataFrame) -> DataFrame:
+    values = _values(contracts)
+    return value_range(contracts).withColumns(_quantiles(values, "v")).select("n", "minimo", "mediana", "promedio", "p95", "p99", "maximo")
 
 
 def in_range_share(contracts: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -102,14 +106,25 @@ def year_profile(contracts: DataFrame, settings: Settings = DEFAULTS) -> DataFra
     )
 
 
-def supplier_concentration(contracts: DataFrame) -> DataFrame:
-    """Distribution of the number of contracts per supplier."""
-    counted = contracts.filter(F.col(SUPPLIER).isNotNull()).groupBy(SUPPLIER).agg(F.count("*").alias("n"))
-    per_supplier = materialize(counted.select("n"), "contracts-per-supplier")
-    stats = per_supplier.agg(
+def _per_supplier(contracts: DataFrame) -> DataFrame:
+    return contracts.filter(F.col(SUPPLIER).isNotNull()).groupBy(SUPPLIER).agg(F.count("*").alias("n")).select("n")
+
+
+def _count_range(per_supplier: DataFrame) -> DataFrame:
+    return per_supplier.agg(
         F.min("n").alias("minimo"), F.max("n").alias("maximo"), F.count("*").alias("n_proveedores_distintos")
     )
-    return stats.withColumns(_quantiles(per_supplier, "n")).select(
+
+
+def supplier_range(contracts: DataFrame) -> DataFrame:
+    """Least and largest number of contracts of a supplier, and the number of suppliers."""
+    return _count_range(_per_supplier(contracts))
+
+
+def supplier_concentration(contracts: DataFrame) -> DataFrame:
+    """Distribution of the number of contracts per supplier."""
+    per_supplier = materialize(_per_supplier(contracts), "contracts-per-supplier")
+    return _count_range(per_supplier).withColumns(_quantiles(per_supplier, "n")).select(
         "minimo", "mediana", "p95", "p99", "maximo", "n_proveedores_distintos"
     )
 

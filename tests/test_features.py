@@ -177,3 +177,13 @@ def test_input_rules(spark, change, codes):
     assert reference.validate_new(new).first()["violations"] == codes
     accepted, rejected = reference.split_valid(new)
     assert (accepted.count(), rejected.count()) == ((0, 1) if codes else (1, 0))
+
+
+def test_large_lookup_is_joined_in_parts(spark):
+    from pactlens.operators.lookup import attach_small
+
+    rows = spark.createDataFrame([("a" if i % 3 else None, i) for i in range(200)] + [("b", 1), ("c", 2)], "k string, i int")
+    table = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "k string, m double")
+    for how in ("inner", "left"):
+        few, many = (sorted(map(str, attach_small(rows, table, ["k"], how, bound).select("k", "i", "m").collect())) for bound in (10, 1))
+        assert few == many and len(few) == (134 if how == "inner" else 202)

@@ -333,6 +333,9 @@ def test_model_drift_and_comparison(spark, forest, make_features):
     report = monitor.model_drift(rows, forest).first()
     assert (report["reference_rows"], report["current_rows"]) == (300, 300)
     assert 0 <= report["reference_anomaly_rate"] <= 1 and 0 <= report["current_anomaly_rate"] <= 1
+    both = monitor.score_both(rows, forest, forest).collect()
+    assert len(both) == 600 and all(r["old"] == r["new"] for r in both)
+    assert sorted(r["old"]["anomaly_score"] for r in both) == sorted(scores(score.with_scores(rows, forest)).values())
     same = monitor.compare_models(rows, forest, forest).first()
     assert same["score_drift_detected"] is False and same["reference_anomaly_rate"] == same["current_anomaly_rate"]
     with pytest.raises(ValueError):
@@ -357,6 +360,9 @@ def test_jobs_end_to_end(spark, table, tmp_path):
     write_table(table.sparkSession.createDataFrame(planted_rows(400, 0, (2023, 2025)), table.schema), features)
     assert jobs.data_drift(spark, features, str(tmp_path / "drift"), both).first()["n_columns_evaluated"] == 12
     assert jobs.model_drift(spark, features, model, str(tmp_path / "mdrift"), both).first()["reference_rows"] == 200
+    signals = jobs.retrain_signals(spark, features, model, str(tmp_path / "signals"), both).collect()
+    assert {r["signal"] for r in signals} == {"history_growth", "drifted_share", "anomaly_rate_change_pct"}
+    assert jobs.compare_models(spark, features, model, model, str(tmp_path / "compare"), both).first()["score_drift_value"] == 0
 
 
 def test_scoring_a_stream_equals_scoring_a_table(spark, table, forest, tmp_path):
