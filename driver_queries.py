@@ -26,7 +26,8 @@ from pactlens.functions.calendar import iso_timestamp, text_bound, year_of
 from pactlens.functions.hashing import exact_mean, exact_sum
 from pactlens.operators import dedup, drift, encode, features, kept, monitor, profile, reference, sampling, summaries
 from pactlens.operators.forest import evaluate, explain, fit, score
-from pactlens.session import new_path
+from pactlens.operators.forest.tree import average_path
+from pactlens.session import materialize, new_path
 from pactlens.sources import bronze, landing, windows
 from pactlens.streaming import contracts as streams
 
@@ -706,6 +707,19 @@ def attribution(spark, sf):
     return explain.explain_forest(scored_features(spark, sf), forest(spark, sf), SETTINGS)[1]
 
 
+@query(with_features(f"SELECT COUNT(*) AS explained, CAST(0 AS BIGINT) AS not_adding_up FROM features WHERE {' AND '.join(f'{c} IS NOT NULL' for c in NUMERIC)}"))
+def attribution_checks(spark, sf):
+    """Every scored row explained: its attributions and the expected path length add up to its own."""
+    model = forest(spark, sf)
+    rows = scored_features(spark, sf).where("anomaly_score IS NOT NULL").withColumn("row_id", F.monotonically_increasing_id())
+    rows = materialize(rows.select("row_id", "anomaly_score", *NUMERIC, *CATEGORICAL), "explained-rows")
+    found = explain.attributions(model, rows).groupBy("row_id").agg(F.sum("attribution").alias("total"))
+    expected = model.nodes.where("feature < 0").agg((F.sum(F.col("value") * F.col("n_samples")) / F.lit(model.sample_size * model.n_trees)).alias("e"))
+    path = -F.log2(F.col("anomaly_score") + 0.5) * float(average_path(model.sample_size))
+    error = F.abs(F.coalesce("total", F.lit(0.0)) + expected.scalar() - path)
+    return rows.join(found, "row_id", "left").agg(F.count("*").alias("explained"), F.count_if(error > 1e-6).alias("not_adding_up"))
+
+
 TRIALS = evaluate.trial_design(SETTINGS.n_trials, SETTINGS.seed)
 
 

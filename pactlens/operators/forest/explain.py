@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from math import factorial
 
@@ -14,9 +15,13 @@ from pactlens.config import CATEGORICAL, DEFAULTS, IDENTIFIERS, NUMERIC, Setting
 from pactlens.functions.hashing import content_hash
 from pactlens.operators.encode import SLOTS, encode, feature_names
 from pactlens.operators.forest.fit import Forest
+from pactlens.operators.forest.score import MAX_NODE_SLOTS
 from pactlens.operators.forest.tree import N_NUMERIC
 from pactlens.operators.sampling import most_atypical, sample_rows
-from pactlens.session import materialize, one_task_per_group
+from pactlens.session import materialize, spread
+
+#: Bound on the values (rows x features) a task works on at a time.
+MAX_CELLS = 1 << 22
 
 
 @dataclass
@@ -46,12 +51,18 @@ def _leaves(nodes: dict[int, tuple], goes_right: dict[int, np.ndarray], n_rows:
 def _leaf_attribution(leaf: _Leaf, phi: np.ndarray) -> None:
     """Add the Shapley values of one leaf: a player multiplies by 'passes' when present and by its share when not.
 
+    Rows that pass the same features have the same values, so these are found once for each set that occurs.
     ``sums[i, s]`` is the sum, over coalitions of ``s`` players other than ``i``, of the product of all factors.
     """
     k = len(leaf.features)
     weights = np.array([factorial(s) * factorial(k - 1 - s) / factorial(k) for s in range(k)])
-    shares, passes = np.array(leaf.shares), np.array(leaf.passes, dtype=np.float64)
-    sums = np.zeros((k, k, phi.shape[0]))
+    code = np.zeros(len(phi), np.int64)
+    for j, passed in enumerate(leaf.passes):
+        code |= passed.astype(np.int64) << j
+    sets, place = np.unique(code, return_inverse=True)
+    shares = np.array(leaf.shares)
+    passes = (sets >> np.arange(k)[:, None] & 1).astype(np.float64)
+    sums = np.zeros((k, k, len(sets)))
     sums[:, 0] = 1.0
     for j in range(k):
         joined = sums * shares[j]
@@ -59,7 +70,7 @@ def _leaf_attribution(leaf: _Leaf, phi: np.ndarray) -> None:
         joined[j] = sums[j]
         sums = joined
     value = np.einsum("s,isr->ir", weights, sums) * (passes - shares[:, None]) * leaf.value
-    phi[:, leaf.features] += value.T
+    phi[:, leaf.features] += value.T[place]
 
 
 def explain_tree(tree: pd.DataFrame, numbers: np.ndarray, slots: np.ndarray, width: int) -> np.ndarray:
@@ -94,20 +105,31 @@ def pick_examples(scored: DataFrame, n: int, seed: int) -> DataFrame:
 
 
 def attributions(forest: Forest, examples: DataFrame) -> DataFrame:
-    """(row_id, feature, attribution) of the few example rows; every task explains them by the trees it gets."""
-    wide = encode(examples, forest.index).select("row_id", *NUMERIC, *SLOTS).orderBy("row_id").toPandas()
-    ids = wide["row_id"].to_numpy()
-    numbers, slots = wide[list(NUMERIC)].to_numpy(np.float64), wide[list(SLOTS)].to_numpy(np.int64)
-    width, n_trees = N_NUMERIC + forest.n_slots, forest.n_trees
-
-    def explain(tree):
-        phi = explain_tree(tree, numbers, slots, width)
-        row, feature = np.nonzero(phi)
-        return pd.DataFrame({"row_id": ids[row], "feature": feature.astype(np.int32), "phi": phi[row, feature]})
+    """(row_id, feature, attribution) of the rows of a written table, as many as there are; zeros are left out.
 
-    trees = one_task_per_group(forest.nodes, n_trees, "tree_id").groupBy("tree_id")
-    per_tree = trees.applyInPandas(explain, "row_id int, feature int, phi double")
-    return per_tree.groupBy("row_id", "feature").agg((F.sum("phi") / n_trees).alias("attribution"))
+    Rows stay where they are, in Arrow batches; the trees, whose number and size are bounded as for scoring, are
+    broadcast.  A row's values come from one task, in the order of the trees.
+    """
+    if forest.n_trees << forest.depth > MAX_NODE_SLOTS:
+        raise ValueError("the forest is too large to broadcast; use fewer trees or rows per tree")
+    nodes = forest.nodes.toPandas()
+    shared = examples.sparkSession.sparkContext.broadcast([tree for _, tree in nodes.groupby("tree_id", sort=True)])
+    width, n_trees = N_NUMERIC + forest.n_slots, forest.n_trees
+    block = max(1, MAX_CELLS // width)
+
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), block):
+                rows = batch.iloc[start : start + block]
+                numbers, slots = rows[list(NUMERIC)].to_numpy(np.float64), rows[list(SLOTS)].to_numpy(np.int64)
+                phi = np.zeros((len(rows), width))
+                for tree in shared.value:
+                    phi += explain_tree(tree, numbers, slots, width)
+                row, feature = np.nonzero(phi)
+                yield pd.DataFrame({"row_id": rows["row_id"].to_numpy()[row], "feature": feature.astype(np.int32), "attribution": phi[row, feature] / n_trees})
+
+    wide = encode(spread(examples), forest.index).select(F.col("row_id").cast("long").alias("row_id"), *NUMERIC, *SLOTS)
+    return wide.mapInPandas(explain, "row_id long, feature int, attribution double")
 
 
 def explain_forest(scored: DataFrame, forest: Forest, settings: Settings = DEFAULTS) -> tuple[DataFrame, DataFrame]:
