@@ -401,7 +401,7 @@ cat_stats AS (SELECT "column", SUM(POW(n_cur - expected, 2) / expected) AS chi2,
 
 
 def split(spark, sf):
-    return drift.split_by_year(tables.features(spark, sf), SETTINGS)
+    return drift.split_by_year(tables.features_by_year(spark, sf), SETTINGS)
 
 
 def numeric_frequencies(spark, sf):
@@ -691,7 +691,7 @@ def score_new(spark, sf):
 
 @query()
 def model_drift(spark, sf):
-    return monitor.model_drift(tables.features(spark, sf), forest(spark, sf), SETTINGS)
+    return monitor.model_drift(tables.features_by_year(spark, sf), forest(spark, sf), SETTINGS)
 
 
 @query()
@@ -927,7 +927,7 @@ _SIGNED = "TRY_CAST(fecha_de_firma_del_contrato AS TIMESTAMP)"
 
 @query(
     f"""WITH {CONTRACTS_SQL} SELECT url_contrato, 'kept' AS side FROM contracts WHERE {_SIGNED} < TIMESTAMP '1998-01-01'
-    UNION ALL SELECT url_contrato, 'late' FROM contracts WHERE {_SIGNED} >= TIMESTAMP '1993-06-01' AND {_SIGNED} < TIMESTAMP '1993-07-01'
+    UNION ALL SELECT url_contrato, 'late' FROM contracts WHERE {_SIGNED} >= TIMESTAMP '1995-06-01' AND {_SIGNED} < TIMESTAMP '1995-07-01'
     UNION ALL SELECT url_contrato, CASE WHEN {_SIGNED} IS NULL THEN 'undated' ELSE 'after_bound' END FROM contracts
     WHERE {_SIGNED} IS NULL OR {_SIGNED} >= TIMESTAMP '1998-01-01'"""
 )
@@ -938,9 +938,9 @@ def stream_dedup(spark, sf):
     landed = landing.land(tables.contracts(spark, sf))
     day = F.col("fecha_de_firma_del_contrato")
     drops = (
-        day.isNull() | (day < "1995-01-01"),
-        (day >= "1994-12-28") & (day < "1997-01-01"),
-        (day >= "1996-12-28") | ((day >= "1993-06-01") & (day < "1993-07-01")),
+        day.isNull() | (day < "1996-01-01"),
+        (day >= "1995-12-28") & (day < "1997-06-01"),
+        (day >= "1997-05-29") | ((day >= "1995-06-01") & (day < "1995-07-01")),
     )
     pages = None
     for drop in drops:

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pactlens.config import DEFAULTS, RENAMES, Settings
 from pactlens.functions.casts import to_date_or_null, to_double_or_null
 from pactlens.operators.features import build_features
-from pactlens.session import materialize, spread
+from pactlens.session import materialize, new_path, spread
+from pactlens.sources.tables import write_by_year
 
 #: The order dates of the driver run from 1995 to 2001.
 SETTINGS: Settings = DEFAULTS.with_(reference_years=(1996,), current_years=(2000, 2001))
@@ -39,6 +40,16 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def features_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features in folders by signing year, for queries that compare years."""
+    key = (spark.sparkContext.applicationId, sf_dir, "features-by-year")
+    if key not in _written:
+        path = new_path(spark, "features-by-year")
+        write_by_year(features(spark, sf_dir), path)
+        _written[key] = spark.read.parquet(path)
+    return _written[key]
+
+
 def contracts_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer, nation, region, lineitem = (
         spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "customer", "nation", "region", "lineitem")

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pactlens.config import CATEGORICAL, DEFAULTS, NUMERIC, SIGN_DATE, Settings
+from pactlens.config import CATEGORICAL, DEFAULTS, NUMERIC, SIGN_DATE, SIGN_YEAR, Settings
 from pactlens.functions.calendar import year_of
 from pactlens.functions.casts import to_date_or_null
 from pactlens.functions.pvalues import p_value
@@ -28,6 +28,9 @@ def split_by_year(features: DataFrame, settings: Settings = DEFAULTS) -> DataFra
     period = F.when(year.isin(*settings.reference_years), REFERENCE).when(year.isin(*settings.current_years), CURRENT)
     # Ranges of dates, unlike years, reach the scan.
     asked = F.lit(False)
+    if SIGN_YEAR in features.columns:
+        # A table in folders by year: those of other years are not opened.
+        features = features.filter(F.col(SIGN_YEAR).isin(*settings.reference_years, *settings.current_years))
     for y in (*settings.reference_years, *settings.current_years):
         asked = asked | ((F.col(SIGN_DATE) >= F.lit(date(y, 1, 1))) & (F.col(SIGN_DATE) < F.lit(date(y + 1, 1, 1))))
     return features.filter(asked).select(period.alias("period"), *NUMERIC, *CATEGORICAL)

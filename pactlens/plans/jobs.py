@@ -27,7 +27,7 @@ from pactlens.operators.sampling import most_atypical
 from pactlens.session import materialize
 from pactlens.sources import landing
 from pactlens.sources.bronze import empty_partitions, read_raw, warn_empty_folders
-from pactlens.sources.tables import write_csv, write_table
+from pactlens.sources.tables import write_by_year, write_csv, write_table
 from pactlens.streaming import contracts as streams
 
 
@@ -73,9 +73,9 @@ def process(spark: SparkSession, raw_root: str, contracts_path: str, expected_da
 
 
 def features(spark: SparkSession, contracts_path: str, features_path: str, settings: Settings = DEFAULTS) -> DataFrame:
-    """Contracts to the features table."""
+    """Contracts to the features table, in folders by signing year."""
     table, totals = features_with_totals(spark.read.parquet(contracts_path), settings)
-    rows = write_table(table, features_path)
+    rows = write_by_year(table, features_path)
     return features_summary(totals, settings).withColumns({"output_rows": F.lit(rows), "output_path": F.lit(features_path)})
 
 

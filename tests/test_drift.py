@@ -62,6 +62,17 @@ def test_dates_reach_the_scan(make_features, spark, tmp_path):
     assert "PushedFilters: [Or(" in plan and "2023-01-01" in plan
 
 
+def test_folders_of_other_years_are_not_opened(make_features, spark, tmp_path):
+    from pactlens.sources.tables import write_by_year
+
+    table = periods(make_features, sizes=((2020, 40), (2023, 50), (2025, 30)))
+    assert write_by_year(table, str(tmp_path / "f")) == 120
+    split = drift.split_by_year(spark.read.parquet(str(tmp_path / "f")))
+    plan = plan_of(split)
+    assert "PartitionFilters: [anio_firma" in plan or "PartitionFilters: [isnotnull(anio_firma" in plan
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, drift.split_by_year(table).collect()))
+
+
 def test_empty_period(make_features):
     with pytest.raises(ValueError, match="reference=0, current=0"):
         drift.period_sizes(drift.split_by_year(periods(make_features, sizes=((2024, 5),))))
