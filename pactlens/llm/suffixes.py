@@ -45,8 +45,8 @@ BLOCK = 25
 WHOLE = (WINDOW - BLOCK + 1) // BLOCK
 #: Different ends of a name up to which one task compares them.
 LARGE = 2_000
-#: Texts with a chosen stretch up to which their keys (16 bytes each) are broadcast, to leave the other texts unmoved.
-MOST_KEYS = 1_000_000
+#: Texts with a chosen stretch up to which their keys (some 60 MB) are broadcast, to leave the other texts unmoved.
+MOST_KEYS = 400_000
 #: Windows of a text that are looked at together; bounds the memory a very long text takes.
 PIECE = 1 << 20
 _U64 = np.uint64

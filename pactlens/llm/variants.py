@@ -36,6 +36,7 @@ DELETE_EVERY = 31
 PARTITIONS = 3
 PARTS = 4
 GROUP = 256
+WORDS_PER_TASK = 40_000
 #: Words counted in a task before their counts are passed on.
 MOST_WORDS = 200_000
 _RUN = re.compile(rb"[a-z\xc0-\xff]+")
@@ -143,7 +144,10 @@ def _split_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def near_pairs(words: DataFrame, group: int = GROUP) -> DataFrame:
     """(a, an, b, bn): each pair of words one inserted, deleted or replaced code point apart, once, with their counts."""
-    posted = materialize(words.select("word", "n").mapInPandas(_post_rows, POSTED), "letter-signatures")
+    # A word makes two dozen rows: a small table of words is much work.
+    tasks = max(words.sparkSession.sparkContext.defaultParallelism, -(-words.count() // WORDS_PER_TASK))
+    dealt = words.select("word", "n").repartition(tasks, "word")
+    posted = materialize(dealt.mapInPandas(_post_rows, POSTED), "letter-signatures")
     ready = []
     while True:
         large = posted.groupBy("sig").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > group).select("sig")
