@@ -65,7 +65,7 @@ STAGES = [
     ("BPE encoding and decoding", encode),
 ]
 
-#: A network, an alignment and a tokenizer are beyond SQL; tests compare the run with brute force.
+#: A network, an alignment and a tokenizer are beyond SQL; tests check counts and ids of each stage, and the operators apart.
 ORACLE_SQL = None
 
 
