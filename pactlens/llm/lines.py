@@ -3,10 +3,7 @@
 A line is boilerplate when it stands on at least ``sites`` different sites.  A HyperLogLog sketch of the sites is kept for
 every line hash; sketches merge by aggregation, before and after the shuffle, so a line of a third of all documents costs
 one small row per task.  Lines whose estimate lies near the threshold get an exact distinct count.  Boilerplate lines go
-from every document on every site.
-
-A document that would lose more than half of its characters keeps all its lines: it is a copy of a spread document, which
-is the near-duplicate operator's business, and not a page with boilerplate around it.
+from every document on every site, however much of the document they are.
 """
 
 from __future__ import annotations
@@ -32,11 +29,11 @@ def _keys() -> list[Column]:
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """From (id, text, site): (k1, k2, pos, line, size, site) of every line that is not blank; ``line`` is a hash of the
-    trimmed line, and rows of equal id and text share the keys."""
+    """From (id, text, site): (k1, k2, pos, line, site) of every line that is not blank; ``line`` is a hash of the trimmed
+    line, and rows of equal id and text share the keys."""
     rows = docs.select(*_keys(), "site", F.posexplode(_lines(F.col("text"))).alias("pos", "raw"))
     rows = rows.withColumn("raw", F.trim("raw", F.lit(BLANKS))).where(F.col("raw") != "")
-    return rows.select("k1", "k2", "pos", F.xxhash64("raw").alias("line"), F.length("raw").alias("size"), "site")
+    return rows.select("k1", "k2", "pos", F.xxhash64("raw").alias("line"), "site")
 
 
 def boilerplate(lines: DataFrame, sites: int = SITES, near: float = NEAR) -> DataFrame:
@@ -54,17 +51,14 @@ def drop_boilerplate(docs: DataFrame, id_column: str = "doc_id", text_column: st
     """For every row of ``docs``: ``row`` (the row as a struct), ``n_lines``, ``n_removed`` and ``kept``, the text without
     boilerplate lines.
 
-    Null text is empty; blank lines and what stays are not changed; rows of equal id and text are treated alike; a null
+    Null text is empty; a text of nothing but boilerplate becomes empty; blank lines and what stays are not changed; rows of equal id and text are treated alike; a null
     site is no site; an empty table gives no rows.
     """
     packed = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), whole_text(text_column).alias("text"), F.col(site_column).cast("string").alias("site"))
     lines = line_rows(packed.select("id", "text", "site"))
-    gone = lines.join(boilerplate(lines, sites), "line").groupBy("k1", "k2", "pos").agg(F.max("size").alias("size"))
-    gone = gone.groupBy("k1", "k2").agg(F.collect_list("pos").alias("gone"), F.sum("size").alias("lost"))
+    gone = lines.join(boilerplate(lines, sites), "line").select("k1", "k2", "pos").distinct()
+    gone = gone.groupBy("k1", "k2").agg(F.collect_list("pos").alias("gone"))
     marked = packed.select("row", "text", *_keys()).join(materialize(gone, "lines-gone"), ["k1", "k2"], "left")
-    sizes = F.aggregate(_lines(F.col("text")), F.lit(0), lambda total, x: total + F.length(F.trim(x, F.lit(BLANKS))))
-    gone_or_none = F.when(F.col("lost").isNotNull() & (2 * F.col("lost") <= sizes), F.col("gone"))
-    marked = marked.select("row", "text", gone_or_none.alias("gone"))
     stays = F.filter(_lines(F.col("text")), lambda _, i: ~F.array_contains("gone", i))
     return marked.select(
         "row",
@@ -85,8 +79,7 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, string_split(coales
 l AS (SELECT r, source, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d),
 t AS (SELECT r, pos, source, line, {_TRIM} AS body FROM l),
 b AS (SELECT body FROM t WHERE body <> '' GROUP BY body HAVING count(DISTINCT source) >= {SITES}),
-m AS (SELECT r, pos, line, length(body) AS size, body IN (SELECT body FROM b) AS spread FROM t),
-g AS (SELECT *, spread AND 2 * sum(CASE WHEN spread THEN size ELSE 0 END) OVER (PARTITION BY r) <= sum(size) OVER (PARTITION BY r) AS goes FROM m),
+g AS (SELECT r, pos, line, body IN (SELECT body FROM b) AS goes FROM t),
 k AS (SELECT r, count(*) AS n_lines, count(*) FILTER (goes) AS n_removed,
              coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT goes), '') AS text FROM g GROUP BY r)
 SELECT doc_id, n_lines, n_removed, text FROM k JOIN d USING (r)
