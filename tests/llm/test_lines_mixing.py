@@ -8,15 +8,16 @@ from .conftest import ODD
 
 
 def brute_lines(rows, sites=SITES):
-    spread = {}
+    spread, whole = {}, {}
     for _, text, site in rows:
+        whole.setdefault(text or "", set()).update([site] if site is not None else [])
         for line in (text or "").split("\n"):
             if line.strip(" \t\n\x0b\x0c\r"):
                 spread.setdefault(line.strip(" \t\n\x0b\x0c\r"), set()).update([site] if site is not None else [])
     out = []
     for i, text, _ in rows:
         lines = (text or "").split("\n")
-        gone = [len(spread.get(x.strip(" \t\n\x0b\x0c\r"), ())) >= sites for x in lines]
+        gone = [len(spread.get(x.strip(" \t\n\x0b\x0c\r"), ())) >= sites > len(whole[text or ""]) for x in lines]
         out.append((i, len(lines), sum(gone), "\n".join(x for x, g in zip(lines, gone) if not g)))
     return out
 
@@ -26,6 +27,8 @@ def test_lines_against_brute_force(documents, spread):
     rows = [(i, f"own line number {i} which is long enough\n  boiler plate \nmore own {i}\n", f"site{i}") for i in range(spread)]
     rows += [(100 + i, "boiler plate", f"site{i}") for i in range(4)]  # lose everything
     rows += [(110 + i, f"Short {i}.\nboiler plate", f"site{i}") for i in range(4)]  # lose most of their characters
+    rows += [(300 + i, "a copied text\nof two lines\n", f"site{i}") for i in range(SITES)]  # whole on many sites
+    rows += [(400, "a copied text\nand a line of its own", "site0")]
     rows += [(200, "boiler plate\nnull site and a line of its own", None), (201, None, "s"), (202, "", "s")]
     got = [(r["row"]["doc_id"], r["n_lines"], r["n_removed"], r["kept"]) for r in drop_boilerplate(documents(rows)).collect()]
     assert sorted(got) == sorted(brute_lines(rows))
