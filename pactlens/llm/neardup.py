@@ -4,9 +4,11 @@ A text is the sequence of its k-mers (shingles of five words), each labelled wit
 A sketch takes the ``ELL`` labelled k-mers least under a hash of its own and keeps them in text order.  Two texts share a
 sketch when these agree, so the rate of agreement follows edit similarity and not only the set of shingles.
 
-Few shingles of a short text outlive an edit, so texts of at most ``SHORT`` words have more keys: the least labelled run of
-three words under ``SHORT_SKETCHES`` hashes, and, up to ``TINY`` words, what is left of the text after every choice of as
-many deletions as similarity allows edits.  Two texts that are similar share one of the latter, so there no pair is lost.
+Edits that are spread evenly leave few shingles of five words, or none, so every text has more sketches, of runs of
+three words: two of them in text order, in texts of more than ``SHORT`` words, and the least one in shorter texts, of which
+few runs outlive an edit.  Texts a little longer than ``SHORT`` have both, so similar texts have one kind in common.  Up to
+``TINY`` words what is left of the text after every choice of as many deletions as similarity allows edits is a key.  Two
+texts that are similar share one of the latter, so there no pair is lost.
 
 Texts that share a key are candidates, without listing the pairs of a group:
 
@@ -24,7 +26,7 @@ of words to insert, delete or replace.  Classes are the components of the simila
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
 
@@ -40,13 +42,15 @@ from pactlens.session import materialize
 
 K = 5
 ELL = 2
-SKETCHES = 96
+SKETCHES = 36
 SHORT = 80
-SHORT_K = 3
-SHORT_SKETCHES = 32
+RUN_K = 3
+RUN_SKETCHES = 60
 TINY = 14
-#: The number of sketches of a short text, and the one that all remainders of a tiny text count as.
-REMAINDER = SKETCHES + SHORT_SKETCHES
+#: Places of keys: sketches of shingles, of ordered runs, of single runs; the last is what all remainders count as.
+REMAINDER = SKETCHES + 2 * RUN_SKETCHES
+#: A place without a key.
+NONE = 0
 SIMILARITY = 0.8
 BLOCK_ROWS = 256
 CLASSES = 256
@@ -122,13 +126,18 @@ def remainders(hashes: np.ndarray, edits: int) -> np.ndarray:
 
 
 def all_keys(hashes: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
-    """The sketches of a text, those of a short one, and from place ``REMAINDER`` the remainders of a tiny one."""
-    keys = [order_sketches(hashes)]
-    if 0 < len(hashes) <= SHORT:
-        keys.append(order_sketches(hashes, SHORT_SKETCHES, 1, SHORT_K))
-    if 0 < len(hashes) <= TINY:
-        keys.append(remainders(hashes, most_edits(len(hashes), similarity)))
-    return np.concatenate(keys)
+    """The keys of a text by place, ``NONE`` where it has none, and from place ``REMAINDER`` the remainders of a tiny one."""
+    n = len(hashes)
+    keys = np.full(REMAINDER if n else 0, NONE, np.int64)
+    if n:
+        keys[:SKETCHES] = order_sketches(hashes)
+    if n > SHORT:
+        keys[SKETCHES : SKETCHES + RUN_SKETCHES] = order_sketches(hashes, RUN_SKETCHES, ELL, RUN_K)
+    if 0 < n and most_edits(n, similarity) >= n - SHORT:  # not longer than a text similar to a short one
+        keys[SKETCHES + RUN_SKETCHES :] = order_sketches(hashes, RUN_SKETCHES, 1, RUN_K)
+    if 0 < n <= TINY:
+        keys = np.r_[keys, remainders(hashes, most_edits(n, similarity))]
+    return keys
 
 
 def word_classes(hashes: np.ndarray, classes: int = CLASSES) -> np.ndarray:
@@ -245,18 +254,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return materialize(sides.mapInPandas(_verify(similarity), "a long, b long"), "similar")
 
 
-def _aligned(keys: Iterable[np.ndarray], fill: int) -> np.ndarray:
-    """The sketches of some texts, one row each; a longer text has ``fill`` for those of a short one."""
-    return np.stack([np.r_[x[:REMAINDER], np.full(max(0, REMAINDER - len(x)), fill)] for x in keys])
-
-
 def _block_pairs(similarity: float):
     """Pairs of different components between two blocks of a group that the bound does not exclude.  A pair that shares
     several sketches comes from the group of the first; one that shares remainders only, from each of those."""
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         counts = [np.frombuffer(b"".join(x["classes"]), "<u4").reshape(len(x), CLASSES).astype(np.int64) for x in (left, right)]
-        keys = [_aligned(x["keys"], fill) if len(x) else None for fill, x in enumerate((left, right))]
+        keys = [np.stack([k[:REMAINDER] for k in x["keys"]]) if len(x) else None for x in (left, right)]
         sketch = int(left["sketch"].iat[0]) if len(left) else 0
         sizes, labels, nodes = (right[c].to_numpy() for c in ("size", "label", "node"))
         out = []
@@ -267,7 +271,7 @@ def _block_pairs(similarity: float):
             apart = longer[rows] - np.minimum(counts[1][rows], counts[0][i]).sum(axis=1)
             rows = rows[apart <= (1 - similarity) * longer[rows] + 1e-9]
             if len(rows):
-                same = keys[1][rows] == keys[0][i]
+                same = (keys[1][rows] == keys[0][i]) & (keys[0][i] != NONE)
                 rows = rows[np.where(same.any(axis=1), same.argmax(axis=1), REMAINDER) == sketch]
                 out.append((np.full(len(rows), left["node"].iat[i]), nodes[rows]))
         return pd.DataFrame({"a": np.concatenate([a for a, _ in out]) if out else [], "b": np.concatenate([b for _, b in out]) if out else []})
@@ -287,7 +291,7 @@ def similar_pairs(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[Dat
     """From distinct texts (node, text): similar pairs that span every class, as links (a, b); and (node, label)."""
     sketched = texts.mapInPandas(_sketch_rows(similarity), "node long, keys array<long>, size long, classes binary")
     sketched = materialize(sketched.dropDuplicates(["node"]), "order-sketches")
-    posted = sketched.select("node", F.posexplode("keys").alias("place", "key"))
+    posted = sketched.select("node", F.posexplode("keys").alias("place", "key")).where(F.col("key") != NONE)
     posted = posted.select("node", F.least("place", F.lit(REMAINDER)).alias("sketch"), "key")
     posted = posted.select("node", "sketch", F.xxhash64("sketch", "key").alias("key"))
     groups = materialize(posted.groupBy("key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"), "sketch-groups")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from pactlens.llm.graph import components
-from pactlens.llm.neardup import banded_distance, keep_one, near_duplicates, occurrences, order_sketches, similar
+from pactlens.llm.neardup import NONE, REMAINDER, SHORT, all_keys, banded_distance, keep_one, near_duplicates, occurrences, order_sketches, similar
 from pactlens.llm.substring import Anchors, Rolling, intervals, repeated_spans
 from pactlens.llm.wordhash import WordHashes
 
@@ -146,6 +146,48 @@ def test_pairs_at_the_threshold_are_found(documents):
     assert found_share(*pairs_at(rng, alphabet, [90, 150, 300] * 50, scattered), documents) >= 0.9
 
 
+def replaced(rng, base, places):
+    return [rng.randrange(10**9) if i in places else w for i, w in enumerate(base)]
+
+
+def inserted(rng, base, places):
+    return [x for i, w in enumerate(base) for x in ((rng.randrange(10**9), w) if i in places else (w,))]
+
+
+def deleted(rng, base, places):
+    return [w for i, w in enumerate(base) if i not in places]
+
+
+def meet(a, b):
+    hashed = [all_keys(np.array(x, np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for x in (a, b)]
+    x, y = hashed
+    places = (x[:REMAINDER] == y[:REMAINDER]) & (x[:REMAINDER] != NONE)
+    return bool(places.any() or set(x[REMAINDER:].tolist()) & set(y[REMAINDER:].tolist()))
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.84])
+@pytest.mark.parametrize("edit_at", [replaced, inserted, deleted])
+@pytest.mark.parametrize("spread", ["random", "even"])
+def test_similar_texts_share_keys_at_any_length(similarity, edit_at, spread):
+    rng = random.Random(9)
+    for n in (5, 10, 15, 20, 40, SHORT, SHORT + 2, 101, 126, 150, 400):
+        n_edits = int((n / similarity - n if edit_at is inserted else n - similarity * n) + 1e-9)
+        found = tried = 0
+        for _ in range(100):
+            base = [rng.randrange(10**9) for _ in range(n)]
+            even = {int((i + 0.5) * n / n_edits) for i in range(n_edits)}
+            other = edit_at(rng, base, even if spread == "even" else set(rng.sample(range(n), n_edits)))
+            if similar(base, other):
+                tried, found = tried + 1, found + meet(base, other)
+        assert tried and found >= 0.95 * tried, (n, found, tried)
+
+
+def test_long_texts_with_spaced_edits_are_found(documents):
+    rng, alphabet = random.Random(10), [f"w{i}" for i in range(5000)]
+    spaced = lambda base, n: [f"new{i}" if i % 5 == 2 else w for i, w in enumerate(base)]
+    assert found_share(*pairs_at(rng, alphabet, [82, 100, 150, 400] * 20, spaced), documents) >= 0.95
+
+
 def test_near_duplicates_of_odd_rows(documents):
     rows = near_duplicates(documents(ODD)).collect()
     assert len(rows) == len(ODD)
