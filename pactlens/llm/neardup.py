@@ -12,7 +12,7 @@ texts that are similar share one of the latter, so there no pair is lost.
 
 Texts that share a key are candidates, without listing the pairs of a group:
 
-1. Equal texts fall together first; only distinct texts go on.
+1. Equal texts fall together first; only distinct texts go on.  Of keys that the same texts share only the first goes on.
 2. In every group the texts are compared with the least one, then with a random one of another component.  Groups of true
    copies become one component here.
 3. Groups that still hold several components are compared exactly, in blocks of rows ordered by component; block pairs
@@ -51,6 +51,8 @@ TINY = 14
 REMAINDER = SKETCHES + 2 * RUN_SKETCHES
 #: A place without a key.
 NONE = 0
+#: A posted key is its place, so that the least key has the least place, and as many bits of a hash.
+HASH_BITS = 55
 SIMILARITY = 0.8
 BLOCK_ROWS = 256
 CLASSES = 256
@@ -144,18 +146,18 @@ def word_classes(hashes: np.ndarray, classes: int = CLASSES) -> np.ndarray:
     return np.bincount((hashes >> _U64(40)).astype(np.int64) % classes, minlength=classes)
 
 
-def _sketch_rows(similarity: float):
+def _sketch_rows(similarity: float, described: bool):
+    """The keys of texts; if ``described``, their lengths and word classes too."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
         for batch in batches:
-            nodes, keys, sizes, counts = [], [], [], []
-            for node, text in zip(batch["node"], batch["text"], strict=True):
-                hashes = known.of(words(text))
-                nodes.append(node)
-                keys.append(all_keys(hashes, similarity))
-                sizes.append(len(hashes))
-                counts.append(word_classes(hashes).astype("<u4").tobytes())
-            yield pd.DataFrame({"node": nodes, "keys": keys, "size": sizes, "classes": counts})
+            hashed = [known.of(words(text)) for text in batch["text"]]
+            out = pd.DataFrame({"node": batch["node"].tolist(), "keys": [all_keys(h, similarity) for h in hashed]})
+            if described:
+                out["size"] = [len(h) for h in hashed]
+                out["classes"] = [word_classes(h).astype("<u4").tobytes() for h in hashed]
+            yield out
 
     return run
 
@@ -261,7 +263,7 @@ def _block_pairs(similarity: float):
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         counts = [np.frombuffer(b"".join(x["classes"]), "<u4").reshape(len(x), CLASSES).astype(np.int64) for x in (left, right)]
         keys = [np.stack([k[:REMAINDER] for k in x["keys"]]) if len(x) else None for x in (left, right)]
-        sketch = int(left["sketch"].iat[0]) if len(left) else 0
+        sketch = int(left["key"].iat[0]) >> HASH_BITS if len(left) else 0
         sizes, labels, nodes = (right[c].to_numpy() for c in ("size", "label", "node"))
         out = []
         for i in range(len(left) if len(right) else 0):
@@ -280,31 +282,36 @@ def _block_pairs(similarity: float):
 
 
 def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows, with their labels, of the groups that hold several components."""
-    labelled = members.select("key", "sketch", "node").join(labels, "node", "left")
-    labelled = materialize(labelled.select("key", "sketch", "node", F.coalesce("label", "node").alias("label")), "labelled-members")
+    """The rows, with their labels, of the groups that hold several components.  Components only grow, so a group that is
+    left out once need not be looked at again."""
+    labelled = members.select("key", "node").join(labels, "node", "left")
+    labelled = materialize(labelled.select("key", "node", F.coalesce("label", "node").alias("label")), "labelled-members")
     mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
     return materialize(labelled.join(materialize(mixed, "mixed-groups"), "key"), "mixed-members")
 
 
 def similar_pairs(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """From distinct texts (node, text): similar pairs that span every class, as links (a, b); and (node, label)."""
-    sketched = texts.mapInPandas(_sketch_rows(similarity), "node long, keys array<long>, size long, classes binary")
+    sketched = texts.mapInPandas(_sketch_rows(similarity, False), "node long, keys array<long>")
     sketched = materialize(sketched.dropDuplicates(["node"]), "order-sketches")
     posted = sketched.select("node", F.posexplode("keys").alias("place", "key")).where(F.col("key") != NONE)
-    posted = posted.select("node", F.least("place", F.lit(REMAINDER)).alias("sketch"), "key")
-    posted = posted.select("node", "sketch", F.xxhash64("sketch", "key").alias("key"))
-    groups = materialize(posted.groupBy("key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"), "sketch-groups")
-    members = materialize(posted.join(groups.select("key", "least"), "key"), "sketch-members")
+    place = F.least("place", F.lit(REMAINDER)).cast("long")
+    tail = F.shiftrightunsigned(F.xxhash64(place, "key"), 64 - HASH_BITS)
+    posted = posted.select("node", F.shiftleft(place, HASH_BITS).bitwiseOR(tail).alias("key"))
+    # A group is known by its least text and the sum of its texts' hashes in binary, without carry.
+    groups = posted.groupBy("key").agg(F.min("node").alias("least"), F.bit_xor(F.xxhash64("node")).alias("all"))
+    groups = groups.where(F.col("all") != F.xxhash64("least")).groupBy("least", "all").agg(F.min("key").alias("key"))
+    groups = materialize(groups.select("key", "least"), "sketch-groups")
+    members = materialize(posted.join(groups, "key"), "sketch-members")
     wanted = members.select("node").distinct()
     held = materialize(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "candidate-texts")
 
     ordered = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
     tried = materialize(members.where("node <> least").select(*ordered("least", "node")).distinct(), "least-pairs")
     links = _verified(tried, held, similarity)
-    labels = components(links)
+    labels, rest = components(links), members
     for turn in range(1, 1 + TURNS):
-        rest = _mixed(members, labels)
+        rest = _mixed(rest, labels)
         middle = rest.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "label")).alias("m"))
         middle = materialize(middle.select("key", F.col("m.node").alias("centre"), F.col("m.label").alias("own")), "centres")
         pairs = rest.join(middle, "key").where("label <> own").select(*ordered("centre", "node")).distinct()
@@ -313,15 +320,17 @@ def similar_pairs(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[Dat
         links = links.unionByName(_verified(pairs, held, similarity))
         labels = components(links)
 
-    rest = _mixed(members, labels)
+    rest = _mixed(rest, labels)
     row = F.row_number().over(Window.partitionBy("key").orderBy("label", "node"))
     rest = materialize(rest.withColumn("block", F.floor((row - 1) / BLOCK_ROWS).cast("int")), "mixed-blocks")
     blocks = rest.groupBy("key", "block").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     right = blocks.select("key", F.col("block").alias("other"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
     tasks = blocks.join(right, "key").where("block <= other and not (lo = hi and lo2 = hi2 and lo = lo2)")
     tasks = materialize(tasks.select("key", "block", "other").withColumn("task", F.xxhash64("key", "block", "other")), "block-pairs")
-    described = materialize(rest.join(sketched.select("node", "size", "classes", "keys"), "node"), "mixed-described")
-    columns = ["task", "sketch", "node", "label", "size", "classes", "keys"]
+    open_texts = held.join(rest.select("node").distinct(), "node", "left_semi")
+    known = open_texts.mapInPandas(_sketch_rows(similarity, True), "node long, keys array<long>, size long, classes binary")
+    described = materialize(rest.join(materialize(known, "open-texts"), "node"), "mixed-described")
+    columns = ["task", "key", "node", "label", "size", "classes", "keys"]
     lefts = tasks.select("key", "block", "task").join(described, ["key", "block"]).select(*columns)
     rights = tasks.select("key", F.col("other").alias("block"), "task").join(described, ["key", "block"]).select(*columns)
     rights = rights.toDF(*columns)  # columns of their own, where both sides come from one table
