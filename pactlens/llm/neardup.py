@@ -13,11 +13,13 @@ texts that are similar share one of the latter, so there no pair is lost.
 Texts that share a key are candidates, without listing the pairs of a group:
 
 1. Equal texts fall together first; only distinct texts go on.  Of keys that the same texts share only the first goes on.
-2. In every group the texts are compared with the least one, then with a random one of another component.  Groups of true
-   copies become one component here.
+2. Every text is compared with the one of its groups' least texts that it shares most keys with; then, in groups of several
+   components, with a random text of another one.  Groups of true copies become one component here.
 3. Groups that still hold several components are compared exactly, in blocks of rows ordered by component; block pairs
-   inside one component are left out.  A lower bound of the edit distance, from lengths and counts of word classes,
-   discards pairs that cannot be similar; it loses none that are.
+   inside one component are left out.
+
+A lower bound of the edit distance, from lengths and counts of word classes, discards pairs that cannot be similar before
+their texts move; it loses none that are.
 
 A pair counts as similar when 1 - distance / length of the longer >= ``SIMILARITY``, the distance being the least number
 of words to insert, delete or replace.  Classes are the components of the similar pairs.
@@ -25,10 +27,12 @@ of words to insert, delete or replace.  Classes are the components of the simila
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
+from operator import ne
 
 import numpy as np
 import pandas as pd
@@ -55,6 +59,9 @@ NONE = 0
 HASH_BITS = 55
 SIMILARITY = 0.8
 BLOCK_ROWS = 256
+#: Rows of block pairs, of all sizes, that one call compares, about; and pairs whose word classes are compared at once.
+BIN_ROWS = 4096
+CHUNK_PAIRS = 4096
 CLASSES = 256
 #: Rounds in which a random text of each group is compared with those of other components.
 TURNS = 1
@@ -76,6 +83,9 @@ def kmers(hashes: np.ndarray, k: int = K) -> np.ndarray:
 
 def occurrences(values: np.ndarray) -> np.ndarray:
     """For each value, how often it stood further left."""
+    s = np.sort(values)
+    if not (s[1:] == s[:-1]).any():
+        return np.zeros(len(values), _U64)
     order = np.argsort(values, kind="stable")
     s = values[order]
     first = np.r_[True, s[1:] != s[:-1]]
@@ -146,22 +156,31 @@ def word_classes(hashes: np.ndarray, classes: int = CLASSES) -> np.ndarray:
     return np.bincount((hashes >> _U64(40)).astype(np.int64) % classes, minlength=classes)
 
 
-def _sketch_rows(similarity: float, described: bool):
-    """The keys of texts; if ``described``, their lengths and word classes too."""
+def _sketch_rows(similarity: float):
+    """The keys of texts, their lengths, and their word classes, a byte for each where that holds all counts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
         for batch in batches:
-            hashed = [known.of(words(text)) for text in batch["text"]]
-            out = pd.DataFrame({"node": batch["node"].tolist(), "keys": [all_keys(h, similarity) for h in hashed]})
-            if described:
-                out["size"] = [len(h) for h in hashed]
-                out["classes"] = [word_classes(h).astype("<u4").tobytes() for h in hashed]
-            yield out
+            out: dict = {"node": batch["node"].tolist(), "keys": [], "size": [], "classes": []}
+            for text in batch["text"]:
+                hashes = known.of(words(text))
+                counts = word_classes(hashes)
+                out["keys"].append(all_keys(hashes, similarity))
+                out["size"].append(len(hashes))
+                out["classes"].append(counts.astype("u1" if counts.max() < 256 else "<u4").tobytes())
+            yield pd.DataFrame(out)
 
     return run
 
 
+def unpacked(classes: list[bytes]) -> np.ndarray:
+    """Word classes, one row for each text."""
+    if all(len(c) == CLASSES for c in classes):
+        return np.frombuffer(b"".join(classes), "u1").reshape(-1, CLASSES)
+    return np.stack([np.frombuffer(c, "u1" if len(c) == CLASSES else "<u4").astype(np.uint32) for c in classes])
+
+
 def _places(a: list) -> dict:
     out: dict = {}
     for i, x in enumerate(a):
@@ -231,13 +250,56 @@ def most_edits(longer: int, similarity: float = SIMILARITY) -> int:
     return int((1 - similarity) * longer + 1e-9)
 
 
+def aligned_distance(a: list, b: list, in_a: Counter, in_b: Counter) -> int:
+    """Edits of one alignment, so never less than the edit distance: words that stand once in either sequence, as many as
+    are in common order, and word by word between them."""
+    once = {w: j for j, w in enumerate(b) if in_b[w] == 1}
+    tails, ends, before, places = [], [], [], []
+    for i, w in enumerate(a):
+        j = once.get(w)
+        if j is None or in_a[w] != 1:
+            continue
+        at = bisect_left(tails, j)
+        before.append(ends[at - 1] if at else -1)
+        if at == len(tails):
+            tails.append(j)
+            ends.append(len(places))
+        else:
+            tails[at], ends[at] = j, len(places)
+        places.append((i, j))
+    edits, i, j = 0, len(a), len(b)
+    at = ends[-1] if ends else -1
+    while True:
+        x, y = places[at] if at >= 0 else (-1, -1)
+        rows, columns = i - x - 1, j - y - 1
+        if rows == columns:
+            if rows:
+                edits += sum(map(ne, a[x + 1 : i], b[y + 1 : j]))
+        else:
+            edits += max(rows, columns)
+        if at < 0:
+            return edits
+        i, j, at = x, y, before[at]
+
+
 def similar(a: list, b: list, similarity: float = SIMILARITY) -> bool:
     most = most_edits(max(len(a), len(b)), similarity)
     if abs(len(a) - len(b)) > most:
         return False
-    if max(len(a), len(b)) - (Counter(a) & Counter(b)).total() > most:
+    in_a, in_b = Counter(a), Counter(b)
+    if max(len(a), len(b)) - sum([min(n, in_b[w]) for w, n in in_a.items() if w in in_b]) > most:
         return False
-    return banded_distance(a, b, most) <= most
+    return aligned_distance(a, b, in_a, in_b) <= most or banded_distance(a, b, most) <= most
+
+
+def _within_bound(similarity: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            longer = np.maximum(batch["size_a"].to_numpy(), batch["size_b"].to_numpy())
+            shared = np.minimum(unpacked(batch["classes_a"].tolist()), unpacked(batch["classes_b"].tolist())).sum(axis=1, dtype=np.int64)
+            yield batch.loc[longer - shared <= (1 - similarity) * longer + 1e-9, ["a", "b"]]
+
+    return run
 
 
 def _verify(similarity: float):
@@ -249,34 +311,51 @@ def _verify(similarity: float):
     return run
 
 
+def _sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+    """The pairs (a, b) with the columns of both nodes."""
+    for side in ("a", "b"):
+        pairs = pairs.join(table.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+    return pairs
+
+
+def _possible(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """Those of ``pairs`` that the bound does not exclude; their texts need not move."""
+    sides = _sides(pairs, known, "size", "classes")
+    sides = sides.where(F.abs(F.col("size_a") - F.col("size_b")) <= (1 - similarity) * F.greatest("size_a", "size_b") + 1e-9)
+    return materialize(sides.mapInPandas(_within_bound(similarity), "a long, b long"), "possible")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Those of ``pairs`` (a, b) whose texts are similar."""
-    sides = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    sides = sides.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return materialize(sides.mapInPandas(_verify(similarity), "a long, b long"), "similar")
+    return materialize(_sides(pairs, texts, "text").mapInPandas(_verify(similarity), "a long, b long"), "similar")
 
 
 def _block_pairs(similarity: float):
-    """Pairs of different components between two blocks of a group that the bound does not exclude.  A pair that shares
-    several sketches comes from the group of the first; one that shares remainders only, from each of those."""
-
-    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        counts = [np.frombuffer(b"".join(x["classes"]), "<u4").reshape(len(x), CLASSES).astype(np.int64) for x in (left, right)]
-        keys = [np.stack([k[:REMAINDER] for k in x["keys"]]) if len(x) else None for x in (left, right)]
-        sketch = int(left["key"].iat[0]) >> HASH_BITS if len(left) else 0
-        sizes, labels, nodes = (right[c].to_numpy() for c in ("size", "label", "node"))
-        out = []
-        for i in range(len(left) if len(right) else 0):
-            own = left["size"].iat[i]
-            longer = np.maximum(sizes, own)
-            rows = np.flatnonzero((np.abs(sizes - own) <= (1 - similarity) * longer + 1e-9) & (labels != left["label"].iat[i]))
-            apart = longer[rows] - np.minimum(counts[1][rows], counts[0][i]).sum(axis=1)
-            rows = rows[apart <= (1 - similarity) * longer[rows] + 1e-9]
-            if len(rows):
-                same = (keys[1][rows] == keys[0][i]) & (keys[0][i] != NONE)
-                rows = rows[np.where(same.any(axis=1), same.argmax(axis=1), REMAINDER) == sketch]
-                out.append((np.full(len(rows), left["node"].iat[i]), nodes[rows]))
-        return pd.DataFrame({"a": np.concatenate([a for a, _ in out]) if out else [], "b": np.concatenate([b for _, b in out]) if out else []})
+    """Pairs of different components between the two blocks of each task (side 0 and 1, or all of side 0) that the bound
+    does not exclude.  A call takes many tasks, as most are small."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["task", "side"])
+        task, side, node, label, size = (rows[c].to_numpy() for c in ("task", "side", "node", "label", "size"))
+        counts = unpacked(rows["classes"].tolist())
+        starts = np.flatnonzero(np.r_[True, task[1:] != task[:-1]])
+        out = [np.empty((2, 0), np.int64)]
+        for start, end in zip(starts, np.r_[starts[1:], len(rows)], strict=True):
+            middle = start + int((side[start:end] == 0).sum())
+            x, y = (node[start:middle], node[middle:end]) if middle < end else (node[start:end], node[start:end])
+            lx, ly = (label[start:middle], label[middle:end]) if middle < end else (label[start:end], label[start:end])
+            sx, sy = (size[start:middle], size[middle:end]) if middle < end else (size[start:end], size[start:end])
+            longer = np.maximum(sx[:, None], sy[None, :])
+            open_ = (lx[:, None] != ly[None, :]) & (np.abs(sx[:, None] - sy[None, :]) <= (1 - similarity) * longer + 1e-9)
+            left, right = np.nonzero(open_ if middle < end else np.triu(open_, 1))
+            other = middle if middle < end else start
+            for at in range(0, len(left), CHUNK_PAIRS):
+                i, j = left[at : at + CHUNK_PAIRS], right[at : at + CHUNK_PAIRS]
+                shared = np.minimum(counts[start + i], counts[other + j]).sum(axis=1, dtype=np.int64)
+                near = longer[i, j] - shared <= (1 - similarity) * longer[i, j] + 1e-9
+                out.append(np.stack([x[i[near]], y[j[near]]]))
+        a, b = np.concatenate(out, axis=1)
+        return pd.DataFrame({"a": a, "b": b})
 
     return run
 
@@ -292,23 +371,26 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 def similar_pairs(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """From distinct texts (node, text): similar pairs that span every class, as links (a, b); and (node, label)."""
-    sketched = texts.mapInPandas(_sketch_rows(similarity, False), "node long, keys array<long>")
+    sketched = texts.mapInPandas(_sketch_rows(similarity), "node long, keys array<long>, size long, classes binary")
     sketched = materialize(sketched.dropDuplicates(["node"]), "order-sketches")
+    known = sketched.select("node", "size", "classes")
     posted = sketched.select("node", F.posexplode("keys").alias("place", "key")).where(F.col("key") != NONE)
     place = F.least("place", F.lit(REMAINDER)).cast("long")
     tail = F.shiftrightunsigned(F.xxhash64(place, "key"), 64 - HASH_BITS)
     posted = posted.select("node", F.shiftleft(place, HASH_BITS).bitwiseOR(tail).alias("key"))
     # A group is known by its least text and the sum of its texts' hashes in binary, without carry.
     groups = posted.groupBy("key").agg(F.min("node").alias("least"), F.bit_xor(F.xxhash64("node")).alias("all"))
-    groups = groups.where(F.col("all") != F.xxhash64("least")).groupBy("least", "all").agg(F.min("key").alias("key"))
-    groups = materialize(groups.select("key", "least"), "sketch-groups")
+    groups = groups.where(F.col("all") != F.xxhash64("least")).groupBy("least", "all").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("keys"))
+    groups = materialize(groups.select("key", "least", "keys"), "sketch-groups")
     members = materialize(posted.join(groups, "key"), "sketch-members")
     wanted = members.select("node").distinct()
     held = materialize(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "candidate-texts")
 
     ordered = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-    tried = materialize(members.where("node <> least").select(*ordered("least", "node")).distinct(), "least-pairs")
-    links = _verified(tried, held, similarity)
+    shared = members.where("node <> least").groupBy("node", "least").agg(F.sum("keys").alias("keys"))
+    best = shared.groupBy("node").agg(F.max(F.struct("keys", "least")).alias("best")).select("node", F.col("best.least").alias("least"))
+    tried = materialize(best.select(*ordered("least", "node")), "least-pairs")
+    links = _verified(_possible(tried, known, similarity), held, similarity)
     labels, rest = components(links), members
     for turn in range(1, 1 + TURNS):
         rest = _mixed(rest, labels)
@@ -317,7 +399,7 @@ def similar_pairs(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[Dat
         pairs = rest.join(middle, "key").where("label <> own").select(*ordered("centre", "node")).distinct()
         pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "centre-pairs")
         tried = tried.unionByName(pairs)
-        links = links.unionByName(_verified(pairs, held, similarity))
+        links = links.unionByName(_verified(_possible(pairs, known, similarity), held, similarity))
         labels = components(links)
 
     rest = _mixed(rest, labels)
@@ -326,15 +408,14 @@ def similar_pairs(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[Dat
     blocks = rest.groupBy("key", "block").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     right = blocks.select("key", F.col("block").alias("other"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
     tasks = blocks.join(right, "key").where("block <= other and not (lo = hi and lo2 = hi2 and lo = lo2)")
-    tasks = materialize(tasks.select("key", "block", "other").withColumn("task", F.xxhash64("key", "block", "other")), "block-pairs")
-    open_texts = held.join(rest.select("node").distinct(), "node", "left_semi")
-    known = open_texts.mapInPandas(_sketch_rows(similarity, True), "node long, keys array<long>, size long, classes binary")
-    described = materialize(rest.join(materialize(known, "open-texts"), "node"), "mixed-described")
-    columns = ["task", "key", "node", "label", "size", "classes", "keys"]
-    lefts = tasks.select("key", "block", "task").join(described, ["key", "block"]).select(*columns)
-    rights = tasks.select("key", F.col("other").alias("block"), "task").join(described, ["key", "block"]).select(*columns)
-    rights = rights.toDF(*columns)  # columns of their own, where both sides come from one table
-    found = lefts.groupBy("task").cogroup(rights.groupBy("task")).applyInPandas(_block_pairs(similarity), "a long, b long")
+    tasks = tasks.select("key", "block", "other", F.xxhash64("key", "block", "other").alias("task"))
+    sides = F.array(F.struct(F.col("block"), F.lit(0).alias("side")), F.struct(F.col("other").alias("block"), F.lit(1).alias("side")))
+    sides = F.explode(F.when(F.col("block") == F.col("other"), F.slice(sides, 1, 1)).otherwise(sides)).alias("s")
+    dealt = tasks.select("key", "task", sides).select("key", "task", "s.*").join(rest, ["key", "block"])
+    dealt = materialize(dealt.select("task", "side", "node", "label"), "block-members")
+    bins = -(-dealt.count() // BIN_ROWS) or 1
+    described = dealt.join(known, "node").withColumn("bin", F.pmod(F.xxhash64("task"), F.lit(bins)))
+    found = described.groupBy("bin").applyInPandas(_block_pairs(similarity), "a long, b long")
     found = found.select(*ordered("a", "b")).distinct().join(tried, ["a", "b"], "left_anti")
     links = links.unionByName(_verified(materialize(found, "block-candidates"), held, similarity))
     return links, components(links)

@@ -3,8 +3,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
+from pactlens.llm import neardup
 from pactlens.llm.graph import components
 from pactlens.llm.neardup import NONE, REMAINDER, SHORT, all_keys, banded_distance, keep_one, near_duplicates, occurrences, order_sketches, similar
 from pactlens.llm.substring import Anchors, Rolling, intervals, repeated_spans
@@ -46,6 +48,37 @@ def test_band_against_whole_table():
         assert got == true if true <= most else got > most
 
 
+def test_alignment_is_never_shorter_and_spares_the_table(monkeypatch):
+    rng = random.Random(2)
+    for _ in range(500):
+        a = [rng.randint(0, rng.choice([3, 60])) for _ in range(rng.randint(0, 60))]
+        b = edit(rng, a, rng.randint(0, 25), range(30))
+        most = neardup.most_edits(max(len(a), len(b)))
+        assert neardup.aligned_distance(a, b, Counter(a), Counter(b)) >= distance(a, b)
+        assert similar(a, b) == (distance(a, b) <= most)
+    monkeypatch.setattr(neardup, "banded_distance", None)
+    a = list(range(400))
+    assert similar(a, edit(rng, a, 40, range(10**6)))
+
+
+def test_one_call_compares_many_tasks():
+    rng = random.Random(3)
+    texts = [[rng.randint(0, 40) for _ in range(rng.randint(20, 30))] for _ in range(60)]
+    texts += [edit(rng, t, 3, range(40)) for t in texts] + [[7] * 300, [7] * 290]  # a class beyond a byte
+    batch = pd.DataFrame({"node": range(len(texts)), "text": [" ".join(map(str, t)) for t in texts]})
+    known = next(neardup._sketch_rows(neardup.SIMILARITY)(iter([batch])))
+    assert sorted(set(map(len, known["classes"]))) == [neardup.CLASSES, 4 * neardup.CLASSES]
+    rows, want = [], set()
+    for task in range(30):
+        left, right = rng.sample(range(len(texts)), 12), rng.sample(range(len(texts)), 9) if task % 2 else []
+        rows += [(task, 0, n, n % 7) for n in left] + [(task, 1, n, n % 7) for n in right]
+        want |= {tuple(sorted((x, y))) for x in left for y in (right or left) if x % 7 != y % 7 and similar(texts[x], texts[y])}
+    rows = pd.DataFrame(rows, columns=["task", "side", "node", "label"]).sample(frac=1, random_state=1).merge(known, on="node")
+    found = neardup._block_pairs(neardup.SIMILARITY)(rows)
+    got = {tuple(sorted(p)) for p in found.itertuples(index=False)}
+    assert want and want <= got and all(x % 7 != y % 7 for x, y in got)
+
+
 def test_occurrences_and_order_matter():
     values = np.array([5, 5, 7, 5, 7], np.uint64)
     assert occurrences(values).tolist() == [0, 1, 0, 2, 1]
