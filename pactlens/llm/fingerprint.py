@@ -30,20 +30,28 @@ RANGES_PER_PARTITION = 8
 _LOW = 0xFFFFFFFF
 
 
+def _draw_logs(spark: SparkSession) -> DataFrame:
+    """One row: minus the logarithm of each of the uniform draws of 13 bits; a look-up costs less than a logarithm."""
+    one = F.struct("id", (F.lit(13 * math.log(2)) - F.log(F.col("id") + 0.5)).alias("log"))
+    return spark.range(1 << 13).agg(F.sort_array(F.collect_list(one)).alias("_draws")).select(F.col("_draws.log").alias("_logs"))
+
+
 def _bids(term: Column, number: Column, logs: list[Column]) -> list[Column]:
-    """One packed bid for each weight's logarithm; null where the weight is 0.
+    """One packed bid for each weight's logarithm; null where the weight is 0.  Needs the column ``_logs``.
 
     One 64-bit hash gives five uniform draws; Gamma(2, 1) is minus the logarithm of the product of two.
     """
     draw = F.xxhash64(term, number)
-    bits = lambda shift, n: F.shiftrightunsigned(draw, shift).bitwiseAND(F.lit((1 << n) - 1)).cast("double") + 0.5
-    r = F.lit(26 * math.log(2)) - F.log(bits(0, 13) * bits(13, 13))
-    log_c = F.log(F.lit(26 * math.log(2)) - F.log(bits(26, 13) * bits(39, 13)))
-    b = bits(52, 12) * 2.0**-12
+    bits = lambda shift, n: F.shiftrightunsigned(draw, shift).bitwiseAND(F.lit((1 << n) - 1))
+    log = lambda shift: F.get(F.col("_logs"), bits(shift, 13).cast("int"))
+    r = log(0) + log(13)
+    log_c = F.log(log(26) + log(39))
+    b = (bits(52, 12).cast("double") + 0.5) * 2.0**-12
     out = []
     for log_weight in logs:
         t = F.floor(log_weight / r + b)
-        height = ((log_c - r * (t - b + 1.0) + 128.0) * float(1 << 23)).cast("long")
+        # Above 0 for every draw, so that the floor is the whole part.
+        height = F.floor((log_c - r * (t - b + 1.0) + 128.0) * float(1 << 23))
         out.append(F.shiftleft(height, 32).bitwiseOR(draw.bitwiseXOR(F.shiftleft(t, 16)).bitwiseAND(F.lit(_LOW))))
     return out
 
@@ -67,6 +75,7 @@ def signatures(rows: DataFrame, keys: list[str], texts: list[str], samples: int
         n = F.col(f"_n{i}")
         bags = bags.withColumn(f"_n{i}", F.when(n == 0, None).when(F.col("_term") == blank_term, F.lit(0.0)).otherwise(F.log(n.cast("double"))))
     blocks = bags.withColumn("_block", F.explode(F.array(*[F.lit(i) for i in range(samples // BLOCK)])))
+    blocks = blocks.crossJoin(F.broadcast(_draw_logs(rows.sparkSession)))
     drawn = []
     for j in range(BLOCK):
         number = F.col("_block") * BLOCK + j

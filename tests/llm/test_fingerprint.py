@@ -1,7 +1,9 @@
 import hashlib
+import math
+import re
 from collections import Counter
 
-from pactlens.llm.fingerprint import edited_fingerprints
+from pactlens.llm.fingerprint import BLOCK, _draw_logs, edited_fingerprints, signatures
 
 from .conftest import ODD
 
@@ -55,3 +57,14 @@ def test_plan_has_no_python(spark, documents, capsys):
     edited_fingerprints(documents([(1, "a b c", "s")])).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_draws_take_one_logarithm(documents):
+    rows = documents([(1, "a b b", "s"), (2, "a c", "s")]).selectExpr("doc_id", "text", "text as other")
+    plan = signatures(rows, ["doc_id"], ["text", "other"])._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < len(re.findall(r"\b(?:log|ln)\(", plan.lower())) <= 2 * BLOCK + 3  # one for each draw of a bid in two columns, the weights, the table
+
+
+def test_logs_of_draws(spark):
+    logs = _draw_logs(spark).head()["_logs"]
+    assert len(logs) == 1 << 13 and all(abs(x + math.log((k + 0.5) / 8192)) < 1e-12 for k, x in enumerate(logs))
