@@ -5,8 +5,8 @@ The kept table lies in folders by ``bucket``, a part of the hash of a row's cont
 * ``rows`` holds every distinct row once, with the date of the run that brought it and a 128-bit digest of its content.
 * ``seen`` holds (digest, date) of its later sightings.
 
-A run reads of ``rows`` the digests in the buckets that its own rows touch, and nothing else of the history; it appends new
-rows to ``rows`` and the others' dates to ``seen``.  Nothing is replaced, so a run that failed can be repeated, and partitions
+A run reads of ``rows`` the digests in the buckets that its own rows touch, and nothing else of the history.  Digests tell
+which of its rows are new; only those move whole, and none do if there are none.  It appends new rows to ``rows`` and the others' dates to ``seen``.  Nothing is replaced, so a run that failed can be repeated, and partitions
 may come in any order.  One run at a time may write.
 """
 
@@ -22,6 +22,10 @@ from pactlens.session import materialize
 from pactlens.sources.landing import RAW_SCHEMA
 
 BUCKETS = 64
+#: Parts of a bucket that new rows are dealt by, so that tasks are not bound to the number of buckets.
+PARTS = 16
+#: Up to so many equal rows of a run meet in the task of their digest; of more the map tasks keep one each first.
+MOST_COPIES = 10_000
 SIGHTING = "ingestion_date"
 _DIGEST = [StructField("_d1", LongType()), StructField("_d2", LongType())]
 _BUCKET = StructField("bucket", IntegerType())
@@ -57,16 +61,30 @@ def add_partition(rows: DataFrame, root: str, schema: StructType = RAW_SCHEMA, b
     """
     spark = rows.sparkSession
     first, second = _digests(schema.names)
-    new = dedup_rows(rows.select(*schema.names, SIGHTING)).withColumns({"_d1": first, "_d2": second})
-    new = materialize(new.withColumn("bucket", F.pmod("_d1", F.lit(buckets)).cast("int")), "new-sightings")
+    own = rows.select(*schema.names, SIGHTING)
+
+    def digested(df: DataFrame) -> DataFrame:
+        return df.withColumns({"_d1": first, "_d2": second}).withColumn("bucket", F.pmod("_d1", F.lit(buckets)).cast("int"))
+
+    latest = F.date_format(F.max(F.to_date(SIGHTING, "yyyy-MM-dd")), "yyyy-MM-dd")
+    new = digested(own).groupBy("bucket", *DIGEST).agg(latest.alias(SIGHTING), F.count(F.lit(1)).alias("_copies"))
+    new = materialize(new, "new-digests")
     touched = sorted(r["bucket"] for r in new.select("bucket").distinct().collect())  # at most ``buckets``
     kept = _read(spark, f"{root}/rows", _rows_schema(schema)).where(F.col("bucket").isin(touched)).select("bucket", *DIGEST)
     marked = materialize(new.join(kept.withColumn("_known", F.lit(True)), ["bucket", *DIGEST], "left"), "marked-sightings")
     known = F.col("_known").isNotNull()
-    fresh = marked.where(~known).select(*_rows_schema(schema).names)
+    unseen = marked.where(~known).select("bucket", *DIGEST)
+    if not unseen.isEmpty():
+        most = new.agg(F.max("_copies")).head()[0]
+        # Both sides are dealt alike, so join and grouping move nothing again and the rows of a bucket are in few tasks.
+        part = F.pmod("_d2", F.lit(PARTS)).alias("_part")
+        whole = digested(own if most <= MOST_COPIES else dedup_rows(own))
+        whole, unseen = (df.select("*", part).repartition("bucket", "_part") for df in (whole, unseen))
+        fresh = whole.join(unseen, ["bucket", "_part", *DIGEST], "left_semi")
+        fresh = fresh.groupBy("bucket", "_part", *DIGEST, *schema.names).agg(latest.alias(SIGHTING)).select(*_rows_schema(schema).names)
+        fresh.write.mode("append").partitionBy("bucket").parquet(f"{root}/rows")
     again = marked.where(known).select(*SEEN_SCHEMA.names)
-    for name, part in (("rows", fresh), ("seen", again)):
-        part.hint("rebalance", F.col("bucket")).write.mode("append").partitionBy("bucket").parquet(f"{root}/{name}")
+    again.hint("rebalance", F.col("bucket")).write.mode("append").partitionBy("bucket").parquet(f"{root}/seen")
     return marked.agg(
         F.lit(rows.count()).alias("input_rows"), F.count_if(~known).alias("new_rows"), F.count_if(known).alias("seen_before"), F.lit(len(touched)).alias("buckets_touched")
     )

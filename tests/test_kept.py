@@ -48,6 +48,22 @@ def test_only_touched_buckets_and_digests_are_read(spark, tmp_path, monkeypatch)
     assert "ReadSchema: struct<_d1:bigint,_d2:bigint>" in plan
 
 
+@pytest.mark.parametrize("most", [0, 10_000])
+def test_rows_seen_before_do_not_move_whole(spark, tmp_path, monkeypatch, most):
+    from pactlens.operators import kept
+
+    root, wide = str(tmp_path / "kept"), []
+    monkeypatch.setattr(kept, "MOST_COPIES", most)
+    real = kept.materialize
+    monkeypatch.setattr(kept, "materialize", lambda df, label: wide.append("a" in df.columns) or real(df, label))
+    rows = [(f"r{i % 40}", "x" if i % 3 else None) for i in range(200)]
+    for day in ("2024-01-01", "2024-01-03", "2024-01-02"):
+        add_partition(sightings(spark, day, rows), root, NARROW, 8)
+    assert not any(wide)
+    got = sorted(map(tuple, read_kept(spark, root, NARROW).collect()), key=repr)
+    assert got == sorted(((*r, "2024-01-03") for r in set(rows)), key=repr)
+
+
 def test_empty_partition_and_empty_table(spark, tmp_path):
     root = str(tmp_path / "kept")
     assert add_partition(sightings(spark, "2024-01-01", []), root, NARROW).first()["new_rows"] == 0
