@@ -14,7 +14,7 @@ from pactlens.config import IDENTIFIERS, NUMERIC
 from pactlens.operators.encode import SLOTS, complete, encode
 from pactlens.operators.forest.fit import Forest
 from pactlens.operators.forest.tree import N_NUMERIC, average_path
-from pactlens.session import spread
+from pactlens.session import materialize, spread
 
 #: Bound on the node slots of a broadcast forest (24 bytes per pair).
 MAX_NODE_SLOTS = 50_000_000
@@ -124,7 +124,8 @@ def with_scores(features: DataFrame, forest: Forest) -> DataFrame:
 def score_contracts(features: DataFrame, forest: Forest) -> DataFrame:
     """Identifiers, score and flag, most atypical first."""
     scored = with_scores(features, forest).select(*IDENTIFIERS, "anomaly_score", "is_anomaly")
-    return scored.orderBy(F.desc_nulls_last("anomaly_score"), *IDENTIFIERS)
+    # A sort reads its rows twice, to find ranges first; without the files every row would be scored twice.
+    return materialize(scored, "scores").orderBy(F.desc_nulls_last("anomaly_score"), *IDENTIFIERS)
 
 
 def scoring_summary(scored: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pactlens.plans import jobs
 from pactlens.session import materialize
 from pactlens.sources.tables import write_table
 from pactlens.streaming import contracts as streams
-from tests.conftest import feature_row
+from tests.conftest import feature_row, plan_of
 
 SMALL = DEFAULTS.with_(n_trees=60)
 
@@ -101,6 +101,10 @@ def test_flag_order_and_summary(table, forest):
     assert most_atypical(score.with_scores(table, forest)).count() == 10
 
 
+def test_sorted_scores_are_worked_out_once(table, forest):
+    assert "EvalPython" not in plan_of(score.score_contracts(table, forest))
+
+
 @pytest.mark.parametrize("parts", [1, 4, 17])
 def test_layout_does_not_change_scores(table, forest, parts):
     spread = table.repartition(parts)
