@@ -16,10 +16,11 @@ Texts that share a key are candidates, without listing the pairs of a group:
 2. Every text is compared with the one of its groups' least texts that it shares most keys with; then, in groups of several
    components, with a random text of another one.  Groups of true copies become one component here.
 3. Groups that still hold several components are compared exactly, in blocks of rows ordered by component; block pairs
-   inside one component are left out.
+   inside one component are left out.  A pair comes from the least of the groups that both its texts are in, so once.
 
 A lower bound of the edit distance, from lengths and counts of word classes, discards pairs that cannot be similar before
-their texts move; it loses none that are.
+their texts move; it loses none that are.  In blocks, longer texts also bring 16-bit marks of their words, as few classes
+tell them apart badly.
 
 A pair counts as similar when 1 - distance / length of the longer >= ``SIMILARITY``, the distance being the least number
 of words to insert, delete or replace.  Classes are the components of the similar pairs.
@@ -58,11 +59,15 @@ NONE = 0
 #: A posted key is its place, so that the least key has the least place, and as many bits of a hash.
 HASH_BITS = 55
 SIMILARITY = 0.8
-BLOCK_ROWS = 256
+BLOCK_ROWS = 2048
+#: Rows of a block that are held against the other block at once.
+STRIP_ROWS = 256
 #: Rows of block pairs, of all sizes, that one call compares, about; and pairs whose word classes are compared at once.
 BIN_ROWS = 4096
 CHUNK_PAIRS = 4096
 CLASSES = 256
+#: Texts of more words than classes, and of at most as many as this, have marks.
+MOST_MARKED = 4096
 #: Rounds in which a random text of each group is compared with those of other components.
 TURNS = 1
 _U64 = np.uint64
@@ -156,19 +161,28 @@ def word_classes(hashes: np.ndarray, classes: int = CLASSES) -> np.ndarray:
     return np.bincount((hashes >> _U64(40)).astype(np.int64) % classes, minlength=classes)
 
 
+def word_marks(hashes: np.ndarray) -> np.ndarray:
+    """Distinct 16-bit hashes of the words, each with the number of its earlier occurrences; none for a text of few words,
+    whose classes tell enough, or of very many."""
+    if not CLASSES < len(hashes) <= MOST_MARKED:
+        return np.empty(0, "<u2")
+    return np.unique((mix64(hashes + occurrences(hashes) * _MIX) >> _U64(48)).astype("<u2"))
+
+
 def _sketch_rows(similarity: float):
-    """The keys of texts, their lengths, and their word classes, a byte for each where that holds all counts."""
+    """The keys of texts, their lengths, their word classes, a byte for each where that holds all counts, and their marks."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
         for batch in batches:
-            out: dict = {"node": batch["node"].tolist(), "keys": [], "size": [], "classes": []}
+            out: dict = {"node": batch["node"].tolist(), "keys": [], "size": [], "classes": [], "marks": []}
             for text in batch["text"]:
                 hashes = known.of(words(text))
                 counts = word_classes(hashes)
                 out["keys"].append(all_keys(hashes, similarity))
                 out["size"].append(len(hashes))
                 out["classes"].append(counts.astype("u1" if counts.max() < 256 else "<u4").tobytes())
+                out["marks"].append(word_marks(hashes).tobytes())
             yield pd.DataFrame(out)
 
     return run
@@ -181,6 +195,17 @@ def unpacked(classes: list[bytes]) -> np.ndarray:
     return np.stack([np.frombuffer(c, "u1" if len(c) == CLASSES else "<u4").astype(np.uint32) for c in classes])
 
 
+def mark_bits(marks: list[np.ndarray]) -> np.ndarray:
+    """Marks as the bits of one row for each text."""
+    out = np.empty((len(marks), 1 << 10), _U64)
+    for at in range(0, len(marks), 256):
+        some = marks[at : at + 256]
+        flags = np.zeros((len(some), 1 << 16), bool)
+        flags[np.repeat(np.arange(len(some)), [len(m) for m in some]), np.concatenate(some)] = True
+        out[at : at + 256] = np.packbits(flags, axis=1).view(_U64)
+    return out
+
+
 def _places(a: list) -> dict:
     out: dict = {}
     for i, x in enumerate(a):
@@ -332,7 +357,23 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 
 def _block_pairs(similarity: float):
     """Pairs of different components between the two blocks of each task (side 0 and 1, or all of side 0) that the bound
-    does not exclude.  A call takes many tasks, as most are small."""
+    does not exclude.  A call takes many tasks, as most are small.  Rows may tell their group (``key``) and all groups of
+    their text (``met``); a pair then comes from the least group that both have."""
+
+    def by_marks(pairs: np.ndarray, size: np.ndarray, marks: list[np.ndarray]) -> np.ndarray:
+        """The bound for rows (i, j) that have marks: a mark that the other text lacks is a word that it lacks."""
+        known = np.array([len(m) for m in marks])
+        near = np.ones(pairs.shape[1], bool)
+        told = np.flatnonzero((known[pairs] > 0).all(axis=0))
+        used, place = np.unique(pairs[:, told], return_inverse=True)
+        bits, place = mark_bits([marks[i] for i in used]), place.reshape(2, -1)
+        for at in range(0, len(told), CHUNK_PAIRS // 8):
+            some = slice(at, at + CHUNK_PAIRS // 8)
+            own = pairs[:, told[some]]
+            both = np.bitwise_count(bits[place[0, some]] & bits[place[1, some]]).sum(axis=1, dtype=np.int64)
+            longer, shared = size[own].max(axis=0), both + (size[own] - known[own]).min(axis=0)
+            near[told[some]] = longer - shared <= (1 - similarity) * longer + 1e-9
+        return near
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["task", "side"])
@@ -340,38 +381,45 @@ def _block_pairs(similarity: float):
         counts = unpacked(rows["classes"].tolist())
         starts = np.flatnonzero(np.r_[True, task[1:] != task[:-1]])
         out = [np.empty((2, 0), np.int64)]
+        strips = []
         for start, end in zip(starts, np.r_[starts[1:], len(rows)], strict=True):
             middle = start + int((side[start:end] == 0).sum())
-            x, y = (node[start:middle], node[middle:end]) if middle < end else (node[start:end], node[start:end])
-            lx, ly = (label[start:middle], label[middle:end]) if middle < end else (label[start:end], label[start:end])
-            sx, sy = (size[start:middle], size[middle:end]) if middle < end else (size[start:end], size[start:end])
-            longer = np.maximum(sx[:, None], sy[None, :])
-            open_ = (lx[:, None] != ly[None, :]) & (np.abs(sx[:, None] - sy[None, :]) <= (1 - similarity) * longer + 1e-9)
-            left, right = np.nonzero(open_ if middle < end else np.triu(open_, 1))
-            other = middle if middle < end else start
+            stop = middle if middle < end else end
+            strips += [(x, min(x + STRIP_ROWS, stop), middle if middle < end else x, end) for x in range(start, stop, STRIP_ROWS)]
+        for start, stop, other, end in strips:  # a block against itself begins at the diagonal
+            x, y = slice(start, stop), slice(other, end)
+            longer = np.maximum(size[x, None], size[None, y])
+            open_ = (label[x, None] != label[None, y]) & (np.abs(size[x, None] - size[None, y]) <= (1 - similarity) * longer + 1e-9)
+            left, right = np.nonzero(np.triu(open_, 1) if other == start else open_)
             for at in range(0, len(left), CHUNK_PAIRS):
                 i, j = left[at : at + CHUNK_PAIRS], right[at : at + CHUNK_PAIRS]
                 shared = np.minimum(counts[start + i], counts[other + j]).sum(axis=1, dtype=np.int64)
                 near = longer[i, j] - shared <= (1 - similarity) * longer[i, j] + 1e-9
-                out.append(np.stack([x[i[near]], y[j[near]]]))
-        a, b = np.concatenate(out, axis=1)
-        return pd.DataFrame({"a": a, "b": b})
+                out.append(np.stack([start + i[near], other + j[near]]))
+        pairs = np.concatenate(out, axis=1)
+        pairs = pairs[:, by_marks(pairs, size, [np.frombuffer(m, "<u2") for m in rows["marks"]])]
+        if "met" in rows:
+            key, met = rows["key"].tolist(), {i: set(rows["met"].iat[i].tolist()) for i in np.unique(pairs).tolist()}
+            first = [min(met[i] & met[j]) == key[i] for i, j in pairs.T.tolist()]
+            pairs = pairs[:, np.array(first, bool)]
+        return pd.DataFrame({"a": node[pairs[0]], "b": node[pairs[1]]})
 
     return run
 
 
 def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows, with their labels, of the groups that hold several components.  Components only grow, so a group that is
-    left out once need not be looked at again."""
+    """The rows, with their labels and the group's number of rows, of the groups that hold several components.  Components
+    only grow, so a group that is left out once need not be looked at again."""
     labelled = members.select("key", "node").join(labels, "node", "left")
     labelled = materialize(labelled.select("key", "node", F.coalesce("label", "node").alias("label")), "labelled-members")
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
+    mixed = mixed.where("lo <> hi").select("key", "n")
     return materialize(labelled.join(materialize(mixed, "mixed-groups"), "key"), "mixed-members")
 
 
 def similar_pairs(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """From distinct texts (node, text): similar pairs that span every class, as links (a, b); and (node, label)."""
-    sketched = texts.mapInPandas(_sketch_rows(similarity), "node long, keys array<long>, size long, classes binary")
+    sketched = texts.mapInPandas(_sketch_rows(similarity), "node long, keys array<long>, size long, classes binary, marks binary")
     sketched = materialize(sketched.dropDuplicates(["node"]), "order-sketches")
     known = sketched.select("node", "size", "classes")
     posted = sketched.select("node", F.posexplode("keys").alias("place", "key")).where(F.col("key") != NONE)
@@ -404,17 +452,21 @@ def similar_pairs(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[Dat
 
     rest = _mixed(rest, labels)
     row = F.row_number().over(Window.partitionBy("key").orderBy("label", "node"))
-    rest = materialize(rest.withColumn("block", F.floor((row - 1) / BLOCK_ROWS).cast("int")), "mixed-blocks")
-    blocks = rest.groupBy("key", "block").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    large = rest.where(F.col("n") > BLOCK_ROWS).withColumn("block", F.floor((row - 1) / BLOCK_ROWS).cast("int"))
+    large = materialize(large, "mixed-blocks")
+    blocks = large.groupBy("key", "block").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     right = blocks.select("key", F.col("block").alias("other"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
     tasks = blocks.join(right, "key").where("block <= other and not (lo = hi and lo2 = hi2 and lo = lo2)")
     tasks = tasks.select("key", "block", "other", F.xxhash64("key", "block", "other").alias("task"))
     sides = F.array(F.struct(F.col("block"), F.lit(0).alias("side")), F.struct(F.col("other").alias("block"), F.lit(1).alias("side")))
     sides = F.explode(F.when(F.col("block") == F.col("other"), F.slice(sides, 1, 1)).otherwise(sides)).alias("s")
-    dealt = tasks.select("key", "task", sides).select("key", "task", "s.*").join(rest, ["key", "block"])
-    dealt = materialize(dealt.select("task", "side", "node", "label"), "block-members")
+    dealt = tasks.select("key", "task", sides).select("key", "task", "s.*").join(large, ["key", "block"])
+    small = rest.where(F.col("n") <= BLOCK_ROWS).select("key", F.xxhash64("key").alias("task"), F.lit(0).alias("side"), "node", "label")
+    dealt = materialize(dealt.select("key", "task", "side", "node", "label").unionByName(small), "block-members")
     bins = -(-dealt.count() // BIN_ROWS) or 1
-    described = dealt.join(known, "node").withColumn("bin", F.pmod(F.xxhash64("task"), F.lit(bins)))
+    met = rest.groupBy("node").agg(F.collect_list("key").alias("met"))
+    described = materialize(sketched.drop("keys").join(met, "node"), "block-texts")
+    described = dealt.join(described, "node").withColumn("bin", F.pmod(F.xxhash64("task"), F.lit(bins)))
     found = described.groupBy("bin").applyInPandas(_block_pairs(similarity), "a long, b long")
     found = found.select(*ordered("a", "b")).distinct().join(tried, ["a", "b"], "left_anti")
     links = links.unionByName(_verified(materialize(found, "block-candidates"), held, similarity))

@@ -79,6 +79,53 @@ def test_one_call_compares_many_tasks():
     assert want and want <= got and all(x % 7 != y % 7 for x, y in got)
 
 
+def test_marks_lose_no_pair_and_tell_long_texts_apart():
+    rng = random.Random(11)
+    common = [rng.randrange(10**9) for _ in range(600)]
+    texts = [common + [rng.randrange(10**9) for _ in range(200)] for _ in range(40)]
+    texts += [edit(rng, t, 60, range(10**9)) for t in texts[:10]] + [[3] * 700 + common[:200], [3] * 650 + common[:220], list(range(5000)), list(range(4900))]
+    batch = pd.DataFrame({"node": range(len(texts)), "text": [" ".join(map(str, t)) for t in texts]})
+    known = next(neardup._sketch_rows(neardup.SIMILARITY)(iter([batch])))
+    found = neardup._block_pairs(neardup.SIMILARITY)(known.assign(task=0, side=0, label=known["node"]))
+    got = {tuple(sorted(p)) for p in found.itertuples(index=False)}
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if similar(texts[i], texts[j])}
+    assert len(want) >= 12 and want <= got
+    assert len(got - want) < 10  # by classes alone nearly all of the 40 texts' 780 pairs
+
+
+def test_large_groups_are_cut_into_blocks(documents, corpus, monkeypatch):
+    at_once = {r["row"]["doc_id"]: r["class_id"] for r in near_duplicates(documents(corpus)).collect()}
+    written, write = {}, neardup.materialize
+
+    def seen(df, label):
+        written[label] = write(df, label)
+        return written[label]
+
+    monkeypatch.setattr(neardup, "materialize", seen)
+    near_duplicates(documents(corpus)).collect()
+    whole = written["block-members"].count()
+    assert whole == written["mixed-members"].count() > 0  # a group of one block moves once, without a join
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 8)
+    assert {r["row"]["doc_id"]: r["class_id"] for r in near_duplicates(documents(corpus)).collect()} == at_once
+    assert written["mixed-blocks"].count() > 0 and written["block-members"].count() > whole
+
+
+def test_blocks_name_each_pair_once(monkeypatch):
+    monkeypatch.setattr(neardup, "STRIP_ROWS", 4)
+    rng = random.Random(12)
+    base = [rng.randrange(10**6) for _ in range(60)]
+    texts = [edit(rng, base, 3, range(10**6)) for _ in range(30)]
+    known = next(neardup._sketch_rows(neardup.SIMILARITY)(iter([pd.DataFrame({"node": range(30), "text": [" ".join(map(str, t)) for t in texts]})])))
+    groups = {key: sorted(rng.sample(range(30), 18)) for key in range(12)}
+    met = {n: np.array([k for k, g in groups.items() if n in g]) for n in range(30)}
+    rows = pd.DataFrame([(k, k, 0 if i < 10 or k % 2 else 1, n) for k, g in groups.items() for i, n in enumerate(g)], columns=["key", "task", "side", "node"])
+    rows = rows.assign(label=rows["node"] % 5, met=rows["node"].map(met)).merge(known, on="node")
+    found = neardup._block_pairs(neardup.SIMILARITY)(rows)
+    got = [tuple(sorted(p)) for p in found.itertuples(index=False)]
+    want = {(a, b) for k, g in groups.items() for i, a in enumerate(g) for j, b in enumerate(g) if a < b and a % 5 != b % 5 and (k % 2 or (i < 10) != (j < 10)) and k == min(set(met[a]) & set(met[b]))}
+    assert len(got) == len(set(got)) and want == set(got)
+
+
 def test_occurrences_and_order_matter():
     values = np.array([5, 5, 7, 5, 7], np.uint64)
     assert occurrences(values).tolist() == [0, 1, 0, 2, 1]
