@@ -442,9 +442,9 @@ def similar_pairs(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[Dat
     labels, rest = components(links), members
     for turn in range(1, 1 + TURNS):
         rest = _mixed(rest, labels)
-        middle = rest.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "label")).alias("m"))
-        middle = materialize(middle.select("key", F.col("m.node").alias("centre"), F.col("m.label").alias("own")), "centres")
-        pairs = rest.join(middle, "key").where("label <> own").select(*ordered("centre", "node")).distinct()
+        line = Window.partitionBy("key").orderBy(F.xxhash64("node", F.lit(turn)), "node").rowsBetween(Window.unboundedPreceding, 0)
+        met = rest.withColumn("centre", F.first(F.struct("node", "label")).over(line)).where("label <> centre.label")
+        pairs = met.select(*ordered("centre.node", "node")).distinct()
         pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "centre-pairs")
         tried = tried.unionByName(pairs)
         links = links.unionByName(_verified(_possible(pairs, known, similarity), held, similarity))

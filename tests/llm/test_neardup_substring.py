@@ -12,6 +12,8 @@ from pactlens.llm.neardup import NONE, REMAINDER, SHORT, all_keys, banded_distan
 from pactlens.llm.substring import Anchors, Rolling, intervals, repeated_spans
 from pactlens.llm.wordhash import WordHashes
 
+from tests.conftest import plan_of
+
 from .conftest import ODD
 
 
@@ -126,6 +128,19 @@ def test_blocks_name_each_pair_once(monkeypatch):
     assert len(got) == len(set(got)) and want == set(got)
 
 
+def test_centres_need_no_join_by_key(documents, corpus, monkeypatch):
+    plans, write = {}, neardup.materialize
+
+    def seen(df, label):
+        plans[label] = plan_of(df)
+        return write(df, label)
+
+    monkeypatch.setattr(neardup, "materialize", seen)
+    neardup.near_duplicates(documents(corpus))
+    joins = [line for line in plans["centre-pairs"].splitlines() if "Join" in line]
+    assert joins and all("LeftAnti" in line for line in joins)
+
+
 def test_occurrences_and_order_matter():
     values = np.array([5, 5, 7, 5, 7], np.uint64)
     assert occurrences(values).tolist() == [0, 1, 0, 2, 1]
