@@ -197,7 +197,9 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     blocks = max(1, -(-(size or 0) // BLOCK_BYTES))
     dealt = rows.select("id", "text", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int").alias("block")).repartition(blocks, "block")
-    asked = dealt.select("block", "text").mapInPandas(_asked, "block int, word long").distinct()
+    # All columns, though ids are not asked for: both uses of the dealt texts are then one shuffle.
+    # Words that are dealt for the join are made distinct where they have come.
+    asked = dealt.mapInPandas(_asked, "block int, word long").repartition("word").distinct()
     found = asked.join(vocabulary, "word").select("block", "word", "n")
     both = dealt.groupBy("block").cogroup(found.groupBy("block"))
     scored = both.applyInPandas(_score_block(table, weights, n_docs, total, distinct), "id long, n_tokens long, n_known long, base_score double, score double")

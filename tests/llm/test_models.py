@@ -13,6 +13,8 @@ from pactlens.llm.extract import extract, marginals, train
 from pactlens.llm.lm import score_texts
 from pactlens.llm.permindex import nearest
 
+from tests.conftest import plan_of
+
 from .conftest import ODD
 
 
@@ -194,6 +196,15 @@ def test_scores(documents):
     assert score_texts(documents([])).count() == 0
 
 
+def test_texts_to_score_are_dealt_once(documents):
+    scored = score_texts(documents([(i, f"word{i % 7} other {i}", "s") for i in range(60)] + ODD))
+    assert len(scored.collect()) == 60 + len(ODD)
+    final = plan_of(scored).split("Initial Plan")[0]
+    assert "ReusedExchange" in final
+    by_word = [line for line in final.splitlines() if "hashpartitioning" in line and "word" in line]
+    assert by_word and not any("block" in line for line in by_word)  # none only to make words distinct
+
+
 def brute_nearest(rows, top=20, every=20):
     rows = sorted({(i, tuple(v)) for i, v in rows})
     out = {}
