@@ -170,24 +170,30 @@ def word_marks(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sketch_rows(similarity: float):
-    """The keys of texts, their lengths, their word classes, a byte for each where that holds all counts, and their marks."""
+    """The keys of texts, their lengths, and their word classes, a byte for each where that holds all counts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
         for batch in batches:
-            out: dict = {"node": batch["node"].tolist(), "keys": [], "size": [], "classes": [], "marks": []}
+            out: dict = {"node": batch["node"].tolist(), "keys": [], "size": [], "classes": []}
             for text in batch["text"]:
                 hashes = known.of(words(text))
                 counts = word_classes(hashes)
                 out["keys"].append(all_keys(hashes, similarity))
                 out["size"].append(len(hashes))
                 out["classes"].append(counts.astype("u1" if counts.max() < 256 else "<u4").tobytes())
-                out["marks"].append(word_marks(hashes).tobytes())
             yield pd.DataFrame(out)
 
     return run
 
 
+def _mark_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    known = WordHashes()
+    for batch in batches:
+        marks = [word_marks(known.of(words(text))).tobytes() for text in batch["text"]]
+        yield batch.drop(columns="text").assign(marks=marks)
+
+
 def unpacked(classes: list[bytes]) -> np.ndarray:
     """Word classes, one row for each text."""
     if all(len(c) == CLASSES for c in classes):
@@ -397,7 +403,8 @@ def _block_pairs(similarity: float):
                 near = longer[i, j] - shared <= (1 - similarity) * longer[i, j] + 1e-9
                 out.append(np.stack([start + i[near], other + j[near]]))
         pairs = np.concatenate(out, axis=1)
-        pairs = pairs[:, by_marks(pairs, size, [np.frombuffer(m, "<u2") for m in rows["marks"]])]
+        if "marks" in rows:
+            pairs = pairs[:, by_marks(pairs, size, [np.frombuffer(m, "<u2") for m in rows["marks"]])]
         if "met" in rows:
             key, met = rows["key"].tolist(), {i: set(rows["met"].iat[i].tolist()) for i in np.unique(pairs).tolist()}
             first = [min(met[i] & met[j]) == key[i] for i, j in pairs.T.tolist()]
@@ -419,7 +426,7 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 def similar_pairs(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """From distinct texts (node, text): similar pairs that span every class, as links (a, b); and (node, label)."""
-    sketched = texts.mapInPandas(_sketch_rows(similarity), "node long, keys array<long>, size long, classes binary, marks binary")
+    sketched = texts.mapInPandas(_sketch_rows(similarity), "node long, keys array<long>, size long, classes binary")
     sketched = materialize(sketched.dropDuplicates(["node"]), "order-sketches")
     known = sketched.select("node", "size", "classes")
     posted = sketched.select("node", F.posexplode("keys").alias("place", "key")).where(F.col("key") != NONE)
@@ -465,7 +472,8 @@ def similar_pairs(texts: DataFrame, similarity: float = SIMILARITY) -> tuple[Dat
     dealt = materialize(dealt.select("key", "task", "side", "node", "label").unionByName(small), "block-members")
     bins = -(-dealt.count() // BIN_ROWS) or 1
     met = rest.groupBy("node").agg(F.collect_list("key").alias("met"))
-    described = materialize(sketched.drop("keys").join(met, "node"), "block-texts")
+    marked = held.join(met, "node").select("node", "text", "met").mapInPandas(_mark_rows, "node long, met array<long>, marks binary")
+    described = materialize(known.join(marked, "node"), "block-texts")
     described = dealt.join(described, "node").withColumn("bin", F.pmod(F.xxhash64("task"), F.lit(bins)))
     found = described.groupBy("bin").applyInPandas(_block_pairs(similarity), "a long, b long")
     found = found.select(*ordered("a", "b")).distinct().join(tried, ["a", "b"], "left_anti")
