@@ -31,8 +31,8 @@ CHUNK_BITS = 9
 WINDOW = 8
 LONGEST_CHUNK = 16_384
 #: Entries of the young half of each memo.
-MOST_WORDS = 300_000
-MOST_CHUNKS = 30_000
+MOST_WORDS = 150_000
+MOST_CHUNKS = 10_000
 _GEAR = np.random.default_rng(11).integers(0, 1 << 63, 256, dtype=np.uint64)
 #: What stands before the first white space of a chunk, the whole words between, and what stands after the last.
 _EDGES = re.compile(rb"([^ \t-\r]*)[ \t-\r](?:(.*)[ \t-\r])?([^ \t-\r]*)\Z", re.DOTALL)

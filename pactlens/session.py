@@ -90,6 +90,18 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
+#: Bytes of rows that one Arrow batch brings to Python, about.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes as well as by rows: of long texts the usual 10,000 rows are tens of MB, held in several
+    copies by every worker, which an executor then keeps.  A bound that the session has of its own stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def one_task_per_group(df: DataFrame, groups: int, *keys: str) -> DataFrame:
     """Partition by key for costly work on few, small groups.
 

@@ -1,7 +1,9 @@
 import corpus_pipeline
+import pandas as pd
 import pytest
 
 from pactlens.llm.queries import ORACLE, QUERIES
+from pactlens.session import BATCH_BYTES, bound_batches
 
 from .conftest import ODD
 
@@ -34,6 +36,28 @@ def test_stages_on_odd_rows(spark, documents, tmp_path):
     assert {r["doc_id"] for r in mixed} <= deduped
 
 
+def test_long_texts_come_in_batches_of_bounded_bytes(spark, documents, tmp_path):
+    docs = documents([(i, str(i % 10) * 200_000, "s") for i in range(100)], clash=False).repartition(1)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for batch in batches:
+            yield pd.DataFrame({"n": [int(batch["text"].str.len().sum())]})
+
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(key)
+            stage(spark, docs, str(tmp_path))
+            found = [r["n"] for r in docs.select("text").mapInPandas(sizes, "n long").collect()]
+            assert sum(found) == 20_000_000 and max(found) <= BATCH_BYTES + 200_000
+        spark.conf.set(key, "1000000")
+        bound_batches(spark)
+        assert spark.conf.get(key).startswith("1000000")
+    finally:
+        spark.conf.unset(key)
+
+
 def test_run_of_no_documents(spark, documents, tmp_path):
     documents([], clash=False).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
