@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactlens.llm.mixnet import ORDERS, SLOT_BITS, Mixer, count_bits, first_weights, stream, tables
-from pactlens.llm.text import read_table, whole_text, words
+from pactlens.llm.text import read_table, whole_text
 from pactlens.session import materialize
 
 FOLDS = 10
@@ -42,7 +42,7 @@ def fold(id_column: Column, folds: int = FOLDS) -> Column:
 
 def tokens(text: str) -> list[bytes]:
     """Words with A-Z in lower case."""
-    return [w.lower() for w in words(text)]
+    return text.encode("utf-8", "replace").lower().split()
 
 
 def word_key(word: bytes) -> int:
@@ -124,14 +124,25 @@ def mixing_weights(texts: DataFrame, table) -> np.ndarray:
 
 def _asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(block, word): the distinct words of a task's blocks, sent on when many have come together."""
-    seen: set = set()
+    seen: dict[int, set] = {}
+
+    def rows() -> pd.DataFrame:
+        found = [np.array([word_key(w) for w in own], np.int64) for own in seen.values()]
+        out = pd.DataFrame({"block": np.repeat(np.array(list(seen), np.int32), [len(x) for x in found]), "word": np.concatenate([np.empty(0, np.int64), *found])})
+        seen.clear()
+        return out
+
     for batch in batches:
+        held = sum(map(len, seen.values()))
         for block, text in zip(batch["block"], batch["text"], strict=True):
-            seen.update([(block, w) for w in tokens(text)])
-            if len(seen) >= MOST_COUNTED:
-                yield pd.DataFrame({"block": [b for b, _ in seen], "word": [word_key(w) for _, w in seen]})
-                seen.clear()
-    yield pd.DataFrame({"block": [b for b, _ in seen], "word": [word_key(w) for _, w in seen]})
+            own = seen.setdefault(block, set())
+            held -= len(own)
+            own.update(tokens(text))
+            held += len(own)
+            if held >= MOST_COUNTED:
+                yield rows()
+                held = 0
+    yield rows()
 
 
 def _score_block(table, weights: np.ndarray, n_ends: int, total: int, distinct: int):

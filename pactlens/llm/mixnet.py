@@ -166,15 +166,22 @@ def slots(context: np.ndarray, sizes: np.ndarray, nodes: np.ndarray) -> np.ndarr
 
 
 def count_bits(texts: list[bytes], counts: np.ndarray) -> None:
-    """Add the bits of some streams to ``counts`` (ORDERS, 2 * slots): zeros and ones side by side."""
+    """Add the bits of some streams to ``counts`` (ORDERS, 2 * slots): zeros and ones side by side.  A byte that comes after
+    the same context again takes the same slots, so each is looked up once and added as often as it came."""
     for run in runs(((0, x) for t in texts for x in pieces(t)), 32 * PIECE_BYTES):
         raw, _, hashes = contexts([x for _, x in run])
-        sizes, _, nodes, bits = decisions(raw)
         for o in range(ORDERS):
-            at = slots(hashes[o], sizes, nodes)
+            met = hashes[o].astype(np.uint64) << np.uint64(8)
+            met |= raw
+            met.sort()
+            first = np.flatnonzero(np.r_[True, met[1:] != met[:-1]]) if len(met) else np.empty(0, np.intp)
+            times = np.diff(first, append=len(met)).astype(counts.dtype)
+            met = met[first]
+            sizes, _, nodes, bits = decisions(met.astype(np.uint8))
+            at = slots((met >> np.uint64(8)).astype(np.uint32), sizes, nodes)
             at <<= np.uint32(1)
             at |= bits
-            counts[o] += np.bincount(at, minlength=counts.shape[1]).astype(counts.dtype)
+            np.add.at(counts[o], at, np.repeat(times, sizes))
 
 
 def tables(counts: np.ndarray) -> np.ndarray:

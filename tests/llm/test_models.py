@@ -4,9 +4,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
-from pactlens.llm import bytenet, mixnet, permindex, quality
+from pactlens.llm import bytenet, lm, mixnet, permindex, quality
 from pactlens.llm.bpe import ChunkEncoder, cuts, encode_digests, encode_table, vocabulary_path
 from pactlens.llm.dom import Page
 from pactlens.llm.extract import extract, marginals, train
@@ -170,6 +171,36 @@ def test_bits_are_a_distribution():
     assert total == pytest.approx(1, abs=1e-4)
 
 
+def test_repeated_contexts_are_looked_up_once(monkeypatch):
+    rng = random.Random(8)
+    texts = [mixnet.stream([b"w%d" % (rng.randint(0, 40) ** 2) for _ in range(rng.randint(0, 400))]) for _ in range(60)]
+    want = np.zeros((mixnet.ORDERS, 2 << mixnet.SLOT_BITS), np.uint32)
+    raw, _, hashes = mixnet.contexts([(t, 0) for t in texts])
+    sizes, _, nodes, bits = mixnet.decisions(raw)
+    for o in range(mixnet.ORDERS):
+        at = mixnet.slots(hashes[o], sizes, nodes).astype(np.int64)
+        want[o] = np.bincount(2 * at + bits, minlength=want.shape[1])
+    asked, slots = [], mixnet.slots
+    monkeypatch.setattr(mixnet, "slots", lambda context, *rest: asked.append(len(context)) or slots(context, *rest))
+    got = np.zeros_like(want)
+    mixnet.count_bits(texts, got)
+    mixnet.count_bits([], got)
+    assert (got == want).all()
+    assert sum(asked) * 10 < mixnet.ORDERS * len(raw)
+
+
+def test_words_asked_for(monkeypatch):
+    rows = pd.DataFrame({"block": [0, 1, 0, 1], "text": ["A b", "b c", "a D", ""]})
+    want = [(0, w) for w in (b"a", b"b", b"d")] + [(1, w) for w in (b"b", b"c")]
+    want = sorted((block, lm.word_key(w)) for block, w in want)
+    one, = lm._asked(iter([rows]))
+    assert sorted(zip(one["block"], one["word"])) == want and one["word"].dtype == np.int64
+    monkeypatch.setattr(lm, "MOST_COUNTED", 3)
+    several = list(lm._asked(iter([rows, rows])))
+    assert all(len(x) <= 4 for x in several) and {x for part in several for x in zip(part["block"], part["word"])} == set(want)
+    assert [len(x) for x in lm._asked(iter([]))] == [0]
+
+
 def test_pieces_do_not_change_contexts():
     text = mixnet.stream([b"word%d" % (i * i) for i in range(500)])
     whole, _, all_at_once = mixnet.contexts([(text, 0)])
