@@ -22,10 +22,10 @@ from pactlens.operators.forest import tree
 from pactlens.operators.forest.fit import _first_by_order
 from pactlens.session import materialize, one_task_per_group
 
-#: Nodes (24 bytes each) that one pass of scoring broadcasts; more trials take more passes.
-MOST_NODES = 8_000_000
-#: Rows and trees that are walked together.
-BLOCK_ROWS, BLOCK_TREES = 1_024, 8
+#: Nodes (about 12 bytes each) that one pass of scoring broadcasts; more trials take more passes.
+MOST_NODES = 10_000_000
+#: Rows and trees that are worked on together, and a bound on the bytes of their masks.
+BLOCK_ROWS, BLOCK_TREES, BLOCK_BYTES = 10_240, 8, 1 << 25
 BINS = 1_024
 PACKED = "trial_id int, tree_id int, n_nodes int, feature binary, threshold binary, left binary, path binary"
 _TYPES = {"feature": np.int32, "threshold": np.float64, "left": np.int32, "path": np.float64}
@@ -55,69 +55,199 @@ def grow_trials(samples: DataFrame, trials: Sequence[dict], sizes: Sequence[int]
     return one_task_per_group(samples, most, "tree_id").groupBy("tree_id").applyInPandas(grow, PACKED)
 
 
+class Masks:
+    """What the nodes of any tree ask of a block of rows, as bits: a line of words for each answer, a bit for each row.
+
+    Of a numeric column there is a line for each rank among the block's values, of a slot one if some row has it; so a line
+    serves all nodes that cut between the same two values, whatever their number.
+    """
+
+    def __init__(self, numbers: np.ndarray, slots: np.ndarray):
+        n = len(numbers)
+        words = -(-n // 64)
+        row = np.arange(n)
+        bit = np.uint64(1) << (row % 64).astype(np.uint64)
+        self.all = np.zeros(words, np.uint64)
+        np.bitwise_or.at(self.all, row // 64, bit)
+        # No cut is below a missing number or the least one: neither ever goes right.
+        columns = np.where(np.isnan(numbers), -np.inf, numbers).T
+        ranked = [np.unique(column, return_inverse=True) for column in columns]
+        self.values = [values for values, _ in ranked]
+        self.slots = np.unique(slots[slots >= 0])
+        sizes = [len(values) + 1 for values in self.values] + [len(self.slots) + 1]
+        #: The first line of each numeric column, and last that of the slots; the line before the end has no row.
+        self.starts = np.cumsum([0, *sizes])
+        self.lines = np.zeros((self.starts[-1], words), np.uint64)
+        for start, end, (_, rank) in zip(self.starts, self.starts[1:], ranked):
+            own = self.lines[start:end]
+            own[0] = self.all
+            np.bitwise_or.at(own, (rank + 1, row // 64), bit)
+            # Line p keeps the rows of rank p and above.
+            np.bitwise_xor.accumulate(own, axis=0, out=own)
+        at, column = np.nonzero(slots >= 0)
+        place = self.starts[-2] + np.searchsorted(self.slots, slots[at, column])
+        np.bitwise_or.at(self.lines, (place, at // 64), bit[at])
+
+    def above(self, column: int, cuts: np.ndarray) -> np.ndarray:
+        """Lines of the rows whose number is above each of these cuts, which are in order."""
+        values = self.values[column]
+        upto = np.bincount(np.searchsorted(cuts, values), minlength=len(cuts) + 1)[: len(cuts)]
+        return self.starts[column] + np.cumsum(upto)
+
+    def having(self, wanted: np.ndarray) -> np.ndarray:
+        """Lines of the rows that have each of these slots."""
+        place = np.searchsorted(self.slots, wanted)
+        known = np.r_[self.slots, -1][place] == wanted
+        return self.starts[-2] + np.where(known, place, len(self.slots))
+
+
 @dataclass(frozen=True)
 class Stack:
-    """The trees of several trials, one after the other; ``left`` counts from the start of all nodes."""
+    """The trees of several trials, one after the other, level by level: a block holds some trees of one trial.
+
+    Inner nodes are numbered by block, level and tree.  ``inherit`` tells for each the place of its rows: those that the nodes
+    of the level above send left, in the order of these nodes, and then those they send right.  A leaf is told by ``code``,
+    the turns that lead to it as a binary number, filled up with turns to the left.
+    """
 
-    feature: np.ndarray
-    threshold: np.ndarray
-    left: np.ndarray
+    #: Per block: its trial, and the bounds of its trees' inner nodes in each level (levels x trees + 1).
+    blocks: list[tuple[int, np.ndarray]]
+    inherit: np.ndarray
+    #: Per numeric column: cuts in order and the nodes that have them; for the slots the same.
+    cuts: list[np.ndarray]
+    cut_nodes: list[np.ndarray]
+    code: np.ndarray
     path: np.ndarray
-    roots: list[np.ndarray]
+    #: Bounds of each tree's leaves.
+    leaves: np.ndarray
     depths: list[int]
     normals: list[float]
-    n_slots: int
 
     @classmethod
-    def of(cls, packed: DataFrame, trials: Sequence[int], sizes: Sequence[int], n_slots: int) -> Stack:
+    def of(cls, packed: DataFrame, trials: Sequence[int], sizes: Sequence[int]) -> Stack:
         # Within ``MOST_NODES``, which the caller checks.
         rows = packed.where(F.col("trial_id").isin(list(trials))).toPandas().sort_values(["trial_id", "tree_id"])
-        starts = (rows["n_nodes"].cumsum() - rows["n_nodes"]).to_numpy()
-        columns = {c: np.concatenate([np.frombuffer(x, kind) for x in rows[c]]) for c, kind in _TYPES.items()}
-        columns["left"] = columns["left"] + np.repeat(starts, rows["n_nodes"]).astype(np.int32)
-        roots = [starts[(rows["trial_id"] == k).to_numpy()] for k in trials]
+        counts = rows["n_nodes"].to_numpy()
+        starts = np.cumsum(counts) - counts
+        feature, threshold, left, path = (np.concatenate([np.frombuffer(x, kind) for x in rows[c]]) for c, kind in _TYPES.items())
+        trial = np.searchsorted(trials, rows["trial_id"].to_numpy())
         depths = [tree.depth_limit(sizes[k]) for k in trials]
         normals = [float(tree.average_path(sizes[k])) or 1.0 for k in trials]
-        return cls(**columns, roots=roots, depths=depths, normals=normals, n_slots=n_slots)
+        limit = np.array(depths)[trial]
+        first = np.r_[0, np.flatnonzero(np.diff(trial)) + 1]
+        within = np.arange(len(rows)) - first[trial]
+        block = np.cumsum(within % BLOCK_TREES == 0) - 1
+        heads = np.flatnonzero(np.diff(block, prepend=-1))
+        # All trees one level down at a time; nodes of a level stand in the order of their trees.
+        number, node, code = np.arange(len(rows)), starts.copy(), np.zeros(len(rows), np.int64)
+        place = np.zeros(len(rows), np.int64)
+        levels, ends = [], []
+        for level in range(max(depths) + 1):
+            inner = left[node] + starts[number] != node
+            ends.append((number[~inner], code[~inner] << (limit[number[~inner]] - level), path[node[~inner]]))
+            number, node, code, place = number[inner], node[inner], code[inner], place[inner]
+            if not len(node):
+                break
+            per_tree = np.bincount(number, minlength=len(rows))
+            bounds = np.r_[0, np.cumsum(per_tree)]
+            levels.append((node, place, bounds))
+            low, high = bounds[heads][block[number]], bounds[np.r_[heads[1:], len(rows)]][block[number]]
+            own, child = np.arange(len(node)) - low, left[node] + starts[number]
+            number = np.repeat(number, 2)
+            node, code, place = (np.stack(x, axis=1).ravel() for x in ((child, child + 1), (2 * code, 2 * code + 1), (own, own + high - low)))
+        blocks, parts, done = [], [], 0
+        for b, (head, end) in enumerate(zip(heads, np.r_[heads[1:], len(rows)])):
+            rank = []
+            for node, place, bounds in levels:
+                low, high = bounds[head], bounds[end]
+                if low == high:
+                    break
+                rank.append(done + bounds[head : end + 1] - low)
+                parts.append((node[low:high], place[low:high]))
+                done += high - low
+            blocks.append((int(trial[head]), np.array(rank, np.int64).reshape(len(rank), end - head + 1)))
+        node, inherit = (np.concatenate([p[j] for p in parts] or [np.empty(0, np.int64)]) for j in range(2))
+        cuts, cut_nodes = [], []
+        for f in range(tree.N_NUMERIC + 1):
+            own = np.flatnonzero(feature[node] == f if f < tree.N_NUMERIC else feature[node] >= f)
+            cut = threshold[node[own]] if f < tree.N_NUMERIC else feature[node[own]] - f
+            order = np.argsort(cut, kind="stable")
+            cuts.append(cut[order])
+            cut_nodes.append(own[order].astype(np.int32))
+        number, code, path = (np.concatenate([e[j] for e in ends]) for j in range(3))
+        order = np.argsort(number, kind="stable")
+        leaves = np.r_[0, np.cumsum(np.bincount(number, minlength=len(rows)))]
+        return cls(blocks, inherit.astype(np.int32), cuts, cut_nodes, code[order].astype(np.int32), path[order], leaves, depths, normals)
 
     def scores(self, numbers: np.ndarray, slots: np.ndarray) -> np.ndarray:
         """Scores of each row (first axis) under each trial."""
-        width = tree.N_NUMERIC + self.n_slots
-        blocks = []
-        for start in range(0, len(numbers), BLOCK_ROWS):
-            part = slots[start : start + BLOCK_ROWS]
-            matrix = np.zeros((len(part), width))
-            matrix[:, : tree.N_NUMERIC] = numbers[start : start + BLOCK_ROWS]
-            row, column = np.nonzero(part >= 0)
-            matrix[row, tree.N_NUMERIC + part[row, column]] = 1.0
-            blocks.append((start, matrix.ravel(), np.arange(len(part), dtype=np.intp) * width))
-        out = np.zeros((len(numbers), len(self.roots)))
-        for k, (roots, depth, normal) in enumerate(zip(self.roots, self.depths, self.normals, strict=True)):
-            for some in range(0, len(roots), BLOCK_TREES):
-                own = roots[some : some + BLOCK_TREES]
-                a = own[0]
-                b = roots[some + BLOCK_TREES] if some + BLOCK_TREES < len(roots) else self._end(k)
-                feature, left = self.feature[a:b].astype(np.intp), self.left[a:b].astype(np.intp) - a
-                threshold, path = self.threshold[a:b], self.path[a:b]
-                for start, cells, first in blocks:
-                    shape = (len(own), len(first))
-                    node = np.repeat((own - a).astype(np.intp)[:, None], len(first), axis=1)
-                    cell, value, cut = np.empty(shape, np.intp), np.empty(shape), np.empty(shape)
-                    # Places are in range by construction; "clip" spares the check.
-                    for _ in range(depth):
-                        feature.take(node, out=cell, mode="clip")
-                        cell += first
-                        cells.take(cell, out=value, mode="clip")
-                        threshold.take(node, out=cut, mode="clip")
-                        left.take(node, out=cell, mode="clip")
-                        np.add(cell, value > cut, out=node)
-                    path.take(node, out=value, mode="clip")
-                    out[start : start + len(first), k] += value.sum(axis=0)
-            out[:, k] = np.exp2(-out[:, k] / (len(roots) * normal)) - 0.5
+        widest = max((int((b[:, -1] - b[:, 0]).max()) for _, b in self.blocks if len(b)), default=1)
+        most = max(64, min(BLOCK_ROWS, BLOCK_BYTES // (2 * widest) * 8 // 64 * 64))
+        # Of similar size, as a block has work of its own for every node.
+        block = -(-len(numbers) // max(1, -(-len(numbers) // most)))
+        out = np.zeros((len(numbers), len(self.depths)))
+        for start in range(0, len(numbers), max(1, block)):
+            some = slice(start, start + block)
+            self._block(numbers[some], slots[some], out[some], widest)
         return out
 
-    def _end(self, k: int) -> int:
-        return self.roots[k + 1][0] if k + 1 < len(self.roots) else len(self.left)
+    def _block(self, numbers: np.ndarray, slots: np.ndarray, out: np.ndarray, widest: int) -> None:
+        """Rows as bits, all of them through the nodes of a level: whoever is at a node goes left or right.
+
+        The turns of a level, over all its nodes, are a line of bits for each tree; its lines make up the code of a row's leaf.
+        """
+        masks = Masks(numbers, slots)
+        line = np.empty(len(self.inherit), np.int32)
+        for f, (cuts, nodes) in enumerate(zip(self.cuts, self.cut_nodes)):
+            line[nodes] = masks.above(f, cuts) if f < tree.N_NUMERIC else masks.having(cuts)
+        n, words = len(numbers), len(masks.all)
+        here, sent = np.empty((widest, words), np.uint64), np.empty((2 * widest, words), np.uint64)
+        turns = np.empty((max(self.depths), BLOCK_TREES, words), np.uint64)
+        table = np.empty(1 << max(self.depths))
+        bytes_, code = np.empty((-(-max(self.depths) // 8), BLOCK_TREES, n), np.uint8), np.empty(n, np.int64)
+        found, value = np.empty((2, n))
+        total, n_trees, first = np.zeros((len(self.depths), n)), np.zeros(len(self.depths)), 0
+        for trial, bounds in self.blocks:
+            depth, trees = self.depths[trial], bounds.shape[1] - 1
+            turns[:] = 0
+            before = 0
+            for level, own in enumerate(bounds):
+                low, high = own[0], own[-1]
+                m = high - low
+                rows, left, right = here[:m], sent[:m], sent[m : 2 * m]
+                if level:
+                    sent[: 2 * before].take(self.inherit[low:high], axis=0, out=rows, mode="clip")
+                else:
+                    rows[:] = masks.all
+                masks.lines.take(line[low:high], axis=0, out=right, mode="clip")
+                right &= rows
+                for t, (a, b) in enumerate(zip(own - low, own[1:] - low)):
+                    if a < b:
+                        np.bitwise_or.reduce(right[a:b], axis=0, out=turns[level, t])
+                if level + 1 < len(bounds):
+                    np.bitwise_xor(rows, right, out=left)
+                before = m
+            parts = bytes_[: -(-depth // 8), :trees]
+            parts[:] = 0
+            for level in range(depth):
+                part = parts[(depth - level - 1) // 8]
+                part <<= 1
+                part |= np.unpackbits(turns[level, :trees].view(np.uint8), axis=1, count=n, bitorder="little")
+            for t in range(trees):
+                a, b = self.leaves[first + t], self.leaves[first + t + 1]
+                table[self.code[a:b]] = self.path[a:b]
+                code[:] = parts[-1, t]
+                for part in parts[-2::-1]:
+                    code <<= 8
+                    code |= part[t]
+                table.take(code, out=found if t else value, mode="clip")
+                if t:
+                    value += found
+            total[trial] += value
+            n_trees[trial] += trees
+            first += trees
+        for k, normal in enumerate(self.normals):
+            out[:, k] = np.exp2(-total[k] / (n_trees[k] * normal)) - 0.5
 
 
 def passes(nodes_per_trial: Sequence[int], most: int = MOST_NODES) -> list[list[int]]:
@@ -151,7 +281,7 @@ def score_trials(encoded: DataFrame, packed: DataFrame, sizes: Sequence[int], n_
     counts = {r["trial_id"]: r["n"] for r in packed.groupBy("trial_id").agg(F.sum("n_nodes").alias("n")).collect()}
     scored = encoded.withColumn("scores", F.array().cast("array<double>"))
     for some in passes([counts[k] for k in range(len(sizes))], most):
-        shared = encoded.sparkSession.sparkContext.broadcast(Stack.of(packed, some, sizes, n_slots))
+        shared = encoded.sparkSession.sparkContext.broadcast(Stack.of(packed, some, sizes))
         scored = scored.withColumn("scores", F.concat("scores", _scores_udf(shared)(F.struct(*NUMERIC), F.struct(*SLOTS))))
         scored = materialize(scored, "trial-scores")
         shared.destroy()

@@ -253,6 +253,51 @@ def test_stacked_trials_score_like_a_forest_each(spark, table):
     assert trials.passes([5, 3, 7, 1], 8) == [[0, 1], [2, 3]]
 
 
+def test_masks_answer_for_all_rows_at_once():
+    rng = np.random.default_rng(8)
+    numbers, slots = np.round(rng.normal(size=(131, 6)), 1), rng.integers(-1, 9, size=(131, 6))
+    numbers[5, 0], numbers[6, 1], numbers[7, 1], numbers[:, 2] = np.nan, np.inf, -np.inf, 3.0
+    masks = trials.Masks(numbers, slots)
+
+    def rows(line):
+        return np.unpackbits(masks.lines[line].view(np.uint8), bitorder="little")[:131].astype(bool)
+
+    cuts = np.sort(np.r_[np.unique(numbers[~np.isnan(numbers)])[1:-1], -9.0, 0.05, 0.05, 9.0, np.nan])
+    for f in range(6):
+        for cut, line in zip(cuts, masks.above(f, cuts), strict=True):
+            assert (rows(line) == (numbers[:, f] > cut)).all()
+    for slot, line in zip(range(12), masks.having(np.arange(12)), strict=True):
+        assert (rows(line) == (slots == slot).any(axis=1)).all()
+
+
+def test_rows_in_blocks_and_trees_in_blocks_score_like_a_walk(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    sizes, n_trees = [200, 1, 64], [11, 2, 8]
+    numbers, slots = rng.normal(size=(200, 6)), rng.integers(0, 7, size=(200, 6))
+    packed = [(k, t, tree.pack(tree.grow(numbers[:n], slots[:n], tree.depth_limit(n), 7, 1.0, rng))) for k, n in enumerate(sizes) for t in range(n_trees[k])]
+    rows = [(k, t, len(p["left"]), *(p[c].tobytes() for c in ("feature", "threshold", "left", "path"))) for k, t, p in packed]
+    stack = trials.Stack.of(spark.createDataFrame(rows, trials.PACKED), range(3), sizes)
+    points, own = rng.normal(size=(150, 6)), rng.integers(-1, 9, size=(150, 6))
+    points[3, 4] = np.nan
+    got = stack.scores(points, own)
+    for i in range(150):
+        for k, size in enumerate(sizes):
+            lengths = []
+            for p in (p for trial, _, p in packed if trial == k):
+                node = 0
+                while p["left"][node] != node:
+                    f = p["feature"][node]
+                    value = points[i, f] if f < 6 else float((f - 6) in own[i])
+                    node = p["left"][node] + (value > p["threshold"][node])
+                lengths.append(p["path"][node])
+            assert got[i, k] == pytest.approx(2.0 ** (-np.mean(lengths) / (float(tree.average_path(size)) or 1.0)) - 0.5, abs=1e-12)
+    # Blocks of rows change nothing, nor does a bound on their masks.
+    for name, bound in (("BLOCK_ROWS", 64), ("BLOCK_BYTES", 1)):
+        monkeypatch.setattr(trials, name, bound)
+        assert (stack.scores(points, own) == got).all()
+    assert stack.scores(points[:0], own[:0]).shape == (0, 3)
+
+
 @pytest.mark.parametrize("bins", [2, 1024])
 def test_cuts_and_detected_against_sorting(spark, bins):
     rng = np.random.default_rng(bins)
