@@ -369,6 +369,41 @@ def test_one_tree_against_the_definition_of_shapley_values():
         assert got[f] == pytest.approx(want, abs=1e-9)
 
 
+@pytest.mark.parametrize("limit, bits, rows", [(4, 10, 1 << 14), (7, 7, 50), (8, 8, 64), (8, 13, 1 << 14), (1, 10, 7)])
+def test_attributions_by_tables_equal_those_leaf_by_leaf(monkeypatch, limit, bits, rows):
+    import pandas as pd
+
+    rng = np.random.default_rng(limit + bits)
+    numbers, slots = np.round(rng.normal(size=(300, 6)), 1), rng.integers(0, 3, size=(300, 6)) + 3 * np.arange(6)
+    trees = [pd.DataFrame(tree.grow(numbers[i:][:n], slots[i:][:n], limit, 18, 1.0, rng)) for i, n in ((0, 256), (20, 200), (9, 90), (0, 1), (7, 2))]
+    points, own = np.round(rng.normal(size=(130, 6)), 1), rng.integers(0, 3, size=(130, 6)) + 3 * np.arange(6)
+    points[4, 2], own[5], own[6, 3] = np.nan, -1, 99
+    want = sum(explain.explain_tree(t, points, own, 24) for t in trees)
+    monkeypatch.setattr(explain, "BLOCK_ROWS", rows)
+    got = explain._explain_block([explain._plan(t, bits) for t in trees], points, own, 24)
+    assert np.abs(got.T - want).max() < 1e-12
+
+
+def test_attributions_of_small_batches_and_of_deep_trees(spark, table, forest, monkeypatch):
+    examples = score.with_scores(table, forest).limit(40).withColumn("row_id", F.monotonically_increasing_id())
+    examples = materialize(examples, "examples")
+
+    def found():
+        return {(r["row_id"], r["feature"]): r["attribution"] for r in explain.attributions(forest, examples).collect()}
+
+    at_once = found()
+    # A few rows at a time, from batches of other sizes, and leaf by leaf.
+    monkeypatch.setattr(explain, "MAX_CELLS", 7 * (6 + forest.n_slots))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    in_blocks = found()
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    monkeypatch.setattr(explain, "MAX_DEPTH", 2)
+    by_leaf = found()
+    assert len({row for row, _ in at_once}) == 40
+    for some in (in_blocks, by_leaf):
+        assert max(abs(at_once.get(k, 0) - some.get(k, 0)) for k in {*at_once, *some}) < 1e-12
+
+
 def test_explain_forest(table, forest):
     scored = score.with_scores(table, forest)
     rows, importance = explain.explain_forest(scored, forest, DEFAULTS.with_(examples=5))
