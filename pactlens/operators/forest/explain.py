@@ -18,7 +18,7 @@ from pactlens.operators.forest.fit import Forest
 from pactlens.operators.forest.score import MAX_NODE_SLOTS
 from pactlens.operators.forest.tree import N_NUMERIC
 from pactlens.operators.sampling import most_atypical, sample_rows
-from pactlens.session import materialize, spread
+from pactlens.session import deal, materialize
 
 #: Bound on the values (rows x features) a task works on at a time.
 MAX_CELLS = 1 << 22
@@ -332,7 +332,7 @@ def attributions(forest: Forest, examples: DataFrame) -> DataFrame:
         if waiting:
             yield from explain_rows(pd.concat(waiting))
 
-    wide = encode(spread(examples), forest.index).select(F.col("row_id").cast("long").alias("row_id"), *NUMERIC, *SLOTS)
+    wide = encode(deal(examples, examples.count()), forest.index).select(F.col("row_id").cast("long").alias("row_id"), *NUMERIC, *SLOTS)
     return wide.mapInPandas(explain, "row_id long, feature int, attribution double")
 
 

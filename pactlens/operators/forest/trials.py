@@ -20,7 +20,7 @@ from pactlens.config import NUMERIC
 from pactlens.operators.encode import SLOTS
 from pactlens.operators.forest import tree
 from pactlens.operators.forest.fit import _first_by_order
-from pactlens.session import materialize, one_task_per_group
+from pactlens.session import deal, materialize, one_task_per_group
 
 #: Nodes (about 12 bytes each) that one pass of scoring broadcasts; more trials take more passes.
 MOST_NODES = 10_000_000
@@ -279,10 +279,10 @@ def score_trials(encoded: DataFrame, packed: DataFrame, sizes: Sequence[int], n_
     Rows are read once for as many trials as fit into a broadcast, whatever the number of trees.
     """
     counts = {r["trial_id"]: r["n"] for r in packed.groupBy("trial_id").agg(F.sum("n_nodes").alias("n")).collect()}
-    scored = encoded.withColumn("scores", F.array().cast("array<double>"))
+    scored, rows = encoded.withColumn("scores", F.array().cast("array<double>")), encoded.count()
     for some in passes([counts[k] for k in range(len(sizes))], most):
         shared = encoded.sparkSession.sparkContext.broadcast(Stack.of(packed, some, sizes))
-        scored = scored.withColumn("scores", F.concat("scores", _scores_udf(shared)(F.struct(*NUMERIC), F.struct(*SLOTS))))
+        scored = deal(scored, rows).withColumn("scores", F.concat("scores", _scores_udf(shared)(F.struct(*NUMERIC), F.struct(*SLOTS))))
         scored = materialize(scored, "trial-scores")
         shared.destroy()
     return scored

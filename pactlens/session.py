@@ -90,6 +90,18 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
+#: Tasks a core for costly work, so that the last ones leave few cores idle, and rows for one at least and at most.
+TASKS_PER_CORE, LEAST_ROWS, MOST_ROWS = 4, 40_000, 500_000
+
+
+def deal(df: DataFrame, rows: int) -> DataFrame:
+    """The ``rows`` of a table for work of which a row costs far more than to move it, in tasks of the same size, some for each
+    core.  Splits of files are about as many as cores: one more than these takes twice the time."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    each = min(TASKS_PER_CORE, max(1, rows // (cores * LEAST_ROWS)))
+    return df.repartition(max(cores * each, -(-rows // MOST_ROWS)))
+
+
 #: Bytes of rows that one Arrow batch brings to Python, about.
 BATCH_BYTES = 4 << 20
 
